@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plumbline.functions.durable import durable
+from plumbline.functions.expressions import rounded
 from plumbline.operators.governance import Asset, Interaction
-from plumbline.schema import ColumnRule, CrossRule, Ratio, SemanticSchema
+from plumbline.schema import ColumnRule, CrossRule, Ratio, SemanticSchema, quoted
 from plumbline.sources.tables import read_parquet
 
 KEY = "block_id"
@@ -51,7 +53,35 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def shown(df: DataFrame) -> DataFrame:
+    """Doubles to six places for comparison with SQL.
+
+    Engines add doubles in different orders. Means of cents often lie exactly half-way
+    between two printed values, so such cases are nudged upwards on both sides.
+    """
+    return rounded(
+        df.select(
+            *[
+                (quoted(f.name) + F.lit(1e-9)).alias(f.name) if f.dataType.simpleString() == "double"
+                else quoted(f.name)
+                for f in df.schema.fields
+            ]
+        )
+    )
+
+
+_LANDED: dict[tuple[str, str], DataFrame] = {}
+
+
 def order_block(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order table, landed once per session: most operators read it several times."""
+    place = (spark.sparkContext.applicationId, sf_dir)
+    if place not in _LANDED:
+        _LANDED[place] = durable(joined_block(spark, sf_dir))
+    return _LANDED[place]
+
+
+def joined_block(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order: the primary fixture.
 
     Lines are aggregated by order before the join, so the joins see one row per order;

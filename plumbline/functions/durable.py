@@ -3,28 +3,32 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 
-def checkpoint_folder(spark: SparkSession) -> str:
-    """The shared folder the session names; a scratch folder only where none is named."""
+def shared_folder(spark: SparkSession) -> str:
+    """The shared folder the session names; a scratch folder only for an unset local run."""
     context = spark.sparkContext
     named = spark.conf.get(CHECKPOINT_SETTING, None) or context.getConf().get(CHECKPOINT_SETTING, None)
     if named:
-        if not context.getCheckpointDir():
-            context.setCheckpointDir(named)
         return named
-    if not context.getCheckpointDir():
-        if not context.master.startswith("local"):
-            raise RuntimeError(f"Set {CHECKPOINT_SETTING} to a folder shared by all executors.")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="plumbline-checkpoint-"))
-    return context.getCheckpointDir()
+    if not context.master.startswith("local"):
+        raise RuntimeError(f"Set {CHECKPOINT_SETTING} to a folder shared by all executors.")
+    folder = tempfile.mkdtemp(prefix="plumbline-checkpoint-")
+    spark.conf.set(CHECKPOINT_SETTING, folder)
+    return folder
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Write the result once to the checkpoint folder and continue from there."""
-    checkpoint_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write the result once as a table in the shared folder and continue from there.
+
+    A written table is computed once, keeps column pruning and filter pushdown for the
+    passes that follow, and does not depend on any executor.
+    """
+    path = f"{shared_folder(df.sparkSession).rstrip('/')}/plumbline/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -49,10 +49,11 @@ def grouped_quantiles(
     exact = percentile_of(F.col("_v"), probs).alias("quantiles")
     if largest is not None and largest <= bounded:
         return pairs.groupBy(*keys).agg(exact)
-    # At most rows / bounded groups are large, so this table is small by construction.
-    large = durable(pairs.groupBy(*keys).agg(F.count("_v").alias("n")).where(F.col("n") > bounded))
-    if large.isEmpty():
+    sizes = pairs.groupBy(*keys).agg(F.count("_v").alias("n"))
+    if (sizes.agg(F.max("n")).first()[0] or 0) <= bounded:
         return pairs.groupBy(*keys).agg(exact)
+    # At most rows / bounded groups are large, so this table is small by construction.
+    large = durable(sizes.where(F.col("n") > bounded))
     same = [F.col(f"a.`{k}`").eqNullSafe(F.col(f"b.`{k}`")) for k in keys]
     rest = pairs.alias("a").join(F.broadcast(large.alias("b")), same, "left_anti")
     return rest.groupBy(*keys).agg(exact).unionByName(_narrowed(pairs, large, keys, probs, bounded))
