@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog import bindings as b
+from plumbline.functions.durable import kept
 from plumbline.operators import (
     curvature, eda, features, figures, findings, governance, models, outliers, prep, profile, split, validate,
 )
@@ -288,16 +289,24 @@ def _columns_only(spark, sf):
     return _block(spark, sf).drop(b.KEY)
 
 
+def _outliers(block):
+    return kept(outliers.outlier_summary(block, MEASURED))
+
+
+def _correlations(block):
+    return kept(eda.target_correlations(block, b.TARGET, MEASURED))
+
+
+def _screen(block):
+    return kept(curvature.binned_screen(block, b.NUMBERS, b.TARGET))
+
+
 @query
 def candidate_variables(spark, sf):
     block = _columns_only(spark, sf)
     return b.shown(
         findings.candidate_variables(
-            block,
-            b.block_schema(),
-            eda.target_correlations(block, b.TARGET, MEASURED),
-            curvature.binned_screen(block, b.NUMBERS, b.TARGET),
-            outliers.outlier_summary(block, MEASURED),
+            block, b.block_schema(), _correlations(block), _screen(block), _outliers(block)
         )
     )
 
@@ -308,32 +317,27 @@ def modelling_challenges(spark, sf):
     return findings.modelling_challenges(
         block,
         b.TARGET,
-        eda.distribution_summary(block, [b.TARGET]),
+        eda.moment_table(block, [b.TARGET]),
         profile.null_counts(block),
         eda.correlation_screen(block, b.TARGET, MEASURED),
-        curvature.binned_screen(block, b.NUMBERS, b.TARGET),
-        outliers.outlier_summary(block, MEASURED),
+        _screen(block),
+        _outliers(block),
     )
 
 
 @query
 def eda_findings(spark, sf):
     block = _columns_only(spark, sf)
-    distributions = eda.distribution_summary(block, [b.TARGET])
-    correlations = eda.target_correlations(block, b.TARGET, MEASURED)
-    gaps = profile.null_counts(block)
+    shape = kept(eda.moment_table(block, [b.TARGET]))
+    gaps, known = kept(profile.null_counts(block)), _correlations(block)
     checks = validate.logical_checks(block, b.block_schema())
     modal = findings.most_frequent(profile.value_counts(block, b.CATEGORY))
     return findings.notes_table(
         block,
         {
-            "eda": findings.eda_notes(
-                b.TARGET, distributions, correlations, outliers.outlier_summary(block, MEASURED), gaps
-            ),
+            "eda": findings.eda_notes(b.TARGET, shape, known, _outliers(block), gaps),
             "understanding": findings.understanding_notes(gaps, checks),
-            "insight": findings.insight_notes(
-                b.TARGET, distributions, gaps, correlations, "cust_balance", b.CATEGORY, modal
-            ),
+            "insight": findings.insight_notes(b.TARGET, shape, gaps, known, "cust_balance", b.CATEGORY, modal),
         },
     )
 
@@ -356,7 +360,7 @@ def pattern_summary(spark, sf):
         block,
         PATTERNS,
         eda.target_correlations(block, b.TARGET, MEASURED),
-        eda.categorical_target_summary(block, [b.CATEGORY], b.TARGET),
+        kept(eda.categorical_target_summary(block, [b.CATEGORY], b.TARGET)),
     )
 
 
@@ -366,9 +370,9 @@ def eda_headline(spark, sf):
     return findings.eda_headline(
         block,
         b.TARGET,
-        eda.correlation_screen(block, b.TARGET, MEASURED),
-        curvature.binned_screen(block, b.NUMBERS, b.TARGET),
-        governance.feature_recommendations(block, b.RATIOS, b.INTERACTIONS),
+        kept(eda.correlation_screen(block, b.TARGET, MEASURED)),
+        _screen(block),
+        kept(governance.feature_recommendations(block, b.RATIOS, b.INTERACTIONS)),
     )
 
 
@@ -673,7 +677,7 @@ def residual_histogram(spark, sf):
 @query
 def registry_snapshot(spark, sf):
     t = trained(spark, sf)
-    comparison = models.model_comparison(t.models, t.part(split.VALIDATION), t.layout, b.TARGET)
+    comparison = kept(models.model_comparison(t.models, t.part(split.VALIDATION), t.layout, b.TARGET))
     return registry.registry_snapshot(
         _block(spark, sf), b.SELECTED, comparison, models.best_model(comparison),
         "Order value", b.TARGET, sf,

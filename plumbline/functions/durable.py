@@ -32,3 +32,18 @@ def durable(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(df.sparkSession).rstrip('/')}/plumbline/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+SMALL_ROWS = 100_000
+
+
+def kept(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
+    """A result of schema size, computed now and held as a local table.
+
+    For tables with a few rows per column, pair of columns or model that several later
+    steps read. A larger result is an error, so nothing data-sized passes the driver.
+    """
+    found = df.limit(rows + 1).collect()
+    if len(found) > rows:
+        raise ValueError(f"The result has more than {rows} rows; write it as a table instead.")
+    return df.sparkSession.createDataFrame(found, df.schema)

@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from plumbline.functions.durable import kept
 from plumbline.functions.expressions import seeded_hash
 from plumbline.functions.moments import per_column
 from plumbline.functions.quantiles import BOUNDED_GROUP, fit_quantiles
@@ -85,14 +86,10 @@ def binned_scores(
     second grouped by (feature, bin).
     """
     pairs = {f: _pair(df, f, target) for f in features}
-    counts = df.agg(*[F.count(x).alias(f) for f, (x, _) in pairs.items()]).first()
-    steps = [j / bins for j in range(1, bins)]
-    edges = fit_quantiles(df, {f: x for f, (x, _) in pairs.items()}, steps, max(counts), bounded)
 
     def line(name: str) -> dict[str, Column]:
         x, y = pairs[name]
-        spread = F.regr_sxx(y, x)
-        slope = F.regr_sxy(y, x) / F.nullif(spread, F.lit(0.0))
+        slope = F.regr_sxy(y, x) / F.nullif(F.regr_sxx(y, x), F.lit(0.0))
         return {
             "n": F.count(x),
             "spread_x": F.var_pop(x),
@@ -101,22 +98,19 @@ def binned_scores(
             "intercept": F.avg(y) - slope * F.avg(x),
         }
 
-    lines = per_column(df, list(features), line, label="feature").drop("position")
-    cells = []
-    for name, (x, y) in pairs.items():
-        known = sorted({e for e in edges[name] if e is not None})
-        place = F.lit(0)
-        for edge in known:
-            place = place + (x > F.lit(edge)).cast("int")
-        cells.append(F.struct(F.lit(name).alias("feature"), place.alias("bin"), x.alias("x"), y.alias("y")))
+    # One row per feature, read twice below.
+    lines = kept(per_column(df, list(features), line, label="feature").drop("position"))
+    largest = lines.agg(F.max("n")).first()[0]
+    steps = [j / bins for j in range(1, bins)]
+    edges = fit_quantiles(df, {f: x for f, (x, _) in pairs.items()}, steps, largest, bounded)
+    cells = [F.struct(F.lit(f).alias("feature"), x.alias("x"), y.alias("y")) for f, (x, y) in pairs.items()]
     binned = (
         df.select(F.inline(F.array(*cells)))
         .where(F.col("x").isNotNull())
-        .groupBy("feature", "bin")
+        .groupBy("feature", _bin_of(edges).alias("bin"))
         .agg(F.count("x").alias("rows_in_bin"), F.avg("x").alias("mean_x"), F.avg("y").alias("mean_y"))
     )
     gap = F.col("mean_y") - (F.col("intercept") + F.col("slope") * F.col("mean_x"))
-    # One row per feature: the broadcast side is bounded by the schema.
     mean_square = (
         binned.join(F.broadcast(lines), "feature")
         .groupBy("feature")
@@ -131,6 +125,17 @@ def binned_scores(
     return lines.join(mean_square, "feature", "left").select("feature", score.alias("score"))
 
 
+def _bin_of(edges: dict[str, list[float | None]]) -> Column:
+    """Number of edges below ``x`` for the feature of the row, as one SQL expression."""
+    arms = []
+    for name, values in edges.items():
+        known = sorted({e for e in values if e is not None})
+        steps = "".join(f"WHEN x > {edge!r}D THEN {place} " for place, edge in reversed(list(enumerate(known, 1))))
+        text = name.replace("\\", "\\\\").replace("'", "\\'")
+        arms.append(f"WHEN '{text}' THEN " + (f"CASE {steps}ELSE 0 END" if steps else "0"))
+    return F.expr(f"CASE feature {' '.join(arms)} END")
+
+
 def binned_screen(df: DataFrame, features: Sequence[str], target: str, bins: int = 20) -> DataFrame:
     """Curvature screen over all rows."""
     return screen_table(binned_scores(df, features, target, bins))

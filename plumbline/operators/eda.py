@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations
+from itertools import combinations, combinations_with_replacement
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from plumbline.functions.expressions import guarded_correlation, percentage
 from plumbline.functions.moments import deviation, kurtosis, per_column, skewness
 from plumbline.functions.quantiles import grouped_quantiles, quantile_table
-from plumbline.operators.profile import distinct_counts, example_values, value_frequencies
+from plumbline.operators.profile import distinct_with_examples, value_frequencies
 from plumbline.schema import SemanticSchema, numeric_columns, quoted
 
 # Fixed values of the shape and association classes.
@@ -130,10 +130,10 @@ def variable_summary(df: DataFrame, schema: SemanticSchema, row_key: str) -> Dat
     )
     missing = F.col("observations") - F.col("non_missing_count")
     return (
-        counted.join(declared, "column_name", "left")
-        .join(distinct_counts(frequencies), "column_name", "left")
-        .join(example_values(frequencies), "column_name", "left")
-        .join(moments, "column_name", "left")
+        # Every table joined here has one row per column of the schema.
+        counted.join(F.broadcast(declared), "column_name", "left")
+        .join(F.broadcast(distinct_with_examples(frequencies)), "column_name", "left")
+        .join(F.broadcast(moments), "column_name", "left")
         .select(
             "column_name", "role", "semantic_type", "observed_type", "observations", "non_missing_count",
             missing.alias("missing_count"),
@@ -151,21 +151,26 @@ def correlation_pairs(df: DataFrame, columns: Sequence[str] | None = None) -> Da
     All pairs of a chunk share one scan and one aggregation; only sums are shuffled.
     """
     names = list(columns or numeric_columns(df))
-    pairs = list(combinations(range(len(names)), 2))
-    if not pairs:
+    if len(names) < 2:
         raise ValueError("Correlation needs at least two numeric columns.")
+    return _cells(df, names, list(combinations(range(len(names)), 2)))
+
+
+def _cells(df: DataFrame, names: list[str], pairs: list[tuple[int, int]]) -> DataFrame:
+    """Correlation of the given index pairs; a column with itself gives 1, or NULL if constant."""
     parts = []
     for start in range(0, len(pairs), PAIRS_PER_PASS):
         cells = []
         for a, b in pairs[start:start + PAIRS_PER_PASS]:
             left, right = quoted(names[a]).cast("double"), quoted(names[b]).cast("double")
+            value = guarded_correlation(left, right) if a != b else F.when(F.var_pop(left) > 0, F.lit(1.0))
             cells.append(
                 F.struct(
                     F.lit(a).alias("position_1"),
                     F.lit(b).alias("position_2"),
                     F.lit(names[a]).alias("feature_1"),
                     F.lit(names[b]).alias("feature_2"),
-                    guarded_correlation(left, right).alias("correlation"),
+                    value.alias("correlation"),
                 )
             )
         parts.append(df.agg(F.array(*cells).alias("all")).select(F.inline("all")))
@@ -178,28 +183,16 @@ def correlation_pairs(df: DataFrame, columns: Sequence[str] | None = None) -> Da
 def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Every ordered pair in long form; the diagonal is 1, or NULL for a constant column."""
     names = list(columns or numeric_columns(df))
-    pairs = correlation_pairs(df, names).select("feature_1", "feature_2", "correlation")
-    # Each upper-triangle row also yields its mirror image, without a second scan.
-    both = pairs.select(
-        F.inline(
-            F.array(
-                F.struct("feature_1", "feature_2", "correlation"),
-                F.struct(
-                    F.col("feature_2").alias("feature_1"), F.col("feature_1").alias("feature_2"), "correlation"
-                ),
-            )
-        )
+    upper = _cells(df, names, list(combinations_with_replacement(range(len(names)), 2)))
+    # Each cell above the diagonal also yields its mirror image, without a second scan.
+    sides = F.array(
+        F.struct("feature_1", "feature_2"),
+        F.when(
+            F.col("position_1") != F.col("position_2"),
+            F.struct(F.col("feature_2").alias("feature_1"), F.col("feature_1").alias("feature_2")),
+        ),
     )
-    diagonal = per_column(
-        df,
-        names,
-        lambda n: {
-            "feature_2": F.lit(n),
-            "correlation": F.when(F.var_pop(quoted(n).cast("double")) > 0, F.lit(1.0)),
-        },
-        label="feature_1",
-    ).drop("position")
-    return both.unionByName(diagonal)
+    return upper.select(F.inline(F.array_compact(sides)), "correlation")
 
 
 def target_correlations(df: DataFrame, target: str, columns: Sequence[str] | None = None) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRe
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.functions.durable import shared_folder
 from plumbline.functions.expressions import to_number
 from plumbline.operators.figures import COLUMN_BINS, histogram
 from plumbline.operators.prep import align_strict
@@ -38,6 +39,8 @@ class ModelSettings:
     seed: int = SEED
     alpha: float = RIDGE_ALPHA
     checkpoint_interval: int = 10
+    # Split statistics a task may hold, in MB: fewer passes over the rows per tree level.
+    statistics_mb: int = 1024
 
 
 def regression_measures(actual: Column, predicted: Column) -> dict[str, Column]:
@@ -84,7 +87,8 @@ def estimators(train: DataFrame, target: str, settings: ModelSettings = ModelSet
         FOREST: RandomForestRegressor(
             featuresCol="features", labelCol=target, numTrees=settings.trees, maxDepth=settings.forest_depth,
             featureSubsetStrategy="all", seed=settings.seed,
-            checkpointInterval=settings.checkpoint_interval,
+            checkpointInterval=settings.checkpoint_interval, maxMemoryInMB=settings.statistics_mb,
+            cacheNodeIds=True,
         ),
         BOOSTING: GBTRegressor(
             featuresCol="features", labelCol=target, maxIter=settings.stages, stepSize=BOOST_RATE,
@@ -104,9 +108,14 @@ def train_models(
     """Fit each regressor on the same rows.
 
     The model matrix is built and kept once for all of them; training itself
-    aggregates split statistics on the executors.
+    aggregates split statistics on the executors. Node assignments and boosting
+    residuals are checkpointed to the shared folder at intervals, so a lost executor
+    does not restart a long lineage.
     """
     require_rows(train, "training")
+    context = train.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(shared_folder(train.sparkSession))
     assembled = _assembler(layout).transform(train).select("features", quoted(target)).persist()
     try:
         fitted = {}

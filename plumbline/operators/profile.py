@@ -47,7 +47,20 @@ def value_frequencies(
 
 def distinct_counts(frequencies: DataFrame) -> DataFrame:
     """Distinct non-missing values per column."""
-    return frequencies.groupBy("column_name").agg(F.count("observed_value").alias("unique_count"))
+    return frequencies.where("frequency > 0").groupBy("column_name").agg(
+        F.count("observed_value").alias("unique_count")
+    )
+
+
+def distinct_with_examples(frequencies: DataFrame) -> DataFrame:
+    """Distinct counts and examples per column.
+
+    Both sides read the same columns of the frequency table, so Spark computes and
+    shuffles it once and reuses the exchange.
+    """
+    present = frequencies.where("frequency > 0 AND first_key IS NOT NULL")
+    examples = example_values(present)
+    return distinct_counts(present).join(F.broadcast(examples), "column_name", "left")
 
 
 def example_values(frequencies: DataFrame, limit: int = EXAMPLES) -> DataFrame:
@@ -231,18 +244,18 @@ def column_profile(df: DataFrame, row_key: str) -> DataFrame:
 
     counted = per_column(df, df.columns, measures, label="column_name")
     frequencies = value_frequencies(df, row_key=row_key)
-    profile = counted.join(distinct_counts(frequencies), "column_name", "left").join(
-        example_values(frequencies), "column_name", "left"
-    )
+    # Every table joined here has one row per column of the schema.
+    profile = counted.join(F.broadcast(distinct_with_examples(frequencies)), "column_name", "left")
     if numeric:
         medians = quantile_table(df, [n for n in df.columns if n in numeric], {"median": 0.5})
-        profile = profile.join(medians.withColumnRenamed("variable", "column_name"), "column_name", "left")
+        medians = medians.withColumnRenamed("variable", "column_name")
+        profile = profile.join(F.broadcast(medians), "column_name", "left")
     else:
         profile = profile.withColumn("median", none.cast("double"))
     texts = string_columns(df)
     if texts:
         dated = datetime_candidates(df, row_key).select("column_name", "datetime_candidate")
-        profile = profile.join(dated, "column_name", "left")
+        profile = profile.join(F.broadcast(dated), "column_name", "left")
     else:
         profile = profile.withColumn("datetime_candidate", F.lit(False))
 

@@ -18,6 +18,8 @@ def make_session(cores: str = "8") -> SparkSession:
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="plumbline-checkpoint-"))
         .getOrCreate()
