@@ -138,7 +138,7 @@ def variable_summary(df: DataFrame, schema: SemanticSchema, row_key: str) -> Dat
             "column_name", "role", "semantic_type", "observed_type", "observations", "non_missing_count",
             missing.alias("missing_count"),
             percentage(missing, F.col("observations")).alias("missing_percentage"),
-            "unique_count",
+            F.coalesce("unique_count", F.lit(0)).alias("unique_count"),
             F.coalesce("example_values", F.lit("")).alias("example_values"),
             "minimum", "maximum", "mean", "median", "standard_deviation", "skewness", "kurtosis",
         )

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from plumbline.functions.durable import durable
 from plumbline.functions.expressions import display_text, is_whole, percentage, ratio
 from plumbline.functions.moments import per_column
 from plumbline.functions.quantiles import quantile_table
@@ -24,6 +25,7 @@ MISSING_LABEL = "<MISSING>"
 DATETIME_FORMATS = ("yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss", "yyyy/MM/dd", "MM/dd/yyyy")
 
 WIDE_ROW_BYTES = 64
+BROADCAST_HASHES = 4_000_000
 
 
 def value_frequencies(
@@ -47,20 +49,17 @@ def value_frequencies(
 
 def distinct_counts(frequencies: DataFrame) -> DataFrame:
     """Distinct non-missing values per column."""
-    return frequencies.where("frequency > 0").groupBy("column_name").agg(
-        F.count("observed_value").alias("unique_count")
-    )
+    return frequencies.groupBy("column_name").agg(F.count("observed_value").alias("unique_count"))
 
 
 def distinct_with_examples(frequencies: DataFrame) -> DataFrame:
-    """Distinct counts and examples per column.
+    """Distinct counts and examples of the columns that hold any value.
 
-    Both sides read the same columns of the frequency table, so Spark computes and
+    Both sides start from the same filtered frequency table, so Spark computes and
     shuffles it once and reuses the exchange.
     """
-    present = frequencies.where("frequency > 0 AND first_key IS NOT NULL")
-    examples = example_values(present)
-    return distinct_counts(present).join(F.broadcast(examples), "column_name", "left")
+    present = frequencies.where("observed_value IS NOT NULL AND frequency > 0 AND first_key IS NOT NULL")
+    return distinct_counts(present).join(F.broadcast(example_values(present)), "column_name", "left")
 
 
 def example_values(frequencies: DataFrame, limit: int = EXAMPLES) -> DataFrame:
@@ -84,16 +83,21 @@ def example_values(frequencies: DataFrame, limit: int = EXAMPLES) -> DataFrame:
 def duplicate_rows(df: DataFrame, by_hash: bool | None = None) -> DataFrame:
     """Rows beyond the first of each set of equal rows; NULL equals NULL.
 
-    Wide rows are grouped by a 64-bit hash first, so the full rows are shuffled only
-    where a hash occurs more than once. Equality itself is always checked on values.
+    Wide rows are screened by a 64-bit hash first: only hashes are shuffled, and only
+    rows whose hash occurs more than once are compared in full. Equality is always
+    decided on the values. Where very many hashes repeat, the screen would not help
+    and all rows are grouped directly.
     """
     if by_hash is None:
         by_hash = sum(_width(f.dataType) for f in df.schema.fields) > WIDE_ROW_BYTES
     suspects = df
     if by_hash:
         hashed = df.withColumn("_h", F.xxhash64(*[quoted(c) for c in df.columns]))
-        repeated = hashed.groupBy("_h").count().where("count > 1").select("_h")
-        suspects = hashed.join(repeated, "_h", "left_semi").drop("_h")
+        # Written before the join is planned, so that its size is known: the wide rows
+        # are then filtered by a broadcast and never shuffled for the join.
+        repeated = durable(hashed.groupBy("_h").count().where("count > 1").select("_h"))
+        if repeated.count() <= BROADCAST_HASHES:
+            suspects = hashed.join(F.broadcast(repeated), "_h", "left_semi").drop("_h")
     counted = suspects.groupBy(*[quoted(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("_copies"))
     return counted.agg(F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("duplicate_rows"))
 
@@ -264,7 +268,7 @@ def column_profile(df: DataFrame, row_key: str) -> DataFrame:
     for name in df.columns:
         inferred = _structural_type(df.schema[name].dataType, F.col("whole"), dated)
         kind = F.when(F.col("column_name") == name, inferred).otherwise(kind)
-    unique, present = F.col("unique_count"), F.col("non_missing_count")
+    unique, present = F.coalesce("unique_count", F.lit(0)), F.col("non_missing_count")
     share = F.coalesce(ratio(unique, present), F.lit(0.0))
     missing = F.col("observations") - present
     return profile.select(
@@ -276,7 +280,7 @@ def column_profile(df: DataFrame, row_key: str) -> DataFrame:
         "non_missing_count",
         missing.alias("missing_count"),
         percentage(missing, F.col("observations")).alias("missing_percentage"),
-        "unique_count",
+        unique.alias("unique_count"),
         percentage(unique, F.col("observations")).alias("unique_percentage"),
         (unique == 2).alias("binary_candidate"),
         ((unique > 0) & ((unique <= LOW_CARDINALITY_VALUES) | (share <= LOW_CARDINALITY_RATIO))).alias(
