@@ -161,13 +161,13 @@ def block_schema(allowed: bool = True) -> SemanticSchema:
             ),
         ),
         (
-            CrossRule("suppliers_above_parts", F.col("supp_count") > F.col("part_count"),
+            CrossRule("suppliers_above_parts", "supp_count > part_count",
                       "Suppliers should not normally exceed parts.", ("supp_count", "part_count")),
-            CrossRule("lines_above_parts", F.col("line_count") > F.col("part_count"),
+            CrossRule("lines_above_parts", "line_count > part_count",
                       "A part should not normally repeat in an order.", ("line_count", "part_count")),
-            CrossRule("parts_above_lines", F.col("part_count") > F.col("line_count"),
+            CrossRule("parts_above_lines", "part_count > line_count",
                       "Parts cannot exceed lines.", ("part_count", "line_count")),
-            CrossRule("lines_above_quantity", F.col("line_count") > F.col("total_qty"),
+            CrossRule("lines_above_quantity", "line_count > total_qty",
                       "Lines should not normally exceed quantity.", ("line_count", "total_qty")),
         ),
     )

@@ -62,10 +62,10 @@ def right_closed_bin(value: Column, edges: Sequence[float]) -> Column:
 
 
 def equal_width_bin(value: Column, low: float, high: float, bins: int) -> Column:
-    """0-based equal-width bin; the last bin is closed on the right."""
+    """0-based equal-width bin; the last bin is closed on the right, NULL has none."""
     width = (high - low) / bins
     place = F.floor((value.cast("double") - F.lit(low)) / F.lit(width)).cast("int")
-    return F.least(F.greatest(place, F.lit(0)), F.lit(bins - 1))
+    return F.when(value.isNotNull(), F.least(F.greatest(place, F.lit(0)), F.lit(bins - 1)))
 
 
 def seeded_hash(key: Column, seed: int) -> Column:

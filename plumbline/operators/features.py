@@ -226,7 +226,8 @@ def nearest_distance(
     lat, lon = quoted(latitude).cast("double"), quoted(longitude).cast("double")
     distances = [haversine_km(lat, lon, F.lit(float(a)), F.lit(float(b))) for a, b in points]
     nearest = distances[0] if len(distances) == 1 else F.least(*distances)
-    return df.withColumn(output, nearest)
+    # least() skips NULL, so a row without a place must be excluded explicitly.
+    return df.withColumn(output, F.when(lat.isNotNull() & lon.isNotNull(), nearest))
 
 
 def composite_index(

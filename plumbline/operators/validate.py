@@ -181,7 +181,7 @@ def require_valid(summary: DataFrame) -> str:
 def logical_checks(df: DataFrame, schema: SemanticSchema) -> DataFrame:
     """Cross-column and single-column checks, one row per check even when nothing breaks it."""
     named: list[tuple[str, Column, str]] = [
-        (r.name, r.violated, r.description)
+        (r.name, F.expr(r.violated), r.description)
         for r in schema.cross_rules
         if all(c in df.columns for c in r.columns)
     ]

@@ -7,7 +7,7 @@ on the data.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,10 +33,10 @@ class ColumnRule:
 
 @dataclass(frozen=True)
 class CrossRule:
-    """A row-level condition over several columns that should not hold."""
+    """A row-level SQL condition over several columns that should not hold."""
 
     name: str
-    violated: Column
+    violated: str
     description: str
     columns: tuple[str, ...] = ()
 
@@ -56,7 +56,7 @@ class SemanticSchema:
     """Ordered column rules of one table."""
 
     rules: tuple[ColumnRule, ...]
-    cross_rules: tuple[CrossRule, ...] = field(default=(), compare=False)
+    cross_rules: tuple[CrossRule, ...] = ()
 
     def __post_init__(self) -> None:
         names = [rule.name for rule in self.rules]
