@@ -703,8 +703,8 @@ def _block_rounded(source="ob") -> str:
 
 
 def _squared() -> str:
-    return f"""WITH {BLOCK} SELECT block_id,
-  {r6('CAST(line_count AS DOUBLE) * line_count')} AS line_count_squared FROM ob"""
+    made = ", ".join(f"{r6(f'CAST({c} AS DOUBLE) * {c}')} AS {c}_squared" for c in b.NUMBERS)
+    return f"WITH {BLOCK} SELECT block_id, {made} FROM ob"
 
 
 def _polynomial() -> str:

@@ -422,11 +422,8 @@ def interaction_features(spark, sf):
 
 @query
 def squared_features(spark, sf):
-    block = _block(spark, sf)
-    screen = curvature.binned_screen(block, b.NUMBERS, b.TARGET).collect()
-    curved = sorted(r["feature"] for r in screen if r["exploratory_pattern"] in curvature.CURVED)
-    made = features.squared_features(block, [*curved, "line_count"])
-    return b.shown(made.select(b.KEY, *[f"{n}_squared" for n in [*curved, "line_count"]]))
+    made = features.squared_features(_block(spark, sf), b.NUMBERS)
+    return b.shown(made.select(b.KEY, *[f"{n}_squared" for n in b.NUMBERS]))
 
 
 def _fitted(spark, sf, make, columns):

@@ -23,6 +23,7 @@ from plumbline.schema import quoted
 BOUNDED_GROUP = 1_000_000
 GRID = 1_000
 SKETCH_ACCURACY = 10_000
+BROADCAST_GROUPS = 200_000
 
 
 def _between(low: Column, high: Column, share: Column) -> Column:
@@ -69,26 +70,31 @@ def grouped_quantiles(
     sizes = pairs.groupBy(*keys).agg(F.count("_v").alias("n"))
     if (sizes.agg(F.max("n")).first()[0] or 0) <= bounded:
         return _sorted_quantiles(pairs.groupBy(*keys).agg(ordered), keys, probs)
-    # At most rows / bounded groups are large, so this table is small by construction.
+    # At most rows / bounded groups are large: one in a million rows.
     large = durable(sizes.where(F.col("n") > bounded))
+    groups = large.count()
     same = [F.col(f"a.`{k}`").eqNullSafe(F.col(f"b.`{k}`")) for k in keys]
-    rest = pairs.alias("a").join(F.broadcast(large.alias("b")), same, "left_anti")
+    rest = pairs.alias("a").join(_sized(large.alias("b"), groups), same, "left_anti")
     small = _sorted_quantiles(rest.groupBy(*keys).agg(ordered), keys, probs)
-    return small.unionByName(_narrowed(pairs, large, keys, probs, bounded))
+    return small.unionByName(_narrowed(pairs, large, keys, probs, bounded, groups))
 
 
-def _with_state(pairs: DataFrame, state: DataFrame, keys: list[str]) -> DataFrame:
+def _sized(side: DataFrame, groups: int) -> DataFrame:
+    """Broadcast a table of one short row per large group, up to a checked number of them."""
+    return F.broadcast(side) if groups <= BROADCAST_GROUPS else side
+
+
+def _with_state(pairs: DataFrame, state: DataFrame, keys: list[str], groups: int) -> DataFrame:
     """Attach the state of its group to every row of a large group; NULL keys match.
 
-    The state holds one short row per large group, so broadcasting it is safe and
-    the rows themselves are never shuffled by a hot key.
+    With the state broadcast, the rows themselves are never shuffled by a hot key.
     """
     wanted = [c for c in state.columns if c not in keys and not c.startswith("grid")]
     small = state.select(
         *[quoted(k).alias(f"_s_{k}") for k in keys], *[quoted(c) for c in wanted]
     )
     same = [quoted(k).eqNullSafe(quoted(f"_s_{k}")) for k in keys]
-    return pairs.join(F.broadcast(small), same).drop(*[f"_s_{k}" for k in keys])
+    return pairs.join(_sized(small, groups), same).drop(*[f"_s_{k}" for k in keys])
 
 
 def _sketch(candidates: Column) -> Column:
@@ -97,11 +103,11 @@ def _sketch(candidates: Column) -> Column:
 
 
 def _narrowed(
-    pairs: DataFrame, large: DataFrame, keys: list[str], probs: list[float], bounded: int
+    pairs: DataFrame, large: DataFrame, keys: list[str], probs: list[float], bounded: int, groups: int
 ) -> DataFrame:
     v = F.col("_v")
     slots = range(len(probs))
-    whole = _with_state(pairs, large, keys).groupBy(*keys).agg(
+    whole = _with_state(pairs, large, keys, groups).groupBy(*keys).agg(
         F.count(v).alias("n"), _sketch(v).alias("grid")
     )
     state = durable(
@@ -121,8 +127,9 @@ def _narrowed(
     while margin <= GRID:
         widest = state.agg(*[F.max(f"in{i}") for i in slots]).first()
         if max(widest) <= bounded:
-            return _finish(pairs, state, keys, probs)
-        trial = durable(_count_in(pairs, _tighter(state, keys, probs, margin, bounded), keys, probs))
+            return _finish(pairs, state, keys, probs, groups)
+        bracket = _tighter(state, keys, probs, margin, bounded)
+        trial = durable(_count_in(pairs, bracket, keys, probs, groups))
         missed = trial.where(
             " OR ".join(
                 f"k{i} < below{i} OR least(k{i} + 2, n) > below{i} + atlo{i} + in{i} + athi{i}" for i in slots
@@ -153,7 +160,9 @@ def _tighter(state: DataFrame, keys: list[str], probs: list[float], margin: int,
     return state.select(*keys, "n", *[f"k{i}" for i in range(len(probs))], *chosen)
 
 
-def _count_in(pairs: DataFrame, state: DataFrame, keys: list[str], probs: list[float]) -> DataFrame:
+def _count_in(
+    pairs: DataFrame, state: DataFrame, keys: list[str], probs: list[float], groups: int
+) -> DataFrame:
     """Exact row counts of each bracket and a sketch of what lies strictly inside."""
     v = F.col("_v")
     measures = []
@@ -170,15 +179,17 @@ def _count_in(pairs: DataFrame, state: DataFrame, keys: list[str], probs: list[f
             F.count_if((v == hi) & (hi > lo)).alias(f"athi{i}"),
             _sketch(F.when(inside, v)).alias(f"grid{i}"),
         ]
-    return _with_state(pairs, state, keys).groupBy(*keys).agg(F.max("n").alias("n"), *measures)
+    return _with_state(pairs, state, keys, groups).groupBy(*keys).agg(F.max("n").alias("n"), *measures)
 
 
-def _finish(pairs: DataFrame, state: DataFrame, keys: list[str], probs: list[float]) -> DataFrame:
+def _finish(
+    pairs: DataFrame, state: DataFrame, keys: list[str], probs: list[float], groups: int
+) -> DataFrame:
     """Read the wanted ranks off the few rows left inside each bracket."""
     v = F.col("_v")
     slots = range(len(probs))
     inside = [(v > F.col(f"lo{i}")) & (v < F.col(f"hi{i}")) for i in slots]
-    left_over = _with_state(pairs, state, keys).groupBy(*keys).agg(
+    left_over = _with_state(pairs, state, keys, groups).groupBy(*keys).agg(
         *[F.max(c).alias(c) for c in state.columns if c not in keys and not c.startswith("grid")],
         *[F.sort_array(F.collect_list(F.when(inside[i], v))).alias(f"rest{i}") for i in slots],
     )

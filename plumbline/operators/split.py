@@ -24,6 +24,7 @@ TRAIN, VALIDATION, TEST = "train", "validation", "test"
 PREFIX_DIGITS = 4
 BOUNDARY_ROWS = 50_000
 MAX_STRATA = 10_000
+EXPRESSION_STRATA = 50
 HASH_DIGITS = 32
 
 
@@ -103,7 +104,27 @@ class SplitRule:
         return chain
 
     def apply(self, df: DataFrame) -> DataFrame:
-        return df.withColumn("split", self.column())
+        """Add ``split``: an expression for a few strata, a broadcast of the cuts for many."""
+        if len(self.cuts) <= EXPRESSION_STRATA:
+            return df.withColumn("split", self.column())
+        kind, key = df.select(self.stratum.alias("s")).dtypes[0][1], dict(df.dtypes)[self.row_key]
+        rows = [(s, *(t or (None, None)), *(v or (None, None))) for s, t, v in self.cuts]
+        cuts = df.sparkSession.createDataFrame(
+            rows, f"_s {kind}, _th string, _tk {key}, _vh string, _vk {key}"
+        )
+        h, k = F.col("_h"), quoted(self.row_key)
+
+        def upto(last_h: str, last_k: str) -> Column:
+            return (h < F.col(last_h)) | ((h == F.col(last_h)) & (k <= F.col(last_k)))
+
+        place = F.when(upto("_th", "_tk"), TRAIN).when(upto("_vh", "_vk"), VALIDATION).otherwise(TEST)
+        # At most MAX_STRATA short rows.
+        joined = df.withColumn("_h", seeded_hash(k, self.seed)).join(
+            F.broadcast(cuts), self.stratum == F.col("_s"), "left"
+        )
+        return joined.withColumn("split", F.when(F.col("_s").isNotNull(), place)).drop(
+            "_h", "_s", "_th", "_tk", "_vh", "_vk"
+        )
 
 
 def fit_split(
@@ -197,7 +218,7 @@ def stratified_split(
     """The table with ``stratum`` and ``split`` columns."""
     stratum = right_closed_bin(quoted(column), edges)
     rule = fit_split(df, row_key, stratum, held_out, test_share, seed)
-    return df.select("*", stratum.alias("stratum"), rule.column().alias("split"))
+    return rule.apply(df.withColumn("stratum", stratum))
 
 
 def split_audit(split: DataFrame, by_stratum: bool = True) -> DataFrame:

@@ -54,3 +54,13 @@ def test_hot_and_null_groups_are_exact(uneven):
 def test_constant_large_group(spark):
     df = spark.range(30_000).select(F.lit(4.5).alias("v"))
     assert fit_quantiles(df, ["v"], [0.1, 0.9], bounded=2_000)["v"] == [4.5, 4.5]
+
+
+def test_many_large_groups_without_broadcast(uneven, monkeypatch):
+    from plumbline.functions import quantiles
+
+    pdf, df = uneven
+    monkeypatch.setattr(quantiles, "BROADCAST_GROUPS", 0)
+    rows = grouped_quantiles(df, ["g"], F.col("v"), [0.5], bounded=5_000).collect()
+    found = {row["g"]: row["quantiles"][0] for row in rows}
+    assert found["hot"] == pytest.approx(np.median(pdf.loc[pdf["g"] == "hot", "v"]), rel=1e-12)

@@ -82,3 +82,13 @@ def test_text_keys(spark):
     df = spark.createDataFrame([(f"row {i}", float(i % 30)) for i in range(200)], "k string, v double")
     rows = split.stratified_split(df, "k", "v", EDGES)
     assert rows.where("split = 'train'").count() == 140
+
+
+def test_many_strata_use_the_same_cuts(table, monkeypatch):
+    stratum = F.col("k") % 7
+    rule = split.fit_split(table, "k", stratum)
+    by_expression = rule.apply(table)
+    monkeypatch.setattr(split, "EXPRESSION_STRATA", 3)
+    by_join = rule.apply(table)
+    assert by_join.columns == by_expression.columns
+    assert by_join.exceptAll(by_expression).isEmpty() and by_expression.exceptAll(by_join).isEmpty()
