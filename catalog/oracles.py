@@ -69,11 +69,11 @@ def whole(x: str) -> str:
 
 
 def skew(x: str) -> str:
-    return f"CASE WHEN count({x}) < 3 THEN NULL WHEN var_pop({x}) = 0 THEN 0.0 ELSE skewness({x}) END"
+    return f"CASE WHEN count({x}) < 3 THEN NULL WHEN min({x}) = max({x}) THEN 0.0 ELSE skewness({x}) END"
 
 
 def kurt(x: str) -> str:
-    return f"CASE WHEN count({x}) < 4 THEN NULL WHEN var_pop({x}) = 0 THEN 0.0 ELSE kurtosis({x}) END"
+    return f"CASE WHEN count({x}) < 4 THEN NULL WHEN min({x}) = max({x}) THEN 0.0 ELSE kurtosis({x}) END"
 
 
 def pearson(x: str, y: str) -> str:

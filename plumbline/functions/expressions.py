@@ -86,9 +86,16 @@ def display_text(df: DataFrame, name: str) -> Column:
 
 
 def guarded_correlation(left: Column, right: Column) -> Column:
-    """Pearson r over the rows where both are present; NULL for a constant side."""
+    """Pearson r over the rows where both are present; NULL if either is constant there.
+
+    A constant side is recognised by its extremes, because its sum of squares may come
+    out as a tiny number instead of 0 when partial sums are merged.
+    """
+    both = left.isNotNull() & right.isNotNull()
+    x, y = F.when(both, left), F.when(both, right)
+    varies = (F.min(x) < F.max(x)) & (F.min(y) < F.max(y))
     spread = F.sqrt(F.regr_sxx(left, right) * F.regr_syy(left, right))
-    return F.regr_sxy(left, right) / F.nullif(spread, F.lit(0.0))
+    return F.when(varies, F.regr_sxy(left, right) / F.nullif(spread, F.lit(0.0)))
 
 
 def rounded(df: DataFrame, places: int = 6) -> DataFrame:

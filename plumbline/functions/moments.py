@@ -16,11 +16,20 @@ from plumbline.schema import quoted
 COLUMNS_PER_PASS = 50
 
 
+def is_constant(value: Column) -> Column:
+    """All present values are equal.
+
+    Decided on the extremes: merging partial moments rounds the mean, so the variance
+    of a constant column is often a tiny number instead of 0.
+    """
+    return F.min(value) == F.max(value)
+
+
 def skewness(value: Column) -> Column:
     """Adjusted skewness; 0 for a constant column, NULL below three values."""
     n = F.count(value).cast("double")
     adjusted = F.sqrt(n * (n - 1)) / F.nullif(n - 2, F.lit(0.0)) * F.skewness(value)
-    return F.when(n < 3, None).when(F.var_pop(value) == 0, F.lit(0.0)).otherwise(adjusted)
+    return F.when(n < 3, None).when(is_constant(value), F.lit(0.0)).otherwise(adjusted)
 
 
 def kurtosis(value: Column) -> Column:
@@ -28,12 +37,12 @@ def kurtosis(value: Column) -> Column:
     n = F.count(value).cast("double")
     scale = (n - 1) / F.nullif((n - 2) * (n - 3), F.lit(0.0))
     adjusted = scale * ((n + 1) * F.kurtosis(value) + 6)
-    return F.when(n < 4, None).when(F.var_pop(value) == 0, F.lit(0.0)).otherwise(adjusted)
+    return F.when(n < 4, None).when(is_constant(value), F.lit(0.0)).otherwise(adjusted)
 
 
 def deviation(value: Column) -> Column:
     """Sample standard deviation, NULL below two values."""
-    return F.stddev_samp(value)
+    return F.when(is_constant(value) & (F.count(value) > 1), F.lit(0.0)).otherwise(F.stddev_samp(value))
 
 
 def per_column(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.durable import kept
 from plumbline.functions.expressions import seeded_hash
-from plumbline.functions.moments import per_column
+from plumbline.functions.moments import is_constant, per_column
 from plumbline.functions.quantiles import BOUNDED_GROUP, fit_quantiles
 from plumbline.schema import quoted
 
@@ -92,7 +92,7 @@ def binned_scores(
         slope = F.regr_sxy(y, x) / F.nullif(F.regr_sxx(y, x), F.lit(0.0))
         return {
             "n": F.count(x),
-            "spread_x": F.var_pop(x),
+            "flat": is_constant(x) | is_constant(y),
             "deviation_y": F.stddev_samp(y),
             "slope": slope,
             "intercept": F.avg(y) - slope * F.avg(x),
@@ -116,10 +116,9 @@ def binned_scores(
         .groupBy("feature")
         .agg((F.sum(F.col("rows_in_bin") * gap * gap) / F.sum("rows_in_bin")).alias("mean_square"))
     )
-    flat = (F.col("spread_x") == 0) | (F.col("deviation_y") == 0)
     score = (
         F.when(F.col("n") < LEAST_ROWS, None)
-        .when(flat, F.lit(0.0))
+        .when(F.col("flat"), F.lit(0.0))
         .otherwise(F.sqrt("mean_square") / F.nullif(F.col("deviation_y"), F.lit(0.0)))
     )
     return lines.join(mean_square, "feature", "left").select("feature", score.alias("score"))

@@ -163,7 +163,7 @@ def _cells(df: DataFrame, names: list[str], pairs: list[tuple[int, int]]) -> Dat
         cells = []
         for a, b in pairs[start:start + PAIRS_PER_PASS]:
             left, right = quoted(names[a]).cast("double"), quoted(names[b]).cast("double")
-            value = guarded_correlation(left, right) if a != b else F.when(F.var_pop(left) > 0, F.lit(1.0))
+            value = guarded_correlation(left, right) if a != b else F.when(F.min(left) < F.max(left), F.lit(1.0))
             cells.append(
                 F.struct(
                     F.lit(a).alias("position_1"),

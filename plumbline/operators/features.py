@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions.expressions import ratio
+from plumbline.functions.moments import is_constant
 from plumbline.functions.quantiles import BOUNDED_GROUP, fit_quantiles
 from plumbline.schema import Ratio, quoted, require_columns
 
@@ -73,12 +74,19 @@ def squared_features(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def fit_moments(train: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float]]:
-    """Mean and population deviation of each training column."""
-    row = train.agg(
-        *[F.avg(quoted(n).cast("double")).alias(f"m{i}") for i, n in enumerate(columns)],
-        *[F.stddev_pop(quoted(n).cast("double")).alias(f"s{i}") for i, n in enumerate(columns)],
-    ).first()
-    return {n: (row[f"m{i}"], row[f"s{i}"]) for i, n in enumerate(columns)}
+    """Mean and population deviation of each training column; exact for a constant one."""
+    cells = []
+    for n in columns:
+        c = quoted(n).cast("double")
+        same = is_constant(c)
+        cells.append(
+            F.struct(
+                F.when(same, F.min(c)).otherwise(F.avg(c)).alias("mean"),
+                F.when(same, F.lit(0.0)).otherwise(F.stddev_pop(c)).alias("deviation"),
+            )
+        )
+    found = train.agg(F.array(*cells).alias("all")).first()["all"]
+    return {n: (cell["mean"], cell["deviation"]) for n, cell in zip(columns, found)}
 
 
 def _centred(name: str, mean: float | None) -> Column:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.durable import shared_folder
 from plumbline.functions.expressions import to_number
+from plumbline.functions.moments import is_constant
 from plumbline.operators.figures import COLUMN_BINS, histogram
 from plumbline.operators.prep import align_strict
 from plumbline.schema import quoted, require_rows
@@ -48,11 +49,12 @@ def regression_measures(actual: Column, predicted: Column) -> dict[str, Column]:
     a, p = actual.cast("double"), predicted.cast("double")
     both = a.isNotNull() & p.isNotNull()
     error = F.when(both, a - p)
-    total = F.var_pop(F.when(both, a)) * F.count(F.when(both, a))
+    present = F.when(both, a)
+    total = F.when(~is_constant(present), F.var_pop(present) * F.count(present))
     return {
         "rmse": F.sqrt(F.avg(error * error)),
         "mae": F.avg(F.abs(error)),
-        "r2": F.lit(1.0) - F.sum(error * error) / F.nullif(total, F.lit(0.0)),
+        "r2": F.lit(1.0) - F.sum(error * error) / total,
     }
 
 

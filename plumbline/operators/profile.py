@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from plumbline.functions.durable import durable
 from plumbline.functions.expressions import display_text, is_whole, percentage, ratio
-from plumbline.functions.moments import per_column
+from plumbline.functions.moments import deviation, per_column
 from plumbline.functions.quantiles import quantile_table
 from plumbline.schema import SemanticSchema, numeric_columns, quoted, string_columns
 
@@ -241,7 +241,7 @@ def column_profile(df: DataFrame, row_key: str) -> DataFrame:
             "minimum": F.min(number) if is_number else none.cast("double"),
             "maximum": F.max(number) if is_number else none.cast("double"),
             "mean": F.avg(number) if is_number else none.cast("double"),
-            "standard_deviation": F.stddev_samp(number) if is_number else none.cast("double"),
+            "standard_deviation": deviation(number) if is_number else none.cast("double"),
             "zero_count": F.count_if(number == 0).cast("double") if is_number else none.cast("double"),
             "negative_count": F.count_if(number < 0).cast("double") if is_number else none.cast("double"),
         }

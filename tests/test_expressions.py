@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from plumbline.functions import expressions as e
-from plumbline.functions.moments import kurtosis, per_column, skewness
+from plumbline.functions.moments import deviation, kurtosis, per_column, skewness
 
 
 def values(df, expression):
@@ -73,7 +73,7 @@ def test_correlation_ignores_incomplete_pairs_and_constants(spark):
 
 def moments(df):
     x = F.col("x")
-    return tuple(df.agg(skewness(x), kurtosis(x), F.stddev_samp(x)).first())
+    return tuple(df.agg(skewness(x), kurtosis(x), deviation(x)).first())
 
 
 def test_adjusted_moments(spark):
@@ -99,3 +99,16 @@ def test_many_columns_are_chunked(spark):
     table = per_column(df, df.columns, lambda n: {"mean": F.avg(n)}).orderBy("position").collect()
     assert [r["variable"] for r in table] == df.columns
     assert [r["mean"] for r in table] == [4.5 + i for i in range(60)]
+
+
+@pytest.mark.parametrize("parts", [1, 3, 7, 8])
+def test_constant_columns_stay_constant_over_partitions(spark, parts):
+    """Merged partial moments round; constants must still be recognised."""
+    df = spark.range(0, 49_999, 1, parts).select(F.lit(0.1).alias("x"), F.col("id").cast("double").alias("y"))
+    assert moments(df) == (0.0, 0.0, 0.0)
+    assert df.select(e.guarded_correlation(F.col("x"), F.col("y"))).first()[0] is None
+
+
+def test_pair_that_is_constant_where_complete(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (1.0, 3.0), (5.0, None)], "x double, y double")
+    assert df.select(e.guarded_correlation(F.col("x"), F.col("y"))).first()[0] is None
