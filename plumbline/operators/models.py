@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
@@ -42,6 +44,7 @@ class ModelSettings:
     checkpoint_interval: int = 10
     # Split statistics a task may hold, in MB: fewer passes over the rows per tree level.
     statistics_mb: int = 1024
+    parallel_fits: int = 3
 
 
 def regression_measures(actual: Column, predicted: Column) -> dict[str, Column]:
@@ -120,12 +123,16 @@ def train_models(
         context.setCheckpointDir(shared_folder(train.sparkSession))
     assembled = _assembler(layout).transform(train).select("features", quoted(target)).persist()
     try:
-        fitted = {}
-        for name, estimator in estimators(train, target, settings).items():
-            if only is None or name in only:
-                model = estimator.fit(assembled)
-                fitted[name] = PipelineModel([_assembler(layout), model])
-        return fitted
+        chosen = {n: e for n, e in estimators(train, target, settings).items() if only is None or n in only}
+        assembled.count()
+        # The regressors are independent: the many short jobs of boosting run beside the
+        # long ones of the forest instead of after them.
+        with ThreadPoolExecutor(max_workers=settings.parallel_fits) as pool:
+            waiting = {
+                n: pool.submit(inheritable_thread_target(train.sparkSession)(lambda e=e: e.fit(assembled)))
+                for n, e in chosen.items()
+            }
+            return {n: PipelineModel([_assembler(layout), job.result()]) for n, job in waiting.items()}
     finally:
         assembled.unpersist()
 
