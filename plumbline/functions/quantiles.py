@@ -54,12 +54,13 @@ def grouped_quantiles(
     probs: Sequence[float],
     largest: int | None = None,
     bounded: int = BOUNDED_GROUP,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """``keys..., quantiles array<double>`` with one entry per probability.
 
     ``largest`` is an upper limit of the group size where the caller knows one; a
-    limit of at most ``bounded`` saves the counting job. Groups without a value do
-    not appear.
+    limit of at most ``bounded`` saves the counting job. ``sizes`` (``keys..., n``)
+    gives the sizes themselves, if known. Groups without a value do not appear.
     """
     keys, probs = list(keys), list(probs)
     pairs = rows.select(*[quoted(k) for k in keys], finite(value.cast("double")).alias("_v"))
@@ -67,11 +68,13 @@ def grouped_quantiles(
     ordered = F.sort_array(F.collect_list("_v")).alias("_all")
     if largest is not None and largest <= bounded:
         return _sorted_quantiles(pairs.groupBy(*keys).agg(ordered), keys, probs)
-    sizes = pairs.groupBy(*keys).agg(F.count("_v").alias("n"))
-    if (sizes.agg(F.max("n")).first()[0] or 0) <= bounded:
-        return _sorted_quantiles(pairs.groupBy(*keys).agg(ordered), keys, probs)
+    if sizes is None:
+        sizes = pairs.groupBy(*keys).agg(F.count("_v").alias("n"))
+        if (sizes.agg(F.max("n")).first()[0] or 0) <= bounded:
+            return _sorted_quantiles(pairs.groupBy(*keys).agg(ordered), keys, probs)
+        sizes = durable(sizes.where(F.col("n") > bounded))
     # At most rows / bounded groups are large: one in a million rows.
-    large = durable(sizes.where(F.col("n") > bounded))
+    large = sizes.where(F.col("n") > bounded)
     groups = large.count()
     same = [F.col(f"a.`{k}`").eqNullSafe(F.col(f"b.`{k}`")) for k in keys]
     rest = pairs.alias("a").join(_sized(large.alias("b"), groups), same, "left_anti")
@@ -227,11 +230,15 @@ def _column_quantiles(
     largest: int | None,
     bounded: int,
 ) -> DataFrame:
-    if largest is None:
-        exprs = columns.values() if isinstance(columns, Mapping) else [quoted(n) for n in columns]
-        largest = max(df.agg(*[F.count(e).alias(f"_{i}") for i, e in enumerate(exprs)]).first())
+    named = columns if isinstance(columns, Mapping) else {n: quoted(n) for n in columns}
+    sizes = None
+    if largest is None or largest > bounded:
+        counted = [finite(e.cast("double")) for e in named.values()]
+        found = df.agg(*[F.count(c).alias(f"_{i}") for i, c in enumerate(counted)]).first()
+        largest = max(found)
+        sizes = df.sparkSession.createDataFrame(list(zip(named, found)), "variable string, n long")
     return grouped_quantiles(
-        long_form(df, columns), ["variable"], F.col("value"), probs, largest, bounded
+        long_form(df, named), ["variable"], F.col("value"), probs, largest, bounded, sizes
     )
 
 
