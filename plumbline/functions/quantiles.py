@@ -1,19 +1,25 @@
 """Exact quantiles with linear interpolation that keep every task bounded.
 
 A group is sorted inside one task only when its counted size is at most ``bounded``
-(about three times faster there than Spark's ``percentile``). Larger groups are
-narrowed first: a sketch over the candidates gives a grid of values, the
-wanted rank lies between two grid values, and the next pass counts exactly how many
-rows fall below, on and between those two. Each pass keeps about 4 of 1000 candidates
-per wanted quantile, so 10^11 rows need three narrowing passes. A value that fills a
-third of the table ends up on the edge of the bracket, where it is only counted.
+(about three times faster there than Spark's ``percentile``). Larger groups take two
+more scans of the data:
+
+1. a sketch over a random sample of the group suggests, for each wanted quantile, an
+   interval of values that holds about 1 % of the rows;
+2. one aggregation counts the rows of every distinct value inside the intervals and
+   lumps together the rest, so the rank of each interval is known exactly. An interval
+   that misses its rank is detected by these counts and widened.
+
+The counted values are written once. If an interval still has more than ``bounded``
+distinct values, it is cut further on that small table by exact counts, never on the
+data. A value that fills a third of the table is a single row there.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.functions.durable import durable
@@ -23,6 +29,10 @@ from plumbline.schema import quoted
 BOUNDED_GROUP = 1_000_000
 GRID = 1_000
 SKETCH_ACCURACY = 10_000
+SAMPLE_ROWS = 500_000
+# Grid cells added on both sides: five standard errors of a sampled median rank.
+SAMPLE_MARGIN = 4
+SEED = 42
 BROADCAST_GROUPS = 200_000
 
 
@@ -92,7 +102,7 @@ def _with_state(pairs: DataFrame, state: DataFrame, keys: list[str], groups: int
 
     With the state broadcast, the rows themselves are never shuffled by a hot key.
     """
-    wanted = [c for c in state.columns if c not in keys and not c.startswith("grid")]
+    wanted = [c for c in state.columns if c not in keys]
     small = state.select(
         *[quoted(k).alias(f"_s_{k}") for k in keys], *[quoted(c) for c in wanted]
     )
@@ -100,119 +110,167 @@ def _with_state(pairs: DataFrame, state: DataFrame, keys: list[str], groups: int
     return pairs.join(_sized(small, groups), same).drop(*[f"_s_{k}" for k in keys])
 
 
-def _sketch(candidates: Column) -> Column:
-    grid = F.expr("array(" + ", ".join(f"{g / GRID!r}D" for g in range(GRID + 1)) + ")")
-    return F.percentile_approx(candidates, grid, F.lit(SKETCH_ACCURACY))
-
-
 def _narrowed(
     pairs: DataFrame, large: DataFrame, keys: list[str], probs: list[float], bounded: int, groups: int
 ) -> DataFrame:
-    v = F.col("_v")
-    slots = range(len(probs))
-    whole = _with_state(pairs, large, keys, groups).groupBy(*keys).agg(
-        F.count(v).alias("n"), _sketch(v).alias("grid")
-    )
-    state = durable(
-        whole.select(
-            *keys,
-            "n",
-            *[F.floor(F.lit(p) * (F.col("n") - 1)).cast("long").alias(f"k{i}") for i, p in enumerate(probs)],
-            *[F.lit(-INFINITY).alias(f"lo{i}") for i in slots],
-            *[F.lit(INFINITY).alias(f"hi{i}") for i in slots],
-            *[F.lit(0).cast("long").alias(f"below{i}") for i in slots],
-            *[F.lit(0).cast("long").alias(f"atlo{i}") for i in slots],
-            *[F.col("n").alias(f"in{i}") for i in slots],
-            *[F.col("grid").alias(f"grid{i}") for i in slots],
-        )
-    )
-    margin = 1
+    """Quantiles of the large groups."""
+    grids = durable(_sampled_grid(pairs, large, keys, groups))
+    margin = SAMPLE_MARGIN
     while margin <= GRID:
-        widest = state.agg(*[F.max(f"in{i}") for i in slots]).first()
-        if max(widest) <= bounded:
-            return _finish(pairs, state, keys, probs, groups)
-        bracket = _tighter(state, keys, probs, margin, bounded)
-        trial = durable(_count_in(pairs, bracket, keys, probs, groups))
-        missed = trial.where(
-            " OR ".join(
-                f"k{i} < below{i} OR least(k{i} + 2, n) > below{i} + atlo{i} + in{i} + athi{i}" for i in slots
+        brackets = _brackets(grids, probs, margin)
+        counted = durable(_value_counts(pairs, brackets, keys, probs, groups))
+        state = durable(_ranks(counted, brackets, keys, probs))
+        if state.where("rank < 0 OR rank + step >= rows").isEmpty():
+            inside = [F.when(F.col(f"c{i}") == 1, F.lit(i)) for i in range(len(probs))]
+            rows = counted.select(
+                *[quoted(k) for k in keys], "_v", "_w", F.explode(F.array_compact(F.array(*inside))).alias("_slot")
             )
-        )
-        if missed.isEmpty():
-            state, margin = trial.drop(*[f"athi{i}" for i in slots]), 1
-        else:
-            # The sketch was off by more than its promise: keep the proven bracket, widen the next.
-            margin *= 4
-    raise ArithmeticError("Quantile brackets could not be narrowed.")
+            return _ranked_values(*_cut_down(rows, state, [*keys, "_slot"], bounded), keys)
+        # Some interval misses its rank: the sample was unlucky, take wider ones.
+        margin *= 4
+    raise ArithmeticError("No interval of values holds the wanted rank.")
+
+
+def _sampled_grid(pairs: DataFrame, large: DataFrame, keys: list[str], groups: int) -> DataFrame:
+    """``keys, n, grid``: values at 1,001 even ranks of about ``SAMPLE_ROWS`` rows per group."""
+    kept = F.rand(SEED) < F.lit(float(SAMPLE_ROWS)) / F.col("n")
+    grid = F.percentile_approx("_v", _even_ranks(), F.lit(SKETCH_ACCURACY))
+    return _with_state(pairs, large, keys, groups).where(kept).groupBy(*keys).agg(
+        F.max("n").alias("n"), grid.alias("grid")
+    )
+
 
+def _even_ranks() -> Column:
+    return F.expr("array(" + ", ".join(f"{g / GRID!r}D" for g in range(GRID + 1)) + ")")
 
-def _tighter(state: DataFrame, keys: list[str], probs: list[float], margin: int, bounded: int) -> DataFrame:
-    """Next bracket per slot: the grid cells around the wanted rank."""
+
+def _brackets(grids: DataFrame, probs: list[float], margin: int) -> DataFrame:
+    """Interval ``[lo, hi]`` of each wanted rank, open-ended near the ends of the group."""
     chosen = []
-    for i in range(len(probs)):
-        inside, rank = F.col(f"in{i}"), F.col(f"k{i}") - F.col(f"below{i}") - F.col(f"atlo{i}")
-        size = F.greatest(inside, F.lit(1)).cast("double")
-        left = F.floor(rank * GRID / size).cast("int") - margin
-        right = F.ceil((rank + 2) * GRID / size).cast("int") + margin
-        cells = F.col(f"grid{i}")
-        open_slot = inside > bounded
-        # A rank on an old edge gives a cell outside the grid; then that edge stays.
-        low = F.when(open_slot & left.between(0, GRID), F.get(cells, left)).otherwise(F.col(f"lo{i}"))
-        high = F.when(open_slot & right.between(0, GRID), F.get(cells, right)).otherwise(F.col(f"hi{i}"))
-        chosen += [low.alias(f"lo{i}"), high.alias(f"hi{i}")]
-    return state.select(*keys, "n", *[f"k{i}" for i in range(len(probs))], *chosen)
-
-
-def _count_in(
-    pairs: DataFrame, state: DataFrame, keys: list[str], probs: list[float], groups: int
-) -> DataFrame:
-    """Exact row counts of each bracket and a sketch of what lies strictly inside."""
-    v = F.col("_v")
-    measures = []
-    for i in range(len(probs)):
-        lo, hi = F.col(f"lo{i}"), F.col(f"hi{i}")
-        inside = (v > lo) & (v < hi)
-        measures += [
-            F.max(f"k{i}").alias(f"k{i}"),
-            F.max(lo).alias(f"lo{i}"),
-            F.max(hi).alias(f"hi{i}"),
-            F.count_if(v < lo).alias(f"below{i}"),
-            F.count_if(v == lo).alias(f"atlo{i}"),
-            F.count_if(inside).alias(f"in{i}"),
-            F.count_if((v == hi) & (hi > lo)).alias(f"athi{i}"),
-            _sketch(F.when(inside, v)).alias(f"grid{i}"),
+    for i, p in enumerate(probs):
+        rank = F.floor(F.lit(p) * (F.col("n") - 1)).cast("long")
+        left = F.floor(rank * GRID / F.col("n")).cast("int") - margin
+        right = F.ceil((rank + 2) * GRID / F.col("n")).cast("int") + margin
+        chosen += [
+            rank.alias(f"k{i}"),
+            F.when(left > 0, F.get("grid", left)).otherwise(F.lit(-INFINITY)).alias(f"lo{i}"),
+            F.when(right < GRID, F.get("grid", right)).otherwise(F.lit(INFINITY)).alias(f"hi{i}"),
         ]
-    return _with_state(pairs, state, keys, groups).groupBy(*keys).agg(F.max("n").alias("n"), *measures)
+    return grids.select(*[c for c in grids.columns if c != "grid"], *chosen)
 
 
-def _finish(
-    pairs: DataFrame, state: DataFrame, keys: list[str], probs: list[float], groups: int
+def _value_counts(
+    pairs: DataFrame, brackets: DataFrame, keys: list[str], probs: list[float], groups: int
 ) -> DataFrame:
-    """Read the wanted ranks off the few rows left inside each bracket."""
+    """Rows per distinct value inside an interval; all other rows only by side.
+
+    ``c0, c1, ...`` say for each interval whether the value lies below (0), inside (1)
+    or above (2) it. Counts are combined in every task before the shuffle.
+    """
     v = F.col("_v")
+    joined = _with_state(pairs, brackets, keys, groups)
+    sides, inside = [], F.lit(False)
+    for i in range(len(probs)):
+        side = F.when(v < F.col(f"lo{i}"), 0).when(v <= F.col(f"hi{i}"), 1).otherwise(2)
+        sides.append(side.alias(f"c{i}"))
+        inside = inside | v.between(F.col(f"lo{i}"), F.col(f"hi{i}"))
+    return joined.groupBy(*[quoted(k) for k in keys], *sides, F.when(inside, v).alias("_v")).agg(
+        F.count(F.lit(1)).alias("_w")
+    )
+
+
+def _ranks(counted: DataFrame, brackets: DataFrame, keys: list[str], probs: list[float]) -> DataFrame:
+    """Per group and interval: the wanted rank inside it, its rows and distinct values.
+
+    ``step`` is the distance to the second rank that interpolation needs, ``share`` its weight.
+    """
     slots = range(len(probs))
-    inside = [(v > F.col(f"lo{i}")) & (v < F.col(f"hi{i}")) for i in slots]
-    left_over = _with_state(pairs, state, keys, groups).groupBy(*keys).agg(
-        *[F.max(c).alias(c) for c in state.columns if c not in keys and not c.startswith("grid")],
-        *[F.sort_array(F.collect_list(F.when(inside[i], v))).alias(f"rest{i}") for i in slots],
+    sums = counted.groupBy(*keys).agg(
+        *[F.coalesce(F.sum(F.when(F.col(f"c{i}") == 0, F.col("_w"))), F.lit(0)).alias(f"below{i}") for i in slots],
+        *[F.coalesce(F.sum(F.when(F.col(f"c{i}") == 1, F.col("_w"))), F.lit(0)).alias(f"rows{i}") for i in slots],
+        *[F.count_if(F.col(f"c{i}") == 1).alias(f"values{i}") for i in slots],
     )
+    same = [F.col(f"a.`{k}`").eqNullSafe(F.col(f"b.`{k}`")) for k in keys]
+    joined = sums.alias("a").join(brackets.alias("b"), same)
+    cells = []
+    for i, p in enumerate(probs):
+        k = F.col(f"k{i}")
+        cells.append(
+            F.struct(
+                F.lit(i).alias("_slot"),
+                (k - F.col(f"below{i}")).alias("rank"),
+                (F.least(k + 1, F.col("n") - 1) - k).alias("step"),
+                (F.lit(p) * (F.col("n") - 1) - k).alias("share"),
+                F.col(f"rows{i}").alias("rows"),
+                F.col(f"values{i}").alias("distinct_values"),
+            )
+        )
+    return joined.select(*[F.col(f"a.`{k}`").alias(k) for k in keys], F.inline(F.array(*cells)))
+
+
+def _same(left: str, right: str, keys: list[str]) -> list[Column]:
+    return [F.col(f"{left}.`{k}`").eqNullSafe(F.col(f"{right}.`{k}`")) for k in keys]
 
-    def ranked(i: int, rank: Column) -> Column:
-        up_to_low = F.col(f"below{i}") + F.col(f"atlo{i}")
-        return (
-            F.when(rank < up_to_low, F.col(f"lo{i}"))
-            .when(rank < up_to_low + F.col(f"in{i}"), F.get(F.col(f"rest{i}"), (rank - up_to_low).cast("int")))
-            .otherwise(F.col(f"hi{i}"))
+
+def _cut_down(
+    rows: DataFrame, state: DataFrame, keys: list[str], bounded: int
+) -> tuple[DataFrame, DataFrame]:
+    """Cut intervals with too many distinct values by exact counts, a thousandfold a round.
+
+    Works on the table of counted values. ``keys`` include the interval.
+    """
+    while state.agg(F.max("distinct_values")).first()[0] > bounded:
+        groups = state.count()
+        kept = F.rand(SEED) < F.lit(float(SAMPLE_ROWS)) / F.col("distinct_values")
+        grids = _with_state(rows, state.select(*keys, "distinct_values"), keys, groups).where(kept).groupBy(
+            *keys).agg(F.percentile_approx("_v", _even_ranks(), F.lit(SKETCH_ACCURACY)).alias("edges"))
+        placed = _with_state(rows, durable(grids), keys, groups).withColumn(
+            "cell", F.expr("size(filter(array_distinct(edges), e -> e < _v))")
+        ).drop("edges")
+        placed = durable(placed)
+        # At most 1,002 cells per interval.
+        upto = Window.partitionBy(*keys).orderBy("cell")
+        cells = placed.groupBy(*keys, "cell").agg(F.sum("_w").alias("cell_rows"), F.count("_v").alias("cell_values"))
+        running = cells.withColumn("upto", F.sum("cell_rows").over(upto))
+        wanted = running.alias("a").join(state.alias("b"), _same("a", "b", keys)).select(
+            *[F.col(f"a.`{k}`").alias(k) for k in keys], "cell", "cell_rows", "cell_values", "upto",
+            "rank", "step", "share",
+        )
+        first, last = F.col("upto") > F.col("rank"), F.col("upto") - F.col("cell_rows") <= F.col("rank") + F.col("step")
+        state = durable(
+            wanted.where(first & last).groupBy(*keys).agg(
+                (F.max("rank") - F.min(F.col("upto") - F.col("cell_rows"))).alias("rank"),
+                F.max("step").alias("step"),
+                F.max("share").alias("share"),
+                F.sum("cell_rows").alias("rows"),
+                F.sum("cell_values").alias("distinct_values"),
+                F.min("cell").alias("from_cell"),
+                F.max("cell").alias("to_cell"),
+            )
         )
+        limits = state.select(*keys, "from_cell", "to_cell")
+        rows = durable(
+            _with_state(placed, limits, keys, groups)
+            .where(F.col("cell").between(F.col("from_cell"), F.col("to_cell")))
+            .select(*[quoted(k) for k in keys], "_v", "_w")
+        )
+    return rows, state
 
-    values = []
-    for i, p in enumerate(probs):
-        place = F.lit(float(p)) * (F.col("n") - 1)
-        lower = F.col(f"k{i}")
-        upper = F.least(lower + 1, F.col("n") - 1)
-        a, b = ranked(i, lower), ranked(i, upper)
-        values.append(_between(a, b, place - lower))
-    return left_over.select(*[quoted(k) for k in keys], F.array(*values).alias("quantiles"))
+
+def _ranked_values(rows: DataFrame, state: DataFrame, keys: list[str]) -> DataFrame:
+    """Read the wanted ranks off the few counted values of each interval."""
+    slotted = [*keys, "_slot"]
+    order = Window.partitionBy(*slotted).orderBy("_v")
+    running = rows.withColumn("upto", F.sum("_w").over(order))
+    found = running.alias("a").join(state.alias("b"), _same("a", "b", slotted)).select(
+        *[F.col(f"a.`{k}`").alias(k) for k in slotted], "_v", "upto", "rank", "step", "share"
+    )
+    low = F.min(F.when(F.col("upto") > F.col("rank"), F.col("_v")))
+    high = F.min(F.when(F.col("upto") > F.col("rank") + F.col("step"), F.col("_v")))
+    values = found.groupBy(*slotted).agg(low.alias("low"), high.alias("high"), F.max("share").alias("share"))
+    one = _between(F.col("low"), F.col("high"), F.col("share")).alias("value")
+    ordered = F.sort_array(F.collect_list(F.struct("_slot", one)))
+    return values.groupBy(*keys).agg(F.transform(ordered, lambda x: x["value"]).alias("quantiles"))
 
 
 def long_form(df: DataFrame, columns: Mapping[str, Column] | Sequence[str]) -> DataFrame:

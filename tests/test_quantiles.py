@@ -64,3 +64,21 @@ def test_many_large_groups_without_broadcast(uneven, monkeypatch):
     rows = grouped_quantiles(df, ["g"], F.col("v"), [0.5], bounded=5_000).collect()
     found = {row["g"]: row["quantiles"][0] for row in rows}
     assert found["hot"] == pytest.approx(np.median(pdf.loc[pdf["g"] == "hot", "v"]), rel=1e-12)
+
+
+def test_intervals_are_cut_by_exact_counts(uneven):
+    """A bound below the interval size forces further cuts on the counted values."""
+    pdf, df = uneven
+    found = fit_quantiles(df, ["v"], PROBS, bounded=60)["v"]
+    assert found == pytest.approx(list(np.quantile(pdf["v"], PROBS)), rel=1e-12)
+
+
+def test_misleading_sample_is_noticed(uneven, monkeypatch):
+    """With a tiny sample the first intervals miss their ranks and are widened."""
+    from plumbline.functions import quantiles
+
+    pdf, df = uneven
+    monkeypatch.setattr(quantiles, "SAMPLE_ROWS", 40)
+    monkeypatch.setattr(quantiles, "SAMPLE_MARGIN", 1)
+    found = fit_quantiles(df, ["v"], [0.25, 0.5, 0.9], bounded=5_000)["v"]
+    assert found == pytest.approx(list(np.quantile(pdf["v"], [0.25, 0.5, 0.9])), rel=1e-12)
