@@ -144,12 +144,7 @@ flags AS (SELECT *, coalesce(x < lo OR x > hi, FALSE) AS by_fence, coalesce(abs(
           FROM z),
 osum AS (SELECT variable, q1, q3, iqr, lo, hi, count(*) FILTER (by_fence) AS f, count(*) FILTER (by_score) AS s,
            count(*) FILTER (by_fence OR by_score) AS c, 100.0 * count(*) FILTER (by_fence OR by_score) / count(*) AS pct
-         FROM flags GROUP BY ALL)"""
-
-
-def _outlier_select(source="ob", columns=MEASURED) -> str:
-    """The summary, without grouping by the carried columns."""
-    return _outliers(columns, source).replace("GROUP BY ALL)", "GROUP BY variable, q1, q3, iqr, lo, hi)")
+         FROM flags GROUP BY variable, q1, q3, iqr, lo, hi)"""
 
 
 def _correlations(columns=MEASURED, source="ob") -> str:
@@ -521,7 +516,7 @@ def _candidates() -> str:
             f"SELECT '{c}' AS feature, '{kind}' AS semantic_type, {lit(wording.rationale(kind))} AS "
             f"business_rationale, {lit(wording.expectation(c))} AS expected_relationship"
         )
-    return f"""WITH {BLOCK}, {_screen()}, {_correlations()}, {_outlier_select()}, ba AS ({union(rows)})
+    return f"""WITH {BLOCK}, {_screen()}, {_correlations()}, {_outliers()}, ba AS ({union(rows)})
 SELECT feature, semantic_type, business_rationale, expected_relationship, {r6('r')} AS correlation_with_target,
   CASE WHEN r IS NULL THEN 'Categorical predictor' WHEN abs(r) >= 0.5 THEN 'Strong marginal linear association'
     WHEN abs(r) >= 0.2 THEN 'Moderate marginal linear association'
@@ -534,7 +529,7 @@ FROM ba LEFT JOIN tc USING (feature) LEFT JOIN screen USING (feature) LEFT JOIN
 
 
 def _challenges() -> str:
-    return f"""WITH {BLOCK}, {_screen()}, {_nulls(VARIABLES)}, {_pairs(PREDICTORS)}, {_outlier_select()},
+    return f"""WITH {BLOCK}, {_screen()}, {_nulls(VARIABLES)}, {_pairs(PREDICTORS)}, {_outliers()},
 sk AS (SELECT {skew(b.TARGET)} AS s FROM ob)
 SELECT 'Statistical issue' AS challenge_group, 'Response asymmetry' AS challenge,
   format('Response skewness = {{:.4f}}.', s) AS evidence,
@@ -561,7 +556,7 @@ FROM osum WHERE pct >= 5 HAVING count(*) > 0"""
 
 def _findings() -> str:
     gaps = "SELECT string_agg(column_name, ', ' ORDER BY position) AS names FROM nc WHERE missing > 0"
-    return f"""WITH {BLOCK}, {_nulls(VARIABLES)}, {_correlations()}, {_outlier_select()}, {_logical('ob')},
+    return f"""WITH {BLOCK}, {_nulls(VARIABLES)}, {_correlations()}, {_outliers()}, {_logical('ob')},
 ts AS (SELECT count({b.TARGET}) AS n, avg({b.TARGET}) AS m, {skew(b.TARGET)} AS s FROM ob), gp AS ({gaps}),
 n AS (
 SELECT 'eda' AS section, 1 AS o, CASE WHEN s > 0.5 THEN 'The target is right-skewed. Explore transformation only if it improves validation performance or model adequacy.'
@@ -911,11 +906,11 @@ SELECT f1 AS feature_1, f2 AS feature_2, {r6('r')} AS correlation, {r6('abs(r)')
 SELECT 'segment' AS categorical_variable, segment AS category_level, count({b.TARGET}) AS observations,
   {r6(f'avg({b.TARGET})')} AS target_mean, {r6(f'median({b.TARGET})')} AS target_median,
   {r6(f'stddev_samp({b.TARGET})')} AS target_standard_deviation FROM fb GROUP BY segment""",
-        "outlier_summary": f"""WITH {BLOCK}, {_outlier_select()}
+        "outlier_summary": f"""WITH {BLOCK}, {_outliers()}
 SELECT variable, {r6('q1')} AS q1, {r6('q3')} AS q3, {r6('iqr')} AS iqr, {r6('lo')} AS iqr_lower_bound,
   {r6('hi')} AS iqr_upper_bound, f AS iqr_flag_count, s AS modified_z_flag_count, c AS combined_flag_count,
   {r6('pct')} AS combined_flag_percentage FROM osum""",
-        "outlier_iqr_only": f"""WITH {_outlier_select('documents', ['n_chars'])}
+        "outlier_iqr_only": f"""WITH {_outliers(['n_chars'], 'documents')}
 SELECT variable, f AS combined_flag_count, {r6('100.0 * f / (SELECT count(*) FROM documents)')}
   AS combined_flag_percentage FROM osum""",
         "outlier_observations": f"""WITH {BLOCK}, {_outliers()}

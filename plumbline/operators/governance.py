@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from plumbline.operators.curvature import CURVED, STRONGEST
 from plumbline.operators.features import ratio_audit
-from plumbline.schema import Ratio, SemanticSchema, numeric_columns, quoted
+from plumbline.schema import Ratio, SemanticSchema, quoted
 
 # Wording and codes of the governance tables.
 CREATE = "Create automatically"
@@ -322,8 +322,3 @@ def feature_names(layout: Sequence[str], train: DataFrame) -> DataFrame:
         for i, name in enumerate(layout, start=1)
     ]
     return train.agg(F.array(*rows).alias("all")).select(F.inline("all"))
-
-
-def numeric_predictors(df: DataFrame, schema: SemanticSchema) -> list[str]:
-    """Schema predictors the table holds as numbers."""
-    return [n for n in schema.numerical if n in set(numeric_columns(df))]

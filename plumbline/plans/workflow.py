@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from plumbline.functions.durable import durable
 from plumbline.operators import eda, models, outliers, prep, split, validate
 from plumbline.schema import Ratio, SemanticSchema
-from plumbline.sources.registry import registry_snapshot
+from plumbline.sources.registry import registry_snapshot, write_snapshot
 from plumbline.sources.tables import schema_clean, write_table
 
 
@@ -120,4 +120,4 @@ def save(result: RunResult, plan: RunPlan, output: str) -> None:
     write_table(result.comparison, f"{output}/model_comparison")
     write_table(result.predictions, f"{output}/predictions", row_key=[plan.row_key])
     models.save_model(result.fitted[result.best], f"{output}/model")
-    result.snapshot.write.mode("overwrite").json(f"{output}/registry")
+    write_snapshot(result.snapshot, f"{output}/registry")

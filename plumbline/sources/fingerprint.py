@@ -19,8 +19,11 @@ def _field_text(df: DataFrame, name: str) -> Column:
     kind, column = df.schema[name].dataType, quoted(name)
     if isinstance(kind, (T.DoubleType, T.FloatType)):
         text = F.round(column.cast("double"), 6).try_cast("decimal(28,6)").cast("string")
-    elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+    elif isinstance(kind, T.TimestampNTZType):
         text = F.date_format(column, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    elif isinstance(kind, T.TimestampType):
+        # An instant: its text would change with the time zone of the session.
+        text = F.unix_micros(column).cast("string")
     elif isinstance(kind, T.DateType):
         text = F.date_format(column, "yyyy-MM-dd")
     else:
