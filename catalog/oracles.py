@@ -233,13 +233,9 @@ def _issues() -> str:
         )
     parts.append(
         "SELECT 'WARNING', 'duplicate_rows', '', (sum(n) - count(*))::BIGINT, 'Duplicate rows detected.' "
-        "FROM (SELECT count(*) AS n FROM fb GROUP BY ALL) HAVING sum(n) > count(*)"
+        f"FROM (SELECT count(*) AS n FROM fb GROUP BY {', '.join(BLOCK_COLUMNS)}) HAVING sum(n) > count(*)"
     )
-    grouped = ", ".join(BLOCK_COLUMNS)
-    text = union(parts).replace(
-        "(SELECT count(*) AS n FROM fb GROUP BY ALL)", f"(SELECT count(*) AS n FROM fb GROUP BY {grouped})"
-    )
-    return f"iss AS ({text})"
+    return f"iss AS ({union(parts)})"
 
 
 def _observations(rules=None) -> str:
