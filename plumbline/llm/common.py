@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.functions.durable import durable, shared_folder
 
-__all__ = ["document_texts", "durable", "forget", "hot_join", "result_folder", "shared_folder", "table"]
+__all__ = ["durable", "forget", "hot_join", "small", "table"]
 
 #: Parts into which the rows of one join key are dealt; the small side is repeated as often.
 SALTS = 16
+#: Rows of a few numbers that may be broadcast at most; more are joined by a shuffle.
+BROADCAST_ROWS = 500_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,11 +20,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def document_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Key and text of each row; a NULL text is the empty text, other columns go."""
-    return docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-
-
 def salt(*row_columns: Column, salts: int = SALTS) -> Column:
     """A part number from what tells the rows of one key apart."""
     return F.pmod(F.xxhash64(*row_columns), F.lit(salts)).cast("int")
@@ -43,9 +38,9 @@ def hot_join(
     return left.join(keyed.withColumn("_salt", parts), [*keys, "_salt"], how).drop("_salt")
 
 
-def result_folder(spark: SparkSession, name: str) -> str:
-    """A new folder below the shared one."""
-    return f"{shared_folder(spark).rstrip('/')}/plumbline/{name}-{uuid.uuid4().hex}"
+def small(keys: DataFrame) -> DataFrame:
+    """A table of keys (a few numbers a row), marked for broadcast if its counted rows are few."""
+    return F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys.hint("merge")
 
 
 def forget(*frames: DataFrame) -> None:

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plumbline.llm.common import durable, forget, hot_join
+from plumbline.llm.common import durable, forget, hot_join, small
 from plumbline.llm.components import components
 
 BANDS, ROWS = 40, 5
@@ -43,8 +43,6 @@ BANDS, ROWS = 40, 5
 MARGIN = 0.17
 #: Members of a block in a bucket searched in full.
 BLOCK = 512
-#: Ids that may be broadcast at most (a few bytes each); more are joined by a shuffle.
-BROADCAST_ROWS = 500_000
 
 _U = np.uint64
 _RNG = np.random.default_rng(20)
@@ -174,11 +172,6 @@ def _confirm_sets(words: int, percent: int):
     return apply
 
 
-def _small(frame: DataFrame) -> DataFrame:
-    """Marked for broadcast if its counted rows are few."""
-    return F.broadcast(frame) if frame.count() <= BROADCAST_ROWS else frame
-
-
 def _text_hash(text_col: str):
     return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
 
@@ -191,7 +184,7 @@ def _confirmed(
     wanted = durable(classes.join(needed, "cls", "left_semi").select("cls", "first"))
     texts = docs.select(F.col(id_col).alias("key"), _text_hash(text_col).alias("hash"), F.col(text_col).alias("text"))
     same = F.col("key").eqNullSafe(F.col("first.key")) & (F.col("hash") == F.col("first.text_hash"))
-    found = texts.join(_small(wanted), same).select("cls", "text")
+    found = texts.join(small(wanted), same).select("cls", "text")
     held = durable(found.dropDuplicates(["cls"]))
     forget(wanted)
     both = pairs.join(held.select(F.col("cls").alias("a"), F.col("text").alias("text_a")), "a")
@@ -292,4 +285,4 @@ def keep_first(
         .select(F.col(id_col).alias("_gone"), F.col("text_hash").alias("_hash"))
     )
     same = F.col(f"`{id_col}`").eqNullSafe(F.col("_gone")) & (_text_hash(text_col) == F.col("_hash"))
-    return docs.join(_small(gone), same, "left_anti")
+    return docs.join(small(gone), same, "left_anti")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import bpe, exact_dedup, language_id, minhash, packing, secret_scan, sharding, topk
+from plumbline.llm import bpe, chunk_dedup, exact_dedup, language_id, minhash, packing, secret_scan, sharding, suffix_dedup, topk
 from plumbline.llm.common import table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -28,6 +28,15 @@ def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document what strings of 100 bytes that start earlier take from it."""
+    found = suffix_dedup.remove_repeated_strings(table(spark, sf_dir, "documents"), 100)
+    return found.select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_pieces(table(spark, sf_dir, "documents"))
 
@@ -85,8 +94,18 @@ def op9_norm_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("key") % 50 == 0)
 
 
+def op10_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document what repeated chunks take from it."""
+    found = chunk_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_bytes", "n_chunks", "n_repeated", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 QUERIES = {
     "op1_minhash": op1_minhash,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_packing": op3_packing,
     "op4_secret_scan": op4_secret_scan,
     "op5_bpe": op5_bpe,
@@ -94,6 +113,7 @@ QUERIES = {
     "op7_hilbert_sharding": op7_hilbert_sharding,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_norm_topk": op9_norm_topk,
+    "op10_chunk_dedup": op10_chunk_dedup,
 }
 
 ORACLES = {
