@@ -31,11 +31,12 @@ def hot_join(
     """Join many rows with at most one row per key where a few keys hold much of the rows.
 
     The rows of a key are dealt into `salts` parts by the columns of `by`; `keyed` has one
-    row per key and is repeated for each part. Keys must not be NULL.
+    row per key and is repeated for each part. Keys must not be NULL. Both sides are shuffled
+    at every size, since the repeated rows are no good to broadcast.
     """
     parts = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     left = rows.withColumn("_salt", salt(*by, salts=salts))
-    return left.join(keyed.withColumn("_salt", parts), [*keys, "_salt"], how).drop("_salt")
+    return left.join(keyed.withColumn("_salt", parts).hint("merge"), [*keys, "_salt"], how).drop("_salt")
 
 
 def small(keys: DataFrame) -> DataFrame:
