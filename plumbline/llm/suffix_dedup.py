@@ -332,7 +332,7 @@ def remove_repeated_strings(
     open_ = known.where("not repeated")
     counts = open_.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where(f"n > {FREQUENT}")
     counts = counts.withColumn("slices", F.least(F.ceil(F.col("n") / FREQUENT), F.lit(length)).cast("long"))
-    dealt = open_.join(F.broadcast(durable(counts.select("gram", "slices"))), "gram", "left")
+    dealt = open_.join(small(durable(counts.select("gram", "slices"))), "gram", "left")
     dealt = dealt.withColumn("slices", F.coalesce("slices", F.lit(1).cast("long")))
     slices = F.expr("filter(sequence(0L, slices - 1), s -> exists(sequence(back - (last - first), back), d -> d % slices = s))")
     dealt = dealt.withColumn("slice", F.explode(slices))

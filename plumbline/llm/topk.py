@@ -139,7 +139,7 @@ def _first_thresholds(seed: list, k: int):
     by_size: dict[int, tuple[np.ndarray, np.ndarray]] = {}
     for size in {len(r["vec"]) for r in seed}:
         places = [i for i, r in enumerate(seed) if len(r["vec"]) == size]
-        by_size[size] = keys[places], np.array([seed[i]["vec"] for i in places], dtype=np.int64).reshape(-1, size)
+        by_size[size] = keys[places], np.array([seed[i]["vec"] for i in places], dtype=np.int64).reshape(len(places), size)
 
     def apply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

@@ -1,0 +1,18 @@
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+import fixtures  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def odd(spark):
+    return fixtures.frame(spark, fixtures.odd_rows()).cache()
+
+
+@pytest.fixture(scope="session")
+def empty(spark):
+    return fixtures.frame(spark, [])
