@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.functions.durable import durable
-from plumbline.functions.expressions import rounded
-from plumbline.operators.governance import Asset, Interaction
+from plumbline.operators.governance import DISTANCE, GROUPING, Interaction, planned
 from plumbline.schema import ColumnRule, CrossRule, Ratio, SemanticSchema, quoted
 from plumbline.sources.tables import read_parquet
 
@@ -27,24 +26,16 @@ RATIOS = (
 )
 INTERACTIONS = (
     Interaction("qty_line_interaction", ("total_qty", "line_count"), "total_qty × line_count",
-                "Joint effect of order size and order length."),
-    Interaction("balance_segment_interaction", ("cust_balance", "segment"), "cust_balance × segment indicators",
-                "Tests whether balance effects differ by segment."),
+                "Order size and length may act together."),
+    Interaction("balance_segment_interaction", ("cust_balance", "segment"), "cust_balance × indicators of segment",
+                "Balance may count differently by segment."),
 )
 DOMAIN = (
-    Asset(
-        "segment_group", "Domain", "Category consolidation", "segment", "Approved grouping of market segments",
-        "Broader market segment.", "Supports decisions taken on broader segments.",
-        "OPTIONAL DOMAIN CANDIDATE", True, True, False, False, False,
-        "Grouping must be approved before use.", "LOW", "domain_features.py", "LOW", "REQUIRES DOMAIN APPROVAL",
-    ),
-    Asset(
-        "distance_to_warehouse", "Domain", "External geographic feature", "external_warehouse_coordinates",
-        "Distance to the nearest warehouse", "Delivery distance.", "Orders carry no location.",
-        "EXTERNAL DATA REQUIRED", True, True, True, False, False,
-        "Reference location must be documented.", "LOW", "domain_features.py", "LOW",
-        "DEFER UNTIL EXTERNAL DATA AVAILABLE",
-    ),
+    planned(GROUPING, "segment_group", ("segment",), "approved mapping of segments to groups",
+            "Coarser market segment.", "No grouping is approved yet."),
+    planned(DISTANCE, "distance_to_warehouse", ("external_warehouse_coordinates",),
+            "shortest great-circle distance to the given warehouses", "How far an order travels.",
+            "Orders carry no location."),
 )
 SELECTED = ["total_qty", "part_count", "supp_count", "line_count", "cust_balance", "segment", "qty_per_line"]
 
@@ -53,20 +44,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def shown(df: DataFrame) -> DataFrame:
-    """Doubles to six places for comparison with SQL.
+#: Doubles are compared on a grid of 2^-GRID_BITS. Cents and their means lie on a decimal grid, so
+#: unlike decimal places it has no half-way cases on which two ways of adding could disagree.
+GRID_BITS = 20
 
-    Engines add doubles in different orders. Means of cents often lie exactly half-way
-    between two printed values, so such cases are nudged upwards on both sides.
-    """
-    return rounded(
-        df.select(
-            *[
-                (quoted(f.name) + F.lit(1e-9)).alias(f.name) if f.dataType.simpleString() == "double"
-                else quoted(f.name)
-                for f in df.schema.fields
-            ]
-        )
+
+def shown(df: DataFrame) -> DataFrame:
+    """Doubles rounded to the grid for comparison with SQL; -0.0 becomes 0.0."""
+    grid = F.lit(float(1 << GRID_BITS))
+    return df.select(
+        *[
+            (F.round(quoted(f.name) * grid) / grid + F.lit(0.0)).alias(f.name)
+            if f.dataType.simpleString() == "double" else quoted(f.name)
+            for f in df.schema.fields
+        ]
     )
 
 
@@ -89,12 +80,13 @@ def joined_block(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
         F.sum("l_quantity").alias("total_qty"),
-        F.countDistinct("l_partkey").alias("part_count"),
-        F.countDistinct("l_suppkey").alias("supp_count"),
+        # An order has a few lines, so its parts fit a set; distinct counts would repeat the rows.
+        F.size(F.collect_set("l_partkey")).cast("long").alias("part_count"),
+        F.size(F.collect_set("l_suppkey")).cast("long").alias("supp_count"),
         F.count(F.lit(1)).alias("line_count"),
-        # Rounded to cents: a sum of doubles depends on the order of its parts, and
-        # operators that read the table twice must see the same values both times.
-        F.round(F.sum("l_extendedprice"), 2).alias("gross_value"),
+        # Added as cents: a sum of doubles depends on the order of its parts, and operators that
+        # read the table twice must see the same values both times.
+        F.sum(F.round("l_extendedprice", 2).cast("decimal(18,2)")).cast("double").alias("gross_value"),
     )
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
@@ -144,6 +136,22 @@ def untidy_block(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def strained_block(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order rows on which every challenge shows: a curved, skewed response, gaps, spikes and a place."""
+    k, balance = F.col(KEY), F.col("cust_balance")
+    return order_block(spark, sf_dir).select(
+        KEY,
+        F.when(k % 97 != 0, F.col("total_qty")).alias("total_qty"),
+        "line_count",
+        "part_count",
+        "cust_balance",
+        F.when(k % 14 == 0, 1000.0 + k % 7).otherwise((k % 7).cast("double")).alias("spiked"),
+        (F.pmod(k, F.lit(180)) - 90.0).alias("latitude"),
+        (F.pmod(k * 7, F.lit(360)) - 180.0).alias("longitude"),
+        F.pow((balance - 4500.0) / 1000.0, F.lit(4.0)).alias("strained_value"),
+    )
+
+
 def block_schema(allowed: bool = True) -> SemanticSchema:
     """Declared meaning of the order table (without its key)."""
     counted = {"semantic_type": "count", "minimum": 0.0, "whole_number": True}

@@ -6,11 +6,9 @@ sorts here, whatever way the Spark operators take.
 
 from __future__ import annotations
 
-from dataclasses import astuple
-
 from catalog import bindings as b
 from catalog.queries import MEASURED, PATTERNS, WAREHOUSES
-from plumbline.operators import curvature, findings, governance
+from plumbline.operators import curvature
 from plumbline.operators.eda import HIGH_PAIRWISE
 from plumbline.operators.profile import MISSING_LABEL
 
@@ -24,7 +22,7 @@ BLOCK = """ob AS (
   SELECT o.o_orderkey AS block_id, sum(l.l_quantity) AS total_qty,
          count(DISTINCT l.l_partkey) AS part_count, count(DISTINCT l.l_suppkey) AS supp_count,
          count(l.l_orderkey) AS line_count, max(c.c_acctbal) AS cust_balance,
-         round(sum(l.l_extendedprice), 2) AS gross_value, max(c.c_mktsegment) AS segment
+         sum(round(l.l_extendedprice, 2)::DECIMAL(18,2))::DOUBLE AS gross_value, max(c.c_mktsegment) AS segment
   FROM orders o LEFT JOIN lineitem l ON l.l_orderkey = o.o_orderkey
   LEFT JOIN customer c ON c.c_custkey = o.o_custkey
   GROUP BY o.o_orderkey)"""
@@ -49,7 +47,8 @@ def lit(text) -> str:
 
 
 def r6(x: str) -> str:
-    return f"(round({x} + 1e-9::DOUBLE, 6) + 0.0)"
+    """Rounded to the grid of the shown results."""
+    return f"(round(({x})::DOUBLE * 1048576) / 1048576 + 0.0)"
 
 
 def union(parts) -> str:
@@ -105,12 +104,12 @@ sp AS (SELECT rk.*, CASE WHEN place <= n - h THEN 'train' WHEN place <= n - t TH
 tr AS (SELECT * FROM sp WHERE split = 'train')"""
 
 
-def _screen(source: str = "ob", bins: int = 20) -> str:
+def _screen(source: str = "ob", bins: int = 20, features=b.NUMBERS, target: str = b.TARGET) -> str:
     """CTEs that end in ``screen(feature, score, pattern)``."""
     pairs = union(
-        f"SELECT '{f}' AS feature, CAST({f} AS DOUBLE) AS x, {b.TARGET} AS y FROM {source} "
-        f"WHERE {f} IS NOT NULL AND {b.TARGET} IS NOT NULL"
-        for f in b.NUMBERS
+        f"SELECT '{f}' AS feature, CAST({f} AS DOUBLE) AS x, {target} AS y FROM {source} "
+        f"WHERE {f} IS NOT NULL AND {target} IS NOT NULL"
+        for f in features
     )
     steps = ", ".join(repr(j / bins) for j in range(1, bins))
     classes = "".join(f"WHEN score < {limit} THEN {lit(label)} " for limit, label in curvature.CLASSES)
@@ -214,26 +213,27 @@ def _checks(source: str) -> list[tuple[str, str, str, str, str]]:
                           "Non-whole-number values detected."))
         if rule.allowed_values:
             allowed = ", ".join(lit(v) for v in rule.allowed_values)
-            found.append(("allowed_values", c, "ERROR", f"{c} NOT IN ({allowed})", "Unexpected values: "))
+            found.append(("allowed_values", c, "ERROR", f"{c} NOT IN ({allowed})", "Values outside the allowed list"))
     return found
 
 
-def _issues() -> str:
-    """CTE ``iss`` with every issue of the faulty table."""
+def _issues(source: str = "fb", columns=BLOCK_COLUMNS, extra: str = "block_id") -> str:
+    """CTE ``iss`` with every issue of a table."""
     parts = [
         "SELECT 'WARNING' AS severity, 'unexpected_columns' AS rule, '' AS \"column\", 1 AS affected_count, "
-        "'Unexpected columns: block_id' AS message"
+        f"'Unexpected columns: {extra}' AS message WHERE {bool(extra)}"
     ]
-    for rule, column, severity, condition, message in _checks("fb"):
+    for rule, column, severity, condition, message in _checks(source):
         text = lit(message)
         if rule == "allowed_values":
-            text += f" || (SELECT string_agg(DISTINCT {column}, ', ' ORDER BY {column}) FROM fb WHERE {condition})"
+            text += f" || ': ' || (SELECT count(DISTINCT {column}) FROM {source} WHERE {condition}) || ' distinct.'"
         parts.append(
-            f"SELECT '{severity}', '{rule}', '{column}', count(*), {text} FROM fb WHERE {condition} HAVING count(*) > 0"
+            f"SELECT '{severity}', '{rule}', '{column}', count(*), {text} FROM {source} WHERE {condition} "
+            "HAVING count(*) > 0"
         )
     parts.append(
         "SELECT 'WARNING', 'duplicate_rows', '', (sum(n) - count(*))::BIGINT, 'Duplicate rows detected.' "
-        f"FROM (SELECT count(*) AS n FROM fb GROUP BY {', '.join(BLOCK_COLUMNS)}) HAVING sum(n) > count(*)"
+        f"FROM (SELECT count(*) AS n FROM {source} GROUP BY {', '.join(columns)}) HAVING sum(n) > count(*)"
     )
     return f"iss AS ({union(parts)})"
 
@@ -423,35 +423,98 @@ ASSET_COLUMNS = [
 ]
 
 
+F, P = "plumbline.operators.features.", "plumbline.operators.prep."
+NUMERIC = "total_qty | part_count | supp_count | line_count | cust_balance"
+FITTED = "Deterministic Domain Statistical".split()
+
+
+def _row(name, group, subtype, sources, formula, meaning, reason, status, uses, check, risk, made_by, priority, decision, note=""):
+    """A row of the plan; whether it is fitted follows from its group."""
+    return (name, group, subtype, sources, formula, meaning, reason, status, *[u in uses for u in "MIOG"],
+            group not in FITTED, check, risk, made_by, priority, decision, note)
+
+
+def _ratio_row(name, above, below, meaning):
+    return _row(name, "Deterministic", "Ratio", f"{above} | {below}", f"{above} / {below}", meaning,
+                "A share does not grow with the size of the unit.", "READY", "MIOG",
+                "NULL where the denominator is 0 or missing.", "LOW", F + "ratio_features", "HIGH",
+                "APPROVE FOR IMPLEMENTATION")
+
+
+# The expected plan, written out.
+PLAN_ROWS = [
+    _ratio_row("qty_per_line", "total_qty", "line_count", "Average quantity per order line."),
+    _ratio_row("parts_per_line", "part_count", "line_count", "Distinct parts per order line."),
+    _ratio_row("qty_per_part", "total_qty", "part_count", "Average quantity per distinct part."),
+    _row("segment_group", "Domain", "Grouped levels", "segment", "approved mapping of segments to groups",
+         "Coarser market segment.", "Rare levels say more together.", "OPTIONAL", "MI", "One mapping for all splits.",
+         "LOW", F + "category_groups", "LOW", "NEEDS DOMAIN REVIEW", "No grouping is approved yet."),
+    _row("distance_to_warehouse", "Domain", "Distance", "external_warehouse_coordinates",
+         "shortest great-circle distance to the given warehouses", "How far an order travels.",
+         "Raw coordinates do not say how far a place is.", "WAITS FOR DATA", "MIO", "Reference points are documented.",
+         "LOW", F + "nearest_distance", "LOW", "NEEDS EXTERNAL DATA", "Orders carry no location."),
+    *[
+        _row(name, "Statistical", "Product term", sources, formula, meaning,
+             "A hypothesis; single effects do not prove it.", "CANDIDATE", "MI",
+             "Stays only if it adds to both single terms.", "LOW", F + "interaction_features", "MEDIUM",
+             "DECIDE BY EVIDENCE")
+        for name, sources, formula, meaning in (
+            ("qty_line_interaction", "total_qty | line_count", "total_qty × line_count",
+             "Order size and length may act together."),
+            ("balance_segment_interaction", "cust_balance | segment", "cust_balance × indicators of segment",
+             "Balance may count differently by segment."),
+        )
+    ],
+    _row("one_hot_categorical_predictors", "Machine Learning", "Indicators", "segment",
+         "0/1 per training level but the first", "Levels without an order among them.", "Linear models need numbers.",
+         "REQUIRED", "M", "Levels come from training rows.", "HIGH", P + "one_hot", "HIGH", "APPROVE FOR ML"),
+    _row("standardized_numeric_predictors", "Machine Learning", "Scaling", NUMERIC, "(x - mean) / deviation",
+         "Columns on one scale.", "Penalties compare coefficients.", "REQUIRED", "M",
+         "Mean and deviation come from training rows.", "HIGH", F + "standardized_features", "HIGH", "APPROVE FOR ML"),
+    _row("polynomial_feature_expansion", "Machine Learning", "Polynomials", NUMERIC, "squares and pairwise products",
+         "Bends and joint effects.", "Helps where a straight line underfits.", "OPTIONAL", "M",
+         "The degree is chosen on validation rows.", "HIGH", F + "polynomial_features", "LOW", "AFTER BASELINE"),
+    _row("spline_basis_for_prediction", "Machine Learning", "Splines", NUMERIC, "restricted cubic spline",
+         "Smooth effects.", "Bends without high powers.", "OPTIONAL", "M", "Knots are quantiles of training rows.",
+         "HIGH", F + "spline_features", "LOW", "AFTER BASELINE"),
+    _row("orthogonal_polynomial_terms", "Inferential", "Orthogonal polynomials", NUMERIC,
+         "first and second orthogonal term", "A bend apart from the slope.", "Powers of a column are collinear.",
+         "CANDIDATE", "I", "Moments come from training rows.", "HIGH", F + "orthogonal_poly", "LOW", "AFTER BASELINE"),
+    _row("centered_numeric_predictors", "Inferential", "Centering", NUMERIC, "x - mean", "Effects read at the mean.",
+         "Products of raw columns are collinear with them.", "OPTIONAL", "I", "Means come from training rows.", "HIGH",
+         F + "centered_features", "MEDIUM", "DECIDE BY EVIDENCE"),
+    _row("interpretable_spline_basis", "Inferential", "Splines", "total_qty", "restricted cubic spline",
+         "A smooth effect that can be drawn.", "Lines and squares may not suffice.", "CANDIDATE", "I",
+         "Knots are quantiles of training rows.", "HIGH", F + "spline_features", "MEDIUM", "AFTER BASELINE"),
+]
+SQUARED_ROW = _row("@_squared", "Statistical", "Squared term", "@", "@ ^ 2", "The effect of @ may change along the way.",
+                   "The curvature screen finds a bend.", "CANDIDATE", "I", "Stays only if validation rows gain by it.",
+                   "LOW", F + "squared_features", "", "DECIDE BY EVIDENCE")
+READY = "'APPROVE FOR IMPLEMENTATION', 'APPROVE FOR ML'"
+GROUPS = "'Deterministic', 'Domain', 'Statistical', 'Machine Learning', 'Inferential'"
+
+
 def _plan() -> str:
-    """CTEs that end in ``plan``: listed assets, measured notes, and squared terms from the screen."""
+    """CTEs that end in ``plan``: the rows above, measured notes, and squared terms from the screen."""
     zeros = union(
-        f"SELECT '{r.name}' AS feature_name, count(*) FILTER ({r.denominator} = 0) AS z FROM ob" for r in b.RATIOS
+        f"SELECT '{name}' AS feature_name, count(*) FILTER ({below} = 0) AS z FROM tr"
+        for name, below in (("qty_per_line", "line_count"), ("parts_per_line", "line_count"), ("qty_per_part", "part_count"))
     )
-    listed = [
-        *governance.ratio_assets(b.RATIOS, {r.name: 0 for r in b.RATIOS}),
-        *b.DOMAIN,
-        *governance.interaction_assets(b.INTERACTIONS),
-        *governance.model_assets(SCHEMA(), b.NUMBERS[:1]),
-    ]
-    values = ", ".join("(" + ", ".join(lit(v) for v in astuple(a)) + ")" for a in listed)
-    squared = governance.squared_assets({"@": curvature.STRONGEST})[0]
+    values = ", ".join("(" + ", ".join(lit(v) for v in row) + ")" for row in PLAN_ROWS)
     cells = []
-    for name, value in zip(ASSET_COLUMNS, astuple(squared)):
+    for name, value in zip(ASSET_COLUMNS, SQUARED_ROW, strict=True):
         if name == "priority":
-            cells.append(f"CASE WHEN pattern = {lit(curvature.STRONGEST)} THEN 'HIGH' ELSE 'MEDIUM' END")
-        elif isinstance(value, str):
-            cells.append(f"replace({lit(value)}, '@', feature)")
+            cells.append("CASE WHEN pattern = 'Strong nonlinear pattern' THEN 'HIGH' ELSE 'MEDIUM' END")
         else:
-            cells.append(lit(value))
+            cells.append(f"replace({lit(value)}, '@', feature)" if isinstance(value, str) else lit(value))
     names = ", ".join(ASSET_COLUMNS)
-    return f"""{BLOCK}, {_screen()}, zr AS ({zeros}),
+    return f"""{SPLIT}, {_screen('tr')}, zr AS ({zeros}),
 li({names}) AS (VALUES {values}),
-al AS (SELECT {names.replace('notes', '')} CASE WHEN z > 0
-         THEN z || ' zero denominator(s) detected in training data.' ELSE notes END AS notes
+al AS (SELECT {names.replace('notes', '')} CASE WHEN z IS NOT NULL
+         THEN 'Training rows with a zero denominator: ' || z || '.' ELSE notes END AS notes
        FROM li LEFT JOIN zr USING (feature_name)
        UNION ALL SELECT {', '.join(cells)} FROM screen WHERE pattern IN ({CURVED})),
-plan AS (SELECT *, list_position([{', '.join(lit(g) for g in governance.GROUP_ORDER)}], feature_group) AS g FROM al)"""
+plan AS (SELECT *, list_position([{GROUPS}], feature_group) AS g FROM al)"""
 
 
 def _repository() -> str:
@@ -477,107 +540,116 @@ def _dependencies() -> str:
 
 
 def _plan_summary() -> str:
-    ready = ", ".join(lit(d) for d in governance.READY_DECISIONS)
     return (
         f"WITH {_plan()} SELECT feature_group, count(*) AS features, "
-        f"count(*) FILTER (analyst_decision IN ({ready})) AS ready, "
-        f"count(*) FILTER (analyst_decision NOT IN ({ready})) AS needing_decision FROM plan GROUP BY feature_group"
+        f"count(*) FILTER (analyst_decision IN ({READY})) AS ready, "
+        f"count(*) FILTER (analyst_decision NOT IN ({READY})) AS needing_decision FROM plan GROUP BY feature_group"
     )
 
 
-def _recommendations() -> str:
-    rows = []
-    for r in b.RATIOS:
-        rows.append((r.name, f"{r.numerator} / {r.denominator}", r.meaning, governance.RATIO_KIND, governance.CREATE,
-                     f"{r.numerator} IS NOT NULL AND {r.denominator} <> 0"))
-    for i in b.INTERACTIONS:
-        rows.append((i.name, i.formula, i.meaning, governance.INTERACTION_KIND, governance.EVALUATE,
-                     " AND ".join(f"{c} IS NOT NULL" for c in i.sources)))
+RECOMMENDED = (
+    ("qty_per_line", "total_qty / line_count", "Average quantity per order line.", "DETERMINISTIC RATIO",
+     "total_qty IS NOT NULL AND line_count <> 0"),
+    ("parts_per_line", "part_count / line_count", "Distinct parts per order line.", "DETERMINISTIC RATIO",
+     "part_count IS NOT NULL AND line_count <> 0"),
+    ("qty_per_part", "total_qty / part_count", "Average quantity per distinct part.", "DETERMINISTIC RATIO",
+     "total_qty IS NOT NULL AND part_count <> 0"),
+    ("qty_line_interaction", "total_qty × line_count", "Order size and length may act together.",
+     "EXPLORATORY INTERACTION", "total_qty IS NOT NULL AND line_count IS NOT NULL"),
+    ("balance_segment_interaction", "cust_balance × indicators of segment", "Balance may count differently by segment.",
+     "EXPLORATORY INTERACTION", "cust_balance IS NOT NULL AND segment IS NOT NULL"),
+)
+
+
+def _recommendations(source: str = "tr") -> str:
+    rule = {"DETERMINISTIC RATIO": "Create automatically",
+            "EXPLORATORY INTERACTION": "Evaluate as a candidate, not as a mandatory feature"}
     return "re AS (" + union(
-        f"SELECT {lit(n)} AS recommended_feature, {lit(f)} AS formula, {lit(m)} AS business_meaning, "
-        f"{lit(k)} AS recommendation_type, {lit(rule)} AS implementation_rule, "
-        f"{lit(governance.RECOMMENDATION_CAUTION)} AS caution, count(*) FILTER ({usable}) AS usable_rows FROM ob"
-        for n, f, m, k, rule, usable in rows
+        f"SELECT {lit(name)} AS recommended_feature, {lit(formula)} AS formula, {lit(meaning)} AS business_meaning, "
+        f"{lit(kind)} AS recommendation_type, {lit(rule[kind])} AS implementation_rule, "
+        f"'A zero denominator gives NULL; whatever is fitted is fitted on training rows.' AS caution, "
+        f"count(*) FILTER ({usable}) AS usable_rows FROM {source}"
+        for name, formula, meaning, kind, usable in RECOMMENDED
     ) + ")"
 
 
 def _candidates() -> str:
-    rows = []
-    for c in VARIABLES:
-        if c == b.TARGET:
-            continue
-        kind = SCHEMA().rule(c).semantic_type
-        wording = findings.Wording()
-        rows.append(
-            f"SELECT '{c}' AS feature, '{kind}' AS semantic_type, {lit(wording.rationale(kind))} AS "
-            f"business_rationale, {lit(wording.expectation(c))} AS expected_relationship"
-        )
-    return f"""WITH {BLOCK}, {_screen()}, {_correlations()}, {_outliers()}, ba AS ({union(rows)})
-SELECT feature, semantic_type, business_rationale, expected_relationship, {r6('r')} AS correlation_with_target,
+    rows = union(
+        f"SELECT '{c}' AS feature, '{SCHEMA().rule(c).semantic_type}' AS semantic_type" for c in VARIABLES if c != b.TARGET
+    )
+    return f"""WITH {SPLIT}, {_screen('tr')}, {_correlations(source='tr')}, {_outliers(source='tr')}, ba AS ({rows})
+SELECT feature, semantic_type, 'May add to the other predictors; judge it together with them.' AS business_rationale,
+  'No prior expectation; read the sign from the data.' AS expected_relationship, {r6('r')} AS correlation_with_target,
   CASE WHEN r IS NULL THEN 'Categorical predictor' WHEN abs(r) >= 0.5 THEN 'Strong marginal linear association'
     WHEN abs(r) >= 0.2 THEN 'Moderate marginal linear association'
     WHEN abs(r) >= 0.1 THEN 'Weak marginal linear association'
     ELSE 'Very weak marginal linear association' END AS observed_linear_association,
   coalesce(pattern, 'Not applicable') AS exploratory_nonlinearity,
-  {r6('coalesce(pct, 0.0)')} AS potential_outlier_percentage,
-  {lit(findings.CANDIDATE_STATUS)} AS candidate_status, {lit(findings.DECISION_RULE)} AS final_decision_rule
+  {r6('coalesce(pct, 0.0)')} AS potential_outlier_percentage, 'RETAIN AS CANDIDATE' AS candidate_status,
+  'Prediction: keep what lowers validation error. Inference: keep what theory asks for and the data can estimate.'
+    AS final_decision_rule
 FROM ba LEFT JOIN tc USING (feature) LEFT JOIN screen USING (feature) LEFT JOIN osum ON variable = feature"""
 
 
-def _challenges() -> str:
-    return f"""WITH {BLOCK}, {_screen()}, {_nulls(VARIABLES)}, {_pairs(PREDICTORS)}, {_outliers()},
-sk AS (SELECT {skew(b.TARGET)} AS s FROM ob)
-SELECT 'Statistical issue' AS challenge_group, 'Response asymmetry' AS challenge,
-  format('Response skewness = {{:.4f}}.', s) AS evidence,
-  'Consider transformation only when it improves validation or specification adequacy.' AS implication
-FROM sk WHERE abs(s) >= 0.75
-UNION ALL
-SELECT 'Data issue', 'Missing predictor values',
-  'Missing values remain in: ' || string_agg(column_name, ', ' ORDER BY position),
-  'Fit imputation using training data only.' FROM nc WHERE missing > 0 HAVING count(*) > 0
-UNION ALL
-SELECT 'Statistical issue', 'High predictor association', count(*) || ' predictor pair(s) have |r| >= 0.80.',
-  'Run VIF and condition-number checks for inference; retain for ML unless validation indicates otherwise.'
-FROM cp WHERE abs(r) >= {HIGH_PAIRWISE} HAVING count(*) > 0
-UNION ALL
-SELECT 'Statistical issue', 'Possible nonlinear relationships',
-  string_agg(feature, ', ' ORDER BY score DESC, feature),
-  'Compare linear, nonlinear polynomial, and smooth specifications; treat the LOWESS screen as provisional.'
+def _challenges(ctes: str, source: str, target: str, measured: list[str], columns: list[str], located: bool) -> str:
+    predictors = [c for c in measured if c != target]
+    return f"""WITH {ctes}, {_screen(source, features=predictors, target=target)}, {_nulls(columns, source)},
+{_pairs(predictors, source)}, {_outliers(measured, source)}, sk AS (SELECT {skew(target)} AS s FROM {source})
+SELECT 'Statistics' AS challenge_group, 'Skewed response' AS challenge,
+  format('Skewness of {target} is {{:.4f}}.', s) AS evidence,
+  'Try a transformed response and keep it only if held-out error falls.' AS implication FROM sk WHERE abs(s) >= 0.75
+UNION ALL SELECT 'Data', 'Gaps in predictors',
+  'Columns with gaps: ' || string_agg(column_name, ', ' ORDER BY position) || '.',
+  'Learn fill values on training rows and reuse them for every other row.' FROM nc WHERE missing > 0 HAVING count(*) > 0
+UNION ALL SELECT 'Statistics', 'Collinear predictors',
+  'Pairs of predictors with |r| of at least 0.80: ' || count(*) || '.',
+  'Check whether coefficients can be told apart; prediction may use both columns.'
+FROM cp WHERE abs(r) >= 0.8 HAVING count(*) > 0
+UNION ALL SELECT 'Statistics', 'Curved relationships',
+  'Not straight against the response: ' || string_agg(feature, ', ' ORDER BY score DESC, feature) || '.',
+  'Compare a straight line with polynomial and spline terms on validation rows.'
 FROM screen WHERE pattern IN ({CURVED}) HAVING count(*) > 0
-UNION ALL
-SELECT 'Data issue', 'Potential extreme observations', string_agg(variable, ', ' ORDER BY pct DESC, variable),
-  'Retain for prediction unless domain evidence supports removal; perform sensitivity analysis for inference.'
-FROM osum WHERE pct >= 5 HAVING count(*) > 0"""
+UNION ALL SELECT 'Data', 'Outlying rows',
+  'Columns with 5 % or more flagged rows: ' || string_agg(variable, ', ' ORDER BY pct DESC, variable) || '.',
+  'Keep the rows, and refit without them to see how much rests on them.' FROM osum WHERE pct >= 5 HAVING count(*) > 0
+UNION ALL SELECT 'Structure', 'Location effects', 'Rows carry latitude and longitude.',
+  'Give location joint or regional terms instead of two separate slopes.' WHERE {located}"""
+
+
+STRAINED = """sb AS (SELECT CASE WHEN block_id % 97 <> 0 THEN total_qty END AS total_qty, line_count, part_count, cust_balance,
+  CASE WHEN block_id % 14 = 0 THEN 1000.0::DOUBLE + block_id % 7 ELSE (block_id % 7)::DOUBLE END AS spiked,
+  block_id % 180 - 90.0::DOUBLE AS latitude, block_id * 7 % 360 - 180.0::DOUBLE AS longitude,
+  power((cust_balance - 4500.0::DOUBLE) / 1000.0::DOUBLE, 4) AS strained_value FROM ob)"""
+STRAINED_MEASURED = ["total_qty", "line_count", "part_count", "cust_balance", "spiked", "strained_value"]
+STRAINED_COLUMNS = [*STRAINED_MEASURED[:-1], "latitude", "longitude", "strained_value"]
 
 
 def _findings() -> str:
-    gaps = "SELECT string_agg(column_name, ', ' ORDER BY position) AS names FROM nc WHERE missing > 0"
-    return f"""WITH {BLOCK}, {_nulls(VARIABLES)}, {_correlations()}, {_outliers()}, {_logical('ob')},
-ts AS (SELECT count({b.TARGET}) AS n, avg({b.TARGET}) AS m, {skew(b.TARGET)} AS s FROM ob), gp AS ({gaps}),
+    t, gaps = b.TARGET, "SELECT string_agg(column_name, ', ' ORDER BY position) AS names FROM nc WHERE missing > 0"
+    return f"""WITH {SPLIT}, {_nulls(VARIABLES, 'tr')}, {_correlations(source='tr')}, {_outliers(source='tr')}, {_logical('tr')},
+ts AS (SELECT count({t}) AS n, avg({t}) AS m, {skew(t)} AS s FROM tr), gp AS ({gaps}),
 n AS (
-SELECT 'eda' AS section, 1 AS o, CASE WHEN s > 0.5 THEN 'The target is right-skewed. Explore transformation only if it improves validation performance or model adequacy.'
-  WHEN s < -0.5 THEN 'The target is left-skewed.' ELSE 'The target is approximately symmetric.' END AS note FROM ts
-UNION ALL (SELECT 'eda', 2, format('The strongest observed linear relationship is {{}} (correlation={{:.4f}}).', feature, r)
+SELECT 'eda' AS section, 1 AS o, '{t} has ' || CASE WHEN s > 0.5 THEN 'a long right tail.' WHEN s < -0.5
+  THEN 'a long left tail.' ELSE 'no long tail.' END AS note FROM ts
+UNION ALL (SELECT 'eda', 2, format('{{}} follows the target most closely on a straight line (r = {{:.4f}}).', feature, r)
   FROM tc WHERE r IS NOT NULL ORDER BY abs(r) DESC, feature LIMIT 1)
-UNION ALL SELECT 'eda', 3, 'Potential extreme values exceed 5% in: ' || string_agg(variable, ', ' ORDER BY pct DESC, variable)
-  || '. Retain them for predictive modelling unless domain evidence supports removal; use sensitivity analysis for inference.'
-  FROM osum WHERE pct >= 5 HAVING count(*) > 0
-UNION ALL SELECT 'eda', 4, 'Missing values remain in: ' || names || '. Fit imputation on training data only.' FROM gp WHERE names IS NOT NULL
-UNION ALL SELECT 'eda', 5, 'Correlation measures association and does not establish causality.'
-UNION ALL SELECT 'understanding', 1, CASE WHEN names IS NULL THEN 'No missing values were detected.'
-  ELSE 'Missing values are present in: ' || names || '. Treat them only after the training split.' END FROM gp
-UNION ALL SELECT 'understanding', 2, coalesce('Logical checks requiring review: ' || string_agg(check_name, ', ' ORDER BY position) || '.',
-  'All implemented logical checks passed.') FROM lc WHERE n > 0
-UNION ALL SELECT 'understanding', 3, 'No data were modified during data understanding.'
-UNION ALL SELECT 'insight', 1, format('The target variable ''{b.TARGET}'' contains {{:,}} non-missing observations and has a mean of {{:,.2f}}.', n, m) FROM ts
-UNION ALL SELECT 'insight', 2, format('The target distribution is substantially skewed (skewness = {{:.2f}}), which should be considered during model development.', s) FROM ts WHERE abs(s) > 1
-UNION ALL (SELECT 'insight', 3, format('Missing values are present in the dataset. The feature with the highest missing count is ''{{}}'' with {{:,}} missing values.', column_name, missing)
+UNION ALL SELECT 'eda', 3, 'At least 5 % of the rows are flagged in ' || string_agg(variable, ', ' ORDER BY pct DESC, variable)
+  || '.' FROM osum WHERE pct >= 5 HAVING count(*) > 0
+UNION ALL SELECT 'eda', 4, 'Gaps to be filled from training rows: ' || names || '.' FROM gp WHERE names IS NOT NULL
+UNION ALL SELECT 'eda', 5, 'Associations here say nothing about causes.'
+UNION ALL SELECT 'understanding', 1, coalesce('Incomplete columns: ' || names || '.', 'Every column is complete.') FROM gp
+UNION ALL SELECT 'understanding', 2, coalesce('Logical checks to look into: ' || string_agg(check_name, ', ' ORDER BY check_name)
+  || '.', 'Every logical check passes.') FROM lc WHERE n > 0
+UNION ALL SELECT 'understanding', 3, 'So far nothing was changed.'
+UNION ALL SELECT 'insight', 1, format('{t} is known for {{:,}} rows; its mean is {{:,.2f}}.', n, m) FROM ts
+UNION ALL SELECT 'insight', 2, format('{t} is strongly skewed ({{:.2f}}).', s) FROM ts WHERE abs(s) > 1
+UNION ALL (SELECT 'insight', 3, format('{{}} has the most gaps: {{:,}} rows.', column_name, missing)
   FROM nc WHERE missing > 0 ORDER BY missing DESC, column_name LIMIT 1)
-UNION ALL SELECT 'insight', 3, 'No missing values were detected in the raw dataset.' FROM gp WHERE names IS NULL
-UNION ALL SELECT 'insight', 4, format('''cust_balance'' has a {{}} relationship with ''{b.TARGET}'' (correlation = {{:.3f}}).',
-  CASE WHEN r > 0 THEN 'positive' ELSE 'negative' END, r) FROM tc WHERE feature = 'cust_balance' AND r IS NOT NULL
-UNION ALL (SELECT 'insight', 5, format('''segment'' is a categorical variable and ''{{}}'' is its most frequent category.', segment)
-  FROM ob GROUP BY segment ORDER BY count(*) DESC, segment LIMIT 1))
+UNION ALL SELECT 'insight', 3, 'There are no gaps.' FROM gp WHERE names IS NULL
+UNION ALL SELECT 'insight', 4, format('{t} {{}} with cust_balance (r = {{:.3f}}).',
+  CASE WHEN r > 0 THEN 'rises' ELSE 'falls' END, r) FROM tc WHERE feature = 'cust_balance' AND r IS NOT NULL
+UNION ALL (SELECT 'insight', 5, format('The most frequent segment is {{}}.', segment)
+  FROM tr WHERE segment IS NOT NULL GROUP BY segment ORDER BY count(*) DESC, segment LIMIT 1))
 SELECT section, row_number() OVER (PARTITION BY section ORDER BY o)::INTEGER AS position, note FROM n"""
 
 
@@ -590,8 +662,8 @@ def _patterns() -> str:
             f"{lit(p.caution)} AS inferential_caution"
         )
 
-    return f"""WITH {BLOCK}, {_correlations()},
-cm AS (SELECT segment, avg({b.TARGET}) AS m FROM ob GROUP BY segment HAVING count({b.TARGET}) > 0)
+    return f"""WITH {SPLIT}, {_correlations(source='tr')},
+cm AS (SELECT segment, avg({b.TARGET}) AS m FROM tr GROUP BY segment HAVING count({b.TARGET}) > 0)
 SELECT {lit(corr.label)} AS feature_or_pattern,
   format('Correlation with the response = {{:.4f}}.', r) AS observed_pattern, {tail(corr)}
 FROM tc WHERE feature = 'line_count'
@@ -601,15 +673,15 @@ UNION ALL SELECT {lit(stated.label)}, {lit(stated.statement)}, {tail(stated)}"""
 
 
 def _headline() -> str:
-    return f"""WITH {BLOCK}, {_screen()}, {_pairs(PREDICTORS)}, {_recommendations()}
-SELECT (SELECT count(*) FROM ob) AS training_observations, {len(VARIABLES) - 1} AS candidate_predictors,
+    return f"""WITH {SPLIT}, {_screen('tr')}, {_pairs(PREDICTORS, 'tr')}, {_recommendations()}
+SELECT (SELECT count(*) FROM tr) AS training_observations, {len(VARIABLES) - 1} AS candidate_predictors,
   (SELECT count(*) FROM cp WHERE abs(r) >= {HIGH_PAIRWISE}) AS high_correlation_pairs,
   (SELECT count(*) FROM screen WHERE pattern IN ({CURVED})) AS curved_relationships,
   (SELECT coalesce(string_agg(feature, ', ' ORDER BY score DESC, feature), '') FROM screen WHERE pattern IN ({CURVED}))
     AS curved_features,
   (SELECT count(*) FROM re) AS engineered_features,
-  (SELECT count(*) FROM re WHERE recommendation_type = '{governance.RATIO_KIND}') AS ratio_features,
-  (SELECT count(*) FROM re WHERE recommendation_type = '{governance.INTERACTION_KIND}') AS interaction_hypotheses"""
+  (SELECT count(*) FROM re WHERE recommendation_type = 'DETERMINISTIC RATIO') AS ratio_features,
+  (SELECT count(*) FROM re WHERE recommendation_type = 'EXPLORATORY INTERACTION') AS interaction_hypotheses"""
 
 
 def _audit() -> str:
@@ -623,7 +695,9 @@ def _audit() -> str:
         kind = "string" if rule.storage == "string" else "bigint" if rule.whole_number else "double"
         count = "0"
         if rule.storage == "numeric":
-            count = f"count(*) FILTER ({rule.name} IS NOT NULL AND TRY_CAST({rule.name} AS DOUBLE) IS NULL)"
+            held = f"TRY_CAST({rule.name} AS DOUBLE)"
+            bad = f"{held} IS NULL" + (f" OR {held} % 1 <> 0" if rule.whole_number else "")
+            count = f"count(*) FILTER ({rule.name} IS NOT NULL AND ({bad}))"
         rows.append(f"SELECT 'dtype_alignment', '{rule.name}', {count}, '{kind}', "
                     f"'Storage type aligned with the semantic schema.' FROM ub" + ("" if count != "0" else " LIMIT 1"))
         if count == "0":
@@ -642,8 +716,8 @@ def _audit() -> str:
 UNTIDY = FAULTY + """,
 ub AS (SELECT * REPLACE (CASE WHEN block_id % 97 = 0 THEN 'n/a' ELSE CAST(total_qty AS VARCHAR) END AS total_qty,
          '  ' || segment || ' ' AS segment), 'free text' AS remark FROM fb),
-cl AS (SELECT block_id, round_even(TRY_CAST(total_qty AS DOUBLE), 0)::BIGINT AS total_qty,
-         round_even(part_count, 0)::BIGINT AS part_count, supp_count, line_count, cust_balance, gross_value,
+cl AS (SELECT block_id, CASE WHEN TRY_CAST(total_qty AS DOUBLE) % 1 = 0 THEN TRY_CAST(total_qty AS DOUBLE)::BIGINT END AS total_qty,
+         CASE WHEN part_count % 1 = 0 THEN part_count::BIGINT END AS part_count, supp_count, line_count, cust_balance, gross_value,
          trim(segment) AS segment FROM ub)"""
 
 
@@ -775,11 +849,31 @@ def _screen_result() -> str:
     texts = "".join(f"WHEN pattern = {lit(k)} THEN {lit(v)} " for k, v in curvature.IMPLICATIONS.items())
     return f"""WITH {BLOCK}, {_screen()}
 SELECT feature, {r6('score')} AS deviation_score, pattern AS automated_screen,
-  'Review the corresponding LOWESS figure' AS visual_evidence, 'Not reviewed' AS analyst_decision,
-  CASE {texts}END AS provisional_model_implication, 'lowess_' || feature || '.png' AS figure_file,
+  'Bin means against the fitted line' AS visual_evidence, 'Not reviewed' AS analyst_decision,
+  CASE {texts}END AS provisional_model_implication,
   {lit(curvature.SCREEN_CAUTION)} AS caution, pattern AS exploratory_pattern FROM screen"""
 
 
+def _lowess_result(cells: int = 100) -> str:
+    """The screen with the bin means replaced by local lines through the cells."""
+    sql = _screen(bins=cells)
+    start, stop = sql.index("ms AS ("), sql.index("sc AS (")
+    local = """pa AS (SELECT a.feature, a.bin AS place, a.ax AS x0, b.m, b.ax - a.ax AS d, b.ay,
+  sum(b.m) OVER (PARTITION BY a.feature, a.bin ORDER BY abs(b.ax - a.ax)) AS upto,
+  sum(b.m) OVER (PARTITION BY a.feature, a.bin) AS every FROM bn a JOIN bn b USING (feature)),
+re AS (SELECT feature, place, min(abs(d)) FILTER (upto >= 0.25::DOUBLE * every) AS reach FROM pa GROUP BY feature, place),
+wt AS (SELECT feature, place, m * power(1 - power(coalesce(abs(d) / nullif(reach, 0), 0), 3), 3) AS w, d, ay
+  FROM pa JOIN re USING (feature, place) WHERE abs(d) <= reach),
+fi AS (SELECT feature, place, sum(w) AS w, sum(w * d) AS wd, sum(w * d * d) AS wdd, sum(w * ay) AS wy,
+  sum(w * d * ay) AS wdy FROM wt GROUP BY feature, place),
+cu AS (SELECT feature, place AS bin, CASE WHEN wdd - wd * wd / w <= 1e-12::DOUBLE * wdd THEN wy / w
+  ELSE (wy - (wdy - wd * wy / w) / (wdd - wd * wd / w) * wd) / w END AS curve FROM fi),
+ms AS (SELECT feature, sum(m * power(curve - (my - slope * mx + slope * ax), 2)) / sum(m) AS msq
+  FROM bn JOIN cu USING (feature, bin) JOIN ln USING (feature) GROUP BY feature),
+"""
+    return _screen_result().replace(_screen(), sql[:start] + local + sql[stop:])
+
+
 def _scatter() -> str:
     # The counts of lines, parts and suppliers are the columns most correlated with the target.
     return f"""WITH {BLOCK}
@@ -787,31 +881,111 @@ SELECT block_id, line_count, part_count, supp_count, {r6(b.TARGET)} AS {b.TARGET
 FROM ob ORDER BY md5(block_id::VARCHAR || '#42'), block_id LIMIT 1000"""
 
 
+def _fingerprint(source: str, columns: list[tuple[str, str, str]], shown: str = "n AS row_total, fingerprint") -> str:
+    """Length-prefixed fields, MD5 per row, sums of its four slices, MD5 with names and types.
+
+    Decimals do not occur and the doubles printed here have two decimals, which print plainly.
+    """
+    fields = " || ".join(f"coalesce(length({text}) || ':' || {text}, '~')" for _, _, text in columns)
+    header = "".join(f"{len(name)}:{name} {kind};" for name, kind, _ in columns)
+    slices = ", ".join(f"coalesce(sum(('0x' || substr(h, {1 + 8 * i}, 8))::BIGINT), 0)::VARCHAR AS p{i}" for i in range(4))
+    return f"""SELECT {shown} FROM (SELECT n, md5('{header}-' || n::VARCHAR || '-' || p0 || '-' || p1 || '-' || p2
+  || '-' || p3) AS fingerprint FROM (SELECT count(*) AS n, {slices} FROM (SELECT md5({fields}) AS h FROM {source})))"""
+
+
+def _pipeline() -> str:
+    """Each stage's SQL, fingerprinted over the columns that both engines print alike."""
+    known = {"long": "bigint", "int": "int", "text": "string"}
+
+    def columns(**kinds: str) -> list[tuple[str, str, str]]:
+        return [(n, known[k], f'"{n}"' if k == "text" else f'"{n}"::VARCHAR') for n, k in kinds.items()]
+
+    plain_issues = _issues("ob", VARIABLES, "")
+    found = {
+        "validation_issues": (
+            f"WITH {BLOCK}, {plain_issues} SELECT * FROM iss",
+            columns(severity="text", rule="text", column="text", affected_count="long", message="text"),
+        ),
+        "split_audit": (
+            f"WITH {SPLIT} SELECT split, stratum, count(*) AS observations FROM sp GROUP BY split, stratum",
+            columns(split="text", stratum="int", observations="long"),
+        ),
+        "logical_checks": (
+            f"WITH {SPLIT}, {_logical('tr')} SELECT check_name, n AS affected_observations, "
+            "CASE WHEN n = 0 THEN 'PASS' ELSE 'REVIEW' END AS status FROM lc",
+            columns(check_name="text", affected_observations="long", status="text"),
+        ),
+        "correlation_screen": (
+            f"WITH {SPLIT}, {_pairs(PREDICTORS, 'tr')} SELECT f1 AS feature_1, f2 AS feature_2 FROM cp "
+            f"WHERE abs(r) >= {HIGH_PAIRWISE}",
+            columns(feature_1="text", feature_2="text"),
+        ),
+        "outlier_summary": (
+            f"WITH {SPLIT}, {_outliers(source='tr')} SELECT variable, f AS iqr_flag_count, s AS modified_z_flag_count, "
+            "c AS combined_flag_count FROM osum",
+            columns(variable="text", iqr_flag_count="long", modified_z_flag_count="long", combined_flag_count="long"),
+        ),
+        "curvature_screen": (
+            f"WITH {SPLIT}, {_screen('tr')} SELECT feature, pattern AS automated_screen FROM screen",
+            columns(feature="text", automated_screen="text"),
+        ),
+        "candidate_variables": (
+            _candidates(), columns(feature="text", observed_linear_association="text", exploratory_nonlinearity="text"),
+        ),
+        "modelling_challenges": (
+            _challenges(SPLIT, "tr", b.TARGET, MEASURED, VARIABLES, False), columns(challenge="text", evidence="text"),
+        ),
+        "notes": (_findings(), columns(section="text", position="int", note="text")),
+        "feature_repository": (
+            _repository(),
+            columns(feature_id="text", feature_name="text", source_columns="text", priority="text", analyst_decision="text"),
+        ),
+        "feature_dependencies": (_dependencies(), columns(feature_name="text", source_variable="text")),
+        "splits": (
+            f"WITH {SPLIT} SELECT block_id, stratum, split FROM sp",
+            columns(block_id="long", stratum="int", split="text"),
+        ),
+        "prepared": (
+            f"WITH {SPLIT} SELECT block_id, split FROM sp WHERE {b.TARGET} IS NOT NULL", columns(block_id="long", split="text"),
+        ),
+    }
+    return union(
+        f"SELECT '{stage}' AS stage, row_total, fingerprint FROM ({_fingerprint(f'({sql})', shown)})"
+        for stage, (sql, shown) in found.items()
+    )
+
+
+def _wide() -> str:
+    powers = [f"power({c} / 100.0::DOUBLE, {p}) AS {c}_{p}" for p in (2, 3) for c in MEASURED]
+    others = ", ".join(f"{c}::DOUBLE AS {c}" for c in MEASURED if c != "total_qty")
+    names = [*MEASURED, *[f"{c}_{p}" for p in (2, 3) for c in MEASURED], "unit"]
+    return f"""WITH {BLOCK}, wb AS (SELECT CASE WHEN block_id % 11 <> 0 THEN total_qty END AS total_qty, {others},
+  {', '.join(powers)}, 1.0::DOUBLE AS unit FROM ob), {_matrix(names, 'wb')}
+SELECT f1 AS feature_1, f2 AS feature_2, {r6('r')} AS correlation FROM mx"""
+
+
 def oracles() -> dict[str, str]:
     """Query name to SQL. Queries without exact SQL (tree models, local regression) are left out."""
     schema = SCHEMA()
     declared = ", ".join(
         f"({lit(r.name)}, {lit(r.nullable)}, {lit(r.missing_treatment)})" for r in schema.rules
     )
-    fields = " || '|' || ".join(
-        f"coalesce('=' || {e}, '~')"
-        for e in (
-            "o_orderkey::VARCHAR", "o_custkey::VARCHAR", "o_orderstatus",
-            "round(o_totalprice, 6)::DECIMAL(28,6)::VARCHAR", "strftime(o_orderdate, '%Y-%m-%d %H:%M:%S.%f')",
-            "o_orderpriority",
-        )
-    )
-    slices = ", ".join(f"sum(('0x' || substr(h, {1 + 8 * i}, 8))::BIGINT)::VARCHAR AS p{i}" for i in range(4))
     quantity = "total_qty / nullif(line_count, 0)"
     moments = [*b.NUMBERS, b.TARGET]
     weights = {"total_qty": 0.5, "line_count": 0.3, "cust_balance": 0.2}
-    return {
+    found = {
         "scan_normalised": f"""SELECT event_id, user_id, event_type,
   CASE WHEN event_id % 97 = 0 OR event_id % 101 = 0 THEN NULL ELSE {r6('value')} END AS value FROM events""",
-        "dataset_fingerprint": f"""WITH h AS (SELECT md5({fields}) AS h FROM orders),
-f AS (SELECT count(*) AS n, {slices} FROM h)
-SELECT n AS row_total, 6::BIGINT AS column_total,
-  md5(n::VARCHAR || '-' || p0 || '-' || p1 || '-' || p2 || '-' || p3) AS fingerprint FROM f""",
+        "dataset_fingerprint": _fingerprint(
+            "orders",
+            [
+                ("o_orderkey", "bigint", "o_orderkey::VARCHAR"), ("o_custkey", "bigint", "o_custkey::VARCHAR"),
+                ("o_orderstatus", "string", "o_orderstatus"), ("o_totalprice", "double", "o_totalprice::VARCHAR"),
+                ("o_orderdate", "timestamp_ntz", "strftime(o_orderdate, '%Y-%m-%d %H:%M:%S.%f')"),
+                ("o_orderpriority", "string", "o_orderpriority"),
+            ],
+            "n AS row_total, 6::BIGINT AS column_total, fingerprint",
+        ),
         "coerce_numeric": f"""SELECT event_id, CASE WHEN event_id % 97 = 0 OR event_id % 101 = 0
   OR event_type = 'error' THEN NULL ELSE {r6('value')} END AS value FROM events""",
         "schema_clean": f"WITH {UNTIDY} SELECT block_id, total_qty, part_count, supp_count, line_count, "
@@ -849,6 +1023,11 @@ p AS (SELECT column_name, count(*) AS tested_values,
         count(coalesce(try_strptime(t, '%Y-%m-%d'), try_strptime(t, '%m/%d/%Y'))) AS parsed_values
       FROM c WHERE t IS NOT NULL GROUP BY column_name)
 SELECT *, parsed_values::DOUBLE / tested_values >= 0.9 AS datetime_candidate FROM p""",
+        "precise_values": """SELECT CASE o_orderkey % 6 WHEN 0 THEN 0.1::DOUBLE + 0.2::DOUBLE WHEN 1 THEN 0.3::DOUBLE
+  WHEN 2 THEN 1e-20::DOUBLE WHEN 3 THEN 2e-20::DOUBLE ELSE 0.0::DOUBLE END AS number, count(*) AS frequency,
+  5::BIGINT AS unique_count FROM orders GROUP BY 1""",
+        "unexpected_values": """SELECT 'user' AS "column", user_id::VARCHAR AS value, count(*) AS affected_count
+FROM events WHERE user_id NOT IN (1, 2, 3) GROUP BY user_id""",
         "categorical_candidates": f"""WITH {FAULTY}, {_frequencies(BLOCK_COLUMNS, 'fb')},
 t AS (SELECT column_name, count(v) AS u, sum(n) FILTER (v IS NOT NULL) AS present, sum(n) AS total
       FROM vf GROUP BY column_name)
@@ -887,8 +1066,20 @@ SELECT column_name AS feature, missing AS missing_count, round(100.0 * missing /
         ),
         "correlation_matrix": f"""WITH {BLOCK_UNIT}, {_matrix(MATRIX_COLUMNS, 'ou')}
 SELECT f1 AS feature_1, f2 AS feature_2, {r6('r')} AS correlation FROM mx""",
+        "correlation_wide": _wide(),
+        "pipeline_summary": _pipeline(),
+        "ridge_normal_equations": union(f"SELECT '{n}' AS feature, 0.0::DOUBLE AS gap" for n in ["(intercept)", *_layout()]),
+        "validation_issues_all_rules": f"""WITH {BLOCK}
+SELECT 'ERROR' AS severity, 'required_columns' AS rule, '' AS "column", 1 AS affected_count, 'Missing columns: not_there' AS message
+UNION ALL SELECT 'ERROR', 'maximum_bound', 'line_count', count(*), 'Values above maximum 5.0.' FROM ob WHERE line_count > 5
+UNION ALL SELECT 'ERROR', 'storage_type', 'segment', count(*), 'Expected numeric; observed string.' FROM ob
+UNION ALL SELECT 'ERROR', 'storage_type', 'total_qty', count(*), 'Expected string; observed double.' FROM ob
+UNION ALL SELECT 'ERROR', 'missing_values', 'segment', count(*), 'Missing values found in non-nullable column.' FROM ob
+  WHERE segment IS NULL HAVING count(*) > 0
+UNION ALL SELECT 'ERROR', 'missing_values', 'total_qty', count(*), 'Missing values found in non-nullable column.' FROM ob
+  WHERE total_qty IS NULL HAVING count(*) > 0""",
         "correlation_heatmap": f"""WITH {BLOCK}, {_matrix(MEASURED, 'ob')}
-SELECT i AS row_index, j AS column_index, f1 AS feature_1, f2 AS feature_2, round(r, 3) AS correlation FROM mx""",
+SELECT i AS row_index, j AS column_index, f1 AS feature_1, f2 AS feature_2, {r6('round(r, 3)')} AS correlation FROM mx""",
         "target_correlations": f"""WITH {BLOCK}, {_correlations()}
 SELECT feature, {r6('r')} AS correlation_with_target, {r6('abs(r)')} AS absolute_correlation FROM tc""",
         "correlation_screen": f"""WITH {BLOCK}, {_pairs(PREDICTORS)}
@@ -920,8 +1111,12 @@ SELECT floor(cust_balance / 1000.0)::INTEGER AS cell_x, floor(total_qty / 25.0):
   count(*) AS observations, {r6(f'avg({b.TARGET})')} AS mean_value FROM ob
 WHERE cust_balance IS NOT NULL AND total_qty IS NOT NULL GROUP BY 1, 2""",
         "curvature_binned": _screen_result(),
+        "lowess_screen": _lowess_result(),
         "candidate_variables": _candidates(),
-        "modelling_challenges": _challenges(),
+        "modelling_challenges": _challenges(SPLIT, "tr", b.TARGET, MEASURED, VARIABLES, False),
+        "modelling_challenges_all": _challenges(
+            f"{BLOCK}, {STRAINED}", "sb", "strained_value", STRAINED_MEASURED, STRAINED_COLUMNS, True
+        ),
         "eda_findings": _findings(),
         "pattern_summary": _patterns(),
         "eda_headline": _headline(),
@@ -960,7 +1155,7 @@ WHERE cust_balance IS NOT NULL AND total_qty IS NOT NULL GROUP BY 1, 2""",
         "category_groups": f"""WITH {BLOCK} SELECT block_id, segment,
   CASE WHEN segment IN ('FURNITURE', 'HOUSEHOLD', 'BUILDING') THEN 'HOME' ELSE 'OTHER' END AS segment_group FROM ob""",
         "nearest_distance": _nearest(),
-        "feature_recommendations": f"WITH {BLOCK}, {_recommendations()} SELECT * FROM re",
+        "feature_recommendations": f"WITH {SPLIT}, {_recommendations()} SELECT * FROM re",
         "feature_plan": f"WITH {_plan()} SELECT {', '.join(ASSET_COLUMNS)} FROM plan",
         "feature_repository": _repository(),
         "feature_dependencies": _dependencies(),
@@ -982,3 +1177,9 @@ SELECT block_id, split, {r6('coalesce(total_qty, q)')} AS total_qty, {r6(f'coale
 SELECT o_orderstatus, {r6('sqrt(avg(power(a - p, 2)))')} AS rmse, {r6('avg(abs(a - p))')} AS mae,
   {r6('1 - sum(power(a - p, 2)) / nullif(var_pop(a) * count(*), 0)')} AS r2 FROM e GROUP BY o_orderstatus""",
     }
+    # The same results by the ways that large tables take.
+    found |= {
+        f"{name}_narrowed": found[name]
+        for name in ("outlier_summary", "curvature_binned", "stratified_split", "median_impute")
+    }
+    return found

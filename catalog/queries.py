@@ -14,6 +14,8 @@ from plumbline.functions.durable import kept
 from plumbline.operators import (
     curvature, eda, features, figures, findings, governance, models, outliers, prep, profile, split, validate,
 )
+from plumbline.plans import rules, workflow
+from plumbline.schema import ColumnRule, SemanticSchema
 from plumbline.sources import fingerprint, registry, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -91,6 +93,24 @@ def validation_issues(spark, sf):
     return validate.validation_issues(b.faulty_block(spark, sf), b.block_schema())
 
 
+@query
+def validation_issues_all_rules(spark, sf):
+    """Branches that the order table does not take: an absent column, a wrong type, a maximum."""
+    counted = {"semantic_type": "count", "minimum": 0.0, "whole_number": True}
+    schema = SemanticSchema(
+        (
+            ColumnRule("line_count", maximum=5.0, **counted),
+            ColumnRule("segment", **counted),
+            ColumnRule("total_qty", "nominal_categorical", storage="string"),
+            ColumnRule("not_there", **counted),
+            ColumnRule("block_id", **counted),
+        ),
+        (),
+    )
+    block = _block(spark, sf).select("block_id", "line_count", "segment", "total_qty")
+    return validate.validation_issues(block, schema)
+
+
 @query
 def validation_observations(spark, sf):
     return b.shown(validate.validation_observations(b.faulty_block(spark, sf), b.block_schema(), rules=None))
@@ -106,6 +126,14 @@ def validation_summary(spark, sf):
     return validate.validation_summary(b.faulty_block(spark, sf), b.block_schema())
 
 
+@query
+def unexpected_values(spark, sf):
+    """More bad values than any message could list."""
+    events = b.table(spark, sf, "events").select(F.col("user_id").cast("string").alias("user"))
+    rule = ColumnRule("user", "nominal_categorical", storage="string", allowed_values=("1", "2", "3"))
+    return validate.unexpected_values(events, SemanticSchema((rule,), ()))
+
+
 @query
 def logical_checks(spark, sf):
     return validate.logical_checks(b.faulty_block(spark, sf), b.block_schema())
@@ -135,6 +163,18 @@ def datetime_candidates(spark, sf):
     return profile.datetime_candidates(orders)
 
 
+@query
+def precise_values(spark, sf):
+    """Doubles that differ in their last digits, tiny ones, and both zeros."""
+    k, tenth = F.col("o_orderkey") % 6, F.lit(0.1)
+    value = (
+        F.when(k == 0, tenth + F.lit(0.2)).when(k == 1, F.lit(0.3)).when(k == 2, F.lit(1e-20)).when(k == 3, F.lit(2e-20))
+        .when(k == 4, F.lit(-0.0)).otherwise(F.lit(0.0))
+    )
+    counted = profile.value_frequencies(b.table(spark, sf, "orders").select(value.alias("value")))
+    return counted.join(profile.distinct_counts(counted), "column_name").select("number", "frequency", "unique_count")
+
+
 @query
 def categorical_candidates(spark, sf):
     return b.shown(profile.categorical_candidates(b.faulty_block(spark, sf)))
@@ -212,6 +252,18 @@ def correlation_matrix(spark, sf):
     return b.shown(eda.correlation_matrix(block, [*MEASURED, "unit"]))
 
 
+@query
+def correlation_wide(spark, sf):
+    """More pairs than one aggregation holds, some columns with gaps, one constant."""
+    columns = {name: F.col(name).cast("double") for name in MEASURED}
+    columns["total_qty"] = F.when(F.col(b.KEY) % 11 != 0, F.col("total_qty"))
+    for power in (2, 3):
+        columns |= {f"{name}_{power}": F.pow(F.col(name) / 100.0, F.lit(float(power))) for name in MEASURED}
+    columns["unit"] = F.lit(1.0)
+    block = _block(spark, sf).select(*[column.alias(name) for name, column in columns.items()])
+    return b.shown(eda.correlation_matrix(block))
+
+
 @query
 def correlation_heatmap(spark, sf):
     return b.shown(figures.heatmap_cells(_block(spark, sf), MEASURED))
@@ -237,6 +289,16 @@ def outlier_summary(spark, sf):
     return b.shown(outliers.outlier_summary(_block(spark, sf), MEASURED))
 
 
+# Groups above so many rows take the way of large groups: counted cells instead of a sort.
+FEW = 500
+
+
+@query
+def outlier_summary_narrowed(spark, sf):
+    block = _block(spark, sf)
+    return b.shown(outliers.outlier_summary(block, MEASURED, outliers.fit_fences(block, MEASURED, bounded=FEW)))
+
+
 @query
 def outlier_iqr_only(spark, sf):
     return b.shown(outliers.outlier_iqr_only(b.table(spark, sf, "documents"), ["n_chars"]))
@@ -280,13 +342,20 @@ def curvature_binned(spark, sf):
     return b.shown(curvature.binned_screen(_block(spark, sf), b.NUMBERS, b.TARGET))
 
 
+@query
+def curvature_binned_narrowed(spark, sf):
+    scores = curvature.binned_scores(_block(spark, sf), b.NUMBERS, b.TARGET, bounded=FEW)
+    return b.shown(curvature.screen_table(scores))
+
+
 @query
 def lowess_screen(spark, sf):
-    return b.shown(curvature.lowess_screen(_block(spark, sf), b.NUMBERS, b.TARGET, b.KEY))
+    return b.shown(curvature.lowess_screen(_block(spark, sf), b.NUMBERS, b.TARGET))
 
 
 def _columns_only(spark, sf):
-    return _block(spark, sf).drop(b.KEY)
+    """The training rows, without key and split: what is explored must not see held-out rows."""
+    return prep.training_rows(_split(spark, sf)).drop(b.KEY, "split", "stratum")
 
 
 def _outliers(block):
@@ -311,35 +380,48 @@ def candidate_variables(spark, sf):
     )
 
 
-@query
-def modelling_challenges(spark, sf):
-    block = _columns_only(spark, sf)
-    return findings.modelling_challenges(
+def _facts(block, target, measured, **more):
+    predictors = [c for c in measured if c != target]
+    return findings.facts(
         block,
-        b.TARGET,
-        eda.moment_table(block, [b.TARGET]),
-        profile.null_counts(block),
-        eda.correlation_screen(block, b.TARGET, MEASURED),
-        _screen(block),
-        _outliers(block),
+        target,
+        shape=eda.moment_table(block, [target]),
+        gaps=profile.null_counts(block),
+        correlations=eda.target_correlations(block, target, measured),
+        pairs=eda.correlation_screen(block, target, measured),
+        screen=curvature.binned_screen(block, predictors, target),
+        outliers=outliers.outlier_summary(block, measured),
+        **more,
     )
 
 
+@query
+def modelling_challenges(spark, sf):
+    return findings.modelling_challenges(_facts(_columns_only(spark, sf), b.TARGET, MEASURED), rules.CHALLENGES)
+
+
+STRAINED = ["total_qty", "line_count", "part_count", "cust_balance", "spiked", "strained_value"]
+
+
+@query
+def modelling_challenges_all(spark, sf):
+    block = b.strained_block(spark, sf).drop(b.KEY)
+    return findings.modelling_challenges(_facts(block, STRAINED[-1], STRAINED), rules.CHALLENGES)
+
+
 @query
 def eda_findings(spark, sf):
     block = _columns_only(spark, sf)
-    shape = kept(eda.moment_table(block, [b.TARGET]))
-    gaps, known = kept(profile.null_counts(block)), _correlations(block)
-    checks = validate.logical_checks(block, b.block_schema())
-    modal = findings.most_frequent(profile.value_counts(block, b.CATEGORY))
-    return findings.notes_table(
+    known = _facts(
         block,
-        {
-            "eda": findings.eda_notes(b.TARGET, shape, known, _outliers(block), gaps),
-            "understanding": findings.understanding_notes(gaps, checks),
-            "insight": findings.insight_notes(b.TARGET, shape, gaps, known, "cust_balance", b.CATEGORY, modal),
-        },
+        b.TARGET,
+        MEASURED,
+        checks=validate.logical_checks(block, b.block_schema()),
+        counts=profile.value_counts(block, b.CATEGORY),
+        feature="cust_balance",
+        category=b.CATEGORY,
     )
+    return findings.notes(known, rules.NOTES)
 
 
 PATTERNS = (
@@ -370,7 +452,7 @@ def eda_headline(spark, sf):
     return findings.eda_headline(
         block,
         b.TARGET,
-        kept(eda.correlation_screen(block, b.TARGET, MEASURED)),
+        eda.correlation_screen(block, b.TARGET, MEASURED),
         _screen(block),
         kept(governance.feature_recommendations(block, b.RATIOS, b.INTERACTIONS)),
     )
@@ -389,6 +471,14 @@ def stratified_split(spark, sf):
     return _split(spark, sf).select(b.KEY, "stratum", "split")
 
 
+@query
+def stratified_split_narrowed(spark, sf):
+    made = split.stratified_split(
+        _block(spark, sf), b.KEY, b.STRATUM, b.EDGES, seed=b.SEED, boundary_rows=40, prefix_digits=1
+    )
+    return made.select(b.KEY, "stratum", "split")
+
+
 @query
 def split_audit(spark, sf):
     return b.shown(split.split_audit(_split(spark, sf)))
@@ -569,6 +659,14 @@ def median_impute(spark, sf):
     return b.shown(prep.median_impute(rows, medians))
 
 
+@query
+def median_impute_narrowed(spark, sf):
+    rows = _split(spark, sf).select(b.KEY, "split", "total_qty", b.TARGET)
+    rows = rows.withColumn("empty_column", F.lit(None).cast("double"))
+    medians = prep.fit_medians(prep.training_rows(rows), ["total_qty", b.TARGET, "empty_column"], bounded=FEW)
+    return b.shown(prep.median_impute(rows, medians))
+
+
 def _prepared(spark, sf):
     rows = _split(spark, sf)
     fitted = prep.fit_preparation(prep.training_rows(rows), b.SELECTED, b.TARGET, b.RATIOS)
@@ -597,6 +695,7 @@ class Trained:
     layout: list[str]
     prepared: DataFrame
     comparison: list
+    seconds: dict[str, float]
 
     def part(self, name: str) -> DataFrame:
         return self.prepared.where(F.col("split") == name)
@@ -616,10 +715,11 @@ def trained(spark: SparkSession, sf: str) -> Trained:
         prepared, fitted = _prepared(spark, sf)
         layout = fitted.layout
         rows = prepared.where(F.col("split") == split.TRAIN)
-        made = models.train_models(rows, layout, b.TARGET)
+        seconds: dict[str, float] = {}
+        made = models.train_models(rows, layout, b.TARGET, seconds=seconds)
         check = prepared.where(F.col("split") == split.VALIDATION)
         comparison = models.model_comparison(made, check, layout, b.TARGET).collect()
-        _TRAINED[place] = Trained(made, layout, prepared, comparison)
+        _TRAINED[place] = Trained(made, layout, prepared, comparison, seconds)
     return _TRAINED[place]
 
 
@@ -640,6 +740,14 @@ def ridge_coefficients(spark, sf):
     return models.ridge_coefficients(t.models[models.RIDGE], t.layout, t.prepared)
 
 
+@query
+def ridge_normal_equations(spark, sf):
+    prepared, fitted = _prepared(spark, sf)
+    rows = prep.training_rows(prepared)
+    made = models.train_models(rows, fitted.layout, b.TARGET, only=[models.RIDGE])
+    return b.shown(models.ridge_normal_equations(made[models.RIDGE], rows, fitted.layout, b.TARGET))
+
+
 @query
 def feature_importance(spark, sf):
     t = trained(spark, sf)
@@ -686,3 +794,45 @@ def regression_metrics(spark, sf):
     orders = b.table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
     paired = orders.join(_block(spark, sf), F.col("o_orderkey") == F.col(b.KEY))
     return b.shown(models.regression_metrics(paired, "o_totalprice", b.TARGET, by=["o_orderstatus"]))
+
+
+# The end-to-end run
+
+
+def _run_plan() -> workflow.RunPlan:
+    return workflow.RunPlan(
+        b.block_schema(), b.KEY, b.STRATUM, b.EDGES, b.SELECTED, b.RATIOS, stop_on_failed_validation=False,
+        interactions=b.INTERACTIONS, domain=b.DOMAIN, spline_columns=b.NUMBERS[:1], feature="cust_balance",
+        category=b.CATEGORY, seed=b.SEED,
+    )
+
+
+# Of each stage the columns that two engines print alike.
+STAGE_COLUMNS = {
+    "validation_issues": ["severity", "rule", "column", "affected_count", "message"],
+    "split_audit": ["split", "stratum", "observations"],
+    "logical_checks": ["check_name", "affected_observations", "status"],
+    "correlation_screen": ["feature_1", "feature_2"],
+    "outlier_summary": ["variable", "iqr_flag_count", "modified_z_flag_count", "combined_flag_count"],
+    "curvature_screen": ["feature", "automated_screen"],
+    "candidate_variables": ["feature", "observed_linear_association", "exploratory_nonlinearity"],
+    "modelling_challenges": ["challenge", "evidence"],
+    "notes": ["section", "position", "note"],
+    "feature_repository": ["feature_id", "feature_name", "source_columns", "priority", "analyst_decision"],
+    "feature_dependencies": ["feature_name", "source_variable"],
+}
+
+
+@query
+def pipeline_summary(spark, sf):
+    """Rows and fingerprint of every deterministic stage of the end-to-end run."""
+    explored = workflow.explore(_block(spark, sf), _run_plan())
+    staged = {name: (explored.tables[name], columns) for name, columns in STAGE_COLUMNS.items()}
+    staged["splits"] = explored.splits, [b.KEY, "stratum", "split"]
+    staged["prepared"] = explored.prepared, [b.KEY, "split"]
+    rows = []
+    for stage, (table, columns) in staged.items():
+        found = fingerprint.dataset_fingerprint(table, columns).first()
+        rows.append((stage, found["row_total"], found["fingerprint"]))
+    explored.forget()
+    return spark.createDataFrame(rows, "stage string, row_total long, fingerprint string")

@@ -34,6 +34,18 @@ def durable(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def forget(*frames: DataFrame) -> None:
+    """Delete tables written by `durable` that nothing reads any more."""
+    for frame in frames:
+        spark = frame.sparkSession
+        conf = spark._jsparkSession.sessionState().newHadoopConf()
+        folder = shared_folder(spark).rstrip("/").removeprefix("file:").lstrip("/")
+        for file in frame.inputFiles()[:1]:
+            parent = spark._jvm.org.apache.hadoop.fs.Path(file).getParent()
+            if f"{folder}/plumbline/" in parent.toString():
+                parent.getFileSystem(conf).delete(parent, True)
+
+
 SMALL_ROWS = 100_000
 
 

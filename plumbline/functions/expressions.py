@@ -73,15 +73,20 @@ def seeded_hash(key: Column, seed: int) -> Column:
     return F.md5(F.concat(key.cast("string"), F.lit(f"#{seed}")))
 
 
+def number_text(number: Column) -> Column:
+    """A double as text with all digits that tell it apart, in plain notation such as ``880.0``."""
+    full = number.cast("string")
+    digits = F.rtrim(full.try_cast("decimal(38,21)").cast("string"), F.lit("0"))
+    plain = F.when(F.endswith(digits, F.lit(".")), F.concat(digits, F.lit("0"))).otherwise(digits)
+    in_range = (F.abs(number) >= F.lit(1e-4)) & (F.abs(number) < F.lit(1e16))
+    return F.when(in_range, plain).otherwise(full)
+
+
 def display_text(df: DataFrame, name: str) -> Column:
-    """A value as text; doubles in plain decimal notation such as ``880.0``."""
+    """A value as text."""
     column = quoted(name)
     if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
-        number = column.cast("double")
-        digits = F.rtrim(number.try_cast("decimal(38,15)").cast("string"), F.lit("0"))
-        plain = F.when(F.endswith(digits, F.lit(".")), F.concat(digits, F.lit("0"))).otherwise(digits)
-        in_range = (F.abs(number) >= F.lit(1e-4)) & (F.abs(number) < F.lit(1e16))
-        return F.when(in_range, plain).otherwise(number.cast("string"))
+        return number_text(column.cast("double"))
     return column.cast("string")
 
 

@@ -1,18 +1,18 @@
-"""Exact quantiles with linear interpolation that keep every task bounded.
+"""Exact quantiles with linear interpolation that keep every task and shuffle bounded.
 
 A group is sorted inside one task only when its counted size is at most ``bounded``
-(about three times faster there than Spark's ``percentile``). Larger groups take two
-more scans of the data:
-
-1. a sketch over a random sample of the group suggests, for each wanted quantile, an
-   interval of values that holds about 1 % of the rows;
-2. one aggregation counts the rows of every distinct value inside the intervals and
-   lumps together the rest, so the rank of each interval is known exactly. An interval
-   that misses its rank is detected by these counts and widened.
-
-The counted values are written once. If an interval still has more than ``bounded``
-distinct values, it is cut further on that small table by exact counts, never on the
-data. A value that fills a third of the table is a single row there.
+(about three times faster there than Spark's ``percentile``). In larger groups
+
+1. a sketch over a random sample suggests, for each wanted rank, an interval of values;
+2. a scan counts the rows below, above and in each of CELLS even cells of every interval,
+   and notes the least and greatest value of each. The cells that hold the wanted ranks
+   follow exactly, also where the sample was misleading: then it is the rows beside the
+   interval. Their least and greatest values are the next interval, until it holds at most
+   ``bounded`` rows or one value;
+3. a last scan counts the values inside the final intervals.
+
+Counts are combined in every task, so what is shuffled depends on the number of intervals
+and cells, not on the table. A value that fills a third of the table is one interval of its own.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbline.functions.durable import durable
+from plumbline.functions.durable import durable, forget
 from plumbline.functions.expressions import INFINITY, finite
 from plumbline.schema import quoted
 
@@ -32,8 +32,9 @@ SKETCH_ACCURACY = 10_000
 SAMPLE_ROWS = 500_000
 # Grid cells added on both sides: five standard errors of a sampled median rank.
 SAMPLE_MARGIN = 4
+CELLS = 1024
 SEED = 42
-BROADCAST_GROUPS = 200_000
+BROADCAST_BYTES = 64 << 20
 
 
 def _between(low: Column, high: Column, share: Column) -> Column:
@@ -93,8 +94,9 @@ def grouped_quantiles(
 
 
 def _sized(side: DataFrame, groups: int) -> DataFrame:
-    """Broadcast a table of one short row per large group, up to a checked number of them."""
-    return F.broadcast(side) if groups <= BROADCAST_GROUPS else side
+    """Broadcast a table with one row of numbers per large group, up to a checked size in bytes."""
+    width = 32 + 16 * len(side.columns)
+    return F.broadcast(side) if groups * width <= BROADCAST_BYTES else side
 
 
 def _with_state(pairs: DataFrame, state: DataFrame, keys: list[str], groups: int) -> DataFrame:
@@ -114,21 +116,23 @@ def _narrowed(
     pairs: DataFrame, large: DataFrame, keys: list[str], probs: list[float], bounded: int, groups: int
 ) -> DataFrame:
     """Quantiles of the large groups."""
-    grids = durable(_sampled_grid(pairs, large, keys, groups))
-    margin = SAMPLE_MARGIN
-    while margin <= GRID:
-        brackets = _brackets(grids, probs, margin)
-        counted = durable(_value_counts(pairs, brackets, keys, probs, groups))
-        state = durable(_ranks(counted, brackets, keys, probs))
-        if state.where("rank < 0 OR rank + step >= rows").isEmpty():
-            inside = [F.when(F.col(f"c{i}") == 1, F.lit(i)) for i in range(len(probs))]
-            rows = counted.select(
-                *[quoted(k) for k in keys], "_v", "_w", F.explode(F.array_compact(F.array(*inside))).alias("_slot")
-            )
-            return _ranked_values(*_cut_down(rows, state, [*keys, "_slot"], bounded), keys)
-        # Some interval misses its rank: the sample was unlucky, take wider ones.
-        margin *= 4
-    raise ArithmeticError("No interval of values holds the wanted rank.")
+    state = durable(_first_intervals(_sampled_grid(pairs, large, keys, groups), keys, probs))
+    while not state.where((F.col("rows") > bounded) & F.col("low").isNull()).isEmpty():
+        open_ = state.where("low IS NULL")
+        after = durable(_next_intervals(pairs, open_, keys, len(probs), groups).unionByName(state.where("low IS NOT NULL")))
+        forget(state)
+        state = after
+    listed = state.where("low IS NULL")
+    wide = _side_by_side(listed, keys, len(probs), ("lo", "hi"))
+    v = F.col("_v")
+    inside = [
+        F.when(v.between(F.col(f"lo{i}"), F.col(f"hi{i}")), F.struct(F.lit(i).alias("_slot"), v.alias("_v")))
+        for i in range(len(probs))
+    ]
+    values = _with_state(pairs, wide, keys, groups).select(
+        *[quoted(k) for k in keys], F.inline(F.array_compact(F.array(*inside)))
+    )
+    return _ranked_values(values.groupBy(*keys, "_slot", "_v").agg(F.count(F.lit(1)).alias("_w")), state, keys)
 
 
 def _sampled_grid(pairs: DataFrame, large: DataFrame, keys: list[str], groups: int) -> DataFrame:
@@ -144,130 +148,114 @@ def _even_ranks() -> Column:
     return F.expr("array(" + ", ".join(f"{g / GRID!r}D" for g in range(GRID + 1)) + ")")
 
 
-def _brackets(grids: DataFrame, probs: list[float], margin: int) -> DataFrame:
-    """Interval ``[lo, hi]`` of each wanted rank, open-ended near the ends of the group."""
-    chosen = []
-    for i, p in enumerate(probs):
-        rank = F.floor(F.lit(p) * (F.col("n") - 1)).cast("long")
-        left = F.floor(rank * GRID / F.col("n")).cast("int") - margin
-        right = F.ceil((rank + 2) * GRID / F.col("n")).cast("int") + margin
-        chosen += [
-            rank.alias(f"k{i}"),
-            F.when(left > 0, F.get("grid", left)).otherwise(F.lit(-INFINITY)).alias(f"lo{i}"),
-            F.when(right < GRID, F.get("grid", right)).otherwise(F.lit(INFINITY)).alias(f"hi{i}"),
-        ]
-    return grids.select(*[c for c in grids.columns if c != "grid"], *chosen)
-
-
-def _value_counts(
-    pairs: DataFrame, brackets: DataFrame, keys: list[str], probs: list[float], groups: int
-) -> DataFrame:
-    """Rows per distinct value inside an interval; all other rows only by side.
-
-    ``c0, c1, ...`` say for each interval whether the value lies below (0), inside (1)
-    or above (2) it. Counts are combined in every task before the shuffle.
-    """
-    v = F.col("_v")
-    joined = _with_state(pairs, brackets, keys, groups)
-    sides, inside = [], F.lit(False)
-    for i in range(len(probs)):
-        side = F.when(v < F.col(f"lo{i}"), 0).when(v <= F.col(f"hi{i}"), 1).otherwise(2)
-        sides.append(side.alias(f"c{i}"))
-        inside = inside | v.between(F.col(f"lo{i}"), F.col(f"hi{i}"))
-    return joined.groupBy(*[quoted(k) for k in keys], *sides, F.when(inside, v).alias("_v")).agg(
-        F.count(F.lit(1)).alias("_w")
-    )
-
-
-def _ranks(counted: DataFrame, brackets: DataFrame, keys: list[str], probs: list[float]) -> DataFrame:
-    """Per group and interval: the wanted rank inside it, its rows and distinct values.
+def _first_intervals(grids: DataFrame, keys: list[str], probs: list[float]) -> DataFrame:
+    """``keys, _slot, lo, hi, rank, step, share, rows``: the sketch's interval of each wanted rank.
 
-    ``step`` is the distance to the second rank that interpolation needs, ``share`` its weight.
+    ``step`` is the distance to the second rank that interpolation needs, ``share`` its weight;
+    ``low`` and ``high`` are the values of both ranks once they are known.
     """
-    slots = range(len(probs))
-    sums = counted.groupBy(*keys).agg(
-        *[F.coalesce(F.sum(F.when(F.col(f"c{i}") == 0, F.col("_w"))), F.lit(0)).alias(f"below{i}") for i in slots],
-        *[F.coalesce(F.sum(F.when(F.col(f"c{i}") == 1, F.col("_w"))), F.lit(0)).alias(f"rows{i}") for i in slots],
-        *[F.count_if(F.col(f"c{i}") == 1).alias(f"values{i}") for i in slots],
-    )
-    same = [F.col(f"a.`{k}`").eqNullSafe(F.col(f"b.`{k}`")) for k in keys]
-    joined = sums.alias("a").join(brackets.alias("b"), same)
     cells = []
     for i, p in enumerate(probs):
-        k = F.col(f"k{i}")
+        rank = F.floor(F.lit(p) * (F.col("n") - 1)).cast("long")
+        left = F.floor(rank * GRID / F.col("n")).cast("int") - SAMPLE_MARGIN
+        right = F.ceil((rank + 2) * GRID / F.col("n")).cast("int") + SAMPLE_MARGIN
         cells.append(
             F.struct(
                 F.lit(i).alias("_slot"),
-                (k - F.col(f"below{i}")).alias("rank"),
-                (F.least(k + 1, F.col("n") - 1) - k).alias("step"),
-                (F.lit(p) * (F.col("n") - 1) - k).alias("share"),
-                F.col(f"rows{i}").alias("rows"),
-                F.col(f"values{i}").alias("distinct_values"),
+                F.get("grid", F.greatest(left, F.lit(0))).alias("lo"),
+                F.get("grid", F.least(right, F.lit(GRID))).alias("hi"),
+                rank.alias("rank"),
+                (F.least(rank + 1, F.col("n") - 1) - rank).alias("step"),
+                (F.lit(p) * (F.col("n") - 1) - rank).alias("share"),
+                F.col("n").alias("rows"),
+                # Nothing is cut away yet: ranks count from the first row of the group.
+                F.lit(-INFINITY).alias("from_value"),
+                F.lit(INFINITY).alias("to_value"),
+                F.lit(None).cast("double").alias("low"),
+                F.lit(None).cast("double").alias("high"),
             )
         )
-    return joined.select(*[F.col(f"a.`{k}`").alias(k) for k in keys], F.inline(F.array(*cells)))
-
+    return grids.select(*[quoted(k) for k in keys], F.inline(F.array(*cells)))
 
-def _same(left: str, right: str, keys: list[str]) -> list[Column]:
-    return [F.col(f"{left}.`{k}`").eqNullSafe(F.col(f"{right}.`{k}`")) for k in keys]
 
+def _side_by_side(state: DataFrame, keys: list[str], slots: int, names: Sequence[str]) -> DataFrame:
+    """One row per group with the named numbers of every slot."""
+    picked = [
+        F.max(F.when(F.col("_slot") == i, F.col(name))).alias(f"{name}{i}") for name in names for i in range(slots)
+    ]
+    return state.groupBy(*[quoted(k) for k in keys]).agg(*picked)
 
-def _cut_down(
-    rows: DataFrame, state: DataFrame, keys: list[str], bounded: int
-) -> tuple[DataFrame, DataFrame]:
-    """Cut intervals with too many distinct values by exact counts, a thousandfold a round.
 
-    Works on the table of counted values. ``keys`` include the interval.
-    """
-    while state.agg(F.max("distinct_values")).first()[0] > bounded:
-        groups = state.count()
-        kept = F.rand(SEED) < F.lit(float(SAMPLE_ROWS)) / F.col("distinct_values")
-        grids = _with_state(rows, state.select(*keys, "distinct_values"), keys, groups).where(kept).groupBy(
-            *keys).agg(F.percentile_approx("_v", _even_ranks(), F.lit(SKETCH_ACCURACY)).alias("edges"))
-        placed = _with_state(rows, durable(grids), keys, groups).withColumn(
-            "cell", F.expr("size(filter(array_distinct(edges), e -> e < _v))")
-        ).drop("edges")
-        placed = durable(placed)
-        # At most 1,002 cells per interval.
-        upto = Window.partitionBy(*keys).orderBy("cell")
-        cells = placed.groupBy(*keys, "cell").agg(F.sum("_w").alias("cell_rows"), F.count("_v").alias("cell_values"))
-        running = cells.withColumn("upto", F.sum("cell_rows").over(upto))
-        wanted = running.alias("a").join(state.alias("b"), _same("a", "b", keys)).select(
-            *[F.col(f"a.`{k}`").alias(k) for k in keys], "cell", "cell_rows", "cell_values", "upto",
-            "rank", "step", "share",
-        )
-        first, last = F.col("upto") > F.col("rank"), F.col("upto") - F.col("cell_rows") <= F.col("rank") + F.col("step")
-        state = durable(
-            wanted.where(first & last).groupBy(*keys).agg(
-                (F.max("rank") - F.min(F.col("upto") - F.col("cell_rows"))).alias("rank"),
-                F.max("step").alias("step"),
-                F.max("share").alias("share"),
-                F.sum("cell_rows").alias("rows"),
-                F.sum("cell_values").alias("distinct_values"),
-                F.min("cell").alias("from_cell"),
-                F.max("cell").alias("to_cell"),
-            )
-        )
-        limits = state.select(*keys, "from_cell", "to_cell")
-        rows = durable(
-            _with_state(placed, limits, keys, groups)
-            .where(F.col("cell").between(F.col("from_cell"), F.col("to_cell")))
-            .select(*[quoted(k) for k in keys], "_v", "_w")
+def _next_intervals(pairs: DataFrame, state: DataFrame, keys: list[str], slots: int, groups: int) -> DataFrame:
+    """Count the cells of every interval and keep those that hold its ranks."""
+    v = F.col("_v")
+    wide = _side_by_side(state, keys, slots, ("lo", "hi", "from_value", "to_value"))
+    codes = []
+    for i in range(slots):
+        lo, hi = F.col(f"lo{i}"), F.col(f"hi{i}")
+        cell = F.least(F.floor((v - lo) / F.nullif(hi - lo, F.lit(0.0)) * CELLS), F.lit(CELLS - 1)).cast("int")
+        code = F.when(v < lo, -1).when(v > hi, CELLS).otherwise(F.coalesce(cell, F.lit(0)))
+        codes.append(F.when(v.between(F.col(f"from_value{i}"), F.col(f"to_value{i}")), code).alias(f"_c{i}"))
+    # Codes rise with the value, so the number of their combinations is the sum of the cells.
+    counted = (
+        _with_state(pairs, wide, keys, groups)
+        .groupBy(*[quoted(k) for k in keys], *codes)
+        .agg(F.count(F.lit(1)).alias("w"), F.min("_v").alias("least"), F.max("_v").alias("most"))
+    )
+    by_slot = [
+        F.when(
+            F.col(f"_c{i}").isNotNull(),
+            F.struct(F.lit(i).alias("_slot"), F.col(f"_c{i}").alias("code"), "w", "least", "most"),
         )
-    return rows, state
+        for i in range(slots)
+    ]
+    each = counted.select(*[quoted(k) for k in keys], F.inline(F.array_compact(F.array(*by_slot))))
+    slotted = [*keys, "_slot"]
+    cells = each.groupBy(*slotted, "code").agg(
+        F.sum("w").alias("w"), F.min("least").alias("least"), F.max("most").alias("most")
+    )
+    # At most CELLS + 2 rows per interval.
+    upto = F.sum("w").over(Window.partitionBy(*slotted).orderBy("code"))
+    running = cells.withColumn("upto", upto).alias("a").join(state.alias("b"), _same("a", "b", slotted))
+    first, last = F.col("upto") > F.col("rank"), F.col("upto") - F.col("w") <= F.col("rank") + F.col("step")
+    found = running.where(first & last).groupBy(*[F.col(f"a.`{k}`").alias(k) for k in slotted]).agg(
+        F.min("least").alias("lo"),
+        F.max("most").alias("hi"),
+        (F.max("rank") - F.min(F.col("upto") - F.col("w"))).alias("rank"),
+        F.max("step").alias("step"),
+        F.max("share").alias("share"),
+        F.sum("w").alias("rows"),
+        # Ranks in two cells are the last value of one and the first value of the other.
+        F.count(F.lit(1)).alias("cells"),
+        F.min("most").alias("end_of_first"),
+        F.max("least").alias("start_of_last"),
+    )
+    one = F.col("lo") == F.col("hi")
+    return found.select(
+        *slotted, "lo", "hi", "rank", "step", "share", "rows",
+        F.col("lo").alias("from_value"),
+        F.col("hi").alias("to_value"),
+        F.when(one, F.col("lo")).when(F.col("cells") > 1, F.col("end_of_first")).alias("low"),
+        F.when(one, F.col("lo")).when(F.col("cells") > 1, F.col("start_of_last")).alias("high"),
+    )
+
+
+def _same(left: str, right: str, keys: list[str]) -> list[Column]:
+    return [F.col(f"{left}.`{k}`").eqNullSafe(F.col(f"{right}.`{k}`")) for k in keys]
 
 
 def _ranked_values(rows: DataFrame, state: DataFrame, keys: list[str]) -> DataFrame:
-    """Read the wanted ranks off the few counted values of each interval."""
+    """Read the wanted ranks off the few counted values of each interval; known ones stay."""
     slotted = [*keys, "_slot"]
     order = Window.partitionBy(*slotted).orderBy("_v")
     running = rows.withColumn("upto", F.sum("_w").over(order))
-    found = running.alias("a").join(state.alias("b"), _same("a", "b", slotted)).select(
+    found = running.alias("a").join(state.where("low IS NULL").alias("b"), _same("a", "b", slotted)).select(
         *[F.col(f"a.`{k}`").alias(k) for k in slotted], "_v", "upto", "rank", "step", "share"
     )
     low = F.min(F.when(F.col("upto") > F.col("rank"), F.col("_v")))
     high = F.min(F.when(F.col("upto") > F.col("rank") + F.col("step"), F.col("_v")))
     values = found.groupBy(*slotted).agg(low.alias("low"), high.alias("high"), F.max("share").alias("share"))
+    values = values.unionByName(state.where("low IS NOT NULL").select(*slotted, "low", "high", "share"))
     one = _between(F.col("low"), F.col("high"), F.col("share")).alias("value")
     ordered = F.sort_array(F.collect_list(F.struct("_slot", one)))
     return values.groupBy(*keys).agg(F.transform(ordered, lambda x: x["value"]).alias("quantiles"))

@@ -2,41 +2,34 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.functions.durable import kept
-from plumbline.functions.expressions import seeded_hash
 from plumbline.functions.moments import is_constant, per_column
 from plumbline.functions.quantiles import BOUNDED_GROUP, fit_quantiles
 from plumbline.schema import quoted
 
-# Sample size, smoothing span, least rows and class limits.
-LOWESS_ROWS = 5000
+# Smoothing span, least rows and class limits.
 LOWESS_SPAN = 0.25
 LEAST_ROWS = 50
 CLASSES = ((0.08, "Nearly linear"), (0.16, "Mild curvature"), (0.28, "Moderate curvature"))
 STRONGEST = "Strong nonlinear pattern"
 CURVED = ("Moderate curvature", "Strong nonlinear pattern")
 UNKNOWN = "Insufficient data"
+#: Cells of the local regression.
+SMOOTH_CELLS = 100
 
-# Wording of the screen.
 IMPLICATIONS = {
-    "Nearly linear": "A linear effect is a reasonable initial approximation.",
-    "Mild curvature": "Retain the linear baseline and inspect a polynomial or smooth alternative.",
-    "Moderate curvature": "Evaluate nonlinear polynomial and GAM effects.",
-    "Strong nonlinear pattern": (
-        "Do not rely only on a linear coefficient; compare nonlinear OLS and GAM specifications."
-    ),
-    "Insufficient data": "No modelling implication available.",
+    "Nearly linear": "Start with a straight line.",
+    "Mild curvature": "Start with a straight line and look at one smooth alternative.",
+    "Moderate curvature": "Compare polynomial and spline terms.",
+    "Strong nonlinear pattern": "A single slope misleads; compare polynomial and spline terms.",
+    "Insufficient data": "Too few rows to tell.",
 }
-SCREEN_CAUTION = (
-    "The automated screen is provisional. Confirm using visual inspection, RESET, "
-    "model diagnostics, validation, and test evidence."
-)
+SCREEN_CAUTION = "The screen is a first look; validation rows decide."
 
 
 def classify(score: Column) -> Column:
@@ -60,10 +53,9 @@ def screen_table(scores: DataFrame) -> DataFrame:
         "feature",
         F.col("score").alias("deviation_score"),
         label.alias("automated_screen"),
-        F.lit("Review the corresponding LOWESS figure").alias("visual_evidence"),
+        F.lit("Bin means against the fitted line").alias("visual_evidence"),
         F.lit("Not reviewed").alias("analyst_decision"),
         implication(label).alias("provisional_model_implication"),
-        F.concat(F.lit("lowess_"), F.col("feature"), F.lit(".png")).alias("figure_file"),
         F.lit(SCREEN_CAUTION).alias("caution"),
         label.alias("exploratory_pattern"),
     ).orderBy(F.desc_nulls_last("deviation_score"), "feature")
@@ -75,16 +67,10 @@ def _pair(df: DataFrame, feature: str, target: str) -> tuple[Column, Column]:
     return F.when(both, x), F.when(both, y)
 
 
-def binned_scores(
-    df: DataFrame, features: Sequence[str], target: str, bins: int = 20, bounded: int = BOUNDED_GROUP
-) -> DataFrame:
-    """``feature, score`` over all rows.
-
-    The smooth curve is the mean of the target in equal-count bins of the feature;
-    the score is the row-weighted RMS gap between it and the fitted line, in target
-    deviations. Bin edges are exact quantiles; the rest is two aggregations, the
-    second grouped by (feature, bin).
-    """
+def _lines_and_bins(
+    df: DataFrame, features: Sequence[str], target: str, bins: int, bounded: int
+) -> tuple[DataFrame, DataFrame]:
+    """Straight line of each feature, and rows and means of the bins between its exact quantiles."""
     pairs = {f: _pair(df, f, target) for f in features}
 
     def line(name: str) -> dict[str, Column]:
@@ -110,7 +96,12 @@ def binned_scores(
         .groupBy("feature", _bin_of(edges).alias("bin"))
         .agg(F.count("x").alias("rows_in_bin"), F.avg("x").alias("mean_x"), F.avg("y").alias("mean_y"))
     )
-    gap = F.col("mean_y") - (F.col("intercept") + F.col("slope") * F.col("mean_x"))
+    return lines, binned
+
+
+def _gap_scores(lines: DataFrame, binned: DataFrame, curve: Column) -> DataFrame:
+    """RMS gap between the curve at the bins and the straight line, in target deviations."""
+    gap = curve - (F.col("intercept") + F.col("slope") * F.col("mean_x"))
     mean_square = (
         binned.join(F.broadcast(lines), "feature")
         .groupBy("feature")
@@ -124,6 +115,20 @@ def binned_scores(
     return lines.join(mean_square, "feature", "left").select("feature", score.alias("score"))
 
 
+def binned_scores(
+    df: DataFrame, features: Sequence[str], target: str, bins: int = 20, bounded: int = BOUNDED_GROUP
+) -> DataFrame:
+    """``feature, score`` over all rows.
+
+    The smooth curve is the mean of the target in equal-count bins of the feature;
+    the score is the row-weighted RMS gap between it and the fitted line, in target
+    deviations. Bin edges are exact quantiles; the rest is two aggregations, the
+    second grouped by (feature, bin).
+    """
+    lines, binned = _lines_and_bins(df, features, target, bins, bounded)
+    return _gap_scores(lines, binned, F.col("mean_y"))
+
+
 def _bin_of(edges: dict[str, list[float | None]]) -> Column:
     """Number of edges below ``x`` for the feature of the row, as one SQL expression."""
     arms = []
@@ -140,133 +145,45 @@ def binned_screen(df: DataFrame, features: Sequence[str], target: str, bins: int
     return screen_table(binned_scores(df, features, target, bins))
 
 
-def _lowess_scorer(span: float, least: int):
-    """Scoring function for one bounded sample; self-contained so workers need no import."""
-
-    def local_fit(x, y, robustness, width):
-        import numpy as np
-
-        n = len(x)
-        fitted = np.empty(n)
-        left = 0
-        previous, value = None, 0.0
-        for i in range(n):
-            if previous is not None and x[i] == previous:
-                fitted[i] = value
-                continue
-            # The window of the nearest `width` points, as x is sorted.
-            while left + width < n and x[left + width] - x[i] < x[i] - x[left]:
-                left += 1
-            xs, ys = x[left:left + width], y[left:left + width]
-            distance = np.abs(xs - x[i])
-            reach = distance.max()
-            if reach > 0:
-                near = np.clip(distance / reach, 0.0, 1.0)
-                weight = (1 - near ** 3) ** 3
-            else:
-                weight = np.ones(width)
-            weight = weight * robustness[left:left + width]
-            total = weight.sum()
-            if total <= 0:
-                value = float(y[i])
-            else:
-                mean_x = (weight * xs).sum() / total
-                mean_y = (weight * ys).sum() / total
-                spread = (weight * (xs - mean_x) ** 2).sum()
-                slope = (weight * (xs - mean_x) * (ys - mean_y)).sum() / spread if spread > 1e-12 * total else 0.0
-                value = float(mean_y + slope * (x[i] - mean_x))
-            fitted[i] = value
-            previous = x[i]
-        return fitted
-
-    def smooth(x, y, rounds=3):
-        import numpy as np
-
-        width = min(len(x), max(2, int(span * len(x) + 1e-10)))
-        robustness = np.ones(len(x))
-        fitted = local_fit(x, y, robustness, width)
-        for _ in range(rounds):
-            residual = np.abs(y - fitted)
-            scale = 6.0 * np.median(residual)
-            if scale <= 0:
-                break
-            near = np.clip(residual / scale, 0.0, 1.0)
-            robustness = (1 - near ** 2) ** 2
-            fitted = local_fit(x, y, robustness, width)
-        return fitted
-
-    def score(group):
-        import numpy as np
-        import pandas as pd
-
-        ordered = group.sort_values(["x", "y"], kind="mergesort")
-        x, y = ordered["x"].to_numpy(float), ordered["y"].to_numpy(float)
-        expected = int(ordered["expected"].iloc[0])
-        if len(x) != expected:
-            raise RuntimeError(f"Sample has {len(x)} rows, expected {expected}.")
-        if len(x) < least:
-            value = float("nan")
-        elif np.isclose(np.std(x), 0) or np.isclose(np.std(y, ddof=1), 0):
-            value = 0.0
-        else:
-            slope = ((x - x.mean()) * (y - y.mean())).sum() / ((x - x.mean()) ** 2).sum()
-            line = y.mean() + slope * (x - x.mean())
-            value = float(np.sqrt(np.mean((smooth(x, y) - line) ** 2)) / np.std(y, ddof=1))
-        return pd.DataFrame({"feature": [ordered["feature"].iloc[0]], "score": [value]})
-
-    return score
-
-
 def lowess_scores(
     df: DataFrame,
     features: Sequence[str],
     target: str,
-    row_key: str,
-    rows: int = LOWESS_ROWS,
+    cells: int = SMOOTH_CELLS,
     span: float = LOWESS_SPAN,
-    seed: int = 42,
+    bounded: int = BOUNDED_GROUP,
 ) -> DataFrame:
-    """``feature, score`` from a local regression on a fixed-size sample per feature.
+    """``feature, score`` from a local regression over all rows.
 
-    The sample is part of the method: the ``rows`` pairs with the smallest seeded key
-    hashes. A hash threshold that passes about four times that many rows keeps the
-    rest of the table out of the ranking; the scorer checks that the sample is
-    complete. Every group handed to Python has at most ``rows`` rows.
+    Rows meet in cells between exact quantiles of the feature, whose counts and means are one
+    aggregation. At the mean of each cell a line is fitted to the cells around it that hold
+    ``span`` of the rows, with tricube weights by distance times their rows; the curve is the
+    value of that line there. The score is the row-weighted RMS gap to the straight line, in
+    target deviations, as for the bin means.
     """
-    pairs = {f: _pair(df, f, target) for f in features}
-    counts = df.agg(*[F.count(x).alias(f"_{i}") for i, (x, _) in enumerate(pairs.values())]).first()
-    hashed = seeded_hash(quoted(row_key), seed)
-    cells = []
-    for count, (name, (x, y)) in zip(counts, pairs.items()):
-        share = 1.0 if count <= 8 * rows else 4 * rows / count
-        limit = None if share == 1.0 else f"{math.ceil(share * 16 ** 12):012x}"
-        kept = x.isNotNull() if limit is None else x.isNotNull() & (F.col("_h") < F.lit(limit))
-        cells.append(
-            F.when(
-                kept,
-                F.struct(
-                    F.lit(name).alias("feature"), x.alias("x"), y.alias("y"),
-                    F.lit(min(count, rows)).alias("expected"),
-                ),
-            )
-        )
-    order = Window.partitionBy("feature").orderBy("_h", "_key")
-    sample = (
-        df.withColumn("_h", hashed)
-        .select("_h", quoted(row_key).alias("_key"), F.inline(F.array_compact(F.array(*cells))))
-        .withColumn("_place", F.row_number().over(order))
-        .where(F.col("_place") <= rows)
-        .select("feature", "x", "y", "expected")
-    )
-    scored = sample.groupBy("feature").applyInPandas(
-        _lowess_scorer(span, LEAST_ROWS), "feature string, score double"
-    )
-    listed = df.sparkSession.createDataFrame([(f,) for f in features], "feature string")
-    return listed.join(scored, "feature", "left").select(
-        "feature", F.when(~F.isnan("score"), F.col("score")).alias("score")
-    )
-
-
-def lowess_screen(df: DataFrame, features: Sequence[str], target: str, row_key: str, **options) -> DataFrame:
+    lines, binned = _lines_and_bins(df, features, target, cells, bounded)
+    # At most (cells + 1)^2 pairs of cells per feature, whatever the number of rows.
+    here = binned.select("feature", F.col("bin").alias("place"), F.col("mean_x").alias("x0"))
+    pairs = here.join(binned, "feature").withColumn("distance", F.abs(F.col("mean_x") - F.col("x0")))
+    nearest = Window.partitionBy("feature", "place").orderBy("distance")
+    everything = Window.partitionBy("feature", "place")
+    n = F.col("rows_in_bin")
+    pairs = pairs.withColumns({"_upto": F.sum(n).over(nearest), "_all": F.sum(n).over(everything)})
+    enough = F.when(F.col("_upto") >= F.lit(span) * F.col("_all"), F.col("distance"))
+    pairs = pairs.withColumn("reach", F.min(enough).over(everything)).where("distance <= reach")
+    near = F.coalesce(F.col("distance") / F.nullif(F.col("reach"), F.lit(0.0)), F.lit(0.0))
+    w = n * F.pow(F.lit(1.0) - F.pow(near, F.lit(3.0)), F.lit(3.0))
+    d, y = F.col("mean_x") - F.col("x0"), F.col("mean_y")
+    sums = {"w": w, "wd": w * d, "wdd": w * d * d, "wy": w * y, "wdy": w * d * y}
+    fitted = pairs.groupBy("feature", "place").agg(*[F.sum(v).alias(k) for k, v in sums.items()])
+    spread = F.col("wdd") - F.col("wd") * F.col("wd") / F.col("w")
+    slope = (F.col("wdy") - F.col("wd") * F.col("wy") / F.col("w")) / F.nullif(spread, F.lit(0.0))
+    flat = spread <= F.lit(1e-12) * F.col("wdd")
+    value = F.when(flat, F.col("wy") / F.col("w")).otherwise((F.col("wy") - slope * F.col("wd")) / F.col("w"))
+    curve = fitted.select("feature", F.col("place").alias("bin"), value.alias("curve"))
+    return _gap_scores(lines, binned.join(curve, ["feature", "bin"]), F.col("curve"))
+
+
+def lowess_screen(df: DataFrame, features: Sequence[str], target: str, **options) -> DataFrame:
     """Curvature screen from the local regression."""
-    return screen_table(lowess_scores(df, features, target, row_key, **options))
+    return screen_table(lowess_scores(df, features, target, **options))

@@ -8,7 +8,7 @@ from itertools import combinations, combinations_with_replacement
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.functions.expressions import guarded_correlation, percentage
+from plumbline.functions.expressions import finite, guarded_correlation, percentage
 from plumbline.functions.moments import deviation, kurtosis, per_column, skewness
 from plumbline.functions.quantiles import grouped_quantiles, quantile_table
 from plumbline.operators.profile import distinct_with_examples, value_frequencies
@@ -24,7 +24,8 @@ STRENGTHS = (
 )
 WEAKEST = "Very weak marginal linear association"
 
-PAIRS_PER_PASS = 120
+#: Pairs that one aggregation holds; rows whose means are the shifts; rounding left by a constant column.
+PAIRS_PER_PASS, SHIFT_ROWS, CONSTANT_SHARE = 120, 1000, 1e-12
 
 
 def distribution_shape(skew: Column) -> Column:
@@ -148,7 +149,7 @@ def variable_summary(df: DataFrame, schema: SemanticSchema, row_key: str) -> Dat
 def correlation_pairs(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """``feature_1, feature_2, correlation`` for each pair in column order, NULL pairs left out.
 
-    All pairs of a chunk share one scan and one aggregation; only sums are shuffled.
+    All pairs share one scan; only sums are shuffled.
     """
     names = list(columns or numeric_columns(df))
     if len(names) < 2:
@@ -157,27 +158,78 @@ def correlation_pairs(df: DataFrame, columns: Sequence[str] | None = None) -> Da
 
 
 def _cells(df: DataFrame, names: list[str], pairs: list[tuple[int, int]]) -> DataFrame:
-    """Correlation of the given index pairs; a column with itself gives 1, or NULL if constant."""
-    parts = []
-    for start in range(0, len(pairs), PAIRS_PER_PASS):
-        cells = []
-        for a, b in pairs[start:start + PAIRS_PER_PASS]:
-            left, right = quoted(names[a]).cast("double"), quoted(names[b]).cast("double")
-            value = guarded_correlation(left, right) if a != b else F.when(F.min(left) < F.max(left), F.lit(1.0))
-            cells.append(
-                F.struct(
-                    F.lit(a).alias("position_1"),
-                    F.lit(b).alias("position_2"),
-                    F.lit(names[a]).alias("feature_1"),
-                    F.lit(names[b]).alias("feature_2"),
-                    value.alias("correlation"),
-                )
+    """Correlation of the given index pairs; a column with itself gives 1, or NULL if constant.
+
+    One scan in any case: few pairs are sums of one aggregation, many are Gram matrices.
+    """
+    if len(pairs) > PAIRS_PER_PASS:
+        return _gram_cells(df, names, pairs)
+    cells = []
+    for a, b in pairs:
+        left, right = quoted(names[a]).cast("double"), quoted(names[b]).cast("double")
+        value = guarded_correlation(left, right) if a != b else F.when(F.min(left) < F.max(left), F.lit(1.0))
+        cells.append(
+            F.struct(
+                F.lit(a).alias("position_1"),
+                F.lit(b).alias("position_2"),
+                F.lit(names[a]).alias("feature_1"),
+                F.lit(names[b]).alias("feature_2"),
+                value.alias("correlation"),
             )
-        parts.append(df.agg(F.array(*cells).alias("all")).select(F.inline("all")))
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+        )
+    return df.agg(F.array(*cells).alias("all")).select(F.inline("all"))
+
+
+def _gram_cells(df: DataFrame, names: list[str], pairs: list[tuple[int, int]]) -> DataFrame:
+    """Correlations from Gram matrices that tasks build of their rows and that are added up by cell.
+
+    A column is shifted by its mean over the first rows, so that sums of squares keep their
+    digits; the shift cancels out. Gaps count pairwise: a masked value is 0 in the products,
+    and the mask enters the counts.
+    """
+    columns = [finite(quoted(n).cast("double")).alias(f"c{i}") for i, n in enumerate(names)]
+    numbers = df.select(*columns)
+    means = numbers.limit(SHIFT_ROWS).agg(*[F.avg(f"c{i}") for i in range(len(names))]).first()
+    shift = [m or 0.0 for m in means]
+
+    def gram(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        size = len(shift)
+        upper = np.triu_indices(size)
+        totals = np.zeros((6, len(upper[0])))
+        for batch in batches:
+            held = [np.asarray(c.to_numpy(zero_copy_only=False), dtype=float) for c in batch.columns]
+            x = np.column_stack(held) - np.array(shift)
+            known = ~np.isnan(x)
+            x, m = np.where(known, x, 0.0), known.astype(float)
+            sums, squares = x.T @ m, (x * x).T @ m
+            # n, sum of a, sum of b, sum of a^2, sum of b^2, sum of a*b over the rows that have both.
+            for row, full in enumerate((m.T @ m, sums, sums.T, squares, squares.T, x.T @ x)):
+                totals[row] += full[upper]
+        yield pa.record_batch(
+            [pa.array(upper[0].astype(np.int32)), pa.array(upper[1].astype(np.int32)), *map(pa.array, totals)],
+            names=["i", "j", "n", "sa", "sb", "saa", "sbb", "sab"],
+        )
+
+    parts = numbers.mapInArrow(gram, "i int, j int, n double, sa double, sb double, saa double, sbb double, sab double")
+    added = parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sa", "sb", "saa", "sbb", "sab")])
+    n = F.nullif(F.col("n"), F.lit(0.0))
+    aa, bb = F.col("saa") - F.col("sa") * F.col("sa") / n, F.col("sbb") - F.col("sb") * F.col("sb") / n
+    ab = F.col("sab") - F.col("sa") * F.col("sb") / n
+    # A constant column leaves rounding only.
+    varies = (aa > CONSTANT_SHARE * F.col("saa")) & (bb > CONSTANT_SHARE * F.col("sbb"))
+    value = F.when(varies, F.when(F.col("i") == F.col("j"), F.lit(1.0)).otherwise(ab / F.sqrt(aa * bb)))
+    listed = F.array(*[F.lit(name) for name in names])
+    wanted = added if len(pairs) > len(names) * (len(names) - 1) // 2 else added.where("i < j")
+    return wanted.select(
+        F.col("i").alias("position_1"),
+        F.col("j").alias("position_2"),
+        F.element_at(listed, F.col("i") + 1).alias("feature_1"),
+        F.element_at(listed, F.col("j") + 1).alias("feature_2"),
+        value.alias("correlation"),
+    )
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -83,15 +84,25 @@ def heatmap_cells(df: DataFrame, columns: Sequence[str] | None = None, places: i
 def scatter_sample(
     df: DataFrame, row_key: str, columns: Sequence[str], size: int = 5000, seed: int = 42
 ) -> DataFrame:
-    """A repeatable sample for plotting: the rows with the smallest seeded key hashes.
+    """A repeatable sample for plotting: the ``size`` rows with the smallest seeded key hashes.
 
-    Sampling is the feature. Every task keeps only its own ``size`` smallest rows.
+    Sampling is the feature. Of a large table a hash threshold lets about four times ``size``
+    rows through before the sort; if ever fewer than ``size`` pass it, the next threshold is
+    four times as high, so the result never depends on it.
     """
-    return (
-        df.select(quoted(row_key), *[quoted(c) for c in columns])
-        .orderBy(seeded_hash(quoted(row_key), seed), quoted(row_key))
-        .limit(size)
-    )
+    hashed = seeded_hash(quoted(row_key), seed)
+    rows, share = df.count(), 1.0
+    if rows > 8 * size:
+        share = 4 * size / rows
+        while share < 1.0 and df.where(hashed < F.lit(_threshold(share))).count() < size:
+            share *= 4
+    few = df if share >= 1.0 else df.where(hashed < F.lit(_threshold(share)))
+    return few.select(quoted(row_key), *[quoted(c) for c in columns]).orderBy(hashed, quoted(row_key)).limit(size)
+
+
+def _threshold(share: float) -> str:
+    """Hashes below it are about that share of all."""
+    return f"{math.ceil(share * 16**12):012x}"
 
 
 def target_scatter(

@@ -6,27 +6,25 @@ These tables describe columns, so their size follows the schema. The evidence in
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from dataclasses import astuple, dataclass, fields, replace
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.operators.curvature import CURVED, STRONGEST
 from plumbline.operators.features import ratio_audit
 from plumbline.schema import Ratio, SemanticSchema, quoted
 
-# Wording and codes of the governance tables.
+# Codes and groups of the governance tables, in the order of the plan.
 CREATE = "Create automatically"
 EVALUATE = "Evaluate as a candidate, not as a mandatory feature"
 RATIO_KIND = "DETERMINISTIC RATIO"
 INTERACTION_KIND = "EXPLORATORY INTERACTION"
-RECOMMENDATION_CAUTION = (
-    "Protect against zero denominators and fit all model-dependent transformations on training data only."
-)
 GROUP_ORDER = ("Deterministic", "Domain", "Statistical", "Machine Learning", "Inferential")
 READY_DECISIONS = ("APPROVE FOR IMPLEMENTATION", "APPROVE FOR ML")
 SEPARATOR = " | "
+RECOMMENDATION_CAUTION = "A zero denominator gives NULL; whatever is fitted is fitted on training rows."
 
 
 @dataclass(frozen=True)
@@ -37,8 +35,6 @@ class Interaction:
     sources: tuple[str, str]
     formula: str
     meaning: str
-    plan_formula: str = ""
-    plan_meaning: str = ""
     recommended: bool = True
 
 
@@ -107,142 +103,110 @@ def feature_recommendations(
     return df.agg(F.array(*rows).alias("all")).select(F.inline("all"))
 
 
-def ratio_assets(ratios: Sequence[Ratio], zero_counts: Mapping[str, int]) -> list[Asset]:
-    made = []
-    for r in ratios:
-        zeros = zero_counts[r.name]
-        note = (
-            "No zero denominators detected in training data."
-            if zeros == 0
-            else f"{zeros} zero denominator(s) detected in training data."
-        )
-        made.append(
-            Asset(
-                r.name, "Deterministic", "Ratio", SEPARATOR.join((r.numerator, r.denominator)),
-                f"{r.numerator} / {r.denominator}", r.meaning,
-                "Separates observational-unit scale from density, composition, or resource availability.",
-                "AUTOMATIC CANDIDATE", True, True, True, True, False,
-                "Denominator must be non-zero; preserve missing values.", "LOW",
-                "deterministic_features.py", "HIGH", "APPROVE FOR IMPLEMENTATION", note,
-            )
-        )
-    return made
-
-
-def squared_assets(patterns: Mapping[str, str]) -> list[Asset]:
-    """Squared terms of the predictors the curvature screen calls curved."""
-    return [
-        Asset(
-            f"{name}_squared", "Statistical", "Polynomial term", name, f"{name} ** 2",
-            f"Allows the marginal relationship of {name} to change with its level.",
-            "Proposed because the EDA LOWESS screen suggests possible curvature.",
-            "MODEL-SPECIFICATION CANDIDATE", False, True, False, False, False,
-            "Retain only when specification, diagnostics, and validation support the nonlinear term.",
-            "LOW", "statistical_features.py", "HIGH" if pattern == STRONGEST else "MEDIUM",
-            "EVALUATE, DO NOT IMPOSE",
-        )
-        for name, pattern in patterns.items()
-        if pattern in CURVED
-    ]
+@dataclass(frozen=True)
+class Family:
+    """What all features made by one function of this package have in common.
 
+    ``uses`` has M for machine learning, I for inference, O for optimisation, G for grey models.
+    """
+
+    group: str
+    subtype: str
+    made_by: str
+    uses: str
+    status: str
+    decision: str
+    priority: str
+    reason: str
+    check: str
+    fitted: bool = False
+    risk: str = "LOW"
 
-def interaction_assets(interactions: Sequence[Interaction]) -> list[Asset]:
-    return [
-        Asset(
-            i.name, "Statistical", "Interaction", SEPARATOR.join(i.sources), i.plan_formula or i.formula,
-            i.plan_meaning or i.meaning,
-            "Proposed as an interaction hypothesis; not justified by marginal effects alone.",
-            "HYPOTHESIS CANDIDATE", True, True, False, False, False,
-            "Retain only with conceptual justification and incremental empirical value.",
-            "LOW", "statistical_features.py", "MEDIUM", "EVALUATE, DO NOT IMPOSE",
-        )
-        for i in interactions
-    ]
 
+_FEATURES, _PREP = "plumbline.operators.features.", "plumbline.operators.prep."
+BY_EVIDENCE, AFTER_BASELINE = "DECIDE BY EVIDENCE", "AFTER BASELINE"
+NEEDS_REVIEW, NEEDS_DATA = "NEEDS DOMAIN REVIEW", "NEEDS EXTERNAL DATA"
 
-def model_assets(schema: SemanticSchema, spline_columns: Sequence[str]) -> list[Asset]:
-    """Encodings and bases that must be fitted on training rows."""
-    numbers = SEPARATOR.join(schema.numerical)
-    categories = SEPARATOR.join(schema.categorical)
-    ml, stats = "Machine Learning", "Inferential"
-    template = Asset(
-        "", ml, "", numbers, "", "", "", "", True, False, False, False, True, "", "HIGH", "ml_features.py", "", "",
+RATIO = Family(
+    "Deterministic", "Ratio", _FEATURES + "ratio_features", "MIOG", "READY", READY_DECISIONS[0], "HIGH",
+    "A share does not grow with the size of the unit.", "NULL where the denominator is 0 or missing.",
+)
+GROUPING = Family(
+    "Domain", "Grouped levels", _FEATURES + "category_groups", "MI", "OPTIONAL", NEEDS_REVIEW, "LOW",
+    "Rare levels say more together.", "One mapping for all splits.",
+)
+DISTANCE = Family(
+    "Domain", "Distance", _FEATURES + "nearest_distance", "MIO", "WAITS FOR DATA", NEEDS_DATA, "LOW",
+    "Raw coordinates do not say how far a place is.", "Reference points are documented.",
+)
+INDEX = Family(
+    "Domain", "Composite index", _FEATURES + "composite_index", "MIO", "WAITS FOR DATA", NEEDS_DATA, "LOW",
+    "Stands for what the table does not hold.", "Weights are documented.",
+)
+SQUARE = Family(
+    "Statistical", "Squared term", _FEATURES + "squared_features", "I", "CANDIDATE", BY_EVIDENCE, "MEDIUM",
+    "The curvature screen finds a bend.", "Stays only if validation rows gain by it.",
+)
+PRODUCT = Family(
+    "Statistical", "Product term", _FEATURES + "interaction_features", "MI", "CANDIDATE", BY_EVIDENCE, "MEDIUM",
+    "A hypothesis; single effects do not prove it.", "Stays only if it adds to both single terms.",
+)
+_ML, _INFERENCE = "Machine Learning", "Inferential"
+#: Terms fitted on training rows: family, name, the schema columns they read, method, meaning.
+MODEL_TERMS = (
+    (
+        Family(_ML, "Indicators", _PREP + "one_hot", "M", "REQUIRED", READY_DECISIONS[1], "HIGH",
+               "Linear models need numbers.", "Levels come from training rows.", True, "HIGH"),
+        "one_hot_categorical_predictors", "categorical", "0/1 per training level but the first",
+        "Levels without an order among them.",
+    ),
+    (
+        Family(_ML, "Scaling", _FEATURES + "standardized_features", "M", "REQUIRED", READY_DECISIONS[1], "HIGH",
+               "Penalties compare coefficients.", "Mean and deviation come from training rows.", True, "HIGH"),
+        "standardized_numeric_predictors", "numerical", "(x - mean) / deviation", "Columns on one scale.",
+    ),
+    (
+        Family(_ML, "Polynomials", _FEATURES + "polynomial_features", "M", "OPTIONAL", AFTER_BASELINE, "LOW",
+               "Helps where a straight line underfits.", "The degree is chosen on validation rows.", True, "HIGH"),
+        "polynomial_feature_expansion", "numerical", "squares and pairwise products", "Bends and joint effects.",
+    ),
+    (
+        Family(_ML, "Splines", _FEATURES + "spline_features", "M", "OPTIONAL", AFTER_BASELINE, "LOW",
+               "Bends without high powers.", "Knots are quantiles of training rows.", True, "HIGH"),
+        "spline_basis_for_prediction", "numerical", "restricted cubic spline", "Smooth effects.",
+    ),
+    (
+        Family(_INFERENCE, "Orthogonal polynomials", _FEATURES + "orthogonal_poly", "I", "CANDIDATE", AFTER_BASELINE,
+               "LOW", "Powers of a column are collinear.", "Moments come from training rows.", True, "HIGH"),
+        "orthogonal_polynomial_terms", "numerical", "first and second orthogonal term", "A bend apart from the slope.",
+    ),
+    (
+        Family(_INFERENCE, "Centering", _FEATURES + "centered_features", "I", "OPTIONAL", BY_EVIDENCE, "MEDIUM",
+               "Products of raw columns are collinear with them.", "Means come from training rows.", True, "HIGH"),
+        "centered_numeric_predictors", "numerical", "x - mean", "Effects read at the mean.",
+    ),
+    (
+        Family(_INFERENCE, "Splines", _FEATURES + "spline_features", "I", "CANDIDATE", AFTER_BASELINE, "MEDIUM",
+               "Lines and squares may not suffice.", "Knots are quantiles of training rows.", True, "HIGH"),
+        "interpretable_spline_basis", "", "restricted cubic spline", "A smooth effect that can be drawn.",
+    ),
+)
+
+
+def planned(
+    family: Family, name: str, sources: Sequence[str], formula: str, meaning: str, note: str = "", **other: str
+) -> Asset:
+    """A feature of a family; ``other`` overrides what the family says."""
+    f = replace(family, **other)
+    uses = [letter in f.uses for letter in "MIOG"]
+    return Asset(
+        name, f.group, f.subtype, SEPARATOR.join(sources), formula, meaning, f.reason, f.status, *uses, f.fitted,
+        f.check, f.risk, f.made_by, f.priority, f.decision, note,
     )
-    return [
-        replace(
-            template, feature_name="one_hot_categorical_predictors", feature_subtype="Categorical encoding",
-            source_columns=categories,
-            formula_or_method="OneHotEncoder(handle_unknown='ignore') fitted on training data",
-            business_meaning="Represents categorical differences without imposing numerical ordering.",
-            analytical_rationale="Required by linear and gradient-based estimators.",
-            creation_status="MANDATORY FOR ML PIPELINE",
-            validation_rule="Fit category levels using training data only.",
-            priority="HIGH", analyst_decision="APPROVE FOR ML",
-        ),
-        replace(
-            template, feature_name="standardized_numeric_predictors", feature_subtype="Scaling",
-            formula_or_method="StandardScaler fitted on training data",
-            business_meaning="Places numerical predictors on comparable scales.",
-            analytical_rationale="Required for stable gradient-based optimisation.",
-            creation_status="MANDATORY FOR SGD PIPELINE",
-            validation_rule="Fit only on training data; reuse unchanged for validation, test, and future observations.",
-            priority="HIGH", analyst_decision="APPROVE FOR ML",
-        ),
-        replace(
-            template, feature_name="polynomial_feature_expansion", feature_subtype="Polynomial representation",
-            formula_or_method="PolynomialFeatures degree selected through validation",
-            business_meaning="Flexible predictive representation of curvature and interactions.",
-            analytical_rationale="May improve prediction when linear SGD underfits.",
-            creation_status="OPTIONAL VALIDATION CANDIDATE",
-            validation_rule="Select complexity using validation data; never choose degree using test performance.",
-            priority="LOW", analyst_decision="DEFER UNTIL BASELINE VALIDATION",
-        ),
-        replace(
-            template, feature_name="spline_basis_for_prediction", feature_subtype="Spline representation",
-            formula_or_method="SplineTransformer fitted on training data",
-            business_meaning="Flexible smooth predictive relationships.",
-            analytical_rationale="Alternative to high-degree polynomial expansion.",
-            creation_status="OPTIONAL VALIDATION CANDIDATE",
-            validation_rule="Select knots and degree through validation.",
-            priority="LOW", analyst_decision="DEFER UNTIL BASELINE VALIDATION",
-        ),
-        replace(
-            template, feature_name="orthogonal_polynomial_terms", feature_group=stats,
-            feature_subtype="Orthogonal polynomial",
-            formula_or_method="Orthogonal polynomial basis for selected variables",
-            business_meaning="Represents curvature while reducing collinearity among polynomial terms.",
-            analytical_rationale="Useful when ordinary squared terms create unstable coefficient estimates.",
-            creation_status="MODEL-SPECIFICATION CANDIDATE", used_by_machine_learning=False, used_by_inference=True,
-            validation_rule="Use only for variables supported by specification and diagnostics.",
-            implementation_module="inference_features.py", priority="LOW",
-            analyst_decision="DEFER UNTIL OLS SPECIFICATION TEST",
-        ),
-        replace(
-            template, feature_name="centered_numeric_predictors", feature_group=stats, feature_subtype="Centering",
-            formula_or_method="x - training mean",
-            business_meaning="Makes the intercept and interaction terms more interpretable.",
-            analytical_rationale="Reduces nonessential collinearity in polynomial and interaction specifications.",
-            creation_status="OPTIONAL INFERENTIAL CANDIDATE", used_by_machine_learning=False, used_by_inference=True,
-            validation_rule=(
-                "Estimate centering constants from training data and preserve them for validation and test."
-            ),
-            implementation_module="inference_features.py", priority="MEDIUM",
-            analyst_decision="USE WHEN POLYNOMIAL OR INTERACTION TERMS ENTER",
-        ),
-        replace(
-            template, feature_name="interpretable_spline_basis", feature_group=stats, feature_subtype="Spline basis",
-            source_columns=SEPARATOR.join(spline_columns),
-            formula_or_method="Restricted spline basis with documented knots",
-            business_meaning=(
-                "Captures smooth nonlinear relationships while preserving interpretable effect plots."
-            ),
-            analytical_rationale="Candidate when linear and polynomial specifications remain inadequate.",
-            creation_status="GAM / SPLINE CANDIDATE", used_by_machine_learning=False, used_by_inference=True,
-            validation_rule="Choose smoothness and knots without using the test set.",
-            implementation_module="inference_features.py", priority="MEDIUM",
-            analyst_decision="DEFER UNTIL LINEAR AND POLYNOMIAL ASSESSMENT",
-        ),
-    ]
+
+
+def zero_note(zeros: int) -> str:
+    return f"Training rows with a zero denominator: {zeros}."
 
 
 def plan_order(assets: Sequence[Asset]) -> list[Asset]:
@@ -260,28 +224,37 @@ def feature_plan(
     spline_columns: Sequence[str],
 ) -> DataFrame:
     """All proposed features. ``screen`` is a curvature screen of the training rows."""
-    usable = [r for r in ratios if r.numerator in train.columns and r.denominator in train.columns]
+    known = set(train.columns)
+    usable = [r for r in ratios if {r.numerator, r.denominator} <= known]
     zeros = {r["feature_name"]: r["zero_denominators"] for r in ratio_audit(train, usable).collect()} if usable else {}
-    patterns = {r["feature"]: r["exploratory_pattern"] for r in screen.collect()}
+    curved = screen.where(F.col("exploratory_pattern").isin(*CURVED)).select("feature", "exploratory_pattern").collect()
+    read = {"categorical": schema.categorical, "numerical": schema.numerical, "": spline_columns}
     assets = [
-        *ratio_assets(usable, zeros),
+        *[
+            planned(RATIO, r.name, (r.numerator, r.denominator), f"{r.numerator} / {r.denominator}", r.meaning,
+                    zero_note(zeros[r.name]))
+            for r in usable
+        ],
         *domain,
-        *squared_assets(patterns),
-        *interaction_assets([i for i in interactions if all(c in train.columns for c in i.sources)]),
-        *model_assets(schema, spline_columns),
-    ]
+        *[
+            planned(SQUARE, f"{name}_squared", (name,), f"{name} ^ 2", f"The effect of {name} may change along the way.",
+                    priority="HIGH" if pattern == STRONGEST else SQUARE.priority)
+            for name, pattern in curved
+        ],
+        *[planned(PRODUCT, i.name, i.sources, i.formula, i.meaning) for i in interactions if set(i.sources) <= known],
+        *[planned(family, name, read[of], formula, meaning) for family, name, of, formula, meaning in MODEL_TERMS],
+    ]
     return train.sparkSession.createDataFrame([astuple(a) for a in plan_order(assets)], _fields_of(Asset))
 
 
 def feature_repository(plan: DataFrame) -> DataFrame:
-    """The plan with stable identifiers: one row per proposed feature.
-
-    The plan holds a few features per column, so numbering it is a small sort.
-    """
+    """The plan with stable identifiers: one row per proposed feature, numbered in plan order."""
     group = F.array_position(F.array(*[F.lit(g) for g in GROUP_ORDER]), F.col("feature_group"))
-    number = F.row_number().over(Window.orderBy(group, "priority", "feature_name"))
-    return plan.select(
-        F.format_string("FEAT-%03d", number).alias("feature_id"),
+    order = F.struct(group.alias("g"), F.col("priority").alias("p"), F.col("feature_name").alias("n"))
+    rows = plan.agg(F.array_sort(F.collect_list(F.struct(order.alias("o"), *[F.col(c) for c in plan.columns]))).alias("all"))
+    numbered = rows.select(F.posexplode("all").alias("place", "row")).select("place", "row.*")
+    return numbered.select(
+        F.format_string("FEAT-%03d", F.col("place") + 1).alias("feature_id"),
         "feature_name", "feature_group", "feature_subtype", "source_columns", "business_meaning",
         "creation_status", "used_by_machine_learning", "used_by_inference", "used_by_optimization",
         "used_by_grey_models", "requires_training_fit", "implementation_module", "priority", "analyst_decision",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -41,6 +42,8 @@ class ModelSettings:
     boost_depth: int = BOOST_DEPTH
     seed: int = SEED
     alpha: float = RIDGE_ALPHA
+    # Engine limits: trees are at most 30 deep, and splits are tried at so many quantiles.
+    max_bins: int = 32
     checkpoint_interval: int = 10
     # Split statistics a task may hold, in MB: fewer passes over the rows per tree level.
     statistics_mb: int = 1024
@@ -91,13 +94,13 @@ def estimators(train: DataFrame, target: str, settings: ModelSettings = ModelSet
         RIDGE: ridge_estimator(train, target, settings.alpha),
         FOREST: RandomForestRegressor(
             featuresCol="features", labelCol=target, numTrees=settings.trees, maxDepth=settings.forest_depth,
-            featureSubsetStrategy="all", seed=settings.seed,
+            featureSubsetStrategy="all", seed=settings.seed, maxBins=settings.max_bins,
             checkpointInterval=settings.checkpoint_interval, maxMemoryInMB=settings.statistics_mb,
             cacheNodeIds=True,
         ),
         BOOSTING: GBTRegressor(
             featuresCol="features", labelCol=target, maxIter=settings.stages, stepSize=BOOST_RATE,
-            maxDepth=settings.boost_depth, seed=settings.seed,
+            maxDepth=settings.boost_depth, seed=settings.seed, maxBins=settings.max_bins,
             checkpointInterval=settings.checkpoint_interval,
         ),
     }
@@ -109,8 +112,9 @@ def train_models(
     target: str,
     settings: ModelSettings = ModelSettings(),
     only: Sequence[str] | None = None,
+    seconds: dict[str, float] | None = None,
 ) -> dict[str, PipelineModel]:
-    """Fit each regressor on the same rows.
+    """Fit each regressor on the same rows; ``seconds`` receives how long each took.
 
     The model matrix is built and kept once for all of them; training itself
     aggregates split statistics on the executors. Node assignments and boosting
@@ -127,10 +131,16 @@ def train_models(
         assembled.count()
         # The regressors are independent: the many short jobs of boosting run beside the
         # long ones of the forest instead of after them.
+        def fit(name: str):
+            started = time.perf_counter()
+            made = chosen[name].fit(assembled)
+            if seconds is not None:
+                seconds[name] = time.perf_counter() - started
+            return made
+
         with ThreadPoolExecutor(max_workers=settings.parallel_fits) as pool:
             waiting = {
-                n: pool.submit(inheritable_thread_target(train.sparkSession)(lambda e=e: e.fit(assembled)))
-                for n, e in chosen.items()
+                n: pool.submit(inheritable_thread_target(train.sparkSession)(lambda n=n: fit(n))) for n in chosen
             }
             return {n: PipelineModel([_assembler(layout), job.result()]) for n, job in waiting.items()}
     finally:
@@ -241,6 +251,27 @@ def ridge_coefficients(model: PipelineModel, layout: Sequence[str], df: DataFram
     return df.sparkSession.createDataFrame(rows, "feature string, coefficient double")
 
 
+def ridge_normal_equations(
+    model: PipelineModel, train: DataFrame, layout: Sequence[str], target: str, alpha: float = RIDGE_ALPHA
+) -> DataFrame:
+    """``feature, gap``: X'(y - Xb) - alpha b per coefficient, as a share of X'|y|, from one pass.
+
+    All gaps are 0 if and only if the coefficients minimise the penalised squares.
+    """
+    fitted = model.stages[-1]
+    x = [quoted(name).cast("double") for name in layout]
+    y, weights = quoted(target).cast("double"), [float(w) for w in fitted.coefficients.toArray()]
+    residual = y - F.lit(float(fitted.intercept))
+    for column, weight in zip(x, weights, strict=True):
+        residual = residual - column * F.lit(weight)
+    cells = [F.struct(F.lit("(intercept)").alias("feature"), (F.sum("_r") / F.sum(F.abs("_y"))).alias("gap"))]
+    for i, (name, weight) in enumerate(zip(layout, weights, strict=True)):
+        gap = (F.sum(F.col(f"_x{i}") * F.col("_r")) - F.lit(alpha * weight)) / F.sum(F.abs(F.col(f"_x{i}") * F.col("_y")))
+        cells.append(F.struct(F.lit(name).alias("feature"), gap.alias("gap")))
+    rows = train.select(residual.alias("_r"), y.alias("_y"), *[c.alias(f"_x{i}") for i, c in enumerate(x)])
+    return rows.agg(F.array(*cells).alias("all")).select(F.inline("all"))
+
+
 def save_model(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
 

@@ -5,9 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.functions.durable import durable, forget
 from plumbline.functions.expressions import to_number
 from plumbline.functions.quantiles import BOUNDED_GROUP, fit_quantiles
 from plumbline.schema import Ratio, quoted, require_columns, string_columns
@@ -60,27 +63,49 @@ def align_strict(df: DataFrame, layout: Sequence[str], keep: Sequence[str] = ())
 def fit_levels(train: DataFrame, columns: Sequence[str], cap: int = MAX_LEVELS) -> dict[str, list[str]]:
     """Sorted training levels of each categorical column.
 
-    Levels become columns, so more than ``cap`` of them is an error, not a cut.
+    Levels become dense columns, so more than ``cap`` of them is an error that names the
+    columns; `sparse_encoder` takes any number.
     """
     if not columns:
         return {}
     cells = [F.struct(F.lit(n).alias("c"), quoted(n).cast("string").alias("l")) for n in columns]
-    pairs = train.select(F.inline(F.array(*cells))).where(F.col("l").isNotNull()).distinct()
-    found = pairs.limit(cap * len(columns) + 1).collect()
+    pairs = durable(train.select(F.inline(F.array(*cells))).where(F.col("l").isNotNull()).distinct())
+    wide = [r["c"] for r in pairs.groupBy("c").count().where(F.col("count") > cap).orderBy("c").collect()]
+    if wide:
+        raise ValueError(f"More than {cap} levels in: {', '.join(wide)}. Group them or use the sparse encoder.")
     levels: dict[str, list[str]] = {n: [] for n in columns}
-    for row in found:
+    for row in pairs.orderBy("c", "l").collect():
         levels[row["c"]].append(row["l"])
-    for name, values in levels.items():
-        if len(values) > cap or len(found) > cap * len(columns):
-            raise ValueError(f"Column {name} has more than {cap} levels; group them first.")
-        values.sort()
+    forget(pairs)
     return levels
 
 
+def sparse_encoder(train: DataFrame, columns: Sequence[str]) -> PipelineModel:
+    """Encoder of any number of levels: a sparse vector ``<column>_levels`` per column.
+
+    Levels are those of the training rows; an unseen level and NULL share the last place.
+    """
+    indexer = StringIndexer(
+        inputCols=list(columns), outputCols=[f"{c}_index" for c in columns], handleInvalid="keep",
+        stringOrderType="alphabetAsc",
+    )
+    encoder = OneHotEncoder(
+        inputCols=[f"{c}_index" for c in columns], outputCols=[f"{c}_levels" for c in columns], dropLast=False
+    )
+    return Pipeline(stages=[indexer, encoder]).fit(train)
+
+
 def encoded_names(columns: Sequence[str], levels: dict[str, list[str]]) -> list[str]:
-    """Model columns: untouched ones first, then one per level beyond the first."""
+    """Model columns: untouched ones first, then one per level beyond the first.
+
+    Two levels of different columns that would make the same name are an error.
+    """
     plain = [n for n in columns if n not in levels]
-    return plain + [f"{n}_{level}" for n in columns if n in levels for level in levels[n][1:]]
+    names = plain + [f"{n}_{level}" for n in columns if n in levels for level in levels[n][1:]]
+    twice = sorted({n for n in names if names.count(n) > 1})
+    if twice:
+        raise ValueError(f"Encoding makes these column names twice: {', '.join(twice)}. Rename a column.")
+    return names
 
 
 def one_hot(df: DataFrame, levels: dict[str, list[str]], keep: Sequence[str] = ()) -> DataFrame:
@@ -89,6 +114,7 @@ def one_hot(df: DataFrame, levels: dict[str, list[str]], keep: Sequence[str] = (
     The first training level, unseen levels and NULL are all 0 in every split.
     """
     plain = [n for n in df.columns if n not in levels and n not in keep]
+    encoded_names(df.columns, levels)
     made = []
     for name in df.columns:
         for level in levels.get(name, [])[1:]:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline.functions.durable import durable
-from plumbline.functions.expressions import display_text, is_whole, percentage, ratio
+from plumbline.functions.expressions import is_whole, number_text, percentage, ratio
 from plumbline.functions.moments import deviation, per_column
 from plumbline.functions.quantiles import quantile_table
 from plumbline.schema import SemanticSchema, numeric_columns, quoted, string_columns
@@ -18,7 +18,6 @@ from plumbline.schema import SemanticSchema, numeric_columns, quoted, string_col
 LOW_CARDINALITY_VALUES = 20
 LOW_CARDINALITY_RATIO = 0.05
 IDENTIFIER_RATIO = 0.98
-DATETIME_SAMPLE = 100
 DATETIME_SHARE = 0.90
 EXAMPLES = 5
 MISSING_LABEL = "<MISSING>"
@@ -28,28 +27,59 @@ WIDE_ROW_BYTES = 64
 BROADCAST_HASHES = 4_000_000
 
 
+def _typed(df: DataFrame, name: str) -> tuple[Column, Column, Column]:
+    """A value as (whole number, double, text): the one of its type, the others NULL."""
+    column, kind = quoted(name), df.schema[name].dataType
+    whole, number, text = F.lit(None).cast("long"), F.lit(None).cast("double"), F.lit(None).cast("string")
+    if isinstance(kind, (T.IntegralType, T.BooleanType)):
+        whole = column.cast("long")
+    elif isinstance(kind, (T.DoubleType, T.FloatType)):
+        # -0.0 and 0.0 are one value.
+        number = F.when(column == 0, F.lit(0.0)).otherwise(column.cast("double"))
+    else:
+        text = column.cast("string")
+    return whole, number, text
+
+
 def value_frequencies(
     df: DataFrame, columns: Sequence[str] | None = None, row_key: str | None = None
 ) -> DataFrame:
     """``column_name, observed_value, frequency`` of every value of every column.
 
-    One scan and one shuffle of the combined (column, value) pairs, whatever the
-    number of columns. Distinct counts, frequencies, modes and examples all come
-    from this table. With ``row_key`` it also holds the first key of each value.
+    One scan and one shuffle of the combined (column number, value) pairs, whatever the
+    number of columns. Values are grouped in their own type and become text afterwards, where
+    text is asked for; NULL is a value without ``present``. Distinct counts, frequencies,
+    modes and examples all come from this table. With ``row_key`` it also holds the first
+    key of each value.
     """
     names = list(columns or df.columns)
-    cells = [F.struct(F.lit(n).alias("column_name"), display_text(df, n).alias("observed_value")) for n in names]
+    cells = []
+    for place, name in enumerate(names):
+        whole, number, text = _typed(df, name)
+        cells.append(F.struct(F.lit(place).alias("_c"), whole.alias("_w"), number.alias("_d"), text.alias("_t")))
     key = [quoted(row_key).alias("_key")] if row_key else []
     long = df.select(*key, F.inline(F.array(*cells)))
     measures = [F.count(F.lit(1)).alias("frequency")]
     if row_key:
         measures.append(F.min("_key").alias("first_key"))
-    return long.groupBy("column_name", "observed_value").agg(*measures)
+    counted = long.groupBy("_c", "_w", "_d", "_t").agg(*measures)
+    flags = [i for i, n in enumerate(names) if isinstance(df.schema[n].dataType, T.BooleanType)]
+    whole = F.col("_w").cast("string")
+    if flags:
+        whole = F.when(F.col("_c").isin(flags), F.col("_w").cast("boolean").cast("string")).otherwise(whole)
+    return counted.select(
+        F.element_at(F.array(*[F.lit(n) for n in names]), F.col("_c") + 1).alias("column_name"),
+        F.coalesce(whole, number_text(F.col("_d")), F.col("_t")).alias("observed_value"),
+        (F.col("_w").isNotNull() | F.col("_d").isNotNull() | F.col("_t").isNotNull()).alias("present"),
+        F.col("_d").alias("number"),
+        "frequency",
+        *(["first_key"] if row_key else []),
+    )
 
 
 def distinct_counts(frequencies: DataFrame) -> DataFrame:
     """Distinct non-missing values per column."""
-    return frequencies.groupBy("column_name").agg(F.count("observed_value").alias("unique_count"))
+    return frequencies.groupBy("column_name").agg(F.count_if("present").alias("unique_count"))
 
 
 def distinct_with_examples(frequencies: DataFrame) -> DataFrame:
@@ -58,7 +88,7 @@ def distinct_with_examples(frequencies: DataFrame) -> DataFrame:
     Both sides start from the same filtered frequency table, so Spark computes and
     shuffles it once and reuses the exchange.
     """
-    present = frequencies.where("observed_value IS NOT NULL AND frequency > 0 AND first_key IS NOT NULL")
+    present = frequencies.where("present")
     return distinct_counts(present).join(F.broadcast(example_values(present)), "column_name", "left")
 
 
@@ -70,9 +100,7 @@ def example_values(frequencies: DataFrame, limit: int = EXAMPLES) -> DataFrame:
     """
     order = Window.partitionBy("column_name").orderBy("first_key", "observed_value")
     first = (
-        frequencies.where(F.col("observed_value").isNotNull())
-        .withColumn("place", F.row_number().over(order))
-        .where(F.col("place") <= limit)
+        frequencies.where("present").withColumn("place", F.row_number().over(order)).where(F.col("place") <= limit)
     )
     ordered = F.sort_array(F.collect_list(F.struct("place", "observed_value")))
     return first.groupBy("column_name").agg(
@@ -180,23 +208,12 @@ def looks_like_datetime(value: Column, formats: Sequence[str] = DATETIME_FORMATS
 
 
 def datetime_candidates(
-    df: DataFrame,
-    row_key: str | None = None,
-    formats: Sequence[str] = DATETIME_FORMATS,
-    columns: Sequence[str] | None = None,
+    df: DataFrame, formats: Sequence[str] = DATETIME_FORMATS, columns: Sequence[str] | None = None
 ) -> DataFrame:
-    """Share of text values that parse as dates, and whether it reaches the threshold.
-
-    With ``row_key`` the test looks at the first values in row order, found by a
-    top-k per task; without it, at all values.
-    """
+    """Share of all text values that parse as dates, and whether it reaches the threshold."""
     names = list(columns or string_columns(df))
     cells = [F.struct(F.lit(n).alias("column_name"), quoted(n).alias("text")) for n in names]
-    key = [quoted(row_key).alias("_key")] if row_key else []
-    values = df.select(*key, F.inline(F.array(*cells))).where(F.col("text").isNotNull())
-    if row_key:
-        order = Window.partitionBy("column_name").orderBy("_key")
-        values = values.withColumn("place", F.row_number().over(order)).where(F.col("place") <= DATETIME_SAMPLE)
+    values = df.select(F.inline(F.array(*cells))).where(F.col("text").isNotNull())
     tested = values.groupBy("column_name").agg(
         F.count(F.lit(1)).alias("tested_values"),
         F.count_if(looks_like_datetime(F.col("text"), formats)).alias("parsed_values"),
@@ -258,7 +275,7 @@ def column_profile(df: DataFrame, row_key: str) -> DataFrame:
         profile = profile.withColumn("median", none.cast("double"))
     texts = string_columns(df)
     if texts:
-        dated = datetime_candidates(df, row_key).select("column_name", "datetime_candidate")
+        dated = datetime_candidates(df).select("column_name", "datetime_candidate")
         profile = profile.join(F.broadcast(dated), "column_name", "left")
     else:
         profile = profile.withColumn("datetime_candidate", F.lit(False))
@@ -303,8 +320,8 @@ def categorical_candidates(df: DataFrame) -> DataFrame:
     """Value frequencies of every low-cardinality column, with the gaps as a value."""
     frequencies = value_frequencies(df)
     sizes = frequencies.groupBy("column_name").agg(
-        F.count("observed_value").alias("unique_count"),
-        F.sum(F.when(F.col("observed_value").isNotNull(), F.col("frequency"))).alias("present"),
+        F.count_if("present").alias("unique_count"),
+        F.sum(F.when(F.col("present"), F.col("frequency"))).alias("present"),
         F.sum("frequency").alias("row_total"),
     )
     low = sizes.where(
@@ -315,7 +332,7 @@ def categorical_candidates(df: DataFrame) -> DataFrame:
         )
     )
     # One row per column of the table, so the broadcast side is bounded by the schema.
-    return frequencies.join(F.broadcast(low), "column_name").select(
+    return frequencies.drop("present").join(F.broadcast(low), "column_name").select(
         "column_name",
         F.coalesce("observed_value", F.lit(MISSING_LABEL)).alias("observed_value"),
         "frequency",

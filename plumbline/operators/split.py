@@ -17,6 +17,7 @@ from fractions import Fraction
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from plumbline.functions.durable import durable, forget
 from plumbline.functions.expressions import percentage, right_closed_bin, seeded_hash
 from plumbline.schema import quoted
 
@@ -46,7 +47,11 @@ def stratum_counts(df: DataFrame, column: str, edges: Sequence[float]) -> DataFr
 
 
 def _sizes(df: DataFrame, stratum: Column) -> dict:
-    found = df.groupBy(stratum.alias("s")).count().limit(MAX_STRATA + 1).collect()
+    return _stratum_sizes(df.groupBy(stratum.alias("s")).count())
+
+
+def _stratum_sizes(counts: DataFrame) -> dict:
+    found = counts.limit(MAX_STRATA + 1).collect()
     if len(found) > MAX_STRATA:
         raise ValueError(f"More than {MAX_STRATA} strata; stratify by a coarser column.")
     sizes = {row["s"]: row["count"] for row in found}
@@ -135,30 +140,37 @@ def fit_split(
     test_share: float = 0.50,
     seed: int = 42,
     boundary_rows: int = BOUNDARY_ROWS,
+    prefix_digits: int = PREFIX_DIGITS,
 ) -> SplitRule:
     """Find the hash and key at each quota boundary.
 
-    ``row_key`` must be unique. Each pass counts one more hash prefix inside the
-    boundary prefixes only, so a pass leaves about 1 row in 65,536 to look at; only
-    then are the few remaining rows ranked.
+    ``row_key`` must be unique and not NULL. The first scan counts hash prefixes per stratum,
+    from which sizes, quotas and the prefix of each boundary follow; a prefix of four digits
+    holds about 1 row in 65,536. Further scans lengthen prefixes that hold more than
+    ``boundary_rows`` rows; a last one ranks the rows of the boundary prefixes.
     """
     rows = df.select(
         stratum.alias("s"), quoted(row_key).alias("k"), seeded_hash(quoted(row_key), seed).alias("h")
     )
-    sizes = _sizes(df, stratum)
-    quotas = split_quotas(sizes, held_out, test_share)
+    require_unique(df, row_key)
+    counted = durable(rows.groupBy("s", F.substring("h", 1, prefix_digits).alias("p")).count())
+    sizes = _stratum_sizes(counted.groupBy("s").agg(F.sum("count").alias("count")))
     # Wanted 1-based ranks per stratum: end of train, end of validation.
+    wanted = []
+    for s, (train, validation, _) in split_quotas(sizes, held_out, test_share).items():
+        wanted += [(s, slot, "", rank, sizes[s]) for slot, rank in ((0, train), (1, train + validation)) if rank > 0]
     open_cuts = []
-    for s, (train, validation, _) in quotas.items():
-        for slot, rank in ((0, train), (1, train + validation)):
-            if rank > 0:
-                open_cuts.append((s, slot, "", rank, sizes[s]))
+    if wanted:
+        # Two cuts per stratum: a short table.
+        cuts = F.broadcast(_cut_frame(rows, wanted)).select("cs", "slot", "wanted")
+        open_cuts = _chosen(counted.join(cuts, F.col("s") == F.col("cs")).drop("cs"))
     found: dict[tuple, tuple] = {}
     while open_cuts:
         ready = [c for c in open_cuts if c[4] <= boundary_rows or len(c[2]) >= HASH_DIGITS]
         found.update(_ranked(rows, ready))
         wide = [c for c in open_cuts if c not in ready]
-        open_cuts = _descend(rows, wide) if wide else []
+        open_cuts = _descend(rows, wide, prefix_digits) if wide else []
+    forget(counted)
     return SplitRule(
         row_key,
         stratum,
@@ -167,6 +179,20 @@ def fit_split(
     )
 
 
+def require_unique(df: DataFrame, row_key: str) -> None:
+    """A repeated or missing key would change the quotas: an error. Hashes are counted, then few keys."""
+    key = quoted(row_key)
+    hashed = df.select(F.xxhash64(key).alias("_h"), key.alias("_k"))
+    suspects = hashed.groupBy("_h").agg(F.count(F.lit(1)).alias("n"), F.min("_k").alias("a"), F.max("_k").alias("b"))
+    found = suspects.where("a IS NULL OR (n > 1 AND a = b)").limit(1).collect()
+    if not found:
+        # Different keys under one hash are next to impossible, but may hide a repeated one.
+        mixed = suspects.where("n > 1")
+        found = hashed.join(mixed.select("_h"), "_h", "left_semi").groupBy("_k").count().where("count > 1").limit(1).collect()
+    if found:
+        raise ValueError(f"The row key {row_key} must be unique and not NULL.")
+
+
 def _cut_frame(rows: DataFrame, cuts: list[tuple]) -> DataFrame:
     """The open cuts as a table: two per stratum, so it is safe to broadcast."""
     kind = rows.schema["s"].dataType.simpleString()
@@ -180,11 +206,14 @@ def _candidates(rows: DataFrame, cuts: list[tuple]) -> DataFrame:
     return rows.join(frame, (F.col("s") == F.col("cs")) & F.startswith("h", F.col("prefix"))).drop("cs")
 
 
-def _descend(rows: DataFrame, cuts: list[tuple]) -> list[tuple]:
+def _descend(rows: DataFrame, cuts: list[tuple], digits: int = PREFIX_DIGITS) -> list[tuple]:
     """Extend the prefix of each cut by the digits that hold its rank."""
-    longer = F.expr(f"substring(h, 1, length(prefix) + {PREFIX_DIGITS})")
-    counted = _candidates(rows, cuts).groupBy("s", "slot", "wanted", longer.alias("p")).count()
-    # At most 65,536 prefixes per cut.
+    longer = F.expr(f"substring(h, 1, length(prefix) + {digits})")
+    return _chosen(_candidates(rows, cuts).groupBy("s", "slot", "wanted", longer.alias("p")).count())
+
+
+def _chosen(counted: DataFrame) -> list[tuple]:
+    """Of the counted prefixes of each cut (at most 65,536) the one that holds its rank."""
     order = Window.partitionBy("s", "slot").orderBy("p")
     running = counted.withColumn("upto", F.sum("count").over(order))
     chosen = running.where((F.col("upto") >= F.col("wanted")) & (F.col("upto") - F.col("count") < F.col("wanted")))
@@ -214,10 +243,12 @@ def stratified_split(
     held_out: float = 0.30,
     test_share: float = 0.50,
     seed: int = 42,
+    boundary_rows: int = BOUNDARY_ROWS,
+    prefix_digits: int = PREFIX_DIGITS,
 ) -> DataFrame:
     """The table with ``stratum`` and ``split`` columns."""
     stratum = right_closed_bin(quoted(column), edges)
-    rule = fit_split(df, row_key, stratum, held_out, test_share, seed)
+    rule = fit_split(df, row_key, stratum, held_out, test_share, seed, boundary_rows, prefix_digits)
     return rule.apply(df.withColumn("stratum", stratum))
 
 
@@ -229,12 +260,19 @@ def split_audit(split: DataFrame, by_stratum: bool = True) -> DataFrame:
     return counts.withColumn("percentage", percentage(F.col("observations"), total))
 
 
-def require_cover(original: DataFrame, split: DataFrame) -> None:
-    """Every row is in exactly one split and the columns are unchanged."""
-    parts = {r["split"]: r["count"] for r in split.groupBy("split").count().collect()}
-    if None in parts or set(parts) - {TRAIN, VALIDATION, TEST}:
+def require_cover(original: DataFrame, split: DataFrame, held_out: float = 0.30, test_share: float = 0.50) -> None:
+    """Every row is in exactly one split, sizes are the quotas, and the columns are unchanged."""
+    counted = split.groupBy("stratum", "split").count().collect()
+    if any(r["split"] not in (TRAIN, VALIDATION, TEST) for r in counted):
         raise ValueError("Some rows have no split.")
-    if sum(parts.values()) != original.count():
+    if sum(r["count"] for r in counted) != original.count():
         raise ValueError("The splits do not add up to the original rows.")
+    sizes: dict = {}
+    for r in counted:
+        sizes[r["stratum"]] = sizes.get(r["stratum"], 0) + r["count"]
+    found = {(r["stratum"], r["split"]): r["count"] for r in counted}
+    for stratum, quota in split_quotas(sizes, held_out, test_share).items():
+        if tuple(found.get((stratum, name), 0) for name in (TRAIN, VALIDATION, TEST)) != quota:
+            raise ValueError(f"The splits of stratum {stratum} are not its quotas {quota}.")
     if set(split.columns) - {"split", "stratum"} != set(original.columns) - {"stratum"}:
         raise ValueError("The split table has other columns than the original.")

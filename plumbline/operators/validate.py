@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline.functions.expressions import is_whole
-from plumbline.operators.profile import duplicate_rows, null_counts
+from plumbline.operators.profile import duplicate_rows
 from plumbline.schema import ColumnRule, SemanticSchema, numeric_columns, quoted
+from plumbline.sources.tables import aligned
 
 ISSUE_FIELDS = "severity string, rule string, column string, affected_count long, message string"
-LISTED_VALUES = 50
 
 
 class ValidationFailed(RuntimeError):
@@ -62,7 +62,7 @@ def _checks_of(rule: ColumnRule, c: Column, numeric: bool) -> list[RowCheck]:
                               "Non-whole-number values detected."))
     if rule.allowed_values:
         outside = ~c.cast("string").isin(list(rule.allowed_values))
-        found.append(RowCheck("allowed_values", rule.name, "ERROR", outside, "Unexpected values: ", True))
+        found.append(RowCheck("allowed_values", rule.name, "ERROR", outside, "Values outside the allowed list", True))
     return found
 
 
@@ -76,10 +76,15 @@ def validation_issues(df: DataFrame, schema: SemanticSchema) -> DataFrame:
     """One row per broken rule.
 
     Every row rule is one counter of a single aggregation over the table; only the
-    one-row result reaches the driver, and duplicates are one further shuffle. Bad
-    values of an allow-list are looked up separately, and only when there are any:
-    the counts are complete, the message names at most ``LISTED_VALUES`` of them.
+    one-row result reaches the driver, and duplicates are one further shuffle. Values
+    outside an allow-list are counted separately, and only when there are any; the table
+    `unexpected_values` holds them all.
     """
+    return _issues(df, schema)[0]
+
+
+def _issues(df: DataFrame, schema: SemanticSchema) -> tuple[DataFrame, int, int]:
+    """The issues, and the numbers of rows and of missing values that the same pass has seen."""
     spark, issues = df.sparkSession, []
     absent = [n for n in schema.names if n not in df.columns]
     extra = [n for n in df.columns if n not in schema]
@@ -93,7 +98,10 @@ def validation_issues(df: DataFrame, schema: SemanticSchema) -> DataFrame:
     counted = df.agg(
         F.count(F.lit(1)).alias("_rows"),
         *[F.count_if(check.violated).alias(f"_c{i}") for i, check in enumerate(checks)],
+        *[F.count_if(quoted(name).isNull()).alias(f"_n{i}") for i, name in enumerate(df.columns)],
     ).first()
+    listed = [c for i, c in enumerate(checks) if c.lists_values and counted[f"_c{i}"]]
+    distinct = _distinct_unexpected(df, listed)
     for rule in schema.rules:
         if rule.name not in df.columns:
             continue
@@ -103,18 +111,39 @@ def validation_issues(df: DataFrame, schema: SemanticSchema) -> DataFrame:
             issues.append(("ERROR", "storage_type", rule.name, counted["_rows"], message))
         for i, check in enumerate(checks):
             if check.column == rule.name and counted[f"_c{i}"]:
-                message = check.message + (_bad_values(df, check) if check.lists_values else "")
+                message = check.message
+                if check.lists_values:
+                    message += f": {distinct[check.column]} distinct."
                 issues.append((check.severity, check.rule, check.column, counted[f"_c{i}"], message))
     repeated = duplicate_rows(df).first()[0]
     if repeated:
         issues.append(("WARNING", "duplicate_rows", "", repeated, "Duplicate rows detected."))
-    return spark.createDataFrame(issues, ISSUE_FIELDS)
+    gaps = sum(counted[f"_n{i}"] for i in range(len(df.columns)))
+    return spark.createDataFrame(issues, ISSUE_FIELDS), counted["_rows"], gaps
+
+
+def _unexpected(df: DataFrame, checks: Sequence[RowCheck]) -> DataFrame:
+    cells = [
+        F.when(c.violated, F.struct(F.lit(c.column).alias("column"), quoted(c.column).cast("string").alias("value")))
+        for c in checks
+    ]
+    return df.select(F.inline(F.array_compact(F.array(*cells)))).groupBy("column", "value").agg(
+        F.count(F.lit(1)).alias("affected_count")
+    )
 
 
-def _bad_values(df: DataFrame, check: RowCheck) -> str:
-    values = df.where(check.violated).select(quoted(check.column).cast("string").alias("v")).distinct()
-    found = [row["v"] for row in values.orderBy("v").limit(LISTED_VALUES + 1).collect()]
-    return ", ".join(found[:LISTED_VALUES]) + (", ..." if len(found) > LISTED_VALUES else "")
+def unexpected_values(df: DataFrame, schema: SemanticSchema) -> DataFrame:
+    """``column, value, affected_count`` of every value outside its allow-list, in one pass."""
+    checks = [c for c in row_checks(df, schema) if c.lists_values]
+    if not checks:
+        return df.sparkSession.createDataFrame([], "column string, value string, affected_count long")
+    return _unexpected(df, checks)
+
+
+def _distinct_unexpected(df: DataFrame, checks: Sequence[RowCheck]) -> dict[str, int]:
+    if not checks:
+        return {}
+    return {r["column"]: r["count"] for r in _unexpected(df, checks).groupBy("column").count().collect()}
 
 
 def validation_observations(
@@ -143,9 +172,13 @@ def validation_observations(
     )
 
 
-def validation_summary(df: DataFrame, schema: SemanticSchema, issues: DataFrame | None = None) -> DataFrame:
-    """Counts and overall status in one row."""
-    issues = validation_issues(df, schema) if issues is None else issues
+def validation_summary(df: DataFrame, schema: SemanticSchema) -> DataFrame:
+    """Counts and overall status in one row, from one pass over the rows and the search for duplicates."""
+    issues, rows, gaps = _issues(df, schema)
+    return summary_of(issues, rows, gaps, len(df.columns))
+
+
+def summary_of(issues: DataFrame, rows: int, gaps: int, columns: int) -> DataFrame:
     counts = issues.agg(
         F.count_if(F.col("severity") == "ERROR").alias("validation_errors"),
         F.count_if(F.col("severity") == "WARNING").alias("validation_warnings"),
@@ -153,16 +186,13 @@ def validation_summary(df: DataFrame, schema: SemanticSchema, issues: DataFrame
             "duplicate_rows"
         ),
     )
-    base = null_counts(df).agg(
-        F.max("row_total").alias("rows"), F.sum("missing_count").alias("missing")
-    ).select(F.struct("rows", "missing"))
-    return counts.withColumn("base", base.scalar()).select(
-        F.col("base.rows").alias("observations"),
-        F.lit(len(df.columns)).alias("columns"),
+    return counts.select(
+        F.lit(rows).cast("long").alias("observations"),
+        F.lit(columns).alias("columns"),
         "validation_errors",
         "validation_warnings",
         "duplicate_rows",
-        F.col("base.missing").alias("total_missing_values"),
+        F.lit(gaps).cast("long").alias("total_missing_values"),
         F.when(F.col("validation_errors") > 0, "FAILED")
         .when(F.col("validation_warnings") > 0, "PASSED WITH WARNINGS")
         .otherwise("PASSED")
@@ -170,6 +200,12 @@ def validation_summary(df: DataFrame, schema: SemanticSchema, issues: DataFrame
     )
 
 
+def validated(df: DataFrame, schema: SemanticSchema) -> tuple[DataFrame, DataFrame]:
+    """Issues and summary together."""
+    issues, rows, gaps = _issues(df, schema)
+    return issues, summary_of(issues, rows, gaps, len(df.columns))
+
+
 def require_valid(summary: DataFrame) -> str:
     """The gate: raises when the status is FAILED, returns it otherwise."""
     status = summary.first()["status"]
@@ -221,7 +257,7 @@ def preprocessing_audit(df: DataFrame, schema: SemanticSchema, cleaned: DataFram
         if rule.storage == "string":
             changed.append((F.count_if(F.trim(before.cast("string")) != before.cast("string"))))
         else:
-            changed.append(F.count_if(before.isNotNull() & before.try_cast("double").isNull()))
+            changed.append(F.count_if(before.isNotNull() & aligned(rule, before).isNull()))
     counted = df.agg(
         F.count(F.lit(1)).alias("rows"), *[c.alias(f"_c{i}") for i, c in enumerate(changed)]
     ).first()

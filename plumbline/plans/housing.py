@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from plumbline.operators.findings import Wording
-from plumbline.operators.governance import Asset, Interaction
+from plumbline.operators.governance import DISTANCE, GROUPING, INDEX, Interaction, planned
 from plumbline.schema import ColumnRule, CrossRule, Ratio, SemanticSchema
 
 # Column names, limits, categories and wording of the housing table.
@@ -19,88 +19,63 @@ RECOMMENDED = (
 )
 
 RATIOS = (
-    Ratio("rooms_per_household", "total_rooms", "households", "Average housing-space availability per household."),
-    Ratio("bedrooms_per_room", "total_bedrooms", "total_rooms", "Bedroom share within the housing stock."),
-    Ratio("population_per_household", "population", "households", "Average household occupancy."),
-    Ratio("bedrooms_per_household", "total_bedrooms", "households", "Average bedroom availability per household."),
-    Ratio("rooms_per_person", "total_rooms", "population", "Housing-space availability per person."),
-    Ratio("bedrooms_per_person", "total_bedrooms", "population", "Bedroom availability per person."),
+    Ratio("rooms_per_household", "total_rooms", "households", "Rooms that a household has on average."),
+    Ratio("bedrooms_per_room", "total_bedrooms", "total_rooms", "Share of rooms that are bedrooms."),
+    Ratio("population_per_household", "population", "households", "People in a household on average."),
+    Ratio("bedrooms_per_household", "total_bedrooms", "households", "Bedrooms that a household has on average."),
+    Ratio("rooms_per_person", "total_rooms", "population", "Rooms that a person has on average."),
+    Ratio("bedrooms_per_person", "total_bedrooms", "population", "Bedrooms that a person has on average."),
 )
 MODEL_RATIOS = tuple(r for r in RATIOS if r.name in RECOMMENDED)
 
 INTERACTIONS = (
     Interaction(
         "longitude_latitude_interaction", ("longitude", "latitude"), "longitude × latitude",
-        "Exploratory interaction representing joint location.",
-        "longitude * latitude", "Joint geographic effect.",
+        "Location as one effect of both coordinates.",
     ),
     Interaction(
         "income_ocean_proximity_interaction", ("median_income", "ocean_proximity"),
-        "median_income × ocean_proximity indicators",
-        "Tests whether income effects differ by coastal category.",
-        "median_income × one-hot ocean-proximity indicators",
-        "Allows the income relationship to differ across location categories.",
+        "median_income × indicators of ocean_proximity", "Income may count differently near the coast.",
     ),
     Interaction(
-        "income_age_interaction", ("median_income", "housing_median_age"),
-        "median_income * housing_median_age",
-        "Tests whether the relationship between income and the response varies with housing age.",
-        recommended=False,
+        "income_age_interaction", ("median_income", "housing_median_age"), "median_income × housing_median_age",
+        "Income may count differently for old houses.", recommended=False,
     ),
 )
 
 DOMAIN_ASSETS = (
-    Asset(
-        "coastal_access_group", "Domain", "Category consolidation", "ocean_proximity",
-        "Business-approved grouping of proximity categories",
-        "Simplified market-access or coastal-amenity segment.",
-        "May improve interpretability when individual categories are sparse or "
-        "operational decisions use broader segments.",
-        "OPTIONAL DOMAIN CANDIDATE", True, True, False, False, False,
-        "Grouping must be approved before use and applied identically to every dataset split.",
-        "LOW", "domain_features.py", "LOW", "REQUIRES DOMAIN APPROVAL",
-        "Do not collapse categories only to improve model fit.",
+    planned(
+        GROUPING, "coastal_access_group", ("ocean_proximity",), "approved mapping of categories to groups",
+        "Coarser location segment.", "No grouping is approved yet.",
     ),
-    Asset(
-        "distance_to_business_centre", "Domain", "External geographic feature",
-        "longitude | latitude | external_cbd_coordinates",
-        "Geodesic distance to a defined central business centre",
-        "Accessibility to major employment and commercial centres.",
-        "Coordinates alone may not express accessibility clearly.",
-        "EXTERNAL DATA REQUIRED", True, True, True, False, False,
-        "External reference location and distance method must be documented.",
-        "LOW", "domain_features.py", "LOW", "DEFER UNTIL EXTERNAL DATA AVAILABLE",
+    planned(
+        DISTANCE, "distance_to_business_centre", ("longitude", "latitude", "external_cbd_coordinates"),
+        "shortest great-circle distance to the given centres", "How far a block lies from work and trade.",
+        "The centres must be supplied.",
     ),
-    Asset(
-        "local_amenity_index", "Domain", "External composite index", "external_amenity_data",
-        "Business-approved composite score",
-        "Local access to schools, services, transport, and amenities.",
-        "Addresses possible omitted neighbourhood characteristics.",
-        "EXTERNAL DATA REQUIRED", True, True, True, False, False,
-        "Index construction and weighting must be documented.",
-        "MEDIUM", "domain_features.py", "LOW", "DEFER UNTIL EXTERNAL DATA AVAILABLE",
+    planned(
+        INDEX, "local_amenity_index", ("external_amenity_data",), "weighted sum of standardised columns",
+        "Access to schools, services and transport.", "The amenity table must be supplied.", risk="MEDIUM",
     ),
 )
 
 WORDING = Wording(
     rationales={
-        "spatial_coordinate": (
-            "Geographic position may capture regional market structure and nonlinear spatial effects."
-        ),
-        "count": "The variable may contribute through scale, density, ratio, or interaction effects.",
-        "nominal_categorical": "Systematic differences between categories may explain house-price variation.",
-        "discrete_numeric": "The variable may have a nonlinear or piecewise relationship with house value.",
+        "spatial_coordinate": "Places near each other tend to have similar prices.",
+        "count": "Says how large a block is; ratios of counts say more.",
+        "nominal_categorical": "Price levels may differ between categories.",
+        "discrete_numeric": "Price may change in steps rather than evenly.",
     },
     expected={
-        "longitude": "Expected regional and nonlinear spatial variation.",
-        "latitude": "Expected regional and nonlinear spatial variation.",
-        "housing_median_age": "Possible nonlinear or threshold effect.",
-        "total_rooms": "Ambiguous raw-scale effect; ratios may be more informative.",
-        "total_bedrooms": "Ambiguous raw-scale effect; ratios may be more informative.",
-        "population": "Possible density and congestion effect.",
-        "households": "Possible block-size and occupancy effect.",
-        "median_income": "Expected positive association with house value.",
-        "ocean_proximity": "Expected systematic differences across categories.",
+        "longitude": "Varies by region, not along a line.",
+        "latitude": "Varies by region, not along a line.",
+        "housing_median_age": "A threshold or a curve is possible.",
+        "total_rooms": "Unclear as a raw count.",
+        "total_bedrooms": "Unclear as a raw count.",
+        "population": "Crowding may lower prices.",
+        "households": "Follows the size of the block.",
+        "median_income": "Prices rise with income.",
+        "ocean_proximity": "Levels differ between categories.",
     },
 )
 

@@ -1,11 +1,14 @@
-"""The end-to-end run: validate, split, explore, prepare, train, evaluate, register.
+"""The end-to-end run: validate, split, profile, explore, plan features, prepare, train, evaluate, register.
 
-One function composes the operators; there is no scheduler. Control returns to the
-driver only with results whose size follows the schema.
+One function composes the operators; there is no scheduler. What is explored and fitted sees
+training rows only. The split table and the model matrix, the two tables as long as the data,
+are written once, below the output folder or the shared scratch folder, and read from there;
+control returns to the driver only with results whose size follows the schema.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -13,9 +16,12 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.functions.durable import durable
-from plumbline.operators import eda, models, outliers, prep, split, validate
-from plumbline.schema import Ratio, SemanticSchema
+from plumbline.functions.durable import forget, shared_folder
+from plumbline.operators import (
+    curvature, eda, findings, governance, models, outliers, prep, profile, split, validate,
+)
+from plumbline.plans import rules
+from plumbline.schema import Ratio, SemanticSchema, numeric_columns
 from plumbline.sources.registry import registry_snapshot, write_snapshot
 from plumbline.sources.tables import schema_clean, write_table
 
@@ -35,57 +41,127 @@ class RunPlan:
     settings: models.ModelSettings = field(default_factory=models.ModelSettings)
     seed: int = 42
     stop_on_failed_validation: bool = True
+    interactions: Sequence[governance.Interaction] = ()
+    domain: Sequence[governance.Asset] = ()
+    spline_columns: Sequence[str] = ()
+    wording: findings.Wording = field(default_factory=findings.Wording)
+    challenges: Sequence[findings.Rule] = rules.CHALLENGES
+    notes: Sequence[findings.Rule] = rules.NOTES
+    feature: str = ""
+    category: str = ""
 
 
 @dataclass
-class RunResult:
-    """Handles on everything a run produced."""
+class Exploration:
+    """Everything up to the model inputs; ``tables`` holds the results by stage, in order."""
 
     status: str
-    issues: DataFrame
+    tables: dict[str, DataFrame]
+    clean: DataFrame
     splits: DataFrame
-    audit: DataFrame
-    distributions: DataFrame
-    correlations: DataFrame
-    outliers: DataFrame
-    preparation: prep.Preparation
     prepared: DataFrame
+    preparation: prep.Preparation
+
+    def forget(self) -> None:
+        """Delete the split table and the model matrix of a run without an output folder."""
+        forget(self.splits, self.prepared)
+
+
+@dataclass
+class RunResult:
+    """Handles on everything a run produced."""
+
+    explored: Exploration
     fitted: dict[str, PipelineModel]
     comparison: DataFrame
     best: str
     test: DataFrame
     predictions: DataFrame
+    residuals: DataFrame
+    importance: DataFrame
     snapshot: DataFrame
 
+    @property
+    def status(self) -> str:
+        return self.explored.status
 
-def run(raw: DataFrame, plan: RunPlan, output: str | None = None) -> RunResult:
-    """Run every stage on ``raw``; with ``output`` the results are written below it.
-
-    The split table and the model matrix are written to the checkpoint folder once,
-    because the later stages read them many times and must survive lost executors.
-    """
-    schema, target = plan.schema, plan.schema.target
-    observed = raw.drop(plan.row_key)
-    issues = validate.validation_issues(observed, schema)
-    summary = validate.validation_summary(observed, schema, issues)
+    @property
+    def splits(self) -> DataFrame:
+        return self.explored.splits
+
+    @property
+    def preparation(self) -> prep.Preparation:
+        return self.explored.preparation
+
+
+def _written(df: DataFrame, name: str, output: str | None, partition_by: Sequence[str] = ()) -> DataFrame:
+    """A data-sized table, written once where the run keeps it."""
+    place = output or f"{shared_folder(df.sparkSession).rstrip('/')}/plumbline"
+    path = f"{place}/{name}" if output else f"{place}/{uuid.uuid4().hex}"
+    write_table(df, path, partition_by=partition_by)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def explore(raw: DataFrame, plan: RunPlan, output: str | None = None) -> Exploration:
+    """All stages before training. They are deterministic, also across partitionings."""
+    schema, target, key = plan.schema, plan.schema.target, plan.row_key
+    issues, summary = validate.validated(raw.drop(key), schema)
     status = summary.first()["status"]
     if plan.stop_on_failed_validation:
         validate.require_valid(summary)
 
-    clean = schema_clean(raw, schema, keep=[plan.row_key])
-    splits = durable(
-        split.stratified_split(clean, plan.row_key, plan.stratify_by, plan.edges, seed=plan.seed)
-    )
+    clean = schema_clean(raw, schema, keep=[key])
+    assigned = split.stratified_split(clean, key, plan.stratify_by, plan.edges, seed=plan.seed)
+    splits = _written(assigned, "splits", output)
     split.require_cover(clean, splits)
-    train = prep.training_rows(splits).drop("split", "stratum", plan.row_key)
+    keyed = prep.training_rows(splits).drop("split", "stratum")
+    train = keyed.drop(key)
 
-    distributions = eda.distribution_summary(train)
+    numbers = numeric_columns(train)
+    predictors = [n for n in numbers if n != target]
+    checks = validate.logical_checks(train, schema)
     correlations = eda.target_correlations(train, target)
+    pairs = eda.correlation_screen(train, target)
     flagged = outliers.outlier_summary(train)
-
+    screen = curvature.binned_screen(train, predictors, target)
+    known = findings.facts(
+        train, target, eda.moment_table(train, [target]), profile.null_counts(train), correlations, pairs, screen,
+        flagged, checks, profile.value_counts(train, plan.category) if plan.category else None,
+        plan.feature, plan.category,
+    )
+    planned = governance.feature_plan(
+        train, schema, plan.ratios, plan.interactions, plan.domain, screen, plan.spline_columns
+    )
     preparation = prep.fit_preparation(train, plan.selected, target, plan.ratios)
-    layout = preparation.layout
-    prepared = durable(prep.prepared_splits(splits, preparation, [plan.row_key]))
+    prepared = _written(prep.prepared_splits(splits, preparation, [key]), "prepared", output)
+    tables = {
+        "validation_issues": issues,
+        "validation_summary": summary,
+        "split_audit": split.split_audit(splits),
+        "column_profile": profile.column_profile(keyed, key),
+        "variable_summary": eda.variable_summary(keyed, schema, key),
+        "logical_checks": checks,
+        "distribution_summary": eda.distribution_summary(train),
+        "target_correlations": correlations,
+        "correlation_screen": pairs,
+        "categorical_target_summary": eda.categorical_target_summary(train, schema.categorical, target),
+        "outlier_summary": flagged,
+        "curvature_screen": screen,
+        "candidate_variables": findings.candidate_variables(train, schema, correlations, screen, flagged, plan.wording),
+        "modelling_challenges": findings.modelling_challenges(known, plan.challenges),
+        "notes": findings.notes(known, plan.notes),
+        "feature_plan": planned,
+        "feature_repository": governance.feature_repository(planned),
+        "feature_dependencies": governance.feature_dependencies(planned, train),
+    }
+    return Exploration(status, tables, clean, splits, prepared, preparation)
+
+
+def run(raw: DataFrame, plan: RunPlan, output: str | None = None) -> RunResult:
+    """Run every stage on ``raw``; with ``output`` the results are written below it."""
+    target, key = plan.schema.target, plan.row_key
+    explored = explore(raw, plan, output)
+    layout, prepared = explored.preparation.layout, explored.prepared
     part = {name: prepared.where(F.col("split") == name) for name in (split.TRAIN, split.VALIDATION, split.TEST)}
 
     fitted = models.train_models(part[split.TRAIN], layout, target, plan.settings)
@@ -94,15 +170,19 @@ def run(raw: DataFrame, plan: RunPlan, output: str | None = None) -> RunResult:
     comparison = raw.sparkSession.createDataFrame(rows, comparison.schema)
     chosen = models.best_model(comparison)
     best = chosen.first()["Model"]
-    test = models.test_metrics(fitted[best], part[split.TEST], layout, target)
-    scored = models.predictions(fitted[best], part[split.TEST], layout, plan.row_key, target)
     model_path = f"{output}/model" if output else ""
-    snapshot = registry_snapshot(
-        clean, list(plan.selected), comparison, chosen, plan.project, target, plan.source, model_path
-    )
     result = RunResult(
-        status, issues, splits, split.split_audit(splits), distributions, correlations, flagged,
-        preparation, prepared, fitted, comparison, best, test, scored, snapshot,
+        explored,
+        fitted,
+        comparison,
+        best,
+        models.test_metrics(fitted[best], part[split.TEST], layout, target),
+        models.predictions(fitted[best], part[split.TEST], layout, key, target),
+        models.residuals(fitted[best], part[split.VALIDATION], layout, key, target),
+        models.feature_importance(fitted[models.FOREST], layout, prepared),
+        registry_snapshot(
+            explored.clean, list(plan.selected), comparison, chosen, plan.project, target, plan.source, model_path
+        ),
     )
     if output:
         save(result, plan, output)
@@ -110,14 +190,12 @@ def run(raw: DataFrame, plan: RunPlan, output: str | None = None) -> RunResult:
 
 
 def save(result: RunResult, plan: RunPlan, output: str) -> None:
-    """Write the tables, the chosen model and the snapshot of a run."""
-    write_table(result.issues, f"{output}/validation_issues")
-    write_table(result.splits, f"{output}/splits", partition_by=["split"])
-    write_table(result.distributions, f"{output}/distribution_summary")
-    write_table(result.correlations, f"{output}/target_correlations")
-    write_table(result.outliers, f"{output}/outlier_summary")
-    write_table(result.prepared, f"{output}/prepared", partition_by=["split"], row_key=[plan.row_key])
+    """Write the result tables, the chosen model and the snapshot of a run."""
+    for name, table in result.explored.tables.items():
+        write_table(table, f"{output}/{name}")
     write_table(result.comparison, f"{output}/model_comparison")
     write_table(result.predictions, f"{output}/predictions", row_key=[plan.row_key])
+    write_table(result.residuals, f"{output}/residuals", row_key=[plan.row_key])
+    write_table(result.importance, f"{output}/feature_importance")
     models.save_model(result.fitted[result.best], f"{output}/model")
     write_snapshot(result.snapshot, f"{output}/registry")

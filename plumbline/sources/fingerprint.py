@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from plumbline.functions.expressions import number_text
 from plumbline.schema import quoted
 
 SLICES = 4
@@ -15,10 +16,10 @@ DIGITS = 8
 
 
 def _field_text(df: DataFrame, name: str) -> Column:
-    """A value in a text form that does not depend on how an engine prints numbers."""
+    """A value as its length and text, so that no two rows of values run together; NULL is ``~``."""
     kind, column = df.schema[name].dataType, quoted(name)
     if isinstance(kind, (T.DoubleType, T.FloatType)):
-        text = F.round(column.cast("double"), 6).try_cast("decimal(28,6)").cast("string")
+        text = number_text(column.cast("double"))
     elif isinstance(kind, T.TimestampNTZType):
         text = F.date_format(column, "yyyy-MM-dd HH:mm:ss.SSSSSS")
     elif isinstance(kind, T.TimestampType):
@@ -26,19 +27,24 @@ def _field_text(df: DataFrame, name: str) -> Column:
         text = F.unix_micros(column).cast("string")
     elif isinstance(kind, T.DateType):
         text = F.date_format(column, "yyyy-MM-dd")
+    elif isinstance(kind, T.BinaryType):
+        text = F.hex(column)
+    elif isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+        text = F.to_json(column)
     else:
         text = column.cast("string")
-    return F.coalesce(F.concat(F.lit("="), text), F.lit("~"))
+    return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("~"))
 
 
 def dataset_fingerprint(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """One row: row and column counts and the sum of four 32-bit slices of each row hash.
+    """One row: row and column counts and a digest of names, types and contents.
 
-    Sums are exact integers, so partial sums may be added in any order; equal tables
-    give equal fingerprints and repeated rows count. One scan, no shuffle of rows.
+    Contents enter as the sums of four 32-bit slices of each row hash. Sums are exact
+    integers, so partial sums may be added in any order; equal tables give equal
+    fingerprints and repeated rows count. One scan, no shuffle of rows.
     """
     names = list(columns or df.columns)
-    row_hash = F.md5(F.concat_ws("|", *[_field_text(df, name) for name in names]))
+    row_hash = F.md5(F.concat(*[_field_text(df, name) for name in names]))
     hashed = df.select(row_hash.alias("h"))
     sums = []
     for i in range(SLICES):
@@ -47,8 +53,9 @@ def dataset_fingerprint(df: DataFrame, columns: Sequence[str] | None = None) ->
         sums.append(F.coalesce(F.sum(number), F.lit(0)).cast("string").alias(f"part_{i + 1}"))
     folded = hashed.agg(F.count(F.lit(1)).alias("row_total"), *sums)
     parts = [f"part_{i + 1}" for i in range(SLICES)]
+    header = "".join(f"{len(n)}:{n} {df.schema[n].dataType.simpleString()};" for n in names)
     return folded.select(
         "row_total",
         F.lit(len(names)).cast("long").alias("column_total"),
-        F.md5(F.concat_ws("-", F.col("row_total").cast("string"), *parts)).alias("fingerprint"),
+        F.md5(F.concat_ws("-", F.lit(header), F.col("row_total").cast("string"), *parts)).alias("fingerprint"),
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -100,21 +100,23 @@ def aligned_type(rule) -> str:
     return "bigint" if rule.whole_number else "double"
 
 
+def aligned(rule, source: Column) -> Column:
+    """A value in the storage type of its rule; NULL if it does not fit, never another number."""
+    if rule.storage == "string":
+        return F.trim(source.cast("string"))
+    number = finite(source.try_cast("double"))
+    if not rule.whole_number:
+        return number
+    return F.when(F.rint(number) == number, number.try_cast("bigint"))
+
+
 def schema_clean(df: DataFrame, schema: SemanticSchema, keep: Sequence[str] = ()) -> DataFrame:
     """Only the schema columns, in schema order, in their declared types.
 
-    Values that do not convert become NULL, text is trimmed, NULLs stay, no row is
-    dropped. A projection only: no shuffle.
+    Values that do not convert become NULL, among them fractions in columns of whole numbers,
+    and the audit counts them. Text is trimmed, NULLs stay, no row is dropped. A projection
+    only: no shuffle.
     """
     require_columns(df, [*keep, *schema.names], "schema cleaning")
-    columns = [quoted(name) for name in keep]
-    for rule in schema.rules:
-        source = quoted(rule.name)
-        if rule.storage == "string":
-            cleaned = F.trim(source.cast("string"))
-        elif rule.whole_number:
-            cleaned = F.rint(finite(source.try_cast("double"))).try_cast("bigint")
-        else:
-            cleaned = finite(source.try_cast("double"))
-        columns.append(cleaned.alias(rule.name))
-    return df.select(*columns)
+    cleaned = [aligned(rule, quoted(rule.name)).alias(rule.name) for rule in schema.rules]
+    return df.select(*[quoted(name) for name in keep], *cleaned)

@@ -83,7 +83,7 @@ def main() -> int:
     for name, function in queries.items():
         if options.names and name not in options.names:
             continue
-        if options.skip_models and sql.get(name) is None and name != "lowess_screen":
+        if options.skip_models and sql.get(name) is None:
             continue
         try:
             good, text = compare(spark, con, name, function, sql.get(name), options.sf)

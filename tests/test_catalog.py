@@ -5,11 +5,12 @@ import re
 import pytest
 
 import __spark_entry__ as entry
+from catalog.oracles import oracles
+from catalog.queries import QUERIES
 from conftest import SF_DIR
 from oracle_compare import compare, connect
 
-SQL = entry.oracle_sql()
-QUERIES = entry.queries()
+SQL = oracles()
 TRAINED = {
     "model_comparison", "best_model", "ridge_coefficients", "feature_importance", "test_metrics", "predictions",
     "residual_diagnostics", "residual_histogram", "registry_snapshot",
@@ -28,7 +29,8 @@ def test_query_equals_sql(spark, con, name):
 
 
 def test_queries_without_sql_are_known():
-    assert set(QUERIES) - set(SQL) == TRAINED | {"lowess_screen"}
+    assert set(QUERIES) - set(SQL) == TRAINED
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
 def test_names_are_plain():

@@ -26,26 +26,25 @@ def as_dict(df, column):
 
 
 def test_both_screens_agree_on_shape(table):
-    smooth = as_dict(curvature.lowess_screen(table, ["line", "flat"], "y", "k"), "automated_screen")
+    smooth = as_dict(curvature.lowess_screen(table, ["line", "flat"], "y"), "automated_screen")
     binned = as_dict(curvature.binned_screen(table, ["line", "flat"], "y"), "automated_screen")
     assert smooth == binned == {"line": "Nearly linear", "flat": "Nearly linear"}
-    smooth = as_dict(curvature.lowess_screen(table, ["bowl"], "z", "k"), "automated_screen")
+    smooth = as_dict(curvature.lowess_screen(table, ["bowl"], "z"), "automated_screen")
     binned = as_dict(curvature.binned_screen(table, ["bowl"], "z"), "automated_screen")
     assert smooth == binned == {"bowl": "Strong nonlinear pattern"}
 
 
-def test_sample_limit_and_partitions_do_not_change_scores(table):
-    few = {"rows": 150}
-    one = as_dict(curvature.lowess_scores(table.repartition(1), FEATURES, "y", "k", **few), "score")
-    many = as_dict(curvature.lowess_scores(table.repartition(16), FEATURES, "y", "k", **few), "score")
-    assert one == many and set(one) == set(FEATURES)
+def test_partitions_do_not_change_scores(table):
+    one = as_dict(curvature.lowess_scores(table.repartition(1), FEATURES, "y"), "score")
+    many = as_dict(curvature.lowess_scores(table.repartition(16), FEATURES, "y", bounded=100), "score")
+    assert one == pytest.approx(many, abs=1e-9) and set(one) == set(FEATURES)
 
 
 def test_small_sample_is_insufficient(table):
     few = table.where("k < 40")
-    scores = as_dict(curvature.lowess_scores(few, ["line"], "y", "k"), "score")
+    scores = as_dict(curvature.lowess_scores(few, ["line"], "y"), "score")
     assert scores == {"line": None}
-    screen = curvature.screen_table(curvature.lowess_scores(few, ["line"], "y", "k")).first()
+    screen = curvature.screen_table(curvature.lowess_scores(few, ["line"], "y")).first()
     assert screen["automated_screen"] == "Insufficient data"
     assert as_dict(curvature.binned_scores(few, ["line"], "y"), "score") == {"line": None}
 
@@ -53,37 +52,30 @@ def test_small_sample_is_insufficient(table):
 def test_line_fits_itself(spark):
     df = spark.range(400).select(F.col("id").alias("k"), F.col("id").cast("double").alias("x"),
                                  (F.col("id") * 2.0 + 1).alias("y"))
-    assert as_dict(curvature.lowess_scores(df, ["x"], "y", "k"), "score")["x"] == pytest.approx(0, abs=1e-9)
+    assert as_dict(curvature.lowess_scores(df, ["x"], "y"), "score")["x"] == pytest.approx(0, abs=1e-9)
     assert as_dict(curvature.binned_scores(df, ["x"], "y"), "score")["x"] == pytest.approx(0, abs=1e-9)
 
 
-def test_local_fit_equals_brute_force(spark):
-    """The sliding window against weights over all points, one robust round each."""
+def test_local_fit_follows_a_local_regression_of_the_rows(spark):
+    """Cells instead of rows cost little against weights over all points."""
     rng = np.random.default_rng(5)
-    n = 120
+    n = 4000
     x = np.sort(rng.normal(size=n))
     y = np.sin(2 * x) + rng.normal(scale=0.3, size=n)
-
-    def brute(x, y, span):
-        width = int(span * n + 1e-10)
-        robust, fitted = np.ones(n), np.empty(n)
-        for _ in range(4):
-            for i in range(n):
-                distance = np.abs(x - x[i])
-                near = np.argsort(distance, kind="stable")[:width]
-                w = (1 - (distance[near] / distance[near].max()) ** 3) ** 3 * robust[near]
-                design = np.vstack([np.ones(width), x[near]]).T
-                beta = np.linalg.lstsq(design * np.sqrt(w)[:, None], y[near] * np.sqrt(w), rcond=None)[0]
-                fitted[i] = beta[0] + beta[1] * x[i]
-            residual = np.abs(y - fitted)
-            robust = (1 - np.clip(residual / (6 * np.median(residual)), 0, 1) ** 2) ** 2
-        return fitted
-
+    width, fitted = n // 4, np.empty(n)
+    for i in range(n):
+        distance = np.abs(x - x[i])
+        near = np.argpartition(distance, width)[:width]
+        w = (1 - (distance[near] / distance[near].max()) ** 3) ** 3
+        d = x[near] - x[i]
+        s, sd, sdd = w.sum(), (w * d).sum(), (w * d * d).sum()
+        sy, sdy = (w * y[near]).sum(), (w * d * y[near]).sum()
+        fitted[i] = (sy - (sdy - sd * sy / s) / (sdd - sd * sd / s) * sd) / s
     slope, intercept = np.polyfit(x, y, 1)
-    expected = np.sqrt(np.mean((brute(x, y, 0.25) - (intercept + slope * x)) ** 2)) / np.std(y, ddof=1)
+    expected = np.sqrt(np.mean((fitted - (intercept + slope * x)) ** 2)) / np.std(y, ddof=1)
     df = spark.createDataFrame(pd.DataFrame({"k": np.arange(n), "x": x, "y": y}))
-    found = as_dict(curvature.lowess_scores(df, ["x"], "y", "k"), "score")["x"]
-    assert found == pytest.approx(expected, rel=1e-6)
+    found = as_dict(curvature.lowess_scores(df, ["x"], "y"), "score")["x"]
+    assert found == pytest.approx(expected, rel=0.02)
 
 
 def test_classes(spark):

@@ -49,15 +49,35 @@ def test_correlation_matches_pandas(table):
             assert value == pytest.approx(expected.loc[pair], abs=1e-12)
 
 
-def test_chunked_pairs_equal_one_pass(table, monkeypatch):
+def test_gram_matrices_equal_one_aggregation(table, monkeypatch):
     _, df = table
-    whole = eda.correlation_pairs(df, ["a", "b", "y", "flat"]).collect()
+    whole = {(r[0], r[1]): r["correlation"] for r in eda.correlation_matrix(df, ["a", "b", "y", "flat"]).collect()}
     monkeypatch.setattr(eda, "PAIRS_PER_PASS", 2)
-    parts = eda.correlation_pairs(df, ["a", "b", "y", "flat"]).collect()
-    assert [(r["feature_1"], r["feature_2"]) for r in whole] == [(r["feature_1"], r["feature_2"]) for r in parts]
+    parts = {(r[0], r[1]): r["correlation"] for r in eda.correlation_matrix(df, ["a", "b", "y", "flat"]).collect()}
     # Sums of doubles may differ in the last digit.
-    for a, b in zip(whole, parts):
-        assert a["correlation"] == pytest.approx(b["correlation"], abs=1e-12)
+    assert parts == pytest.approx(whole, abs=1e-12, nan_ok=True)
+    assert len(eda.correlation_pairs(df, ["a", "b", "y", "flat"]).collect()) == 6
+
+
+def test_gram_matrices_of_far_and_constant_columns(spark):
+    df = spark.range(4000).repartition(6).select(
+        (F.col("id") + 1e9).alias("far"), (F.col("id") % 7 * 1.0).alias("near"), F.lit(1e9).alias("flat"),
+        F.when(F.col("id") % 3 == 0, F.col("id") * -1.0).alias("gaps"),
+    )
+    found = {(r[2], r[3]): r["correlation"] for r in eda._gram_cells(df, df.columns, [(0, 1)] * 99).collect()}
+    few = {(r[2], r[3]): r["correlation"] for r in eda._cells(df, df.columns, [(0, 1), (0, 2), (0, 3), (1, 3), (2, 3)]).collect()}
+    for pair, value in few.items():
+        assert found[pair] == (None if value is None else pytest.approx(value, abs=1e-9))
+    assert found["far", "gaps"] == pytest.approx(-1.0) and found["flat", "flat"] is None
+
+
+@pytest.mark.parametrize("columns", [60, 500])
+def test_many_columns_are_one_scan(spark, tmp_path, columns):
+    wide = spark.range(50).select(*[(F.col("id") * (i + 1) % 17 * 1.0).alias(f"c{i}") for i in range(columns)])
+    wide.write.parquet(f"{tmp_path}/wide")
+    matrix = eda.correlation_matrix(spark.read.parquet(f"{tmp_path}/wide"))
+    plan = matrix._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and matrix.count() == columns * columns
 
 
 def test_target_correlations_are_ranked(table):

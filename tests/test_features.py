@@ -114,8 +114,24 @@ def test_one_hot_baseline_comes_from_training(spark):
 
 def test_levels_beyond_the_cap_are_an_error(spark):
     df = spark.range(20).select(F.col("id").cast("string").alias("c"))
-    with pytest.raises(ValueError, match="more than 5 levels"):
-        prep.fit_levels(df, ["c"], cap=5)
+    with pytest.raises(ValueError, match="More than 5 levels in: c"):
+        prep.fit_levels(df.withColumn("d", F.lit("x")), ["d", "c"], cap=5)
+
+
+def test_any_number_of_levels_is_encoded_sparsely(spark):
+    df = spark.range(3000).select(F.concat(F.lit("l"), F.col("id")).alias("c"))
+    encoder = prep.sparse_encoder(df, ["c"])
+    odd = spark.createDataFrame([("l7",), ("unseen",), (None,)], "c string")
+    vectors = [r["c_levels"] for r in encoder.transform(odd).collect()]
+    assert [v.size for v in vectors] == [3001] * 3
+    assert [list(v.indices) for v in vectors[1:]] == [[3000], [3000]] and list(vectors[0].values) == [1.0]
+
+
+def test_colliding_encoded_names_are_an_error(spark):
+    df = spark.createDataFrame([("x", "x"), ("b_c", "c")], "a string, a_b string")
+    levels = {"a": ["A", "b_c"], "a_b": ["A", "c"]}
+    with pytest.raises(ValueError, match="a_b_c"):
+        prep.one_hot(df, levels)
 
 
 def test_odd_level_names(spark):

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from plumbline.operators import findings, governance
 from plumbline.operators.curvature import classify
-from plumbline.plans import housing
+from plumbline.plans import housing, rules
 
 # Published curvature scores and statistics of the housing table.
 SCORES = {
@@ -130,37 +130,43 @@ def test_candidates(blocks, schema, tables, screen):
     assert rows["ocean_proximity"]["potential_outlier_percentage"] == 0.0
 
 
-def test_challenges(spark, blocks, tables, screen):
-    _, outliers, distributions, gaps = tables
-    pairs = spark.range(7)
-    rows = findings.modelling_challenges(
-        blocks, "median_house_value", distributions, gaps, pairs, screen, outliers,
-        standing=[("Data issue", "Measurement limitations", "Aggregated values.", "Interpret at unit level.")],
-    ).collect()
-    assert [r["evidence"] for r in rows[:5]] == [
-        "Response skewness = 0.9857.",
-        "Missing values remain in: total_bedrooms",
-        "7 predictor pair(s) have |r| >= 0.80.",
-        "longitude, latitude, total_rooms, total_bedrooms, households, housing_median_age, population, median_income",
-        "total_rooms, total_bedrooms, households, population, median_house_value",
-    ]
-    assert [r["challenge"] for r in rows[5:]] == ["Spatial heterogeneity", "Measurement limitations"]
-
-
-def test_notes(tables, spark):
-    correlations, outliers, distributions, gaps = tables
-    notes = findings.eda_notes("median_house_value", distributions, correlations, outliers, gaps)
-    assert notes[1] == "The strongest observed linear relationship is median_income (correlation=0.6879)."
-    assert notes[2].startswith(
-        "Potential extreme values exceed 5% in: total_rooms, total_bedrooms, households, population, "
-        "median_house_value.")
-    assert len(notes) == 5
-    insights = findings.insight_notes(
-        "median_house_value", distributions, gaps, correlations, "median_income", "ocean_proximity", "<1H OCEAN")
-    assert insights[0].endswith("14,448 non-missing observations and has a mean of 207,143.48.")
-    assert insights[-1].endswith("'<1H OCEAN' is its most frequent category.")
+@pytest.fixture(scope="module")
+def known(spark, blocks, tables, screen):
+    correlations, outliers, shape, gaps = tables
     checks = spark.createDataFrame([("a", "REVIEW"), ("b", "PASS")], "check_name string, status string")
-    assert findings.understanding_notes(gaps, checks)[1] == "Logical checks requiring review: a."
+    counts = spark.createDataFrame([("INLAND", 5), ("<1H OCEAN", 7), (None, 1)], "value string, value_count long")
+    return findings.facts(
+        blocks, "median_house_value", shape, gaps, correlations, spark.range(7), screen, outliers, checks, counts,
+        "median_income", "ocean_proximity")
+
+
+def test_challenges(known):
+    rows = findings.modelling_challenges(known, rules.CHALLENGES).collect()
+    assert [r["evidence"] for r in rows] == [
+        "Skewness of median_house_value is 0.9857.",
+        "Columns with gaps: total_bedrooms.",
+        "Pairs of predictors with |r| of at least 0.80: 7.",
+        "Not straight against the response: longitude, latitude, total_rooms, total_bedrooms, households, "
+        "housing_median_age, population, median_income.",
+        "Columns with 5 % or more flagged rows: total_rooms, total_bedrooms, households, population, "
+        "median_house_value.",
+        "Rows carry latitude and longitude.",
+    ]
+
+
+def test_notes(known):
+    notes = [(r["section"], r["position"], r["note"]) for r in findings.notes(known, rules.NOTES).collect()]
+    assert len(notes) == 5 + 3 + 4
+    texts = {(s, p): n for s, p, n in notes}
+    assert texts["eda", 2] == "median_income follows the target most closely on a straight line (r = 0.6879)."
+    assert texts["understanding", 2] == "Logical checks to look into: a."
+    assert texts["insight", 1] == "median_house_value is known for 14,448 rows; its mean is 207,143.48."
+    assert texts["insight", 4] == "The most frequent ocean_proximity is <1H OCEAN."
+
+
+def test_facts_that_are_not_given_state_nothing(spark, blocks):
+    bare = findings.facts(blocks.drop("latitude"), "median_house_value")
+    assert findings.modelling_challenges(bare, rules.CHALLENGES).count() == 0
 
 
 def test_patterns(spark, blocks, tables):

@@ -98,6 +98,16 @@ def test_reading_and_writing(spark, tmp_path):
     assert tables.given_or(empty, lambda: df).count() == 2 and tables.given_or(names, lambda: df) is names
 
 
+def test_fingerprint_tells_tables_apart(spark):
+    def of(rows, fields):
+        return fingerprint.dataset_fingerprint(spark.createDataFrame(rows, fields)).first()["fingerprint"]
+
+    assert of([("a|=b", "c")], "x string, y string") != of([("a", "b|=c")], "x string, y string")
+    doubles = [of([(x,)], "x double") for x in (1e25, 5e30, None, 1e-9, 2e-8, 0.1 + 0.2, 0.3)]
+    assert len(set(doubles)) == len(doubles)
+    assert of([(1,)], "x long") != of([(1,)], "y long") != of([(1,)], "y int")
+
+
 def test_end_to_end_run(spark, tmp_path):
     rng = np.random.default_rng(2)
     n = 900
@@ -135,3 +145,25 @@ def test_end_to_end_run(spark, tmp_path):
     assert len(record["model_registry"]["comparison_results"]) == 3
     assert record["data_registry"]["rows"] == n and record["feature_store"]["feature_count"] == 5
     assert models.load_model(f"{tmp_path}/model").stages[-1] is not None
+    written = {p.name for p in tmp_path.iterdir()}
+    assert set(result.explored.tables) | {"splits", "prepared", "predictions", "registry", "model"} <= written
+    assert spark.read.parquet(f"{tmp_path}/notes").count() >= 5
+
+
+def test_exploration_leaves_no_scratch_tables(spark):
+    rng = np.random.default_rng(3)
+    pdf = pd.DataFrame({"key": np.arange(400), "x": rng.uniform(0, 9, 400), "y": rng.uniform(0, 9, 400),
+                        "c": rng.choice(["a", "b"], 400)})
+    pdf["z"] = pdf["x"] + pdf["y"]
+    schema = SemanticSchema((ColumnRule("x", "continuous_numeric", minimum=0.0), ColumnRule(
+        "z", "continuous_numeric"), ColumnRule("c", "nominal_categorical", storage="string", group="categorical"), ColumnRule(
+        "y", "continuous_numeric", role="target", group="target")))
+    plan = workflow.RunPlan(schema, "key", "x", [0.0, 5.0, float("inf")], ["x"])
+    runs = [workflow.explore(spark.createDataFrame(pdf).repartition(n), plan) for n in (1, 32)]
+    first, second = ({n: t.toPandas().round(9).sort_values(list(t.columns)).to_csv(index=False)
+                      for n, t in run.tables.items()} for run in runs)
+    assert first == second
+    for run in runs:
+        run.forget()
+        with pytest.raises(Exception):
+            run.splits.count()

@@ -52,13 +52,27 @@ def test_empty_column_profile(spark):
     assert not row["low_cardinality_candidate"] and not row["integer_valued_candidate"]
 
 
-def test_datetime_candidate_looks_at_first_values_only_with_a_key(spark):
+def test_datetime_candidate_looks_at_all_values(spark):
     df = spark.range(300).select(
         F.col("id").alias("k"),
         F.when(F.col("id") < 95, "2024-01-01").otherwise("none").alias("t"),
     )
-    assert by_name(profile.datetime_candidates(df, "k"))["t"]["datetime_candidate"]
     assert not by_name(profile.datetime_candidates(df))["t"]["datetime_candidate"]
+    assert by_name(profile.column_profile(df, "k"))["t"]["inferred_structural_type"].startswith("String")
+    dated = df.where("k < 95")
+    assert by_name(profile.column_profile(dated, "k"))["t"]["inferred_structural_type"] == "Datetime candidate"
+
+
+def test_doubles_are_counted_by_value(spark):
+    values = [0.1 + 0.2, 0.3, 0.1234567890123456, 0.1234567890123457, 0.0, -0.0, 1e-20, 2e-20, None]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(values)], "k int, x double")
+    row = by_name(profile.column_profile(df, "k"))["x"]
+    assert row["unique_count"] == 7
+    assert row["example_values"].startswith("0.30000000000000004 | 0.3 | 0.1234567890123456 | 0.1234567890123457 | 0.0")
+    counted = profile.value_frequencies(df.select("x")).collect()
+    assert {r["observed_value"]: r["frequency"] for r in counted}["0.0"] == 2
+    flags = spark.createDataFrame([(True,), (False,), (None,)], "b boolean")
+    assert {r["observed_value"] for r in profile.value_frequencies(flags).collect()} == {"true", "false", None}
 
 
 @pytest.mark.parametrize("by_hash", [True, False, None])

@@ -60,7 +60,7 @@ def test_many_large_groups_without_broadcast(uneven, monkeypatch):
     from plumbline.functions import quantiles
 
     pdf, df = uneven
-    monkeypatch.setattr(quantiles, "BROADCAST_GROUPS", 0)
+    monkeypatch.setattr(quantiles, "BROADCAST_BYTES", 0)
     rows = grouped_quantiles(df, ["g"], F.col("v"), [0.5], bounded=5_000).collect()
     found = {row["g"]: row["quantiles"][0] for row in rows}
     assert found["hot"] == pytest.approx(np.median(pdf.loc[pdf["g"] == "hot", "v"]), rel=1e-12)

@@ -92,3 +92,25 @@ def test_many_strata_use_the_same_cuts(table, monkeypatch):
     by_join = rule.apply(table)
     assert by_join.columns == by_expression.columns
     assert by_join.exceptAll(by_expression).isEmpty() and by_expression.exceptAll(by_join).isEmpty()
+
+
+def test_repeated_and_missing_keys_are_errors(spark):
+    base = spark.range(1000).select((F.col("id") % 10).alias("k"), F.lit(5.0).alias("v"))
+    with pytest.raises(ValueError, match="unique"):
+        split.stratified_split(base, "k", "v", EDGES)
+    one = spark.createDataFrame([(1, 5.0), (None, 5.0)], "k long, v double")
+    with pytest.raises(ValueError, match="unique"):
+        split.stratified_split(one, "k", "v", EDGES)
+
+
+def test_cover_compares_sizes_with_quotas(table):
+    rows = split.stratified_split(table, "k", "v", EDGES)
+    moved = rows.withColumn("split", F.when(F.col("k") == 0, "test").when(F.col("k") == 3, "test").otherwise(F.col("split")))
+    with pytest.raises(ValueError, match="quotas"):
+        split.require_cover(table, moved)
+
+
+@pytest.mark.parametrize("digits", [1, 2])
+def test_short_prefixes_give_the_same_split(table, digits):
+    rows = split.stratified_split(table, "k", "v", EDGES, boundary_rows=3, prefix_digits=digits)
+    assert {r["k"]: r["split"] for r in rows.collect()} == ranked([(r["k"], r["v"]) for r in table.collect()])
