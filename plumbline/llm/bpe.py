@@ -23,7 +23,9 @@ from __future__ import annotations
 
 import json
 import re
+import sys
 import unicodedata
+from array import array
 from collections.abc import Callable, Iterator
 from functools import cache
 
@@ -35,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Words and pair tests remembered per worker; beyond, a table starts anew. Longest word that is remembered.
+#: Words, pieces and pair tests remembered per worker; beyond, a table starts anew. Longest word that is remembered.
 REMEMBERED, REMEMBERED_PAIRS, REMEMBERED_LENGTH = 300_000, 500_000, 64
 #: Characters that only Python counts as white space.
 ODD_SPACE = re.compile("[\x1c-\x1f]")
@@ -49,31 +51,39 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
-class WordEncoder:
-    """Encodes one white-space word by dynamic programming over its prefixes."""
+class Spec:
+    """What a tokenizer file says about words: added tokens, pieces, vocabulary, merges."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
-        model = spec["model"]
-        self.end = model["end_of_word_suffix"]
+        self.model = spec["model"]
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
         pattern = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.pieces = regex.compile(pattern).findall
+        # The same pattern where all letters and digits are ASCII and nothing is white space.
+        self.ascii_pieces = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+").findall
         self.split_added = regex.compile("(" + "|".join(map(regex.escape, self.added)) + ")").split
-        self.strings = {i: t for t, i in model["vocab"].items()} | {i: t for t, i in self.added.items()}
+        vocab = self.model["vocab"]
+        self.strings = {i: t for t, i in vocab.items()} | {i: t for t, i in self.added.items()}
+
+
+class PrefixEncoder:
+    """Encodes a piece of a word by dynamic programming over its prefixes."""
+
+    def __init__(self, model: dict):
+        end, vocab = model["end_of_word_suffix"], model["vocab"]
         # A symbol is one character: the byte, or 256 and the byte if it ends its piece.
         byte_of = {letter: b for b, letter in byte_letters().items()}
-        self.symbols: list[str] = [""] * (max(model["vocab"].values()) + 1)
+        self.symbols: list[str] = [""] * (max(vocab.values()) + 1)
         self.ids: dict[str, int] = {}
-        for token, i in model["vocab"].items():
-            last = token.endswith(self.end) and len(token) > len(self.end)
-            letters = [byte_of[x] for x in (token.removesuffix(self.end) if last else token)]
+        for token, i in vocab.items():
+            last = token.endswith(end) and len(token) > len(end)
+            letters = [byte_of[x] for x in (token.removesuffix(end) if last else token)]
             text = "".join(map(chr, letters[:-1])) + chr(letters[-1] + 256 * last)
             self.symbols[i] = text
             self.ids[text] = i
         pairs = (m.split(" ") if isinstance(m, str) else m for m in model["merges"])
-        vocab = model["vocab"]
         self.merges = {(vocab[a], vocab[b]): (rank, vocab[a + b]) for rank, (a, b) in enumerate(pairs)}
         automaton = ahocorasick.Automaton()
         for text, i in self.ids.items():
@@ -94,7 +104,7 @@ class WordEncoder:
             parts[k : k + 2] = [whole]
         return parts
 
-    def piece(self, piece: str) -> list[int]:
+    def __call__(self, piece: str) -> list[int]:
         """Ids of one piece of the word pattern."""
         raw = piece.encode()
         text = raw[:-1].decode("latin-1") + chr(raw[-1] + 256)
@@ -127,49 +137,72 @@ class WordEncoder:
             at -= len(self.symbols[last[at]])
         return found[::-1]
 
-    def word(self, word: str) -> list[int]:
-        """Ids of a text without white space."""
-        found: list[int] = []
-        for part in self.split_added(word) if "<|" in word else (word,):
-            if part in self.added:
-                found.append(self.added[part])
-                continue
-            # Letters are lowered one by one: no rule for a sigma that ends a word.
-            lowered = unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()
-            for piece in self.pieces(lowered):
-                found += self.piece(piece)
-        return found
 
+class WordTable(dict):
+    """White-space words and their ids as little-endian unsigned 32-bit integers; bounded.
 
-class TextEncoder:
-    """Texts to little-endian unsigned 32-bit ids, word by word, with a bounded table of words."""
+    A word that is not held is encoded when it is asked for, piece by piece. Pieces are held
+    too, since words differ more by case and punctuation than by their pieces. A full table
+    becomes the elder one, from which words that still occur are taken over.
+    """
 
-    def __init__(self, words: Callable[[list[str]], list[list[int]]]):
-        self.words = words
+    def __init__(self, spec: Spec, encode: Callable[[str], list[int]]):
+        super().__init__()
+        self.spec, self.encode = spec, encode
+        self.elder: dict[str, bytes] = {}
         self.known: dict[str, bytes] = {}
 
+    def piece(self, piece: str) -> bytes:
+        ids = array("I", self.encode(piece))
+        if sys.byteorder != "little":
+            ids.byteswap()
+        raw = ids.tobytes()
+        if len(piece) <= REMEMBERED_LENGTH:
+            if len(self.known) >= REMEMBERED:
+                self.known.clear()
+            self.known[piece] = raw
+        return raw
+
+    def part(self, part: str) -> bytes:
+        # Letters are lowered one by one: no rule for a sigma that ends a word.
+        ascii_only = part.isascii()
+        low = part.lower() if ascii_only else unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()
+        if low.isalpha():
+            return self.known.get(low) or self.piece(low)
+        pieces = self.spec.ascii_pieces(low) if ascii_only else self.spec.pieces(low)
+        return b"".join([self.known.get(piece) or self.piece(piece) for piece in pieces])
+
+    def encoded(self, word: str) -> bytes:
+        if "<|" not in word:
+            return self.part(word)
+        added = self.spec.added
+        return b"".join(
+            [added[x].to_bytes(4, "little") if x in added else self.part(x) for x in self.spec.split_added(word)]
+        )
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.elder.get(word)
+        if ids is None:
+            ids = self.encoded(word)
+        if len(word) <= REMEMBERED_LENGTH:
+            if len(self) >= REMEMBERED:
+                self.elder = dict(self)
+                self.clear()
+            self[word] = ids
+        return ids
+
     def texts(self, texts: list[str]) -> Iterator[bytes]:
-        known = self.known
+        """Ids of whole texts."""
         for text in texts:
             words = SPACE.split(text) if ODD_SPACE.search(text) else text.split()
-            long: dict[str, bytes] = {}
-            if new := [w for w in dict.fromkeys(words) if w not in known]:
-                if len(known) + len(new) > REMEMBERED:
-                    known.clear()
-                    new = list(dict.fromkeys(words))
-                for word, ids in zip(new, self.words(new), strict=True):
-                    (known if len(word) <= REMEMBERED_LENGTH else long)[word] = np.array(ids, "<u4").tobytes()
-            if long:
-                yield b"".join([known[w] if w in known else long[w] for w in words])
-            else:
-                yield b"".join(map(known.__getitem__, words))
+            yield b"".join(map(self.__getitem__, words))
 
 
 @cache
-def prefix_encoder(path: str) -> tuple[WordEncoder, TextEncoder]:
-    """One encoder per Python worker and tokenizer file."""
-    words = WordEncoder(path)
-    return words, TextEncoder(lambda new: [words.word(w) for w in new])
+def prefix_encoder(path: str) -> WordTable:
+    """One table per Python worker and tokenizer file."""
+    spec = Spec(path)
+    return WordTable(spec, PrefixEncoder(spec.model))
 
 
 def decode(ids: bytes, strings: dict[int, str]) -> str:
@@ -197,8 +230,7 @@ def encode_texts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     """Per document: key and ids (array of long)."""
 
     def make(texts: list[str]) -> list[pa.Array]:
-        _, encoder = prefix_encoder(path)
-        found = [np.frombuffer(ids, "<u4").astype(np.int64) for ids in encoder.texts(texts)]
+        found = [np.frombuffer(ids, "<u4").astype(np.int64) for ids in prefix_encoder(path).texts(texts)]
         return [pa.array(found, pa.list_(pa.int64()))]
 
     rows = keyed_texts(docs, id_col, text_col)
@@ -210,9 +242,9 @@ def decode_ids(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: s
     """Per row: key and decoded text. NULL ids decode to the empty text."""
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, _ = prefix_encoder(path)
+        strings = prefix_encoder(path).spec.strings
         for batch in batches:
-            texts = [decode(np.array(ids or [], "<u4").tobytes(), words.strings) for ids in batch.column(1).to_pylist()]
+            texts = [decode(np.array(ids or [], "<u4").tobytes(), strings) for ids in batch.column(1).to_pylist()]
             yield pa.record_batch([batch.column(0), pa.array(texts, pa.string())], names=[id_col, "decoded"])
 
     rows = encoded.select(id_col, ids_col)
@@ -225,12 +257,12 @@ def round_trip(
     """Per document: key, n_tokens and the digests of its ids and of the text decoded from them."""
 
     def make(texts: list[str]) -> list[pa.Array]:
-        words, encoder = prefix_encoder(path)
+        encoder = prefix_encoder(path)
         counts, of_ids, of_text = [], [], []
         for ids in encoder.texts(texts):
             counts.append(len(ids) // 4)
             of_ids.append(digest(ids))
-            of_text.append(digest(decode(ids, words.strings).encode()))
+            of_text.append(digest(decode(ids, encoder.spec.strings).encode()))
         return [pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string())]
 
     rows = keyed_texts(docs, id_col, text_col)

@@ -19,7 +19,6 @@ Other columns are not read.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import cache
@@ -31,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plumbline.llm.bpe import TextEncoder, keyed_texts
+from plumbline.llm.bpe import Spec, WordTable, byte_letters, keyed_texts
 
 #: Pieces that wait at most, and the least gap for which a piece is cut.
 POOL, CUT_FROM = 2048, 8
@@ -218,19 +217,19 @@ def pack_examples(
 
 
 @cache
-def library_encoder(path: str) -> TextEncoder:
-    """The tokenizers library over words; one per Python worker and tokenizer file."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+def library_encoder(path: str) -> WordTable:
+    """Words encoded by the model of the tokenizers library; one per Python worker and tokenizer file."""
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.no_padding()
-    tokenizer.no_truncation()
+    model, letters = Tokenizer.from_file(path).model, byte_letters()
 
-    def words(new: list[str]) -> list[list[int]]:
-        return [found.ids for found in tokenizer.encode_batch_fast(new, add_special_tokens=False)]
+    def encode(piece: str) -> list[int]:
+        # Letters of bytes as the model knows them; printable ASCII stands for itself.
+        if not (piece.isascii() and piece.isprintable()):
+            piece = piece.encode().decode("latin-1").translate(letters)
+        return [token.id for token in model.tokenize(piece)]
 
-    return TextEncoder(words)
+    return WordTable(Spec(path), encode)
 
 
 def pack_documents(

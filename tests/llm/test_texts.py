@@ -59,8 +59,8 @@ def test_bounded_tables_change_nothing(library, monkeypatch):
     monkeypatch.setattr(bpe, "REMEMBERED", 5)
     monkeypatch.setattr(bpe, "REMEMBERED_PAIRS", 3)
     monkeypatch.setattr(bpe, "REMEMBERED_LENGTH", 4)
-    words_ = bpe.WordEncoder(PATH)
-    encoder = bpe.TextEncoder(lambda new: [words_.word(w) for w in new])
+    spec = bpe.Spec(PATH)
+    encoder = bpe.WordTable(spec, bpe.PrefixEncoder(spec.model))
     texts = ["the quick brown fox jumps over the lazy dog again", "incomprehensibilities the", *ODD_TEXTS]
     for text, ids in zip(texts, encoder.texts(texts), strict=True):
         assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
