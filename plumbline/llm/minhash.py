@@ -9,9 +9,11 @@
    pivot: sizes and signatures first, then the full sets, taken anew from the whole texts.
    Confirmed links give components (large-star, small-star).
 4. Buckets whose members are not yet in one component are searched in full: members are
-   dealt into blocks, pairs of blocks compare signatures, and only pairs from different
-   components that pass are confirmed. Nothing is capped, and pairs inside a component, the
-   bulk in a large group of near copies, are never made.
+   dealt into blocks, and pairs of blocks compare signatures. The texts of members that have a
+   pair left come to the blocks they are needed in, and pairs are confirmed there, so rows are
+   members and links, never pairs. Nothing is capped; a pair is met in the first bucket it
+   shares, and not at all if its members are in one component, as in a large group of near
+   copies they are after step 3.
 
 At similarity 0.8 a pair shares none of 40 bands of 5 with probability 1.3e-7, and an
 estimate from 200 minima falls below `0.8 - MARGIN` with probability about 1e-9.
@@ -42,7 +44,7 @@ BANDS, ROWS = 40, 5
 #: An estimated similarity may fall short of the wanted one by so much before a pair is dismissed.
 MARGIN = 0.17
 #: Members of a block in a bucket searched in full.
-BLOCK = 512
+BLOCK = 256
 
 _U = np.uint64
 _RNG = np.random.default_rng(20)
@@ -118,7 +120,7 @@ def _estimate(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return ((a == b).mean(axis=-1) - 1 / 256) / (1 - 1 / 256)
 
 
-def _signatures(column: pd.Series) -> np.ndarray:
+def _signatures(column) -> np.ndarray:
     return np.frombuffer(b"".join(column), np.uint8).reshape(len(column), -1)
 
 
@@ -133,27 +135,102 @@ def _check_signatures(percent: int):
     return apply
 
 
-def _search_blocks(percent: int):
-    """Pairs of a bucket's two blocks (or one) that are in different components and pass the signature check."""
-
-    def search(members: pd.DataFrame) -> pd.DataFrame:
-        first = members[members["side"] == members["low"]]
-        second = members[members["side"] == members["high"]]
-        s, n = _signatures(second["signature"]), second["n"].to_numpy()
-        ids, comps = second["cls"].to_numpy(), second["component"].to_numpy()
-        found = []
-        for row in first.itertuples():
-            good = (comps != row.component) & _alike(n, row.n, percent)
-            if row.low == row.high:
-                good &= ids > row.cls
-            places = np.flatnonzero(good)
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Whole groups of rows that come sorted by bucket, low and high."""
+    held: pa.Table | None = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        table = (pa.concat_tables([held, table]) if held is not None else table).combine_chunks()
+        if not table.num_rows:
+            continue
+        keys = [table.column(name).to_numpy() for name in ("bucket", "low", "high")]
+        new = np.zeros(table.num_rows, bool)
+        new[0] = True
+        for key in keys:
+            new[1:] |= key[1:] != key[:-1]
+        starts = np.flatnonzero(new)
+        for start, stop in zip(starts, starts[1:]):
+            yield table.slice(start, stop - start)
+        held = table.slice(starts[-1])
+    if held is not None:
+        yield held
+
+
+def _near_pairs(group: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the pairs of a bucket's two blocks (or one) that are still to be confirmed, likeliest first.
+
+    They are in different components, alike by size and signature, not tested with the
+    bucket's pivot, and share no band before this bucket's, where they are met as well.
+    """
+    cls, comps, n, side = (group.column(c).to_numpy() for c in ("cls", "component", "n", "side"))
+    low, high, bucket = (group.column(c)[0].as_py() for c in ("low", "high", "bucket"))
+    pivot = cls == group.column("pivot")[0].as_py()
+    signatures = _signatures(group.column("signature").to_pylist())
+    bands = group.column("bands").combine_chunks().flatten().to_numpy().reshape(len(cls), BANDS)
+    second = np.flatnonzero((side == high) & ~pivot)
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    for i in np.flatnonzero((side == low) & ~pivot):
+        good = (comps[second] != comps[i]) & _alike(n[second], n[i], percent)
+        if low == high:
+            good &= second > i
+        others = second[good]
+        if not len(others):
+            continue
+        alike = _estimate(signatures[others], signatures[i])
+        others, alike = others[alike >= percent / 100 - MARGIN], alike[alike >= percent / 100 - MARGIN]
+        if len(others):
+            shared = bands[others] == bands[i]
+            here = bands[i][shared.argmax(axis=1)] == bucket
+            found.append((np.full(here.sum(), i), others[here], alike[here]))
+    if not found:
+        return np.zeros(0, int), np.zeros(0, int)
+    first, second, alike = (np.concatenate(x) for x in zip(*found, strict=True))
+    order = np.argsort(-alike, kind="stable")
+    return first[order], second[order]
+
+
+def _members_to_confirm(percent: int):
+    """The members of each group that have a pair to be confirmed."""
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches):
+            places = np.unique(np.concatenate(_near_pairs(group, percent)))
             if len(places):
-                own = np.frombuffer(row.signature, np.uint8)
-                near = places[_estimate(s[places], own) >= percent / 100 - MARGIN]
-                found += [(min(row.cls, x), max(row.cls, x)) for x in ids[near].tolist()]
-        return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
+                yield group.take(pa.array(places)).combine_chunks().to_batches()[0]
+
+    return apply
+
+
+def _confirmed_in_groups(words: int, percent: int):
+    """Links of each group, confirmed on full sets; pairs that earlier links have joined are left out."""
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches):
+            cls, comps = group.column("cls").to_numpy(), group.column("component").to_numpy().copy()
+            texts, sets, links = group.column("text"), {}, []
+            for i, j in zip(*(x.tolist() for x in _near_pairs(group, percent)), strict=True):
+                if comps[i] == comps[j]:
+                    continue
+                for k in (i, j):
+                    if k not in sets:
+                        sets[k] = shingle_set(texts[k].as_py(), words)
+                if _similar(sets[i], sets[j], percent):
+                    links.append((int(cls[i]), int(cls[j])))
+                    comps[comps == comps[j]] = comps[i]
+            if links:
+                a, b = zip(*links, strict=True)
+                yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return apply
 
-    return search
+
+def _similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """The exact test on two sets of distinct hashes."""
+    if len(a) > len(b):
+        a, b = b, a
+    places = np.minimum(np.searchsorted(b, a), len(b) - 1)
+    both = int((b[places] == a).sum())
+    return 100 * both >= percent * (len(a) + len(b) - both)
 
 
 def _confirm_sets(words: int, percent: int):
@@ -165,8 +242,7 @@ def _confirm_sets(words: int, percent: int):
                 if known is None or text != held:
                     held, known = text, shingle_set(text, words)
                 own = shingle_set(a.as_py(), words)
-                both = len(np.intersect1d(own, known, assume_unique=True))
-                good.append(100 * both >= percent * (len(own) + len(known) - both))
+                good.append(_similar(own, known, percent))
             yield pa.record_batch(batch.columns[:2], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     return apply
@@ -176,22 +252,14 @@ def _text_hash(text_col: str):
     return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
 
 
-def _confirmed(
-    pairs: DataFrame, docs: DataFrame, classes: DataFrame, id_col: str, text_col: str, words: int, percent: int
-) -> DataFrame:
-    """The pairs of classes whose full sets, made from the whole texts, are similar enough."""
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-    wanted = durable(classes.join(needed, "cls", "left_semi").select("cls", "first"))
+def _texts(needed: DataFrame, docs: DataFrame, classes: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``cls, text``: the whole text of the first document of each needed class, as a table."""
+    wanted = durable(classes.join(needed.select("cls").distinct(), "cls", "left_semi").select("cls", "first"))
     texts = docs.select(F.col(id_col).alias("key"), _text_hash(text_col).alias("hash"), F.col(text_col).alias("text"))
     same = F.col("key").eqNullSafe(F.col("first.key")) & (F.col("hash") == F.col("first.text_hash"))
-    found = texts.join(small(wanted), same).select("cls", "text")
-    held = durable(found.dropDuplicates(["cls"]))
+    held = durable(texts.join(small(wanted), same).select("cls", "text").dropDuplicates(["cls"]))
     forget(wanted)
-    both = pairs.join(held.select(F.col("cls").alias("a"), F.col("text").alias("text_a")), "a")
-    both = both.join(held.select(F.col("cls").alias("b"), F.col("text").alias("text_b")), "b")
-    links = durable(both.select("a", "b", "text_a", "text_b").mapInArrow(_confirm_sets(words, percent), "a long, b long"))
-    forget(held)
-    return links
+    return held
 
 
 def near_duplicates(
@@ -226,29 +294,38 @@ def near_duplicates(
     stars = members.where("cls <> pivot").select(F.col("cls").alias("a"), F.col("pivot").alias("b")).distinct()
     stars = stars.join(side("a"), "a").join(side("b"), "b")
     near = durable(stars.mapInPandas(_check_signatures(percent), "a long, b long"))
-    links = _confirmed(near, docs, classes, id_col, text_col, words, percent)
+    held = _texts(near.select(F.explode(F.array("a", "b")).alias("cls")), docs, classes, id_col, text_col)
+    both = near.join(held.select(F.col("cls").alias("a"), F.col("text").alias("text_a")), "a")
+    both = both.join(held.select(F.col("cls").alias("b"), F.col("text").alias("text_b")), "b")
+    both = both.select("a", "b", "text_a", "text_b")
+    links = durable(both.mapInArrow(_confirm_sets(words, percent), "a long, b long"))
+    forget(held, near)
     joined = components(links)
 
     # Buckets of three or more whose members the pivots did not bring together.
     root = joined.select(F.col("a").alias("cls"), F.col("b").alias("root"))
     more = members.where("size > 2").join(root, "cls", "left")
-    more = durable(more.select("bucket", "cls", "size", F.coalesce("root", "cls").alias("component")))
+    more = durable(more.select("bucket", "cls", "size", "pivot", F.coalesce("root", "cls").alias("component")))
     mixed = more.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
-    open_ = hot_join(more, mixed.select("bucket"), ["bucket"], [F.col("cls")]).join(sketch, "cls")
+    open_ = hot_join(more, mixed.select("bucket"), ["bucket"], [F.col("cls")]).join(leads, "cls")
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     open_ = open_.withColumn("side", F.pmod(F.xxhash64("cls", F.lit(1)), blocks).cast("int"))
     others = F.explode(F.sequence(F.lit(0), blocks - 1))
     open_ = open_.withColumn("other", others).withColumns(
         {"low": F.least("side", "other"), "high": F.greatest("side", "other")}
     )
-    pairs = open_.select("bucket", "low", "high", "side", "cls", "component", "n", "signature")
-    pairs = pairs.groupBy("bucket", "low", "high").applyInPandas(_search_blocks(percent), "a long, b long").distinct()
-    tried = near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    late = durable(pairs.join(tried, ["a", "b"], "left_anti"))
-    if not late.isEmpty():
-        further = _confirmed(late, docs, classes, id_col, text_col, words, percent)
+    group = ["bucket", "low", "high"]
+    open_ = open_.select(*group, "side", "pivot", "cls", "component", "n", "signature", "bands")
+    open_ = open_.repartition(*group).sortWithinPartitions(*group, "cls")
+    due = durable(open_.mapInArrow(_members_to_confirm(percent), open_.schema))
+    if not due.isEmpty():
+        held = _texts(due, docs, classes, id_col, text_col)
+        due_texts = due.join(held, "cls").repartition(*group).sortWithinPartitions(*group, "cls")
+        further = durable(due_texts.mapInArrow(_confirmed_in_groups(words, percent), "a long, b long"))
+        forget(held)
         if not further.isEmpty():
             joined = components(joined.unionByName(further))
+    forget(due, more, members)
 
     # The first document of each component, then of each class that has more than one document.
     root = joined.select(F.col("a").alias("cls"), F.col("b").alias("root"))
