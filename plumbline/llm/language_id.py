@@ -29,6 +29,8 @@ from pyspark.sql import types as T
 
 #: Bounds of the fitted sample: documents per language, characters of each, bytes of a dictionary.
 SAMPLE_DOCS, EXCERPT, DICTIONARY = 256, 1024, 65_536
+#: Rows of a language that are ranked for the sample, as a multiple of it.
+PASSED = 8
 #: Bytes of a piece, its compression level, and the margin below which a document is rejected.
 PIECE, LEVEL, NARROW = 1024, 3, 0.002
 UNKNOWN = "und"
@@ -44,12 +46,21 @@ def fit(
 ) -> dict[str, bytes]:
     """Dictionary per language from the rows where `learn` holds."""
     place = Window.partitionBy("lang").orderBy("order", "text")
-    rows = docs.where(learn & F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
-    rows = rows.select(
+    labelled = docs.where(learn & F.col(lang_col).isNotNull())
+    # Few rows per language pass a hash threshold, however many documents and tasks there are.
+    counts = {r["lang"]: r["count"] for r in labelled.groupBy(F.col(lang_col).alias("lang")).count().collect()}
+    if not counts:
+        return {}
+    shares = [min(1.0, PASSED * SAMPLE_DOCS / count) for count in counts.values()]
+    limit = F.element_at(
+        F.map_from_arrays(F.array(*map(F.lit, counts)), F.array(*[F.lit(int(s * (1 << 31))) for s in shares])), F.col("lang")
+    )
+    rows = labelled.where(F.col(text_col).rlike(r"\p{L}")).select(
         F.col(lang_col).alias("lang"),
         F.substring(text_col, 1, EXCERPT).alias("text"),
-        F.xxhash64(F.col(text_col), F.col(key)).alias("order"),
+        F.pmod(F.xxhash64(F.col(text_col), F.col(key)), F.lit(1 << 31)).alias("order"),
     )
+    rows = rows.where(F.col("order") < limit)
     sample = rows.withColumn("place", F.row_number().over(place)).where(F.col("place") <= SAMPLE_DOCS)
     excerpts: dict[str, list[bytes]] = {}
     for row in sample.select("lang", "text", "place").orderBy("lang", "place").collect():
