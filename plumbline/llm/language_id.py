@@ -1,11 +1,12 @@
 """Language identification by compression with per-language dictionaries.
 
 Each language has a raw-content Zstandard dictionary made of excerpts of its labelled
-documents. A text is cut into pieces, every piece is compressed with every dictionary, and
-the language whose dictionary gives the smallest total wins. The whole text is read; pieces
-keep the dictionary in play, since inside one long frame the text would soon serve as its
-own dictionary. The margin is (second - best) / second of the bytes beyond the frames' own;
-a document with a margin below `NARROW` is rejected, and so is a text without letters.
+documents. Of a text and of the excerpts only the words count, in lower case. A text is cut
+into pieces, every piece is compressed with every dictionary, and the language whose
+dictionary gives the smallest total wins. The whole text is read; pieces keep the dictionary
+in play, since inside one long frame the text would soon serve as its own dictionary. The
+margin is (second - best) / second; a document with a margin below `NARROW` is rejected, and
+so is a text without letters.
 
 The dictionaries are fitted on a bounded sample: per language the `SAMPLE_DOCS` documents with
 the smallest hash of their text and key, `EXCERPT` characters of each, `DICTIONARY` bytes in
@@ -19,6 +20,7 @@ NULL label are not learnt from.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -28,12 +30,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Bounds of the fitted sample: documents per language, characters of each, bytes of a dictionary.
-SAMPLE_DOCS, EXCERPT, DICTIONARY = 256, 1024, 65_536
+SAMPLE_DOCS, EXCERPT, DICTIONARY = 256, 1024, 32_768
 #: Rows of a language that are ranked for the sample, as a multiple of it.
 PASSED = 8
-#: Bytes of a piece, its compression level, and the margin below which a document is rejected.
-PIECE, LEVEL, NARROW = 1024, 3, 0.002
+#: Bytes of a piece, and the margin below which a document is rejected.
+PIECE, NARROW = 1024, 0.002
+#: A search that finds all matches of four bytes; the window holds dictionary and piece.
+SEARCH = {
+    "strategy": zstandard.STRATEGY_BTLAZY2, "min_match": 4, "window_log": 17, "hash_log": 16, "chain_log": 16,
+    "search_log": 4, "target_length": 16,
+}
 UNKNOWN = "und"
+NO_LETTERS = re.compile(r"[\W\d_]+")
 
 
 def held_out(key: Column) -> Column:
@@ -64,13 +72,18 @@ def fit(
     sample = rows.withColumn("place", F.row_number().over(place)).where(F.col("place") <= SAMPLE_DOCS)
     excerpts: dict[str, list[bytes]] = {}
     for row in sample.select("lang", "text", "place").orderBy("lang", "place").collect():
-        excerpts.setdefault(row["lang"], []).append(row["text"].encode())
+        excerpts.setdefault(row["lang"], []).append(only_words(row["text"]))
     # All dictionaries are equally long, lest the better known language win by its size.
     made = {lang: b"\n".join(dict.fromkeys(texts)) for lang, texts in excerpts.items()}
     size = min([DICTIONARY, *map(len, made.values())])
     return {lang: made[lang][:size] for lang in sorted(made)}
 
 
+def only_words(text: str) -> bytes:
+    """The letters of a text in lower case, words apart by one space."""
+    return (" ".join(NO_LETTERS.sub(" ", text.lower()).split()) + " ").encode("utf-8", "replace")
+
+
 def pieces(raw: bytes) -> list[bytes]:
     """The whole text in pieces of nearly equal size."""
     count = -(-len(raw) // PIECE)
@@ -79,26 +92,27 @@ def pieces(raw: bytes) -> list[bytes]:
 
 
 def compressors(dictionaries: dict[str, bytes]) -> dict[str, zstandard.ZstdCompressor]:
-    made = {}
-    for lang, content in dictionaries.items():
-        held = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-        held.precompute_compress(level=LEVEL)
-        made[lang] = zstandard.ZstdCompressor(
-            level=LEVEL, dict_data=held, write_checksum=False, write_content_size=False, write_dict_id=False
+    bare = {"write_checksum": 0, "write_content_size": 0, "write_dict_id": 0}
+    search = zstandard.ZstdCompressionParameters(**SEARCH, **bare)
+    return {
+        lang: zstandard.ZstdCompressor(
+            dict_data=zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT),
+            compression_params=search,
         )
-    return made
+        for lang, content in dictionaries.items()
+    }
 
 
 def classify(text: str | None, by: dict[str, zstandard.ZstdCompressor]) -> tuple[str, float, float]:
     """(language, score, margin) of a text."""
     if not by or not text or not any(map(str.isalpha, text)):
         return UNKNOWN, 0.0, 0.0
-    cut = pieces(text.encode("utf-8", "replace"))
-    sizes = sorted((sum(len(made.compress(piece)) - 6 for piece in cut), lang) for lang, made in by.items())
+    cut = pieces(only_words(text))
+    sizes = sorted((sum(len(made.compress(piece)) for piece in cut), lang) for lang, made in by.items())
     if len(sizes) == 1:
         return sizes[0][1], 1.0, 1.0
-    best, second = max(sizes[0][0], 0), max(sizes[1][0], 1)
-    margin = max(0.0, (second - best) / second)
+    best, second = sizes[0][0], sizes[1][0]
+    margin = (second - best) / second
     return sizes[0][1], min(1.0, margin / 0.1), margin
 
 
