@@ -6,8 +6,8 @@
 2. Documents with the same set are one class; what follows is about classes, so a group of
    copies of any size is one.
 3. Classes that share a band key are a bucket. Every member is compared with the bucket's
-   pivot: sizes and signatures first, then the full sets, taken anew from the whole texts.
-   Confirmed links give components (large-star, small-star).
+   pivot, the member that meets most others: sizes and signatures first, then the full sets,
+   taken anew from the whole texts. Confirmed links give components (large-star, small-star).
 4. Buckets whose members are not yet in one component are searched in full: members are
    dealt into blocks, and pairs of blocks compare signatures. The texts of members that have a
    pair left come to the blocks they are needed in, and pairs are confirmed there, so rows are
@@ -44,7 +44,7 @@ BANDS, ROWS = 40, 5
 #: An estimated similarity may fall short of the wanted one by so much before a pair is dismissed.
 MARGIN = 0.17
 #: Members of a block in a bucket searched in full.
-BLOCK = 256
+BLOCK = 512
 
 _U = np.uint64
 _RNG = np.random.default_rng(20)
@@ -280,11 +280,16 @@ def near_duplicates(
     match &= F.col("first.text_hash") == F.col("f.text_hash")
     leads = durable(own.join(lead, match).select("cls", "n", "bands", "signature").dropDuplicates(["cls"]))
 
-    # Buckets: members of each band key, their number and their pivot.
+    # Buckets: members of each band key and their number. The pivot is the member that meets most
+    # others in all its buckets: the text that near copies were made from rather than one of them.
     members = leads.select("cls", F.explode("bands").alias("bucket"))
-    pivot = F.min(F.struct(F.xxhash64("cls").alias("order"), "cls"))["cls"].alias("pivot")
-    buckets = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), pivot).where("size > 1")
-    members = durable(hot_join(members, durable(buckets), ["bucket"], [F.col("cls")]))
+    buckets = durable(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1"))
+    met = durable(hot_join(members, buckets, ["bucket"], [F.col("cls")]))
+    weights = met.groupBy("cls").agg(F.sum("size").alias("weight"))
+    place = F.struct("weight", F.xxhash64("cls").alias("order"), "cls")
+    pivots = met.join(weights, "cls").groupBy("bucket").agg(F.max(place)["cls"].alias("pivot"))
+    members = durable(hot_join(met, pivots, ["bucket"], [F.col("cls")]))
+    forget(buckets, met)
 
     sketch = leads.select("cls", "n", "signature")
 
