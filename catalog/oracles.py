@@ -1178,6 +1178,7 @@ SELECT o_orderstatus, {r6('sqrt(avg(power(a - p, 2)))')} AS rmse, {r6('avg(abs(a
   {r6('1 - sum(power(a - p, 2)) / nullif(var_pop(a) * count(*), 0)')} AS r2 FROM e GROUP BY o_orderstatus""",
     }
     # The same results by the ways that large tables take.
+    found["scan_delimited"] = found["scan_normalised"]
     found |= {
         f"{name}_narrowed": found[name]
         for name in ("outlier_summary", "curvature_binned", "stratified_split", "median_impute")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -10,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog import bindings as b
-from plumbline.functions.durable import kept
+from plumbline.functions.durable import kept, shared_folder
 from plumbline.operators import (
     curvature, eda, features, figures, findings, governance, models, outliers, prep, profile, split, validate,
 )
@@ -40,15 +41,27 @@ def _split(spark: SparkSession, sf: str) -> DataFrame:
 # Scans, sources, sinks
 
 
-@query
-def scan_normalised(spark, sf):
+def _spoiled_events(spark, sf):
     k = F.col("event_id")
     broken = F.when(k % 97 == 0, F.lit("NaN").cast("double")).when(k % 101 == 0, F.lit("-Infinity").cast("double"))
     raw = b.table(spark, sf, "events").select(
         "event_id", "user_id", "event_type", broken.alias("broken"), "value"
     )
-    spoiled = raw.withColumn("value", F.coalesce("broken", "value")).drop("broken")
-    return b.shown(tables.with_missing_as_null(spoiled))
+    return raw.withColumn("value", F.coalesce("broken", "value")).drop("broken")
+
+
+@query
+def scan_normalised(spark, sf):
+    return b.shown(tables.with_missing_as_null(_spoiled_events(spark, sf)))
+
+
+@query
+def scan_delimited(spark, sf):
+    """The events as delimited files with a header, written by Spark and scanned with a declared schema."""
+    raw = _spoiled_events(spark, sf)
+    path = f"{shared_folder(spark).rstrip('/')}/plumbline/{uuid.uuid4().hex}"
+    tables.write_table(raw, path, fmt="csv")
+    return b.shown(tables.read_csv(spark, path, raw.schema))
 
 
 @query
