@@ -37,6 +37,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from plumbline.llm.common import bounded_batches
+
 #: Words, pieces and pair tests remembered per worker; beyond, a table starts anew. Longest word that is remembered.
 REMEMBERED, REMEMBERED_PAIRS, REMEMBERED_LENGTH = 300_000, 500_000, 64
 #: Characters that only Python counts as white space.
@@ -223,7 +225,7 @@ def per_text(make: Callable[[list[str]], list[pa.Array]]):
 
 
 def keyed_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
+    return bounded_batches(docs).select(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
 
 
 def encode_texts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

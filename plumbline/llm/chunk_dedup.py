@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plumbline.llm.common import durable, small
+from plumbline.llm.common import bounded_batches, durable, small
 
 #: Bytes the rolling hash sees (a power of two), least and greatest chunk, bits of the mask.
 WINDOW, LEAST_CHUNK, GREATEST_CHUNK, MASK_BITS = 16, 20, 256, 4
@@ -148,7 +148,7 @@ def remove_repeats(
     `spans` are the removed byte ranges, `kept` the remaining bytes.
     """
     raw = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
-    source = docs.select(id_col, F.pmod(F.xxhash64(raw), F.lit(1 << 31)).alias("text_hash"), raw.alias("_text"))
+    source = bounded_batches(docs).select(id_col, F.pmod(F.xxhash64(raw), F.lit(1 << 31)).alias("text_hash"), raw.alias("_text"))
     schema = T.StructType().add("d0", "long").add("d1", "long").add(source.schema[0]).add("place", "long")
     chunks = source.mapInArrow(_chunks, schema)
     # NULL keys count as the smallest, so that aggregates need one number.

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.functions.durable import durable, shared_folder
+from plumbline.functions.durable import durable, forget
 
-__all__ = ["durable", "forget", "hot_join", "small", "table"]
+__all__ = ["bounded_batches", "durable", "forget", "hot_join", "small", "table"]
 
 #: Parts into which the rows of one join key are dealt; the small side is repeated as often.
 SALTS = 16
@@ -15,6 +15,21 @@ SALTS = 16
 BROADCAST_ROWS = 500_000
 
 
+#: Bytes of the Arrow batches in which texts reach Python, and Spark's default, which is replaced.
+BATCH_SETTING, BATCH, BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "8m", "67108864b"
+
+
+def bounded_batches(docs: DataFrame) -> DataFrame:
+    """The same rows; they will reach Python in batches of a few megabytes, unless the session says otherwise.
+
+    A batch is held by the executor and its worker in several copies, two tasks at a time.
+    """
+    session = docs.sparkSession
+    if session.conf.get(BATCH_SETTING, BATCH_DEFAULT) == BATCH_DEFAULT:
+        session.conf.set(BATCH_SETTING, BATCH)
+    return docs
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables, by any path Spark can read."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -42,15 +57,3 @@ def hot_join(
 def small(keys: DataFrame) -> DataFrame:
     """A table of keys (a few numbers a row), marked for broadcast if its counted rows are few."""
     return F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys.hint("merge")
-
-
-def forget(*frames: DataFrame) -> None:
-    """Delete tables written by `durable` that nothing reads any more."""
-    for frame in frames:
-        jvm = frame.sparkSession._jvm
-        conf = frame.sparkSession._jsparkSession.sessionState().newHadoopConf()
-        folder = shared_folder(frame.sparkSession).rstrip("/").removeprefix("file:").lstrip("/")
-        for file in frame.inputFiles()[:1]:
-            parent = jvm.org.apache.hadoop.fs.Path(file).getParent()
-            if f"{folder}/plumbline/" in parent.toString():
-                parent.getFileSystem(conf).delete(parent, True)

@@ -29,6 +29,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from plumbline.llm.common import bounded_batches
+
 #: Bounds of the fitted sample: documents per language, characters of each, bytes of a dictionary.
 SAMPLE_DOCS, EXCERPT, DICTIONARY = 256, 1024, 32_768
 #: Rows of a language that are ranked for the sample, as a multiple of it.
@@ -138,7 +140,7 @@ def predict(
 ) -> DataFrame:
     """`_row` (the carried columns of `docs`) with lang_pred, score and rejected."""
     carry = docs.columns if carry is None else carry
-    held = docs.select(F.col(f"`{text_col}`").alias("_text"), F.struct(*[F.col(f"`{c}`") for c in carry]).alias("_row"))
+    held = bounded_batches(docs).select(F.col(f"`{text_col}`").alias("_text"), F.struct(*[F.col(f"`{c}`") for c in carry]).alias("_row"))
     answer = T.StructType([T.StructField("_row", held.schema["_row"].dataType)])
     answer = answer.add("lang_pred", "string").add("score", "double").add("rejected", "boolean")
     return held.mapInArrow(_classifier(dictionaries), answer)

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plumbline.llm.common import durable, forget, hot_join, small
+from plumbline.llm.common import bounded_batches, durable, forget, hot_join, small
 from plumbline.llm.components import components
 
 BANDS, ROWS = 40, 5
@@ -266,7 +266,7 @@ def near_duplicates(
     docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """Per document: key, text_hash, n_shingles, component_id (smallest key reachable), kept (one of each component)."""
-    source = docs.select(id_col, _text_hash(text_col).alias("text_hash"), F.col(text_col).alias("_text"))
+    source = bounded_batches(docs).select(id_col, _text_hash(text_col).alias("text_hash"), F.col(text_col).alias("_text"))
     schema = T.StructType([source.schema[0]]).add("text_hash", "long").add("n", "long").add("digest", "binary")
     schema = schema.add("bands", T.ArrayType(T.LongType())).add("signature", "binary")
     rows = durable(source.mapInArrow(_sketch(words), schema))

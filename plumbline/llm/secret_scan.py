@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import durable, hot_join
+from plumbline.llm.common import bounded_batches, durable, hot_join
 
 
 @dataclass(frozen=True)
@@ -110,7 +110,7 @@ def scan_unseen(
     `ledger` is the result of an earlier run. Its entries stay, also of contents that `docs`
     no longer holds.
     """
-    blobs = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    blobs = bounded_batches(docs).select(F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     blobs = blobs.groupBy(F.sha2("text", 256).alias("blob")).agg(F.min("text").alias("text"))
     pairs = F.array(*[F.lit(rule.pair) for rule in rules])
     if ledger is None:
