@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import pytest
 from pyspark.sql import DataFrame, SparkSession
 
 # Names that operators use themselves, as further columns of the table.
@@ -43,3 +44,13 @@ def frame(spark: SparkSession, rows: list[tuple]) -> DataFrame:
 def plain(spark: SparkSession, texts: list[tuple]) -> DataFrame:
     """A table of key and text."""
     return spark.createDataFrame(texts, "doc_id long, text string")
+
+
+@pytest.fixture(scope="session")
+def odd(spark):
+    return frame(spark, odd_rows()).cache()
+
+
+@pytest.fixture(scope="session")
+def empty(spark):
+    return frame(spark, [])

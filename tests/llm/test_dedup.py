@@ -5,7 +5,7 @@ import re
 
 import numpy as np
 import pytest
-from fixtures import frame, odd_rows, plain
+from fixtures import empty, frame, odd, odd_rows, plain  # noqa: F401
 from pyspark.sql import functions as F
 
 from plumbline.llm import chunk_dedup, common, exact_dedup, minhash, suffix_dedup

@@ -10,6 +10,7 @@ from collections import defaultdict
 import corpus_pipeline
 import numpy as np
 import public_tokenizers
+from fixtures import empty, odd  # noqa: F401
 from pyspark.sql import functions as F
 from test_dedup import brute_components
 

@@ -8,7 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
-from fixtures import odd_rows, plain
+from fixtures import empty, odd, odd_rows, plain  # noqa: F401
 from pyspark.sql import functions as F
 
 from plumbline.llm import bpe, language_id, packing, queries, secret_scan, sharding
