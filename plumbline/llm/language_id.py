@@ -8,9 +8,11 @@ in play, since inside one long frame the text would soon serve as its own dictio
 margin is (second - best) / second; a document with a margin below `NARROW` is rejected, and
 so is a text without letters.
 
-The dictionaries are fitted on a bounded sample: per language the `SAMPLE_DOCS` documents with
-the smallest hash of their text and key, `EXCERPT` characters of each, `DICTIONARY` bytes in
-all. That sample alone reaches the driver. Prediction is a map without a shuffle.
+The dictionaries are fitted on a bounded sample: per language the distinct excerpts (the words
+of the first `EXCERPT` characters) with the smallest hashes, until they make `DICTIONARY` bytes.
+Copies count once, however many there are. A language with less distinct text has a shorter
+dictionary; the others stay as they are, and none is left out. That sample alone reaches the
+driver. Prediction is a map without a shuffle.
 
 Cases: NULL, empty and letterless texts are `und` with score 0 and rejected, and so is
 everything if there is nothing to learn from. With one language the score is 1. Ties go to
@@ -31,9 +33,9 @@ from pyspark.sql import types as T
 
 from plumbline.llm.common import bounded_batches
 
-#: Bounds of the fitted sample: documents per language, characters of each, bytes of a dictionary.
-SAMPLE_DOCS, EXCERPT, DICTIONARY = 256, 1024, 32_768
-#: Rows of a language that are ranked for the sample, as a multiple of it.
+#: Bounds of the fitted sample: characters of a document, bytes of a dictionary.
+EXCERPT, DICTIONARY = 1024, 32_768
+#: Bytes of a language that are ranked for the sample, as a multiple of it.
 PASSED = 8
 #: Bytes of a piece, and the margin below which a document is rejected.
 PIECE, NARROW = 1024, 0.002
@@ -55,30 +57,32 @@ def fit(
     docs: DataFrame, learn: Column, text_col: str = "text", lang_col: str = "lang", key: str = "doc_id"
 ) -> dict[str, bytes]:
     """Dictionary per language from the rows where `learn` holds."""
-    place = Window.partitionBy("lang").orderBy("order", "text")
-    labelled = docs.where(learn & F.col(lang_col).isNotNull())
-    # Few rows per language pass a hash threshold, however many documents and tasks there are.
-    counts = {r["lang"]: r["count"] for r in labelled.groupBy(F.col(lang_col).alias("lang")).count().collect()}
+    excerpt = F.substring(text_col, 1, EXCERPT)
+    # What `only_words` keeps, as far as it tells excerpts apart.
+    words = F.regexp_replace(F.lower(excerpt), r"[^\p{L}\p{Nl}\p{No}]+", " ")
+    labelled = docs.where(learn & F.col(lang_col).isNotNull() & excerpt.rlike(r"\p{L}"))
+    labelled = labelled.select(F.col(lang_col).alias("lang"), excerpt.alias("text"), words.alias("words"))
+    labelled = labelled.select("lang", "text", F.octet_length("words").alias("bytes"), F.xxhash64("words").alias("same"))
+    # Bytes of distinct excerpts; of copies each task sends one row of numbers.
+    once = labelled.groupBy("lang", "same").agg(F.min("bytes").cast("long").alias("bytes"))
+    counts = {r["lang"]: r["bytes"] for r in once.groupBy("lang").agg(F.sum("bytes").alias("bytes")).collect()}
     if not counts:
         return {}
-    shares = [min(1.0, PASSED * SAMPLE_DOCS / count) for count in counts.values()]
+    # Few bytes per language pass a hash threshold, however many documents and tasks there are.
+    shares = [min(1.0, PASSED * DICTIONARY / count) for count in counts.values()]
     limit = F.element_at(
         F.map_from_arrays(F.array(*map(F.lit, counts)), F.array(*[F.lit(int(s * (1 << 31))) for s in shares])), F.col("lang")
     )
-    rows = labelled.where(F.col(text_col).rlike(r"\p{L}")).select(
-        F.col(lang_col).alias("lang"),
-        F.substring(text_col, 1, EXCERPT).alias("text"),
-        F.pmod(F.xxhash64(F.col(text_col), F.col(key)), F.lit(1 << 31)).alias("order"),
-    )
-    rows = rows.where(F.col("order") < limit)
-    sample = rows.withColumn("place", F.row_number().over(place)).where(F.col("place") <= SAMPLE_DOCS)
+    rows = labelled.withColumn("order", F.pmod("same", F.lit(1 << 31))).where(F.col("order") < limit)
+    rows = rows.groupBy("lang", "order", "same").agg(F.min("text").alias("text"), F.min("bytes").alias("bytes"))
+    before = Window.partitionBy("lang").orderBy("order", "same").rowsBetween(Window.unboundedPreceding, -1)
+    sample = rows.withColumn("before", F.coalesce(F.sum("bytes").over(before), F.lit(0)))
+    sample = sample.where(F.col("before") < DICTIONARY).select("lang", "text", "order", "same")
     excerpts: dict[str, list[bytes]] = {}
-    for row in sample.select("lang", "text", "place").orderBy("lang", "place").collect():
+    for row in sample.orderBy("lang", "order", "same").collect():
         excerpts.setdefault(row["lang"], []).append(only_words(row["text"]))
-    # All dictionaries are equally long, lest the better known language win by its size.
-    made = {lang: b"\n".join(dict.fromkeys(texts)) for lang, texts in excerpts.items()}
-    size = min([DICTIONARY, *map(len, made.values())])
-    return {lang: made[lang][:size] for lang in sorted(made)}
+    # The length of a dictionary follows its own language: little text of one takes nothing from another.
+    return {lang: b"\n".join(dict.fromkeys(excerpts[lang]))[:DICTIONARY] for lang in sorted(excerpts)}
 
 
 def only_words(text: str) -> bytes:

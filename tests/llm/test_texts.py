@@ -239,6 +239,35 @@ def test_language_odd_cases(spark, odd, empty):
     assert {r["score"] for r in language_id.predict(odd.where("doc_id = 0"), {"en": b"a" * 500}).collect()} == {1.0}
 
 
+def test_little_text_of_one_language_takes_nothing_from_others(spark):
+    rng = np.random.default_rng(6)
+    made = {lang: ["".join(rng.choice(list("abcdefghijklmnop"), 7)) for _ in range(400)] for lang in ("aa", "bb", "rare", "same")}
+
+    def text(lang):
+        return " ".join(rng.choice(made[lang], 120))
+
+    copy = text("same")
+    rows = [(lang, text(lang)) for lang in ("aa", "bb") for _ in range(150)]
+    # One document of a few words; a language of copies that differ in digits only; a label without letters.
+    rows += [("rare", " ".join(made["rare"][:12]))] + [("same", f"{copy} {i}") for i in range(5000)] + [("none", "12 34")]
+    docs = spark.createDataFrame([(i, t, lang) for i, (lang, t) in enumerate(rows)], "doc_id long, text string, lang string")
+    learnt = language_id.fit(docs.repartition(5), F.lit(True))
+    assert {lang: len(d) for lang, d in learnt.items() if lang in ("aa", "bb")} == {"aa": 32_768, "bb": 32_768}
+    assert learnt["same"] == language_id.only_words(copy) and learnt["rare"] == language_id.only_words(rows[300][1])
+    assert learnt == language_id.fit(docs.repartition(3), F.lit(True))
+    by = language_id.compressors(learnt)
+    for lang in ("aa", "bb"):
+        assert all(language_id.classify(text(lang), by)[0] == lang for _ in range(30))
+    assert language_id.classify(copy, by)[0] == "same" and language_id.classify(rows[300][1], by)[0] == "rare"
+
+
+def test_short_documents_fill_a_dictionary(spark):
+    rng = np.random.default_rng(7)
+    texts = ["".join(rng.choice(list("abcdefghijklmnop"), 9)) for _ in range(9000)]
+    docs = spark.createDataFrame([(i, t, "aa") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    assert len(language_id.fit(docs, F.lit(True))["aa"]) == 32_768
+
+
 # Shards
 
 
