@@ -92,7 +92,13 @@ def _run_rows(length: int):
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts, contents, rows = [], [], []
-            for row, text in enumerate(batch.column(2)):
+            seen = set()
+            for row, (key, text_hash, text) in enumerate(zip(*batch.columns[:3], strict=True)):
+                # Rows that repeat key and text are one document.
+                document = key.as_py(), text_hash.as_py()
+                if document in seen:
+                    continue
+                seen.add(document)
                 raw = text.as_py()
                 grams, at, first, last = runs(raw, length)
                 held = memoryview(raw)
@@ -320,9 +326,11 @@ def remove_repeated_strings(
     whole = inside.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     known = (
         found.withColumn("place", place)
-        .withColumn("previous", F.lag("content").over(inside))
+        .withColumn("previous", F.lag(F.struct("content", "_key", "text_hash", "first")).over(inside))
         .withColumn("distinct", F.first("content").over(whole) != F.last("content").over(whole))
-        .withColumn("repeated", F.col("gram").isNull() | F.coalesce(F.col("previous") == F.col("content"), F.lit(False)))
+        .withColumn("repeated", F.col("gram").isNull() | F.coalesce(F.col("previous.content") == F.col("content"), F.lit(False)))
+        # The same run of the same document, from another row of it, is neither earlier nor a run more.
+        .where(F.col("gram").isNull() | ~F.col("previous").eqNullSafe(F.struct("content", "_key", "text_hash", "first")))
         .where("repeated or distinct")
         .select("_key", "text_hash", "gram", "back", "first", "last", "repeated")
     )

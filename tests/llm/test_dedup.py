@@ -151,6 +151,26 @@ def test_repeated_strings_match_brute_force(spark, sf_dir):
     assert {r["doc_id"]: (r["n_removed"], bytes(r["kept"])) for r in found} == brute_repeats(texts, 100)
 
 
+@pytest.mark.parametrize("parts", [1, 7])
+def test_rows_that_repeat_key_and_text_are_one_document(spark, parts):
+    rng = np.random.default_rng(3)
+
+    def text(size):
+        return "".join(rng.choice(list("abcdefgh "), size))
+
+    shared, alone = text(300), text(400)
+    # Twice under one key and nowhere else; with a repeat in itself, an earlier document's passage, runs that
+    # share anchors but not all bytes; a NULL key; the least key beside it.
+    lone = [(5, alone), (6, shared + text(50) + alone[:200]), (7, text(80) + shared + text(70) + shared), (8, text(30) + shared[40:])]
+    lone += [(9, text(150)), (-(1 << 63), text(500))]
+    docs = plain(spark, (lone + [(None, text(250))]) * 3)
+    found = suffix_dedup.remove_repeated_strings(docs.repartition(parts)).collect()
+    assert len(found) == 3 * (len(lone) + 1)
+    want = brute_repeats(lone, 100) | {None: (0, docs.where("doc_id is null").first()["text"].encode())}
+    assert all((r["n_removed"], bytes(r["kept"])) == want[r["doc_id"]] for r in found)
+    assert want[5][0] == want[9][0] == 0 and want[6][0] == 200 and want[7][0] == 600
+
+
 def test_repeated_strings_of_frequent_anchors(spark, monkeypatch):
     # Periodic and nearly equal texts; anchors are dealt by distance, contexts sorted a few at a time.
     monkeypatch.setattr(suffix_dedup, "FREQUENT", 3)
