@@ -57,9 +57,23 @@ BASE = (
     Rule("access", 1, r"AKIA[A-Z0-9]+", least=20),
     Rule("hex", 1, r"[0-9a-f]{24,}", least=24),
 )
+#: What stands between the lines of a key: breaks, also written as escapes, quote marks and the like.
+_APART = r"""(?:\\[nrt]|[\s>#*|"',;\\+])*+"""
+_BESIDE, _BREAK, _CODE = r"""[\x20\t>#*|"',;+]*+""", r"(?:\r\n?|\n|(?:\\r)?\\n)", r"[A-Za-z0-9+/=]"
+#: A private key from its first line to its END line, whatever is between, but not past other five dashes.
+#: Without such an END it goes as far as there are header fields, runs of 16 base64 characters or more and
+#: lines of base64 characters only, then one shorter run with a digit or sign, then a broken END line.
+PEM = (
+    r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----"
+    r"(?:[^-]*+(?:-(?!----)[^-]*+)*+-----END (?:[A-Z]+ )*PRIVATE KEY-----|"
+    rf"(?:{_APART}(?:Proc-Type|DEK-Info|Key-Info|Content-Domain|Comment|Version):\x20*+[A-Za-z0-9,._-]++)*+"
+    rf"(?:{_APART}{_CODE}{{16,}}+|{_BESIDE}{_BREAK}{_BESIDE}{_CODE}++(?={_BESIDE}(?:{_BREAK}|[\])}}]|\Z)))*+"
+    rf"(?:(?<={_CODE}{{16}}){_APART}(?=[A-Za-z]*+[0-9+/=]){_CODE}++)?+"
+    rf"(?:{_APART}-----END[A-Z\x20]*+-*+)?+)"
+)
 #: Well-known published formats, found beside the base.
 MORE = (
-    Rule("pem", 1, r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----"),
+    Rule("pem", 2, PEM),
     Rule("jwt", 1, r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
     Rule("forge", 1, r"gh[pousr]_[A-Za-z0-9]{36,}"),
 )

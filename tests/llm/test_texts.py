@@ -181,6 +181,44 @@ def test_overlapping_findings_are_masked_once(spark):
     assert got == "a [secret] é [secret] end"
 
 
+def test_private_keys_go_whole(spark):
+    rng = np.random.default_rng(5)
+    code = list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/")
+    body = ["".join(rng.choice(code, 64)) for _ in range(25)] + ["".join(rng.choice(code, 18)) + "=="]
+    for kind in ("", "RSA ", "ENCRYPTED "):
+        begin, end = f"-----BEGIN {kind}PRIVATE KEY-----", f"-----END {kind}PRIVATE KEY-----"
+        fields = ["Proc-Type: 4,ENCRYPTED", "DEK-Info: AES-128-CBC,0123456789ABCDEF", ""]
+        keys = {
+            "\n".join([begin, *body, end]): "",
+            "\r\n".join([begin, *fields, *body, end]): "",
+            "\\n".join([begin, *body, end]): "",
+            " ".join([begin, *body, end]): "",
+            "\n> ".join([begin, *body, end]): "",
+            # Without an END line, or with a broken one.
+            "\n".join([begin, *body]): "",
+            "\n".join([begin, *fields, *body]): "",
+            "\\n".join([begin, *body]): "",
+            " ".join([begin, *body]): "",
+            "\n".join([begin, *body, end[:12]]): "",
+            "\n".join([begin, "MIIBVgIBADAN", "BgkqhkiG9w0B", "abc"]): "",
+            "\n".join([begin, *body[:3], body[3][:7]]): "",
+            # An unfinished key before a whole one.
+            "\n".join([begin, *body[:9], begin, *body, end]): "[secret]",
+            begin: "",
+        }
+        texts = [(i, f"before it\n{key}\nand plain words after it - 1 or 2") for i, key in enumerate(keys)]
+        got = {r["doc_id"]: r["text"] for r in secret_scan.redact(plain(spark, texts)).collect()}
+        for i, (key, more) in enumerate(keys.items()):
+            rest = got[i].replace("[secret]\n[secret]", "[secret][secret]")
+            assert rest == f"before it\n[secret]{more}\nand plain words after it - 1 or 2", key
+    rule = next(r for r in secret_scan.RULES if r.kind == "pem")
+    assert rule.version == 2
+    # Long texts of first lines, signs and dashes take no more than a scan.
+    for part in (begin, begin + " ", "+", "-", "A ", "\\n", "\nAAAA", "----"):
+        many = begin + part * (200_000 // len(part))
+        assert secret_scan.find(many, [(rule, re.compile(rule.pattern, re.A))])
+
+
 def test_ledger_scans_only_unseen_pairs(spark):
     old, new = secret_scan.RULES[:1], (*secret_scan.RULES[:1], secret_scan.Rule("hex", 2, r"[0-9a-f]{30,}", 30))
     first = plain(spark, [(1, "token=abcdef1"), (2, "clean"), (3, "clean")])
