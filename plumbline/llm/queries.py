@@ -8,8 +8,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import bpe, chunk_dedup, exact_dedup, language_id, minhash, packing, secret_scan, sharding, suffix_dedup, topk
-from plumbline.llm.common import table
+from plumbline.llm import (
+    bpe,
+    chunk_dedup,
+    exact_dedup,
+    language_id,
+    minhash,
+    packing,
+    secret_scan,
+    sharding,
+    suffix_dedup,
+    topk,
+    vector_codes,
+)
+from plumbline.llm.common import durable, table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -103,6 +115,21 @@ def op10_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of four parts, their errors, and a digest of the codebooks."""
+    rows = durable(vector_codes.quantised(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", 1024, ("label",)))
+    books = vector_codes.fit(rows)
+    numbers = ",".join(
+        str(number) for size in sorted(books) for book in books[size] for entry in book.tolist() for number in entry
+    )
+    found = vector_codes.summed_by(durable(vector_codes.encode(rows, books)), F.col("_carried.label"), "label_error")
+    code = F.concat_ws("", F.transform("_codes", lambda c: F.lpad(F.lower(F.hex(c)), 2, "0")))
+    return found.select(
+        F.col("_key").alias("vec_id"), code.alias("code"), F.col("_error").alias("error"), "label_error",
+        F.lit(hashlib.sha256(numbers.encode()).hexdigest()).alias("codebooks_sha256"),
+    )
+
+
 QUERIES = {
     "op1_minhash": op1_minhash,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -114,8 +141,57 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_norm_topk": op9_norm_topk,
     "op10_chunk_dedup": op10_chunk_dedup,
+    "op11_vector_codes": op11_vector_codes,
 }
 
+
+def _codes_sql(rounds: int = 4) -> str:
+    """The rounds of `op11_vector_codes` as tables of one statement."""
+    parts = [
+        """v AS (
+            SELECT vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS vec
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), p AS (
+            SELECT vec_id, label, position, vec[position * len(vec) // 4 + 1 : (position + 1) * len(vec) // 4] AS part
+            FROM v, range(4) t(position)
+        ), first AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM v),
+        book0 AS (SELECT position, entry, part AS center FROM p JOIN first USING (vec_id) WHERE entry < 256)"""
+    ]
+    for r in range(rounds + 1):
+        parts.append(
+            f"""near{r} AS (
+            SELECT vec_id, position, any_value(label) AS label, any_value(part) AS part,
+                   min(distance) AS error, arg_min(entry, distance * 1000 + entry) AS entry
+            FROM (SELECT vec_id, label, p.position, part, entry,
+                         list_sum(list_transform(list_zip(part, center), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS distance
+                  FROM p JOIN book{r} b ON b.position = p.position)
+            GROUP BY vec_id, position)"""
+        )
+        if r < rounds:
+            parts.append(
+                f"""means{r} AS (
+            SELECT position, entry, list(mean ORDER BY place) AS center
+            FROM (SELECT position, entry, place, floor(sum(part[place]) / count(*)::DOUBLE)::BIGINT AS mean
+                  FROM near{r}, range(1, 17) t(place) GROUP BY ALL) GROUP BY ALL
+        ), book{r + 1} AS (
+            SELECT b.position, b.entry, coalesce(m.center, b.center) AS center
+            FROM book{r} b LEFT JOIN means{r} m ON m.position = b.position AND m.entry = b.entry)"""
+            )
+    return (
+        "WITH "
+        + ", ".join(parts)
+        + f""", coded AS (
+            SELECT vec_id, any_value(label) AS label, string_agg(printf('%02x', entry), '' ORDER BY position) AS code,
+                   sum(error)::BIGINT AS error FROM near{rounds} GROUP BY vec_id
+        ), digest AS (
+            SELECT sha256(string_agg(array_to_string(center, ','), ',' ORDER BY position, entry)) AS codebooks_sha256
+            FROM book{rounds})
+        SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256
+        FROM coded, digest"""
+    )
+
+
 ORACLES = {
     "op8_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
@@ -136,4 +212,5 @@ ORACLES = {
         )
         SELECT * FROM ranked WHERE rank <= 5
     """,
+    "op11_vector_codes": _codes_sql(),
 }
