@@ -14,6 +14,7 @@ from plumbline.llm import (
     exact_dedup,
     language_id,
     minhash,
+    mixing,
     packing,
     secret_scan,
     sharding,
@@ -130,6 +131,10 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).documents
+
+
 QUERIES = {
     "op1_minhash": op1_minhash,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -142,6 +147,7 @@ QUERIES = {
     "op9_norm_topk": op9_norm_topk,
     "op10_chunk_dedup": op10_chunk_dedup,
     "op11_vector_codes": op11_vector_codes,
+    "op12_mixing": op12_mixing,
 }
 
 
