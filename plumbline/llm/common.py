@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from plumbline.functions.durable import durable, forget
 
-__all__ = ["bounded_batches", "durable", "forget", "hot_join", "small", "table"]
+__all__ = ["bounded_batches", "durable", "forget", "hot_join", "looked_up", "running", "small", "table", "tasks_for"]
 
 #: Parts into which the rows of one join key are dealt; the small side is repeated as often.
 SALTS = 16
@@ -57,3 +57,35 @@ def hot_join(
 def small(keys: DataFrame) -> DataFrame:
     """A table of keys (a few numbers a row), marked for broadcast if its counted rows are few."""
     return F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys.hint("merge")
+
+
+def tasks_for(rows: DataFrame) -> int:
+    return int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def running(rows: DataFrame, order: list[str], sums: dict[str, str], within: tuple[str, ...] = ()) -> DataFrame:
+    """The rows with the sums, along an order, of what stands before them (inside each key of `within`).
+
+    Rows are cut into ranges of (key, order), so that a key with most rows is many ranges; only
+    the totals of ranges meet in one window. The order must tell rows apart.
+    """
+    keys = list(within)
+    cut = durable(rows.repartitionByRange(tasks_for(rows), *keys, *order).withColumn("_range", F.spark_partition_id()))
+    before = Window.rowsBetween(Window.unboundedPreceding, -1)
+    totals = cut.groupBy(*keys, "_range").agg(*[F.sum(value).alias(name) for name, value in sums.items()])
+    earlier = before.partitionBy(*keys).orderBy("_range")
+    offsets = totals.select(
+        *keys, "_range", *[F.coalesce(F.sum(name).over(earlier), F.lit(0)).alias(f"_{name}") for name in sums]
+    )
+    inside = before.partitionBy(*keys, "_range").orderBy(*order)
+    found = cut.join(offsets, [*keys, "_range"])
+    for name, value in sums.items():
+        found = found.withColumn(name, F.col(f"_{name}") + F.coalesce(F.sum(value).over(inside), F.lit(0)))
+    return found.drop("_range", *[f"_{name}" for name in sums])
+
+
+def looked_up(rows: DataFrame, keyed: DataFrame, keys: list[str], by: list[Column]) -> DataFrame:
+    """Each row with what its key has in a small table; dealt over parts where that is not small."""
+    if keyed.count() <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(keyed), keys)
+    return hot_join(rows, keyed, keys, by)

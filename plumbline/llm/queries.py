@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from plumbline.llm import (
     bpe,
     chunk_dedup,
+    conversation_trie,
     exact_dedup,
     language_id,
     minhash,
@@ -135,6 +136,12 @@ def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).documents
 
 
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the trie of rebuilt conversations."""
+    turns = durable(conversation_trie.ordered_turns(table(spark, sf_dir, "conversations")))
+    return conversation_trie.prefix_trie(*conversation_trie.rebuilt_turns(turns))
+
+
 QUERIES = {
     "op1_minhash": op1_minhash,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -148,6 +155,7 @@ QUERIES = {
     "op10_chunk_dedup": op10_chunk_dedup,
     "op11_vector_codes": op11_vector_codes,
     "op12_mixing": op12_mixing,
+    "op13_conversation_trie": op13_conversation_trie,
 }
 
 
@@ -219,4 +227,44 @@ ORACLES = {
         SELECT * FROM ranked WHERE rank <= 5
     """,
     "op11_vector_codes": _codes_sql(),
+    "op13_conversation_trie": """
+        WITH t AS (
+            SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS pos,
+                   sha256(concat(strlen(coalesce(role, '')), ':', role, text)) AS id, strlen(coalesce(text, '')) AS bytes
+            FROM conversations WHERE conv_id IS NOT NULL
+        ), c AS (
+            -- CRC-32 of the decimal digits, bit by bit: 256 and more bring a byte, 0 a shift.
+            SELECT conv_id, count(*) AS n, conv_id - conv_id % 5 AS base,
+                   xor(list_reduce(
+                       flatten(list_transform(range(1, len(conv_id::VARCHAR) + 1),
+                                              lambda i: [256 + ascii(substr(conv_id::VARCHAR, i, 1)), 0, 0, 0, 0, 0, 0, 0, 0])),
+                       lambda a, x: CASE WHEN x >= 256 THEN xor(a, x - 256)
+                                         ELSE xor(a >> 1, CASE WHEN a & 1 = 1 THEN 3988292384 ELSE 0 END) END,
+                       4294967295::BIGINT), 4294967295::BIGINT) % 9 AS h
+            FROM t GROUP BY conv_id
+        ), r AS (
+            SELECT c.conv_id, pos AS d, id, bytes FROM c JOIN t ON t.conv_id = c.base WHERE pos <= h
+            UNION ALL
+            SELECT c.conv_id, pos - c.h + least(c.h, coalesce(b.n, 0)), id, bytes
+            FROM c JOIN t ON t.conv_id = c.conv_id LEFT JOIN c b ON b.conv_id = c.base WHERE pos > c.h
+        ), m AS (
+            SELECT conv_id, d, string_agg(id, '' ORDER BY d) OVER (PARTITION BY conv_id ORDER BY d) AS path, bytes FROM r
+            UNION ALL SELECT conv_id, 0, '', 0 FROM c
+        ), nodes AS (
+            SELECT d, path, min(conv_id) AS low, count(*) AS n, any_value(bytes) AS bytes,
+                   sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (d = last), '')) AS ends
+            FROM (SELECT *, max(d) OVER (PARTITION BY conv_id) AS last FROM m) GROUP BY d, path
+        ), own AS (
+            SELECT nodes.*, coalesce(k.children, 0) AS children, (n - 1) * bytes AS saved
+            FROM nodes LEFT JOIN (SELECT left(path, (d - 1) * 64) AS path, count(*) AS children FROM nodes WHERE d > 0 GROUP BY 1) k
+            ON k.path = nodes.path
+        ), under AS (
+            SELECT left(path, up.d * 64) AS path, sum(saved) AS saved, count(*) FILTER (children = 0) AS leaves
+            FROM own, range(0, 1000) up(d) WHERE up.d <= own.d GROUP BY 1
+        )
+        SELECT own.low AS conv_id, own.d AS depth, p.low AS parent_conv_id, own.n AS n_convs, own.children AS n_children,
+               under.leaves AS n_leaves, under.saved::BIGINT AS saved_tokens, own.ends AS ends_sha256
+        FROM own JOIN under ON under.path = own.path
+        LEFT JOIN nodes p ON p.path = left(own.path, greatest(own.d - 1, 0) * 64) AND own.d > 0
+    """,
 }
