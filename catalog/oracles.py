@@ -721,6 +721,13 @@ cl AS (SELECT block_id, CASE WHEN TRY_CAST(total_qty AS DOUBLE) % 1 = 0 THEN TRY
          trim(segment) AS segment FROM ub)"""
 
 
+#: Order lines with a category of thousands of levels, and the numbers of its training levels.
+WIDE_LINES = """wl AS (SELECT l_orderkey, l_linenumber, l_orderkey % 5 <> 0 AS trained,
+  CASE WHEN l_orderkey % 83 <> 0 THEN l_partkey || '/' || l_suppkey END AS part_supplier FROM lineitem),
+lv AS (SELECT part_supplier, row_number() OVER (ORDER BY part_supplier) - 1 AS level_number
+  FROM (SELECT DISTINCT part_supplier FROM wl WHERE trained AND part_supplier IS NOT NULL))"""
+
+
 def _one_hot() -> str:
     # Level names are data, but the five segments are the known levels of this table.
     made = ", ".join(
@@ -1167,6 +1174,12 @@ WHERE cust_balance IS NOT NULL AND total_qty IS NOT NULL GROUP BY 1, 2""",
         "align_columns": f"""WITH {BLOCK} SELECT block_id, line_count, 0.0::DOUBLE AS absent_column,
   {r6('total_qty')} AS total_qty FROM ob""",
         "one_hot": _one_hot(),
+        "one_hot_wide": f"""WITH {WIDE_LINES} SELECT l_orderkey, l_linenumber, level_number AS part_supplier_level_number
+  FROM wl LEFT JOIN lv USING (part_supplier)""",
+        "sparse_features": f"""WITH {WIDE_LINES} SELECT 0::BIGINT AS place, 'l_quantity' AS feature
+  UNION ALL SELECT level_number, 'part_supplier_' || part_supplier FROM lv WHERE level_number > 0""",
+        "ridge_wide": f"""WITH {WIDE_LINES} SELECT 'part_supplier_' || part_supplier AS feature, true AS met FROM lv
+  WHERE level_number > 0""",
         "median_impute": f"""WITH {SPLIT}, mf AS (SELECT median(total_qty) AS q, median({b.TARGET}) AS t FROM tr)
 SELECT block_id, split, {r6('coalesce(total_qty, q)')} AS total_qty, {r6(f'coalesce({b.TARGET}, t)')} AS {b.TARGET},
   0.0::DOUBLE AS empty_column FROM sp, mf""",

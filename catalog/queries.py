@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from catalog import bindings as b
 from plumbline.functions.durable import kept, shared_folder
 from plumbline.operators import (
-    curvature, eda, features, figures, findings, governance, models, outliers, prep, profile, split, validate,
+    curvature, eda, features, figures, findings, governance, models, outliers, prep, profile, sparse, split, validate,
 )
 from plumbline.plans import rules, workflow
 from plumbline.schema import ColumnRule, SemanticSchema
@@ -664,6 +664,50 @@ def one_hot(spark, sf):
     return b.shown(prep.one_hot(rows, levels, keep=[b.KEY, "split"]))
 
 
+def _wide_lines(spark, sf):
+    """Order lines with a category of thousands of levels: part and supplier; a fifth of the orders is held out."""
+    level = F.concat_ws("/", F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string"))
+    lines = b.table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_quantity", level.alias("part_supplier"),
+        F.round("l_extendedprice", 2).alias("price"), (F.col("l_orderkey") % 5 != 0).alias("trained"),
+    )
+    return lines.withColumn("part_supplier", F.when(F.col("l_orderkey") % 83 != 0, F.col("part_supplier")))
+
+
+@query
+def one_hot_wide(spark, sf):
+    """Number of each line's level among the training levels, NULL where it is unseen or missing."""
+    lines = _wide_lines(spark, sf)
+    layout = sparse.fit_layout(lines.where("trained"), ["l_quantity"], ["part_supplier"])
+    return sparse.level_numbers(lines, layout, ["l_orderkey", "l_linenumber"])
+
+
+@query
+def sparse_features(spark, sf):
+    """Places of the sparse layout that hold levels, with their names."""
+    lines = _wide_lines(spark, sf)
+    layout = sparse.fit_layout(lines.where("trained"), ["l_quantity"], ["part_supplier"])
+    return layout.features()
+
+
+@query
+def ridge_wide(spark, sf):
+    """Ridge on the levels alone, where each coefficient has a closed form: those that meet it."""
+    lines = _wide_lines(spark, sf)
+    layout = sparse.fit_layout(lines.where("trained"), [], ["part_supplier"])
+    rows = sparse.sparse_rows(lines.where("trained and price is not null"), layout, ["price"])
+    coefficients = sparse.ridge_coefficients(sparse.fit_ridge(rows, "price"), layout)
+    # A level of n rows with mean m has the coefficient n (m - a) / (n + 1), a the intercept.
+    intercept = coefficients.where("place < 0").first()["coefficient"]
+    means = lines.where("trained and price is not null").groupBy("part_supplier").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("price").alias("m")
+    )
+    named = means.withColumn("feature", F.concat_ws("_", F.lit("part_supplier"), "part_supplier"))
+    wanted = F.col("n") * (F.col("m") - F.lit(intercept)) / (F.col("n") + 1)
+    met = F.abs(F.col("coefficient") - wanted) <= 1e-6 * F.greatest(F.abs("m"), F.lit(1.0))
+    return coefficients.join(named, "feature").select("feature", met.alias("met"))
+
+
 @query
 def median_impute(spark, sf):
     rows = _split(spark, sf).select(b.KEY, "split", "total_qty", b.TARGET)

@@ -64,7 +64,7 @@ def fit_levels(train: DataFrame, columns: Sequence[str], cap: int = MAX_LEVELS)
     """Sorted training levels of each categorical column.
 
     Levels become dense columns, so more than ``cap`` of them is an error that names the
-    columns; `sparse_encoder` takes any number.
+    columns; the layout of `operators.sparse` takes any number.
     """
     if not columns:
         return {}
@@ -72,7 +72,7 @@ def fit_levels(train: DataFrame, columns: Sequence[str], cap: int = MAX_LEVELS)
     pairs = durable(train.select(F.inline(F.array(*cells))).where(F.col("l").isNotNull()).distinct())
     wide = [r["c"] for r in pairs.groupBy("c").count().where(F.col("count") > cap).orderBy("c").collect()]
     if wide:
-        raise ValueError(f"More than {cap} levels in: {', '.join(wide)}. Group them or use the sparse encoder.")
+        raise ValueError(f"More than {cap} levels in: {', '.join(wide)}. Group them or use the sparse layout (operators.sparse).")
     levels: dict[str, list[str]] = {n: [] for n in columns}
     for row in pairs.orderBy("c", "l").collect():
         levels[row["c"]].append(row["l"])
