@@ -1192,6 +1192,7 @@ SELECT o_orderstatus, {r6('sqrt(avg(power(a - p, 2)))')} AS rmse, {r6('avg(abs(a
     }
     # The same results by the ways that large tables take.
     found["scan_delimited"] = found["scan_normalised"]
+    found["correlation_tiled"] = found["correlation_wide"]
     found |= {
         f"{name}_narrowed": found[name]
         for name in ("outlier_summary", "curvature_binned", "stratified_split", "median_impute")

@@ -265,16 +265,25 @@ def correlation_matrix(spark, sf):
     return b.shown(eda.correlation_matrix(block, [*MEASURED, "unit"]))
 
 
-@query
-def correlation_wide(spark, sf):
+def _wide_block(spark, sf):
     """More pairs than one aggregation holds, some columns with gaps, one constant."""
     columns = {name: F.col(name).cast("double") for name in MEASURED}
     columns["total_qty"] = F.when(F.col(b.KEY) % 11 != 0, F.col("total_qty"))
     for power in (2, 3):
         columns |= {f"{name}_{power}": F.pow(F.col(name) / 100.0, F.lit(float(power))) for name in MEASURED}
     columns["unit"] = F.lit(1.0)
-    block = _block(spark, sf).select(*[column.alias(name) for name, column in columns.items()])
-    return b.shown(eda.correlation_matrix(block))
+    return _block(spark, sf).select(*[column.alias(name) for name, column in columns.items()])
+
+
+@query
+def correlation_wide(spark, sf):
+    return b.shown(eda.correlation_matrix(_wide_block(spark, sf)))
+
+
+@query
+def correlation_tiled(spark, sf):
+    """The same table cut into tiles of a few columns, as thousands of columns are."""
+    return b.shown(eda.correlation_matrix(_wide_block(spark, sf), tile=5))
 
 
 @query

@@ -26,6 +26,8 @@ WEAKEST = "Very weak marginal linear association"
 
 #: Pairs that one aggregation holds; rows whose means are the shifts; rounding left by a constant column.
 PAIRS_PER_PASS, SHIFT_ROWS, CONSTANT_SHARE = 120, 1000, 1e-12
+#: Columns of a tile of a Gram matrix and of what it is multiplied with in one read; rows multiplied at once.
+TILE, STRIP, GRAM_ROWS = 512, 1024, 1024
 
 
 def distribution_shape(skew: Column) -> Column:
@@ -149,7 +151,7 @@ def variable_summary(df: DataFrame, schema: SemanticSchema, row_key: str) -> Dat
 def correlation_pairs(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """``feature_1, feature_2, correlation`` for each pair in column order, NULL pairs left out.
 
-    All pairs share one scan; only sums are shuffled.
+    Only sums are shuffled.
     """
     names = list(columns or numeric_columns(df))
     if len(names) < 2:
@@ -157,13 +159,13 @@ def correlation_pairs(df: DataFrame, columns: Sequence[str] | None = None) -> Da
     return _cells(df, names, list(combinations(range(len(names)), 2)))
 
 
-def _cells(df: DataFrame, names: list[str], pairs: list[tuple[int, int]]) -> DataFrame:
+def _cells(df: DataFrame, names: list[str], pairs: list[tuple[int, int]], tile: int | None = None) -> DataFrame:
     """Correlation of the given index pairs; a column with itself gives 1, or NULL if constant.
 
-    One scan in any case: few pairs are sums of one aggregation, many are Gram matrices.
+    Few pairs are sums of one aggregation in one scan; many are tiles of Gram matrices.
     """
     if len(pairs) > PAIRS_PER_PASS:
-        return _gram_cells(df, names, pairs)
+        return _gram_cells(df, names, pairs, tile)
     cells = []
     for a, b in pairs:
         left, right = quoted(names[a]).cast("double"), quoted(names[b]).cast("double")
@@ -180,40 +182,70 @@ def _cells(df: DataFrame, names: list[str], pairs: list[tuple[int, int]]) -> Dat
     return df.agg(F.array(*cells).alias("all")).select(F.inline("all"))
 
 
-def _gram_cells(df: DataFrame, names: list[str], pairs: list[tuple[int, int]]) -> DataFrame:
-    """Correlations from Gram matrices that tasks build of their rows and that are added up by cell.
+def _gram_cells(df: DataFrame, names: list[str], pairs: list[tuple[int, int]], tile: int | None = None) -> DataFrame:
+    """Correlations from tiles of Gram matrices that tasks build of their rows and that are added up by cell.
+
+    Columns are cut into tiles. A read of the table covers one row of tiles: the columns of one
+    tile against themselves and the later columns, so it scans those columns only. Where they
+    are more than a strip, each strip of them is a read of its own. A task holds six sums of
+    tile x strip cells and a batch of tile + strip columns, whatever the number of columns.
+    Up to a tile of columns the table is read once, up to a strip once for each tile.
+    Each read is made by as many tasks as there are cores, which bounds the partial sums that
+    are shuffled, whatever the size of the table.
 
     A column is shifted by its mean over the first rows, so that sums of squares keep their
     digits; the shift cancels out. Gaps count pairwise: a masked value is 0 in the products,
     and the mask enters the counts.
     """
+    tile = tile or TILE
     columns = [finite(quoted(n).cast("double")).alias(f"c{i}") for i, n in enumerate(names)]
     numbers = df.select(*columns)
-    means = numbers.limit(SHIFT_ROWS).agg(*[F.avg(f"c{i}") for i in range(len(names))]).first()
-    shift = [m or 0.0 for m in means]
-
-    def gram(batches):
-        import numpy as np
-        import pyarrow as pa
-
-        size = len(shift)
-        upper = np.triu_indices(size)
-        totals = np.zeros((6, len(upper[0])))
-        for batch in batches:
-            held = [np.asarray(c.to_numpy(zero_copy_only=False), dtype=float) for c in batch.columns]
-            x = np.column_stack(held) - np.array(shift)
-            known = ~np.isnan(x)
-            x, m = np.where(known, x, 0.0), known.astype(float)
-            sums, squares = x.T @ m, (x * x).T @ m
-            # n, sum of a, sum of b, sum of a^2, sum of b^2, sum of a*b over the rows that have both.
-            for row, full in enumerate((m.T @ m, sums, sums.T, squares, squares.T, x.T @ x)):
-                totals[row] += full[upper]
-        yield pa.record_batch(
-            [pa.array(upper[0].astype(np.int32)), pa.array(upper[1].astype(np.int32)), *map(pa.array, totals)],
-            names=["i", "j", "n", "sa", "sb", "saa", "sbb", "sab"],
-        )
-
-    parts = numbers.mapInArrow(gram, "i int, j int, n double, sa double, sb double, saa double, sbb double, sab double")
+    shift = _first_means(numbers)
+    tasks = max(1, df.sparkSession.sparkContext.defaultParallelism)
+
+    def gram(left: range, right: range):
+        def build(batches):
+            import numpy as np
+            import pyarrow as pa
+
+            wide, size = len(left), len(right)
+            own = np.array([shift[i] for i in dict.fromkeys([*left, *right])])
+            totals = np.zeros((6, wide, size))
+            for rows in (batch.slice(at, GRAM_ROWS) for batch in batches for at in range(0, batch.num_rows, GRAM_ROWS)):
+                held = [np.asarray(c.to_numpy(zero_copy_only=False), dtype=float) for c in rows.columns]
+                x = np.column_stack(held) - own
+                known = ~np.isnan(x)
+                x, m = np.where(known, x, 0.0), known.astype(float)
+                a, here, b, there = x[:, :wide].T, m[:, :wide].T, x[:, -size:], m[:, -size:]
+                # n, sum of a, sum of b, sum of a^2, sum of b^2, sum of a*b over the rows that have both.
+                totals[0] += here @ there
+                totals[1] += a @ there
+                totals[2] += here @ b
+                totals[3] += (a * a) @ there
+                totals[4] += here @ (b * b)
+                totals[5] += a @ b
+            for row, i in enumerate(left):
+                first = max(i, right.start)
+                yield pa.record_batch(
+                    [
+                        pa.array(np.full(right.stop - first, i, np.int32)),
+                        pa.array(np.arange(first, right.stop, dtype=np.int32)),
+                        *[pa.array(total[row, first - right.start :]) for total in totals],
+                    ],
+                    names=["i", "j", "n", "sa", "sb", "saa", "sbb", "sab"],
+                )
+
+        return build
+
+    schema = "i int, j int, n double, sa double, sb double, saa double, sbb double, sab double"
+    parts = None
+    for start in range(0, len(names), tile):
+        left = range(start, min(start + tile, len(names)))
+        for other in range(start, len(names), max(STRIP, tile)):
+            right = range(other, min(other + max(STRIP, tile), len(names)))
+            columns = [f"c{i}" for i in dict.fromkeys([*left, *right])]
+            made = numbers.select(*columns).coalesce(tasks).mapInArrow(gram(left, right), schema)
+            parts = made if parts is None else parts.unionByName(made)
     added = parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sa", "sb", "saa", "sbb", "sab")])
     n = F.nullif(F.col("n"), F.lit(0.0))
     aa, bb = F.col("saa") - F.col("sa") * F.col("sa") / n, F.col("sbb") - F.col("sb") * F.col("sb") / n
@@ -232,10 +264,23 @@ def _gram_cells(df: DataFrame, names: list[str], pairs: list[tuple[int, int]]) -
     )
 
 
-def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+def _first_means(numbers: DataFrame) -> list[float]:
+    """Mean of each column over the first rows, 0 where they have none."""
+    import numpy as np
+
+    first = numbers.limit(SHIFT_ROWS).toArrow()
+    means = []
+    for column in first.columns:
+        values = np.asarray(column.to_numpy(zero_copy_only=False), dtype=float)
+        values = values[~np.isnan(values)]
+        means.append(float(values.mean()) if len(values) else 0.0)
+    return means
+
+
+def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None, tile: int | None = None) -> DataFrame:
     """Every ordered pair in long form; the diagonal is 1, or NULL for a constant column."""
     names = list(columns or numeric_columns(df))
-    upper = _cells(df, names, list(combinations_with_replacement(range(len(names)), 2)))
+    upper = _cells(df, names, list(combinations_with_replacement(range(len(names)), 2)), tile)
     # Each cell above the diagonal also yields its mirror image, without a second scan.
     sides = F.array(
         F.struct("feature_1", "feature_2"),

@@ -59,6 +59,25 @@ def test_gram_matrices_equal_one_aggregation(table, monkeypatch):
     assert len(eda.correlation_pairs(df, ["a", "b", "y", "flat"]).collect()) == 6
 
 
+@pytest.mark.parametrize(("tile", "strip"), [(1, 1), (2, 3), (3, 100), (512, 1024)])
+def test_tiles_equal_numpy_with_gaps(spark, monkeypatch, tile, strip):
+    monkeypatch.setattr(eda, "STRIP", strip)
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(500, 7)) @ rng.normal(size=(7, 7)) + 100
+    x[rng.random(x.shape) < 0.1] = np.nan
+    x[:, 4] = 2.5
+    df = spark.createDataFrame(pd.DataFrame(x, columns=[f"v{i}" for i in range(7)])).repartition(5)
+    cells = eda._gram_cells(df, df.columns, [(0, 0)] * 28, tile)
+    expected = pd.DataFrame(x).corr().to_numpy()
+    found = {(r["position_1"], r["position_2"]): r["correlation"] for r in cells.collect()}
+    assert set(found) == {(i, j) for i in range(7) for j in range(i, 7)}
+    for (i, j), value in found.items():
+        if 4 in (i, j):
+            assert value is None
+        else:
+            assert value == pytest.approx(expected[i, j], abs=1e-9)
+
+
 def test_gram_matrices_of_far_and_constant_columns(spark):
     df = spark.range(4000).repartition(6).select(
         (F.col("id") + 1e9).alias("far"), (F.col("id") % 7 * 1.0).alias("near"), F.lit(1e9).alias("flat"),
