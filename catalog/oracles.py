@@ -415,6 +415,21 @@ def _nearest() -> str:
     return f"SELECT c_custkey, {r6(f'least({chr(44).join(distances)})')} AS nearest_distance_km FROM customer"
 
 
+def _nearest_point() -> str:
+    """Distances of all customers to all points."""
+    inner = (
+        "power(sin(radians(a - lat) / 2), 2) + cos(radians(lat)) * cos(radians(a)) * power(sin(radians(o - lon) / 2), 2)"
+    )
+    return f"""WITH c AS (SELECT c_custkey, c_acctbal / 120.0::DOUBLE AS lat, c_nationkey * 14.0::DOUBLE - 170.0::DOUBLE AS lon
+  FROM customer), p AS (
+  SELECT s_suppkey % 170 - 85.0::DOUBLE AS a, s_suppkey * 37 % 360 - 180.0::DOUBLE AS o FROM supplier
+  UNION ALL SELECT p_partkey % 97 / 50.0::DOUBLE + 20.0::DOUBLE,
+    CASE WHEN p_partkey % 3 = 0 THEN 179.0::DOUBLE + p_partkey % 89 / 100.0::DOUBLE
+      ELSE p_partkey % 101 / 40.0::DOUBLE - 60.0::DOUBLE END FROM part)
+SELECT c_custkey, {r6(f'min(2 * 6371.0088::DOUBLE * asin(sqrt(least({inner}, 1.0))))')} AS nearest_distance_km
+FROM c, p GROUP BY c_custkey"""
+
+
 ASSET_COLUMNS = [
     "feature_name", "feature_group", "feature_subtype", "source_columns", "formula_or_method", "business_meaning",
     "analytical_rationale", "creation_status", "used_by_machine_learning", "used_by_inference",
@@ -1162,6 +1177,7 @@ WHERE cust_balance IS NOT NULL AND total_qty IS NOT NULL GROUP BY 1, 2""",
         "category_groups": f"""WITH {BLOCK} SELECT block_id, segment,
   CASE WHEN segment IN ('FURNITURE', 'HOUSEHOLD', 'BUILDING') THEN 'HOME' ELSE 'OTHER' END AS segment_group FROM ob""",
         "nearest_distance": _nearest(),
+        "nearest_point": _nearest_point(),
         "feature_recommendations": f"WITH {SPLIT}, {_recommendations()} SELECT * FROM re",
         "feature_plan": f"WITH {_plan()} SELECT {', '.join(ASSET_COLUMNS)} FROM plan",
         "feature_repository": _repository(),

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from catalog import bindings as b
 from plumbline.functions.durable import kept, shared_folder
 from plumbline.operators import (
-    curvature, eda, features, figures, findings, governance, models, outliers, prep, profile, sparse, split, validate,
+    curvature, eda, features, figures, findings, governance, models, nearest, outliers, prep, profile, sparse, split, validate,
 )
 from plumbline.plans import rules, workflow
 from plumbline.schema import ColumnRule, SemanticSchema
@@ -604,6 +604,25 @@ def nearest_distance(spark, sf):
     return b.shown(made.select("c_custkey", "nearest_distance_km"))
 
 
+@query
+def nearest_point(spark, sf):
+    """Each customer's distance to the nearest of all suppliers and parts, put at places of their own."""
+    placed = b.table(spark, sf, "customer").select(
+        "c_custkey", (F.col("c_acctbal") / 120.0).alias("latitude"), (F.col("c_nationkey") * 14.0 - 170.0).alias("longitude")
+    )
+    depots = b.table(spark, sf, "supplier").select(
+        (F.col("s_suppkey") % 170 - 85.0).alias("latitude"), (F.col("s_suppkey") * 37 % 360 - 180.0).alias("longitude")
+    )
+    # Parts crowd around one place and a date line.
+    shops = b.table(spark, sf, "part").select(
+        (F.col("p_partkey") % 97 / 50.0 + 20.0).alias("latitude"),
+        F.when(F.col("p_partkey") % 3 == 0, 179.0 + F.col("p_partkey") % 89 / 100.0)
+        .otherwise(F.col("p_partkey") % 101 / 40.0 - 60.0).alias("longitude"),
+    )
+    made = nearest.nearest_point(placed, "latitude", "longitude", depots.unionByName(shops))
+    return b.shown(made.select("c_custkey", "nearest_distance_km"))
+
+
 # Governance
 
 
