@@ -896,6 +896,47 @@ ms AS (SELECT feature, sum(m * power(curve - (my - slope * mx + slope * ax), 2))
     return _screen_result().replace(_screen(), sql[:start] + local + sql[stop:])
 
 
+def _lowess_robust(rounds: int = 2, cells: int = 100) -> str:
+    """The local regression with rounds of bisquare weights, over the spiked table."""
+    sql = _screen("sb", bins=cells)
+    start, stop = sql.index("ms AS ("), sql.index("sc AS (")
+    local = [
+        """pa AS (SELECT a.feature, a.bin AS place, a.ax AS x0, b.bin AS other, b.m, abs(b.ax - a.ax) AS away,
+  sum(b.m) OVER (PARTITION BY a.feature, a.bin ORDER BY abs(b.ax - a.ax)) AS upto,
+  sum(b.m) OVER (PARTITION BY a.feature, a.bin) AS every FROM bn a JOIN bn b USING (feature)),
+re AS (SELECT feature, place, min(away) FILTER (upto >= 0.25::DOUBLE * every) AS reach FROM pa GROUP BY feature, place),
+nb AS (SELECT feature, place, x0, other, power(1 - power(coalesce(away / nullif(reach, 0), 0), 3), 3) AS t
+  FROM pa JOIN re USING (feature, place) WHERE away <= reach),
+br AS (SELECT feature, len(list_filter(list_distinct(edges), lambda e: e < x)) AS bin, x, y FROM pr JOIN ln USING (feature)),
+fx0 AS (SELECT feature, bin, m::DOUBLE AS mass, ax AS gx, ay AS gy FROM bn)"""
+    ]
+    for r in range(rounds + 1):
+        local.append(
+            f"""fi{r} AS (SELECT nb.feature, place, nullif(sum(t * mass), 0) AS w, sum(t * mass * (gx - x0)) AS wd,
+  sum(t * mass * (gx - x0) * (gx - x0)) AS wdd, sum(t * mass * gy) AS wy, sum(t * mass * (gx - x0) * gy) AS wdy
+  FROM nb JOIN fx{r} ON fx{r}.feature = nb.feature AND fx{r}.bin = nb.other WHERE mass > 0 GROUP BY nb.feature, place),
+sl{r} AS (SELECT feature, place AS bin, w, wd, wy, CASE WHEN wdd - wd * wd / w <= 1e-12::DOUBLE * wdd THEN 0
+  ELSE (wdy - wd * wy / w) / (wdd - wd * wd / w) END AS bend FROM fi{r}),
+cu{r} AS (SELECT feature, bin, (wy - bend * wd) / w AS curve, bend FROM sl{r})"""
+        )
+        if r < rounds:
+            local.append(
+                f"""rs{r} AS (SELECT br.*, abs(y - curve - bend * (x - ax)) AS far
+  FROM br JOIN cu{r} USING (feature, bin) JOIN bn USING (feature, bin)),
+md{r} AS (SELECT feature, 6.0::DOUBLE * median(far) AS scale FROM rs{r} GROUP BY feature),
+rw{r} AS (SELECT feature, bin, x, y, power(1 - power(least(far / scale, 1), 2), 2) AS w FROM rs{r} JOIN md{r} USING (feature)),
+fx{r + 1} AS (SELECT feature, bin, sum(w) AS mass, sum(w * x) / nullif(sum(w), 0) AS gx, sum(w * y) / nullif(sum(w), 0) AS gy
+  FROM rw{r} GROUP BY feature, bin)"""
+            )
+    local.append(
+        f"""ms AS (SELECT feature, sum(m * power(curve - (my - slope * mx + slope * ax), 2)) / sum(m) AS msq
+  FROM bn JOIN cu{rounds} USING (feature, bin) JOIN ln USING (feature) GROUP BY feature),
+"""
+    )
+    spiked = f"sb AS (SELECT * REPLACE ({b.TARGET} * CASE WHEN block_id % 61 = 0 THEN 40 ELSE 1 END AS {b.TARGET}) FROM ob), "
+    return _screen_result().replace(_screen(), spiked + sql[:start] + ",\n".join(local) + sql[stop:])
+
+
 def _scatter() -> str:
     # The counts of lines, parts and suppliers are the columns most correlated with the target.
     return f"""WITH {BLOCK}
@@ -1134,6 +1175,8 @@ SELECT floor(cust_balance / 1000.0)::INTEGER AS cell_x, floor(total_qty / 25.0):
 WHERE cust_balance IS NOT NULL AND total_qty IS NOT NULL GROUP BY 1, 2""",
         "curvature_binned": _screen_result(),
         "lowess_screen": _lowess_result(),
+        "lowess_robust": _lowess_robust(),
+        "lowess_robust_narrowed": _lowess_robust(cells=20),
         "candidate_variables": _candidates(),
         "modelling_challenges": _challenges(SPLIT, "tr", b.TARGET, MEASURED, VARIABLES, False),
         "modelling_challenges_all": _challenges(

@@ -375,6 +375,24 @@ def lowess_screen(spark, sf):
     return b.shown(curvature.lowess_screen(_block(spark, sf), b.NUMBERS, b.TARGET))
 
 
+def _spiked_block(spark, sf):
+    """The order table with outlying values of the target in a few rows of all."""
+    spike = F.when(F.col(b.KEY) % 61 == 0, F.lit(40.0)).otherwise(F.lit(1.0))
+    return _block(spark, sf).withColumn(b.TARGET, F.col(b.TARGET) * spike)
+
+
+@query
+def lowess_robust(spark, sf):
+    return b.shown(curvature.robust_screen(_spiked_block(spark, sf), b.NUMBERS, b.TARGET, rounds=2))
+
+
+@query
+def lowess_robust_narrowed(spark, sf):
+    """With fewer cells; groups above FEW rows take the way of large ones."""
+    spiked = _spiked_block(spark, sf)
+    return b.shown(curvature.robust_screen(spiked, b.NUMBERS, b.TARGET, rounds=2, bounded=10 * FEW, cells=20))
+
+
 def _columns_only(spark, sf):
     """The training rows, without key and split: what is explored must not see held-out rows."""
     return prep.training_rows(_split(spark, sf)).drop(b.KEY, "split", "stratum")

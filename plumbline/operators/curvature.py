@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbline.functions.durable import kept
+from plumbline.functions.durable import durable, forget, kept
 from plumbline.functions.moments import is_constant, per_column
-from plumbline.functions.quantiles import BOUNDED_GROUP, fit_quantiles
+from plumbline.functions.quantiles import BOUNDED_GROUP, fit_quantiles, grouped_quantiles
 from plumbline.schema import quoted
 
 # Smoothing span, least rows and class limits.
@@ -19,8 +19,9 @@ CLASSES = ((0.08, "Nearly linear"), (0.16, "Mild curvature"), (0.28, "Moderate c
 STRONGEST = "Strong nonlinear pattern"
 CURVED = ("Moderate curvature", "Strong nonlinear pattern")
 UNKNOWN = "Insufficient data"
-#: Cells of the local regression.
+#: Cells of the local regression; rounds of its robust form, and median residuals at which a row's weight ends.
 SMOOTH_CELLS = 100
+ROBUST_ROUNDS, ROBUST_REACH = 3, 6.0
 
 IMPLICATIONS = {
     "Nearly linear": "Start with a straight line.",
@@ -69,8 +70,8 @@ def _pair(df: DataFrame, feature: str, target: str) -> tuple[Column, Column]:
 
 def _lines_and_bins(
     df: DataFrame, features: Sequence[str], target: str, bins: int, bounded: int
-) -> tuple[DataFrame, DataFrame]:
-    """Straight line of each feature, and rows and means of the bins between its exact quantiles."""
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Straight line of each feature, rows and means of the bins between its exact quantiles, the rows with their bin."""
     pairs = {f: _pair(df, f, target) for f in features}
 
     def line(name: str) -> dict[str, Column]:
@@ -90,13 +91,11 @@ def _lines_and_bins(
     steps = [j / bins for j in range(1, bins)]
     edges = fit_quantiles(df, {f: x for f, (x, _) in pairs.items()}, steps, largest, bounded)
     cells = [F.struct(F.lit(f).alias("feature"), x.alias("x"), y.alias("y")) for f, (x, y) in pairs.items()]
-    binned = (
-        df.select(F.inline(F.array(*cells)))
-        .where(F.col("x").isNotNull())
-        .groupBy("feature", _bin_of(edges).alias("bin"))
-        .agg(F.count("x").alias("rows_in_bin"), F.avg("x").alias("mean_x"), F.avg("y").alias("mean_y"))
+    rows = df.select(F.inline(F.array(*cells))).where(F.col("x").isNotNull()).withColumn("bin", _bin_of(edges))
+    binned = rows.groupBy("feature", "bin").agg(
+        F.count("x").alias("rows_in_bin"), F.avg("x").alias("mean_x"), F.avg("y").alias("mean_y")
     )
-    return lines, binned
+    return lines, binned, rows
 
 
 def _gap_scores(lines: DataFrame, binned: DataFrame, curve: Column) -> DataFrame:
@@ -125,7 +124,7 @@ def binned_scores(
     deviations. Bin edges are exact quantiles; the rest is two aggregations, the
     second grouped by (feature, bin).
     """
-    lines, binned = _lines_and_bins(df, features, target, bins, bounded)
+    lines, binned, _ = _lines_and_bins(df, features, target, bins, bounded)
     return _gap_scores(lines, binned, F.col("mean_y"))
 
 
@@ -145,6 +144,57 @@ def binned_screen(df: DataFrame, features: Sequence[str], target: str, bins: int
     return screen_table(binned_scores(df, features, target, bins))
 
 
+def _local_lines(cells: DataFrame, span: float) -> DataFrame:
+    """``feature, bin, curve, bend``: value and slope, at the mean of each cell, of the line through the cells around it.
+
+    ``rows_in_bin, mean_x`` place the cells, and the cells around that hold ``span`` of the rows
+    count by the tricube of their distance; ``mass, fit_x, fit_y`` are what the line is fitted to.
+    """
+    # At most (cells + 1)^2 pairs of cells per feature, whatever the number of rows.
+    here = cells.select("feature", F.col("bin").alias("place"), F.col("mean_x").alias("x0"))
+    pairs = here.join(cells, "feature").withColumn("distance", F.abs(F.col("mean_x") - F.col("x0")))
+    nearest = Window.partitionBy("feature", "place").orderBy("distance")
+    everything = Window.partitionBy("feature", "place")
+    n = F.col("rows_in_bin")
+    pairs = pairs.withColumns({"_upto": F.sum(n).over(nearest), "_all": F.sum(n).over(everything)})
+    enough = F.when(F.col("_upto") >= F.lit(span) * F.col("_all"), F.col("distance"))
+    pairs = pairs.withColumn("reach", F.min(enough).over(everything)).where("distance <= reach")
+    near = F.coalesce(F.col("distance") / F.nullif(F.col("reach"), F.lit(0.0)), F.lit(0.0))
+    w = F.col("mass") * F.pow(F.lit(1.0) - F.pow(near, F.lit(3.0)), F.lit(3.0))
+    d, y = F.col("fit_x") - F.col("x0"), F.col("fit_y")
+    sums = {"w": w, "wd": w * d, "wdd": w * d * d, "wy": w * y, "wdy": w * d * y}
+    fitted = pairs.where("mass > 0").groupBy("feature", "place").agg(*[F.sum(v).alias(k) for k, v in sums.items()])
+    fitted = fitted.withColumn("w", F.nullif("w", F.lit(0.0)))
+    spread = F.col("wdd") - F.col("wd") * F.col("wd") / F.col("w")
+    slope = (F.col("wdy") - F.col("wd") * F.col("wy") / F.col("w")) / F.nullif(spread, F.lit(0.0))
+    flat = spread <= F.lit(1e-12) * F.col("wdd")
+    value = F.when(flat, F.col("wy") / F.col("w")).otherwise((F.col("wy") - slope * F.col("wd")) / F.col("w"))
+    bend = F.when(flat, F.lit(0.0)).otherwise(slope)
+    return fitted.select("feature", F.col("place").alias("bin"), value.alias("curve"), bend.alias("bend"))
+
+
+def _reweighted(rows: DataFrame, curve: DataFrame, largest: int, bounded: int) -> DataFrame:
+    """``feature, bin, mass, fit_x, fit_y``: what cells weigh once rows far from the curve count less.
+
+    A row's residual is its distance to the line of its cell, the scale six times the exact
+    median of the residuals' sizes; the weight falls to 0 there (bisquare). Both tables joined
+    have a row per cell and per feature.
+    """
+    near = rows.join(F.broadcast(curve), ["feature", "bin"])
+    far = F.abs(F.col("y") - F.col("curve") - F.col("bend") * (F.col("x") - F.col("mean_x")))
+    near = near.select("feature", "bin", "x", "y", far.alias("far"))
+    middle = kept(grouped_quantiles(near, ["feature"], F.col("far"), [0.5], largest, bounded))
+    scale = middle.select("feature", (F.get("quantiles", F.lit(0)) * ROBUST_REACH).alias("scale"))
+    share = F.least(F.col("far") / F.col("scale"), F.lit(1.0))
+    w = F.when(F.col("scale") > 0, F.pow(F.lit(1.0) - share * share, F.lit(2.0))).otherwise(F.lit(1.0))
+    weighed = near.join(F.broadcast(scale), "feature").withColumn("w", w)
+    sums = weighed.groupBy("feature", "bin").agg(
+        F.sum("w").alias("mass"), F.sum(F.col("w") * F.col("x")).alias("sx"), F.sum(F.col("w") * F.col("y")).alias("sy")
+    )
+    mass = F.nullif("mass", F.lit(0.0))
+    return sums.select("feature", "bin", "mass", (F.col("sx") / mass).alias("fit_x"), (F.col("sy") / mass).alias("fit_y"))
+
+
 def lowess_scores(
     df: DataFrame,
     features: Sequence[str],
@@ -152,6 +202,7 @@ def lowess_scores(
     cells: int = SMOOTH_CELLS,
     span: float = LOWESS_SPAN,
     bounded: int = BOUNDED_GROUP,
+    rounds: int = 0,
 ) -> DataFrame:
     """``feature, score`` from a local regression over all rows.
 
@@ -160,30 +211,40 @@ def lowess_scores(
     ``span`` of the rows, with tricube weights by distance times their rows; the curve is the
     value of that line there. The score is the row-weighted RMS gap to the straight line, in
     target deviations, as for the bin means.
+
+    With ``rounds`` the regression is robust: in each round rows are weighed by their distance
+    to the curve, cells are summed anew with these weights, and the curve is fitted again. A
+    round is an exact median and one aggregation by cell, over the rows (feature, x, y, cell),
+    which are written once.
     """
-    lines, binned = _lines_and_bins(df, features, target, cells, bounded)
-    # At most (cells + 1)^2 pairs of cells per feature, whatever the number of rows.
-    here = binned.select("feature", F.col("bin").alias("place"), F.col("mean_x").alias("x0"))
-    pairs = here.join(binned, "feature").withColumn("distance", F.abs(F.col("mean_x") - F.col("x0")))
-    nearest = Window.partitionBy("feature", "place").orderBy("distance")
-    everything = Window.partitionBy("feature", "place")
-    n = F.col("rows_in_bin")
-    pairs = pairs.withColumns({"_upto": F.sum(n).over(nearest), "_all": F.sum(n).over(everything)})
-    enough = F.when(F.col("_upto") >= F.lit(span) * F.col("_all"), F.col("distance"))
-    pairs = pairs.withColumn("reach", F.min(enough).over(everything)).where("distance <= reach")
-    near = F.coalesce(F.col("distance") / F.nullif(F.col("reach"), F.lit(0.0)), F.lit(0.0))
-    w = n * F.pow(F.lit(1.0) - F.pow(near, F.lit(3.0)), F.lit(3.0))
-    d, y = F.col("mean_x") - F.col("x0"), F.col("mean_y")
-    sums = {"w": w, "wd": w * d, "wdd": w * d * d, "wy": w * y, "wdy": w * d * y}
-    fitted = pairs.groupBy("feature", "place").agg(*[F.sum(v).alias(k) for k, v in sums.items()])
-    spread = F.col("wdd") - F.col("wd") * F.col("wd") / F.col("w")
-    slope = (F.col("wdy") - F.col("wd") * F.col("wy") / F.col("w")) / F.nullif(spread, F.lit(0.0))
-    flat = spread <= F.lit(1e-12) * F.col("wdd")
-    value = F.when(flat, F.col("wy") / F.col("w")).otherwise((F.col("wy") - slope * F.col("wd")) / F.col("w"))
-    curve = fitted.select("feature", F.col("place").alias("bin"), value.alias("curve"))
-    return _gap_scores(lines, binned.join(curve, ["feature", "bin"]), F.col("curve"))
+    lines, binned, rows = _lines_and_bins(df, features, target, cells, bounded)
+    plain = binned.withColumns({"mass": F.col("rows_in_bin").cast("double"), "fit_x": F.col("mean_x"), "fit_y": F.col("mean_y")})
+    if not rounds:
+        return _gap_scores(lines, binned.join(_local_lines(plain, span), ["feature", "bin"]), F.col("curve"))
+    # A row per cell, read by each round.
+    binned, largest, rows = kept(binned), lines.agg(F.max("n")).first()[0], durable(rows)
+    plain = binned.withColumns({"mass": F.col("rows_in_bin").cast("double"), "fit_x": F.col("mean_x"), "fit_y": F.col("mean_y")})
+    curve = kept(binned.join(_local_lines(plain, span), ["feature", "bin"]))
+    for _ in range(rounds):
+        again = binned.join(_reweighted(rows, curve, largest, bounded), ["feature", "bin"])
+        found = _local_lines(again, span)
+        # Where no row around counts any more, the curve stays.
+        earlier = curve.withColumnsRenamed({"curve": "_curve", "bend": "_bend"})
+        curve = kept(
+            earlier.join(found, ["feature", "bin"], "left").select(
+                *binned.columns, F.coalesce("curve", "_curve").alias("curve"),
+                F.when(F.col("curve").isNull(), F.col("_bend")).otherwise(F.col("bend")).alias("bend"),
+            )
+        )
+    forget(rows)
+    return _gap_scores(lines, curve, F.col("curve"))
 
 
 def lowess_screen(df: DataFrame, features: Sequence[str], target: str, **options) -> DataFrame:
     """Curvature screen from the local regression."""
     return screen_table(lowess_scores(df, features, target, **options))
+
+
+def robust_screen(df: DataFrame, features: Sequence[str], target: str, rounds: int = ROBUST_ROUNDS, **options) -> DataFrame:
+    """Curvature screen from the local regression with reweighting rounds."""
+    return screen_table(lowess_scores(df, features, target, rounds=rounds, **options))

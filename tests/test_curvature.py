@@ -78,6 +78,65 @@ def test_local_fit_follows_a_local_regression_of_the_rows(spark):
     assert found == pytest.approx(expected, rel=0.02)
 
 
+def robust_fit(x, y, rounds, span=0.25):
+    """Local lines over all rows, reweighted by their residuals."""
+    n, width, weight = len(x), int(len(x) * span), np.ones(len(x))
+    for _ in range(rounds + 1):
+        fitted = np.empty(n)
+        for i in range(n):
+            distance = np.abs(x - x[i])
+            near = np.argpartition(distance, width)[:width]
+            w = weight[near] * (1 - (distance[near] / distance[near].max()) ** 3) ** 3
+            d = x[near] - x[i]
+            s, sd, sdd, sy, sdy = w.sum(), (w * d).sum(), (w * d * d).sum(), (w * y[near]).sum(), (w * d * y[near]).sum()
+            fitted[i] = (sy - (sdy - sd * sy / s) / (sdd - sd * sd / s) * sd) / s
+        far = np.abs(y - fitted)
+        weight = (1 - np.minimum(far / (6 * np.median(far)), 1) ** 2) ** 2
+    return fitted
+
+
+def test_robust_rounds_follow_a_regression_of_the_rows_and_ignore_outliers(spark):
+    rng = np.random.default_rng(6)
+    n = 3000
+    x = np.sort(rng.normal(size=n))
+    y = x + rng.normal(scale=0.3, size=n)
+    spoiled = y.copy()
+    # Outliers at one end only: they bend a curve that is not robust.
+    spoiled[(x > 0.8) & (rng.random(n) < 0.15)] += 12.0
+    slope, intercept = np.polyfit(x, spoiled, 1)
+    line, spread = intercept + slope * x, np.std(spoiled, ddof=1)
+    expected = np.sqrt(np.mean((robust_fit(x, spoiled, 2) - line) ** 2)) / spread
+    df = spark.createDataFrame(pd.DataFrame({"x": x, "y": spoiled}))
+    for bounded in (1_000_000, 200):
+        found = as_dict(curvature.lowess_scores(df, ["x"], "y", rounds=2, bounded=bounded), "score")["x"]
+        assert found == pytest.approx(expected, rel=0.02)
+    # Without them the curve is a line, and so is the robust one with them.
+    centre = robust_fit(x, y, 0)
+    assert np.abs(robust_fit(x, spoiled, 3) - centre).max() < 0.5 < np.abs(robust_fit(x, spoiled, 0) - centre).max()
+
+
+def test_planted_outliers_change_the_class_without_rounds_only(spark):
+    rng = np.random.default_rng(7)
+    n = 4000
+    x = rng.uniform(-2, 2, size=n)
+    y = 2 * x + rng.normal(scale=1.0, size=n)
+    spiked = y + np.where((np.abs(x) < 0.5) & (rng.random(n) < 0.1), 30.0, 0.0)
+    df = spark.createDataFrame(pd.DataFrame({"x": x, "y": y, "s": spiked}))
+    clean = as_dict(curvature.robust_screen(df, ["x"], "y"), "automated_screen")
+    assert clean == as_dict(curvature.lowess_screen(df, ["x"], "y"), "automated_screen") == {"x": "Nearly linear"}
+    assert as_dict(curvature.lowess_screen(df, ["x"], "s"), "automated_screen") != clean
+    # The straight line is moved by outliers as well, so the robust curve is compared with a lower one.
+    robust = as_dict(curvature.lowess_scores(df, ["x"], "s", rounds=3), "score")["x"]
+    plain = as_dict(curvature.lowess_scores(df, ["x"], "s"), "score")["x"]
+    assert robust < plain
+
+
+def test_robust_rounds_on_exact_lines_constant_columns_and_few_rows(spark):
+    df = spark.range(400).select(F.col("id").cast("double").alias("x"), (F.col("id") * 2.0 + 1).alias("y"), F.lit(1.0).alias("flat"))
+    assert as_dict(curvature.lowess_scores(df, ["x", "flat"], "y", rounds=3), "score") == pytest.approx({"x": 0, "flat": 0}, abs=1e-9)
+    assert as_dict(curvature.lowess_scores(df.limit(10), ["x"], "y", rounds=2), "score") == {"x": None}
+
+
 def test_classes(spark):
     df = spark.createDataFrame([(0.0799,), (0.08,), (0.16,), (0.28,), (None,)], "s double")
     words = [r[0] for r in df.select(curvature.classify(F.col("s"))).collect()]
