@@ -1252,6 +1252,11 @@ SELECT o_orderstatus, {r6('sqrt(avg(power(a - p, 2)))')} AS rmse, {r6('avg(abs(a
     # The same results by the ways that large tables take.
     found["scan_delimited"] = found["scan_normalised"]
     found["correlation_tiled"] = found["correlation_wide"]
+    found["duplicate_rows_many"] = found["duplicate_rows"]
+    found["text_unique_counts"] = union(
+        f"SELECT '{name}' AS column_name, count(DISTINCT {value}) AS unique_count FROM documents"
+        for name, value in (("text", "text"), ("lang", "lang"), ("source", "source"), ("length", "n_chars"))
+    )
     found |= {
         f"{name}_narrowed": found[name]
         for name in ("outlier_summary", "curvature_binned", "stratified_split", "median_impute")

@@ -209,6 +209,19 @@ def duplicate_rows(spark, sf):
     return profile.duplicate_rows(b.faulty_block(spark, sf))
 
 
+@query
+def duplicate_rows_many(spark, sf):
+    """With more repeated hashes than may be broadcast: every row is compared by its digest."""
+    return profile.duplicate_rows(b.faulty_block(spark, sf), by_hash=True, limit=10)
+
+
+@query
+def text_unique_counts(spark, sf):
+    """Distinct values of text columns that are nearly unique, repeat in part, or have few values."""
+    documents = b.table(spark, sf, "documents").select("text", "lang", "source", F.col("n_chars").cast("string").alias("length"))
+    return profile.unique_counts(documents)
+
+
 @query
 def missing_summary(spark, sf):
     return b.shown(profile.missing_summary(b.faulty_block(spark, sf), b.block_schema()))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from plumbline.functions.expressions import finite, guarded_correlation, percentage
 from plumbline.functions.moments import deviation, kurtosis, per_column, skewness
 from plumbline.functions.quantiles import grouped_quantiles, quantile_table
-from plumbline.operators.profile import distinct_with_examples, value_frequencies
+from plumbline.operators.profile import distinct_with_examples
 from plumbline.schema import SemanticSchema, numeric_columns, quoted
 
 # Fixed values of the shape and association classes.
@@ -126,7 +126,6 @@ def variable_summary(df: DataFrame, schema: SemanticSchema, row_key: str) -> Dat
         },
         label="column_name",
     )
-    frequencies = value_frequencies(df, names, row_key=row_key)
     moments = distribution_summary(df, numeric).select(
         F.col("variable").alias("column_name"),
         "minimum", "maximum", "mean", "median", "standard_deviation", "skewness", "kurtosis",
@@ -135,7 +134,7 @@ def variable_summary(df: DataFrame, schema: SemanticSchema, row_key: str) -> Dat
     return (
         # Every table joined here has one row per column of the schema.
         counted.join(F.broadcast(declared), "column_name", "left")
-        .join(F.broadcast(distinct_with_examples(frequencies)), "column_name", "left")
+        .join(F.broadcast(distinct_with_examples(df, row_key, names)), "column_name", "left")
         .join(F.broadcast(moments), "column_name", "left")
         .select(
             "column_name", "role", "semantic_type", "observed_type", "observations", "non_missing_count",

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plumbline.functions.durable import durable
+from plumbline.functions.durable import durable, forget, kept
+from plumbline.functions.joins import BROADCAST_ROWS
 from plumbline.functions.expressions import is_whole, number_text, percentage, ratio
 from plumbline.functions.moments import deviation, per_column
 from plumbline.functions.quantiles import quantile_table
@@ -25,6 +26,8 @@ DATETIME_FORMATS = ("yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss", "yyyy/MM/dd", "MM/dd/yy
 
 WIDE_ROW_BYTES = 64
 BROADCAST_HASHES = 4_000_000
+#: Rows, first by key, in which examples are looked for before whole columns are.
+EXAMPLE_ROWS = 1000
 
 
 def _typed(df: DataFrame, name: str) -> tuple[Column, Column, Column]:
@@ -82,14 +85,76 @@ def distinct_counts(frequencies: DataFrame) -> DataFrame:
     return frequencies.groupBy("column_name").agg(F.count_if("present").alias("unique_count"))
 
 
-def distinct_with_examples(frequencies: DataFrame) -> DataFrame:
-    """Distinct counts and examples of the columns that hold any value.
+def unique_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """``column_name, unique_count``: exact distinct non-missing values of each column.
 
-    Both sides start from the same filtered frequency table, so Spark computes and
-    shuffles it once and reuses the exchange.
+    Numbers are counted as they are, eight bytes each, all other values by a 64-bit hash of their text,
+    so a nearly unique text column sends hashes, not texts. A hash that occurs once is one value.
+    Only where hashes repeat are the texts behind them compared: few such hashes are broadcast
+    and pick the rows, with many the column's texts are grouped.
     """
-    present = frequencies.where("present")
-    return distinct_counts(present).join(F.broadcast(example_values(present)), "column_name", "left")
+    names = list(columns or df.columns)
+    cells, texts = [], {}
+    for place, name in enumerate(names):
+        whole, number, text = _typed(df, name)
+        if not isinstance(df.schema[name].dataType, (T.IntegralType, T.BooleanType, T.DoubleType, T.FloatType)):
+            texts[place] = text
+            whole = F.when(text.isNotNull(), F.xxhash64(text))
+        cells.append(F.struct(F.lit(place).alias("_c"), whole.alias("_w"), number.alias("_d")))
+    coded = df.select(F.inline(F.array(*cells))).where("_w is not null or _d is not null")
+    counted = coded.groupBy("_c", "_w", "_d").agg(F.count(F.lit(1)).alias("_n"))
+    none = F.lit(None).cast("long")
+    totals = counted.groupBy("_c").agg(F.count_if(F.col("_n") == 1).alias("_single"), F.count_if(F.col("_n") > 1).alias("_repeated"))
+    repeated = counted.where(F.col("_c").isin(list(texts)) & (F.col("_n") > 1))
+    # One query for both, so that the exchange below them is made once.
+    found = durable(
+        totals.select("_c", none.alias("_w"), "_single", "_repeated").unionByName(
+            repeated.select("_c", "_w", none.alias("_single"), none.alias("_repeated"))
+        )
+    )
+    known = {r["_c"]: r for r in found.where("_w is null").collect()}
+    counts = {place: r["_single"] + r["_repeated"] for place, r in known.items() if place not in texts}
+    few, many, held = [], [], 0
+    for place in sorted((p for p in known if p in texts), key=lambda p: known[p]["_repeated"]):
+        counts[place] = known[place]["_single"]
+        held += known[place]["_repeated"]
+        if known[place]["_repeated"]:
+            (few if held <= BROADCAST_ROWS else many).append(place)
+    for places in (few, many):
+        if not places:
+            continue
+        values = [F.struct(F.lit(p).alias("_c"), F.xxhash64(texts[p]).alias("_w"), texts[p].alias("_t")) for p in places]
+        rows = df.select(F.inline(F.array(*values))).where("_t is not null")
+        if places is few:
+            rows = rows.join(F.broadcast(found.where(F.col("_w").isNotNull() & F.col("_c").isin(few))), ["_c", "_w"], "left_semi")
+        for r in rows.select("_c", "_t").distinct().groupBy("_c").count().collect():
+            # Grouped whole, a column has all its values here, single ones included.
+            counts[r["_c"]] = r["count"] + (counts[r["_c"]] if places is few else 0)
+    forget(found)
+    rows = [(name, counts.get(place, 0)) for place, name in enumerate(names)]
+    return df.sparkSession.createDataFrame(rows, "column_name string, unique_count long")
+
+
+def first_examples(df: DataFrame, row_key: str, columns: Sequence[str] | None = None) -> DataFrame:
+    """``column_name, example_values`` as `example_values` gives them, without counting whole columns.
+
+    The first rows by key hold the first occurrences of what they hold. Columns that show enough
+    values there are done; the others, which have few values or start with few, are counted.
+    """
+    names = list(columns or df.columns)
+    held = df.select(*[quoted(n) for n in dict.fromkeys([row_key, *names])]).where(quoted(row_key).isNotNull())
+    first = kept(held.orderBy(quoted(row_key)).limit(EXAMPLE_ROWS), EXAMPLE_ROWS)
+    seen = value_frequencies(first, names, row_key=row_key).where("present")
+    shown = distinct_counts(seen).join(example_values(seen), "column_name").where(F.col("unique_count") >= EXAMPLES)
+    found = kept(shown.select("column_name", "example_values"))
+    enough = {r["column_name"] for r in found.collect()}
+    rest = [n for n in names if n not in enough]
+    return found.unionByName(example_values(value_frequencies(df, rest, row_key=row_key))) if rest else found
+
+
+def distinct_with_examples(df: DataFrame, row_key: str, columns: Sequence[str] | None = None) -> DataFrame:
+    """Distinct counts and examples of the columns; one row per column of the schema."""
+    return unique_counts(df, columns).join(F.broadcast(first_examples(df, row_key, columns)), "column_name", "left")
 
 
 def example_values(frequencies: DataFrame, limit: int = EXAMPLES) -> DataFrame:
@@ -108,28 +173,38 @@ def example_values(frequencies: DataFrame, limit: int = EXAMPLES) -> DataFrame:
     )
 
 
-def duplicate_rows(df: DataFrame, by_hash: bool | None = None) -> DataFrame:
+def duplicate_rows(df: DataFrame, by_hash: bool | None = None, limit: int = BROADCAST_HASHES) -> DataFrame:
     """Rows beyond the first of each set of equal rows; NULL equals NULL.
 
-    Wide rows are screened by a 64-bit hash first: only hashes are shuffled, and only
-    rows whose hash occurs more than once are compared in full. Equality is always
-    decided on the values. Where very many hashes repeat, the screen would not help
-    and all rows are grouped directly.
+    Wide rows are never shuffled: a 64-bit hash of each is counted first, and only rows whose
+    hash occurs more than once are compared, by the SHA-256 of all their values. Up to ``limit``
+    such hashes are broadcast and pick the rows; with more, every row sends its digest. Narrow
+    rows are grouped as they are.
     """
     if by_hash is None:
         by_hash = sum(_width(f.dataType) for f in df.schema.fields) > WIDE_ROW_BYTES
-    suspects = df
+    keys, suspects = [quoted(c) for c in df.columns], df
     if by_hash:
-        hashed = df.withColumn("_h", F.xxhash64(*[quoted(c) for c in df.columns]))
-        # Written before the join is planned, so that its size is known: the wide rows
-        # are then filtered by a broadcast and never shuffled for the join.
+        hashed = df.withColumn("_h", F.xxhash64(*keys))
+        # Written before the join is planned, so that its size is known.
         repeated = durable(hashed.groupBy("_h").count().where("count > 1").select("_h"))
-        if repeated.count() <= BROADCAST_HASHES:
+        if repeated.count() <= limit:
             suspects = hashed.join(F.broadcast(repeated), "_h", "left_semi").drop("_h")
-    counted = suspects.groupBy(*[quoted(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("_copies"))
+        keys = [F.unhex(F.sha2(_row_text(df), 256)).alias("_digest")]
+    counted = suspects.groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies"))
     return counted.agg(F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("duplicate_rows"))
 
 
+def _row_text(df: DataFrame) -> Column:
+    """All values of a row as one text that no other row has: each with its length, a gap as ``~``."""
+    fields = []
+    for name in df.columns:
+        whole, number, text = _typed(df, name)
+        value = F.coalesce(whole.cast("string"), number.cast("string"), text)
+        fields.append(F.coalesce(F.concat(F.octet_length(value).cast("string"), F.lit(":"), value), F.lit("~")))
+    return F.concat(*fields)
+
+
 def _width(kind: T.DataType) -> int:
     if isinstance(kind, (T.StringType, T.BinaryType)):
         return 20
@@ -241,8 +316,8 @@ def _structural_type(kind: T.DataType, whole: Column, dated: Column) -> Column:
 def column_profile(df: DataFrame, row_key: str) -> DataFrame:
     """One row of 22 fields per column.
 
-    Three passes: one wide aggregation for counts and moments, the value-frequency
-    table for distinct counts and examples, and the medians.
+    Passes: one wide aggregation for counts and moments, the distinct counts by codes, the
+    examples of columns with few values, and the medians.
     """
     numeric = set(numeric_columns(df))
     none = F.lit(None)
@@ -264,9 +339,8 @@ def column_profile(df: DataFrame, row_key: str) -> DataFrame:
         }
 
     counted = per_column(df, df.columns, measures, label="column_name")
-    frequencies = value_frequencies(df, row_key=row_key)
     # Every table joined here has one row per column of the schema.
-    profile = counted.join(F.broadcast(distinct_with_examples(frequencies)), "column_name", "left")
+    profile = counted.join(F.broadcast(distinct_with_examples(df, row_key)), "column_name", "left")
     if numeric:
         medians = quantile_table(df, [n for n in df.columns if n in numeric], {"median": 0.5})
         medians = medians.withColumnRenamed("variable", "column_name")
@@ -373,8 +447,7 @@ def structure_table(df: DataFrame) -> DataFrame:
         },
         label="column_name",
     )
-    distinct = distinct_counts(value_frequencies(df))
-    return counted.join(distinct, "column_name", "left").select(
+    return counted.join(F.broadcast(unique_counts(df)), "column_name", "left").select(
         "column_name",
         "data_type",
         "missing_values",

@@ -136,3 +136,44 @@ def test_guards(small, spark):
 
 def test_preview(small):
     assert [r["k"] for r in profile.preview(small, ["k"], 2).collect()] == [1, 2]
+
+
+@pytest.mark.parametrize("broadcast", [500_000, 3, 0])
+def test_unique_counts_of_texts_that_repeat_in_part(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(profile, "BROADCAST_ROWS", broadcast)
+    n = 3000
+    k = F.col("id")
+    df = spark.range(n).repartition(5).select(
+        k.alias("k"), F.concat(F.lit("text "), k.cast("string")).alias("own"), F.concat(F.lit("x"), (k % 7).cast("string")).alias("few"),
+        F.when(k % 2 == 0, F.concat(F.lit("y"), (k % 1000).cast("string"))).otherwise(k.cast("string")).alias("some"),
+        F.when(k > 5, F.lit(None)).otherwise(k.cast("string")).alias("gaps"), F.lit(None).cast("string").alias("none"),
+        F.when(k % 2 == 0, F.lit(0.0)).otherwise(F.lit(-0.0)).alias("zero"), (k % 2 == 0).alias("flag"),
+        F.date_add(F.lit("2020-01-01").cast("date"), (k % 11).cast("int")).alias("day"), (k / 7).alias("number"),
+    )
+    found = {r["column_name"]: r["unique_count"] for r in profile.unique_counts(df).collect()}
+    assert found == {
+        "k": n, "own": n, "few": 7, "some": 500 + n // 2, "gaps": 6, "none": 0, "zero": 1, "flag": 2, "day": 11, "number": n,
+    }
+    assert {r["column_name"]: r["unique_count"] for r in profile.unique_counts(df, ["few"]).collect()} == {"few": 7}
+
+
+def test_first_examples_equal_those_of_whole_columns(spark, monkeypatch):
+    monkeypatch.setattr(profile, "EXAMPLE_ROWS", 20)
+    k = F.col("id")
+    df = spark.range(400).repartition(7).select(
+        k.alias("k"), k.cast("string").alias("own"), (k % 3).alias("few"), F.floor(k / 30).alias("slow"),
+        F.when(k > 350, k * 0.5).alias("late"), F.lit(None).cast("string").alias("none"),
+    )
+    whole = {r["column_name"]: r["example_values"] for r in profile.example_values(profile.value_frequencies(df, row_key="k")).collect()}
+    found = {r["column_name"]: r["example_values"] for r in profile.first_examples(df, "k").collect()}
+    assert found == whole and found["slow"] == "0 | 1 | 2 | 3 | 4" and found["late"].startswith("175.5 | 176.0")
+
+
+@pytest.mark.parametrize("limit", [0, 1_000_000])
+def test_duplicates_by_digest(spark, limit):
+    rows = [("a", "b", 1.5, None)] * 3 + [("ab", "", 1.5, None), ("a", "b", 1.5, 0), ("a", "b", 0.0, None), ("a", "b", -0.0, None)]
+    rows += [("1:a", "~", None, 2), ("1:a", None, None, 2)] * 2
+    df = spark.createDataFrame(rows, "p string, q string, x double, n long")
+    assert profile.duplicate_rows(df, True, limit).first()[0] == 5
+    plan = profile.duplicate_rows(df, True, limit)._jdf.queryExecution().toString()
+    assert "hashpartitioning(p" not in plan
