@@ -148,9 +148,9 @@ class WordTable(dict):
     becomes the elder one, from which words that still occur are taken over.
     """
 
-    def __init__(self, spec: Spec, encode: Callable[[str], list[int]]):
+    def __init__(self, spec: Spec, encode: Callable[[str], list[int]], remembered: int = REMEMBERED):
         super().__init__()
-        self.spec, self.encode = spec, encode
+        self.spec, self.encode, self.remembered = spec, encode, remembered
         self.elder: dict[str, bytes] = {}
         self.known: dict[str, bytes] = {}
 
@@ -160,7 +160,7 @@ class WordTable(dict):
             ids.byteswap()
         raw = ids.tobytes()
         if len(piece) <= REMEMBERED_LENGTH:
-            if len(self.known) >= REMEMBERED:
+            if len(self.known) >= self.remembered:
                 self.known.clear()
             self.known[piece] = raw
         return raw
@@ -187,7 +187,7 @@ class WordTable(dict):
         if ids is None:
             ids = self.encoded(word)
         if len(word) <= REMEMBERED_LENGTH:
-            if len(self) >= REMEMBERED:
+            if len(self) >= self.remembered:
                 self.elder = dict(self)
                 self.clear()
             self[word] = ids

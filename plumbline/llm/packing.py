@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plumbline.llm.bpe import Spec, WordTable, byte_letters, keyed_texts
+from plumbline.llm.bpe import REMEMBERED, Spec, WordTable, byte_letters, keyed_texts
 
 #: Pieces that wait at most, and the least gap for which a piece is cut.
 POOL, CUT_FROM = 2048, 8
@@ -217,7 +217,7 @@ def pack_examples(
 
 
 @cache
-def library_encoder(path: str) -> WordTable:
+def library_encoder(path: str, remembered: int = REMEMBERED) -> WordTable:
     """Words encoded by the model of the tokenizers library; one per Python worker and tokenizer file."""
     from tokenizers import Tokenizer
 
@@ -229,7 +229,10 @@ def library_encoder(path: str) -> WordTable:
             piece = piece.encode().decode("latin-1").translate(letters)
         return [token.id for token in model.tokenize(piece)]
 
-    return WordTable(Spec(path), encode)
+    spec = Spec(path)
+    # The library has the vocabulary; neither it nor token strings are needed to encode.
+    del spec.model, spec.strings
+    return WordTable(spec, encode, remembered)
 
 
 def pack_documents(
@@ -239,14 +242,18 @@ def pack_documents(
     end_id: int = 1,
     id_col: str = "doc_id",
     text_col: str = "text",
+    remembered: int = REMEMBERED,
 ) -> DataFrame:
-    """`pack_examples` over documents, tokenised with the file at `path` and ended by `end_id`; all ids bear loss."""
+    """`pack_examples` over documents, tokenised with the file at `path` and ended by `end_id`; all ids bear loss.
+
+    `remembered` bounds the words a worker holds between tasks: about 200 bytes each, two tables of them.
+    """
     rows = keyed_texts(docs, id_col, text_col)
     end = np.array([end_id], "<u4").tobytes()
 
     def read(batch: pa.RecordBatch) -> Iterator[tuple]:
         texts = batch.column(1).to_pylist()
-        for key, ids in zip(batch.column(0).to_pylist(), library_encoder(path).texts(texts), strict=True):
+        for key, ids in zip(batch.column(0).to_pylist(), library_encoder(path, remembered).texts(texts), strict=True):
             yield key, ids + end, None
 
     schema = _schema(rows.schema[0])

@@ -28,9 +28,9 @@ from plumbline.llm.common import durable, table
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
-def packed_pieces(docs: DataFrame) -> DataFrame:
+def packed_pieces(docs: DataFrame, remembered: int = packing.REMEMBERED) -> DataFrame:
     """The columns of the packing contract."""
-    pieces = packing.pack_documents(docs, TOKENIZER)
+    pieces = packing.pack_documents(docs, TOKENIZER, remembered=remembered)
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").cast("long").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )
