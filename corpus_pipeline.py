@@ -21,6 +21,9 @@ from plumbline.llm import exact_dedup, language_id, minhash, secret_scan  # noqa
 from plumbline.llm.common import durable, forget, table  # noqa: E402
 from plumbline.llm.queries import packed_pieces  # noqa: E402
 
+#: Words that the packing stage holds in a worker, which other stages use after it: time for memory.
+REMEMBERED = 60_000
+
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is told with a sufficient margin; learnt from the labelled ones."""
@@ -45,7 +48,7 @@ def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in sequences of 2048 tokens."""
-    return packed_pieces(docs)
+    return packed_pieces(docs, REMEMBERED)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
