@@ -19,7 +19,7 @@ assert set(entry.oracle_sql()) <= names
 """
 
 
-@pytest.mark.parametrize("name", ["ahocorasick", "tokenizers", "corpus_pipeline", "plumbline.llm"])
+@pytest.mark.parametrize("name", ["ahocorasick", "public_tokenizers", "corpus_pipeline", "plumbline.llm"])
 def test_tabular_queries_survive_a_missing_module(name):
     done = subprocess.run(
         [sys.executable, "-c", HIDE.format(root=ROOT, name=name)], capture_output=True, text=True, cwd=os.path.dirname(ROOT)
