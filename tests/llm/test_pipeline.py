@@ -80,7 +80,7 @@ def test_queries_are_registered_once_and_can_be_absent(tmp_path):
     import __spark_entry__ as entry
 
     numbered = [n for n in entry.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in numbered) == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in numbered) == list(range(1, 14)) and "pipeline" in entry.queries()
     assert set(entry.oracle_sql()) <= set(entry.queries())
     # Without the subpackage the entry still imports and keeps the other queries.
     os.symlink(f"{ROOT}/catalog", f"{tmp_path}/catalog")
