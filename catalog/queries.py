@@ -34,10 +34,15 @@ def _block(spark: SparkSession, sf: str) -> DataFrame:
     return b.order_block(spark, sf)
 
 
-def _split(spark: SparkSession, sf: str) -> DataFrame:
+def _fitted_split(spark: SparkSession, sf: str) -> DataFrame:
     return split.stratified_split(_block(spark, sf), b.KEY, b.STRATUM, b.EDGES, seed=b.SEED)
 
 
+def _split(spark: SparkSession, sf: str) -> DataFrame:
+    """The split order table, landed once per session for the queries that start from it."""
+    return b.landed(spark, sf, "split", lambda: _fitted_split(spark, sf))
+
+
 # Scans, sources, sinks
 
 
@@ -521,7 +526,7 @@ def stratum_counts(spark, sf):
 
 @query
 def stratified_split(spark, sf):
-    return _split(spark, sf).select(b.KEY, "stratum", "split")
+    return _fitted_split(spark, sf).select(b.KEY, "stratum", "split")
 
 
 @query

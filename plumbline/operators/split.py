@@ -144,16 +144,15 @@ def fit_split(
 ) -> SplitRule:
     """Find the hash and key at each quota boundary.
 
-    ``row_key`` must be unique and not NULL. The first scan counts hash prefixes per stratum,
-    from which sizes, quotas and the prefix of each boundary follow; a prefix of four digits
+    ``row_key`` must be unique and not NULL. The first scan finds repeated keys and counts hash
+    prefixes per stratum by one exchange of hashes; from the counts sizes, quotas and the prefix of each boundary follow; a prefix of four digits
     holds about 1 row in 65,536. Further scans lengthen prefixes that hold more than
     ``boundary_rows`` rows; a last one ranks the rows of the boundary prefixes.
     """
     rows = df.select(
         stratum.alias("s"), quoted(row_key).alias("k"), seeded_hash(quoted(row_key), seed).alias("h")
     )
-    require_unique(df, row_key)
-    counted = durable(rows.groupBy("s", F.substring("h", 1, prefix_digits).alias("p")).count())
+    counted = _unique_counts(rows, row_key, prefix_digits).select("s", "p", "count")
     sizes = _stratum_sizes(counted.groupBy("s").agg(F.sum("count").alias("count")))
     # Wanted 1-based ranks per stratum: end of train, end of validation.
     wanted = []
@@ -179,18 +178,29 @@ def fit_split(
     )
 
 
-def require_unique(df: DataFrame, row_key: str) -> None:
-    """A repeated or missing key would change the quotas: an error. Hashes are counted, then few keys."""
-    key = quoted(row_key)
-    hashed = df.select(F.xxhash64(key).alias("_h"), key.alias("_k"))
-    suspects = hashed.groupBy("_h").agg(F.count(F.lit(1)).alias("n"), F.min("_k").alias("a"), F.max("_k").alias("b"))
-    found = suspects.where("a IS NULL OR (n > 1 AND a = b)").limit(1).collect()
-    if not found:
-        # Different keys under one hash are next to impossible, but may hide a repeated one.
-        mixed = suspects.where("n > 1")
-        found = hashed.join(mixed.select("_h"), "_h", "left_semi").groupBy("_k").count().where("count > 1").limit(1).collect()
-    if found:
+def _counted(rows: DataFrame, digits: int) -> DataFrame:
+    """``s, p, count, repeated``: rows per stratum and hash prefix, and whether a whole hash repeats among them.
+
+    One exchange serves both: (hash, stratum) pairs are dealt by prefix, so a hash meets its
+    copies and a prefix its count in the same task. A missing key has no hash and counts as repeated.
+    """
+    dealt = rows.select("s", F.substring("h", 1, digits).alias("p"), F.unhex("h").alias("b")).repartition("p")
+    once = dealt.groupBy("p", "b").agg(F.count(F.lit(1)).alias("n"), F.min("s").alias("s"))
+    suspect = (F.col("n") > 1) | F.col("b").isNull()
+    return once.groupBy("s", "p").agg(F.sum("n").alias("count"), F.max(suspect).alias("repeated"))
+
+
+def _unique_counts(rows: DataFrame, row_key: str, digits: int) -> DataFrame:
+    """The counted prefixes, written; a repeated or missing key would change the quotas and is an error."""
+    counted = durable(_counted(rows, digits))
+    if counted.where("repeated").isEmpty():
+        return counted
+    if not rows.groupBy("k").count().where("k IS NULL OR count > 1").isEmpty():
+        forget(counted)
         raise ValueError(f"The row key {row_key} must be unique and not NULL.")
+    # Different keys under one hash, next to impossible: each row counts in its own stratum.
+    forget(counted)
+    return durable(rows.groupBy("s", F.substring("h", 1, digits).alias("p")).count())
 
 
 def _cut_frame(rows: DataFrame, cuts: list[tuple]) -> DataFrame:

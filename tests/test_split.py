@@ -101,6 +101,26 @@ def test_repeated_and_missing_keys_are_errors(spark):
     one = spark.createDataFrame([(1, 5.0), (None, 5.0)], "k long, v double")
     with pytest.raises(ValueError, match="unique"):
         split.stratified_split(one, "k", "v", EDGES)
+    # One pair among many rows, in different strata.
+    pair = spark.range(3000).select(F.when(F.col("id") == 2999, 0).otherwise(F.col("id")).alias("k"), F.when(F.col("id") == 2999, 25.0).otherwise(5.0).alias("v"))
+    with pytest.raises(ValueError, match="unique"):
+        split.stratified_split(pair, "k", "v", EDGES)
+
+
+def test_uniqueness_and_prefixes_share_one_exchange(table):
+    rows = table.select(split.right_closed_bin(F.col("v"), EDGES).alias("s"), "k", split.seeded_hash(F.col("k"), 42).alias("h"))
+    counted = split._counted(table.sparkSession.createDataFrame(rows.collect(), rows.schema), 4)
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+    assert counted.agg(F.sum("count")).first()[0] == 3001 and not counted.where("repeated").count()
+
+
+def test_different_keys_under_one_hash_are_no_error(table, monkeypatch):
+    # Two keys share a hash; the split still covers all rows by its quotas.
+    made = split.seeded_hash
+    monkeypatch.setattr(split, "seeded_hash", lambda key, seed: made(F.when(key == 7, 8).otherwise(key), seed))
+    rows = split.stratified_split(table, "k", "v", EDGES)
+    split.require_cover(table, rows)
 
 
 def test_cover_compares_sizes_with_quotas(table):
