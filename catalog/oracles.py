@@ -1251,6 +1251,8 @@ SELECT o_orderstatus, {r6('sqrt(avg(power(a - p, 2)))')} AS rmse, {r6('avg(abs(a
     }
     # The same results by the ways that large tables take.
     found["scan_delimited"] = found["scan_normalised"]
+    found["appended_fingerprint"] = found["dataset_fingerprint"]
+    found["pipeline_summary_kept"] = found["pipeline_summary"]
     found["correlation_tiled"] = found["correlation_wide"]
     found["duplicate_rows_many"] = found["duplicate_rows"]
     found["text_unique_counts"] = union(

@@ -74,6 +74,19 @@ def dataset_fingerprint(spark, sf):
     return fingerprint.dataset_fingerprint(b.table(spark, sf, "orders"))
 
 
+@query
+def appended_fingerprint(spark, sf):
+    """The orders, landed in two appends, by the sums of their files: the second run reads the new files only."""
+    place = f"{shared_folder(spark).rstrip('/')}/plumbline/{uuid.uuid4().hex}"
+    path, manifest = f"{place}/orders", f"{place}/manifest"
+    orders = b.table(spark, sf, "orders")
+    urgent = F.col("o_orderpriority") == "1-URGENT"
+    for part in (orders.where(urgent), orders.where(~urgent | urgent.isNull())):
+        part.write.mode("append").parquet(path)
+        found = fingerprint.table_fingerprint(spark, path, manifest)
+    return found
+
+
 @query
 def coerce_numeric(spark, sf):
     k = F.col("event_id")
@@ -944,16 +957,36 @@ STAGE_COLUMNS = {
 }
 
 
-@query
-def pipeline_summary(spark, sf):
-    """Rows and fingerprint of every deterministic stage of the end-to-end run."""
-    explored = workflow.explore(_block(spark, sf), _run_plan())
-    staged = {name: (explored.tables[name], columns) for name, columns in STAGE_COLUMNS.items()}
-    staged["splits"] = explored.splits, [b.KEY, "stratum", "split"]
-    staged["prepared"] = explored.prepared, [b.KEY, "split"]
+def _summary(spark, staged):
     rows = []
     for stage, (table, columns) in staged.items():
         found = fingerprint.dataset_fingerprint(table, columns).first()
         rows.append((stage, found["row_total"], found["fingerprint"]))
-    explored.forget()
     return spark.createDataFrame(rows, "stage string, row_total long, fingerprint string")
+
+
+SPLIT_COLUMNS = {"splits": [b.KEY, "stratum", "split"], "prepared": [b.KEY, "split"]}
+
+
+@query
+def pipeline_summary(spark, sf):
+    """Rows and fingerprint of every deterministic stage of the end-to-end run."""
+    explored = workflow.explore(_block(spark, sf), _run_plan())
+    found = explored.tables | {"splits": explored.splits, "prepared": explored.prepared}
+    summary = _summary(spark, {name: (found[name], columns) for name, columns in (STAGE_COLUMNS | SPLIT_COLUMNS).items()})
+    explored.forget()
+    return summary
+
+
+@query
+def pipeline_summary_kept(spark, sf):
+    """The same from results kept by content: what is summed up was reread by a second run that made nothing."""
+    place = f"{shared_folder(spark).rstrip('/')}/plumbline/{uuid.uuid4().hex}"
+    tables.write_table(_block(spark, sf), f"{place}/orders")
+    for _ in range(2):
+        kept_run = workflow.run_kept(spark, f"{place}/orders", _run_plan(), f"{place}/store", train=False)
+    if kept_run.made:
+        raise RuntimeError("The results of the first run were not found.")
+    return _summary(
+        spark, {name: (kept_run.tables[name], columns) for name, columns in (STAGE_COLUMNS | SPLIT_COLUMNS).items()}
+    )

@@ -46,6 +46,12 @@ def forget(*frames: DataFrame) -> None:
                 parent.getFileSystem(conf).delete(parent, True)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of any file system Spark can read; one that is gone already is no error."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+
+
 SMALL_ROWS = 100_000
 
 

@@ -8,22 +8,29 @@ control returns to the driver only with results whose size follows the schema.
 
 from __future__ import annotations
 
+import hashlib
+import json
 import uuid
-from collections.abc import Sequence
-from dataclasses import dataclass, field
+from collections.abc import Callable, Sequence
+from dataclasses import asdict, dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.functions.durable import forget, shared_folder
+from plumbline.functions.durable import forget, remove, shared_folder
 from plumbline.operators import (
     curvature, eda, findings, governance, models, outliers, prep, profile, split, validate,
 )
 from plumbline.plans import rules
 from plumbline.schema import Ratio, SemanticSchema, numeric_columns
+from plumbline.sources.fingerprint import table_fingerprint
 from plumbline.sources.registry import registry_snapshot, write_snapshot
-from plumbline.sources.tables import schema_clean, write_table
+from plumbline.sources.tables import read_parquet, schema_clean, write_table
+
+#: To be raised when a stage gives other results for the same input and plan.
+RESULTS_VERSION = 1
 
 
 @dataclass(frozen=True)
@@ -159,6 +166,11 @@ def explore(raw: DataFrame, plan: RunPlan, output: str | None = None) -> Explora
 
 def run(raw: DataFrame, plan: RunPlan, output: str | None = None) -> RunResult:
     """Run every stage on ``raw``; with ``output`` the results are written below it."""
+    return _run(raw, plan, output)[0]
+
+
+def _run(raw: DataFrame, plan: RunPlan, output: str | None) -> tuple[RunResult, list[str]]:
+    """The run, and the names of the tables it wrote."""
     target, key = plan.schema.target, plan.row_key
     explored = explore(raw, plan, output)
     layout, prepared = explored.preparation.layout, explored.prepared
@@ -184,18 +196,87 @@ def run(raw: DataFrame, plan: RunPlan, output: str | None = None) -> RunResult:
             explored.clean, list(plan.selected), comparison, chosen, plan.project, target, plan.source, model_path
         ),
     )
-    if output:
-        save(result, plan, output)
-    return result
+    return result, save(result, plan, output) if output else []
 
 
-def save(result: RunResult, plan: RunPlan, output: str) -> None:
-    """Write the result tables, the chosen model and the snapshot of a run."""
-    for name, table in result.explored.tables.items():
+def save_explored(explored: Exploration, output: str) -> list[str]:
+    """Write the result tables of the stages before training; the names of all tables there."""
+    for name, table in explored.tables.items():
         write_table(table, f"{output}/{name}")
+    return [*explored.tables, "splits", "prepared"]
+
+
+def save(result: RunResult, plan: RunPlan, output: str) -> list[str]:
+    """Write the result tables, the chosen model and the snapshot of a run; the names of all tables there."""
+    names = save_explored(result.explored, output)
     write_table(result.comparison, f"{output}/model_comparison")
+    write_table(result.test, f"{output}/test_metrics")
     write_table(result.predictions, f"{output}/predictions", row_key=[plan.row_key])
     write_table(result.residuals, f"{output}/residuals", row_key=[plan.row_key])
     write_table(result.importance, f"{output}/feature_importance")
     models.save_model(result.fitted[result.best], f"{output}/model")
     write_snapshot(result.snapshot, f"{output}/registry")
+    return [*names, "model_comparison", "test_metrics", "predictions", "residuals", "feature_importance"]
+
+
+@dataclass
+class KeptRun:
+    """The written results of a run; ``made`` tells whether this call made them."""
+
+    place: str
+    made: bool
+    tables: dict[str, DataFrame]
+
+    def model(self) -> PipelineModel:
+        return models.load_model(f"{self.place}/model")
+
+
+def run_address(content: Row, plan: RunPlan, train: bool = True) -> str:
+    """Where the results of a table and a plan are kept: both, and the version of the results, decide."""
+    parts = [RESULTS_VERSION, content["fingerprint"], content["row_total"], train, asdict(plan)]
+    return hashlib.sha256(json.dumps(parts, sort_keys=True, default=str).encode()).hexdigest()
+
+
+def run_kept(
+    spark: SparkSession,
+    path: str,
+    plan: RunPlan,
+    store: str,
+    train: bool = True,
+    read: Callable[[SparkSession, str], DataFrame] = read_parquet,
+) -> KeptRun:
+    """The results for the Parquet table at ``path``, reread where they were made before.
+
+    Results lie in ``store`` under an address of content and plan. The content is known by the fingerprint of
+    the table, for which only files not seen before are read; an unchanged table with an unchanged plan is not
+    scanned at all. The list of results is written last, so a run that broke off counts for nothing
+    and is made again. Results of other addresses that this store holds are deleted afterwards.
+    Without ``train`` the run ends before the models.
+    """
+    content = table_fingerprint(spark, path, f"{store}/manifest").first()
+    place = f"{store}/{run_address(content, plan, train)}"
+    names, made = _finished(spark, place), False
+    if names is None:
+        made = True
+        note = spark.createDataFrame([(place,)], "place string")
+        note.write.mode("append").parquet(f"{store}/places")
+        raw = read(spark, path)
+        names = _run(raw, plan, place)[1] if train else save_explored(explore(raw, plan, place), place)
+        listed = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "number int, name string")
+        listed.coalesce(1).write.mode("overwrite").parquet(f"{place}/finished")
+    # One row per run ever made here.
+    for old in spark.read.schema("place string").parquet(f"{store}/places").distinct().collect():
+        if old["place"] != place:
+            remove(spark, old["place"])
+    return KeptRun(place, made, {name: spark.read.parquet(f"{place}/{name}") for name in names})
+
+
+def _finished(spark: SparkSession, place: str) -> list[str] | None:
+    """The tables of a run that came to its end, None if there is no such run."""
+    try:
+        listed = spark.read.schema("number int, name string").parquet(f"{place}/finished").collect()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return [row["name"] for row in sorted(listed)]
