@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.durable import durable, forget
 
-__all__ = ["bounded_batches", "durable", "forget", "hot_join", "looked_up", "running", "small", "table", "tasks_for"]
+__all__ = ["bounded_batches", "durable", "forget", "hot_join", "looked_up", "running", "small", "table", "tasks_for", "unused"]
 
 #: Parts into which the rows of one join key are dealt; the small side is repeated as often.
 SALTS = 16
@@ -35,6 +35,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def unused(taken: list[str], *names: str) -> list[str]:
+    """The names, each with as many more underscores in front as no column of `taken` has."""
+    held, found = {name.lower() for name in taken}, []
+    for name in names:
+        while name.lower() in held:
+            name = f"_{name}"
+        found.append(name)
+    return found
+
+
 def salt(*row_columns: Column, salts: int = SALTS) -> Column:
     """A part number from what tells the rows of one key apart."""
     return F.pmod(F.xxhash64(*row_columns), F.lit(salts)).cast("int")
@@ -50,8 +60,9 @@ def hot_join(
     at every size, since the repeated rows are no good to broadcast.
     """
     parts = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    left = rows.withColumn("_salt", salt(*by, salts=salts))
-    return left.join(keyed.withColumn("_salt", parts).hint("merge"), [*keys, "_salt"], how).drop("_salt")
+    (part,) = unused([*rows.columns, *keyed.columns], "_salt")
+    left = rows.withColumn(part, salt(*by, salts=salts))
+    return left.join(keyed.withColumn(part, parts).hint("merge"), [*keys, part], how).drop(part)
 
 
 def small(keys: DataFrame) -> DataFrame:

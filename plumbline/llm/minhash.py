@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plumbline.llm.common import bounded_batches, durable, forget, hot_join, small
+from plumbline.llm.common import bounded_batches, durable, forget, hot_join, small, unused
 from plumbline.llm.components import components
 
 BANDS, ROWS = 40, 5
@@ -361,10 +361,11 @@ def keep_first(
     docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """The rows of `docs` that stay, all columns unchanged: one document of each component."""
+    key, text = unused(docs.columns, "_gone", "_hash")
     gone = durable(
         near_duplicates(docs, words, percent, id_col, text_col)
         .where("not kept")
-        .select(F.col(id_col).alias("_gone"), F.col("text_hash").alias("_hash"))
+        .select(F.col(id_col).alias(key), F.col("text_hash").alias(text))
     )
-    same = F.col(f"`{id_col}`").eqNullSafe(F.col("_gone")) & (_text_hash(text_col) == F.col("_hash"))
+    same = F.col(f"`{id_col}`").eqNullSafe(F.col(key)) & (_text_hash(text_col) == F.col(text))
     return docs.join(small(gone), same, "left_anti")

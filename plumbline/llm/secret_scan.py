@@ -8,11 +8,12 @@ scans all blobs with this rule alone; adding documents scans only contents never
 
 Copies are one blob: the text of a blob is taken by an aggregate with map-side combine, so
 a group of copies of any size sends one row per task. Paths join their blob by a salted
-join. The ledger is a table in the shared folder.
+join. A ledger that outlives a run is a table of its own (`scan_into`, `open_ledger`): a run
+appends the pairs it scanned and rewrites nothing.
 
 Cases: a NULL text is the empty text. Paths may repeat or be NULL; each row gets its
 result. An empty table gives an empty ledger and no rows. Offsets count code points, the
-end is exclusive. Other columns pass through `redact` and are otherwise not read.
+end is exclusive. Other columns pass through `redact`, whatever their names, and are otherwise not read.
 """
 
 from __future__ import annotations
@@ -22,10 +23,11 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import bounded_batches, durable, hot_join
+from plumbline.llm.common import bounded_batches, durable, hot_join, unused
 
 
 @dataclass(frozen=True)
@@ -111,9 +113,27 @@ def _scanner(rules: tuple[Rule, ...]):
     return scan
 
 
-def addressed(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """`docs` with `_blob`, the address of its content."""
-    return docs.withColumn("_blob", F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))
+def _unseen(docs: DataFrame, ledger: DataFrame | None, rules: tuple[Rule, ...], text_col: str) -> DataFrame:
+    """Ledger entries of the pairs of blob and rule version that the ledger does not hold."""
+    blobs = bounded_batches(docs).select(F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
+    blobs = blobs.groupBy(F.sha2("text", 256).alias("blob")).agg(F.min("text").alias("text"))
+    pairs = F.array(*[F.lit(rule.pair) for rule in rules])
+    if ledger is None:
+        due = blobs.select("blob", "text", pairs.alias("due"))
+        return due.mapInArrow(_scanner(rules), LEDGER)
+    known = ledger.select("blob", F.col("scanned").alias("_seen"))
+    due = blobs.join(known, "blob", "left").select(
+        "blob", "text", F.array_except(pairs, F.coalesce("_seen", F.array().cast("array<string>"))).alias("due")
+    )
+    return due.where("size(due) > 0").mapInArrow(_scanner(rules), LEDGER)
+
+
+def _one_per_blob(entries: DataFrame) -> DataFrame:
+    """Entries of several runs as one per blob; what two runs at a time both scanned counts once."""
+    return entries.groupBy("blob").agg(
+        F.array_distinct(F.flatten(F.collect_list("scanned"))).alias("scanned"),
+        F.array_distinct(F.flatten(F.collect_list("findings"))).alias("findings"),
+    )
 
 
 def scan_unseen(
@@ -124,30 +144,46 @@ def scan_unseen(
     `ledger` is the result of an earlier run. Its entries stay, also of contents that `docs`
     no longer holds.
     """
-    blobs = bounded_batches(docs).select(F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    blobs = blobs.groupBy(F.sha2("text", 256).alias("blob")).agg(F.min("text").alias("text"))
-    pairs = F.array(*[F.lit(rule.pair) for rule in rules])
-    if ledger is None:
-        due = blobs.select("blob", "text", pairs.alias("due"))
-        return durable(due.mapInArrow(_scanner(rules), LEDGER))
-    known = ledger.select("blob", F.col("scanned").alias("_seen"))
-    due = blobs.join(known, "blob", "left").select(
-        "blob", "text", F.array_except(pairs, F.coalesce("_seen", F.array().cast("array<string>"))).alias("due")
-    )
-    new = due.where("size(due) > 0").mapInArrow(_scanner(rules), LEDGER)
-    merged = ledger.unionByName(new).groupBy("blob")
-    return durable(
-        merged.agg(
-            F.flatten(F.collect_list("scanned")).alias("scanned"),
-            F.flatten(F.collect_list("findings")).alias("findings"),
-        )
-    )
+    new = _unseen(docs, ledger, rules, text_col)
+    return durable(new if ledger is None else _one_per_blob(ledger.unionByName(new)))
+
+
+def open_ledger(spark: SparkSession, path: str) -> DataFrame:
+    """The ledger kept at `path`, one row per blob; empty if no run has written there."""
+    try:
+        return _one_per_blob(spark.read.schema(LEDGER).parquet(path))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+    return spark.createDataFrame([], LEDGER)
+
+
+def scan_into(docs: DataFrame, path: str, rules: tuple[Rule, ...] = RULES, text_col: str = "text") -> DataFrame:
+    """Scan what the ledger kept at `path` does not hold, append it there; the ledger after this run.
+
+    A run that breaks off appends nothing. An appended entry holds one blob, the rule versions of
+    that run and what they found.
+    """
+    spark = docs.sparkSession
+    _unseen(docs, open_ledger(spark, path), rules, text_col).write.mode("append").parquet(path)
+    return open_ledger(spark, path)
 
 
 def findings_of(
-    docs: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "text", by: str = "doc_id"
+    docs: DataFrame,
+    ledger: DataFrame,
+    rules: tuple[Rule, ...] = RULES,
+    text_col: str = "text",
+    by: str = "doc_id",
+    spans_col: str = "_spans",
 ) -> DataFrame:
-    """`docs` with `_spans`: the findings of its content by the given rules, by start, then in the rules' order."""
+    """`docs` with `spans_col`: the findings of its content by the given rules, by start, then in the rules' order.
+
+    It must not be a column of `docs`; a text without findings has NULL.
+    """
+    if spans_col.lower() in map(str.lower, docs.columns):
+        raise ValueError(f"The table has a column {spans_col} already; name another one for the findings.")
+    (blob,) = unused([*docs.columns, spans_col], "_blob")
     pairs = F.array(*[F.lit(rule.pair) for rule in rules])
     wanted = F.filter("findings", lambda x: F.array_contains(pairs, x["rule"]))
     ordered = F.array_sort(
@@ -162,17 +198,22 @@ def findings_of(
         )
     )
     # Blobs without findings need not meet their paths.
-    held = ledger.where("size(findings) > 0").select(F.col("blob").alias("_blob"), ordered.alias("_spans"))
-    return hot_join(addressed(docs, text_col), held, ["_blob"], [F.col(by)], "left")
+    held = ledger.where("size(findings) > 0").select(F.col("blob").alias(blob), ordered.alias(spans_col))
+    address = F.sha2(F.coalesce(F.col(f"`{text_col}`"), F.lit("")), 256)
+    return hot_join(docs.withColumn(blob, address), held, [blob], [F.col(f"`{by}`")], "left").drop(blob)
 
 
-def redact(docs: DataFrame, mark: str = "[secret]", text_col: str = "text", by: str = "doc_id") -> DataFrame:
+def redact(
+    docs: DataFrame, mark: str = "[secret]", text_col: str = "text", by: str = "doc_id", ledger: str | None = None
+) -> DataFrame:
     """`docs` with every secret in its text replaced by `mark`; all columns and rows stay.
 
     Overlapping findings are replaced once. `n_chars`, where there is such a column, follows.
+    `ledger` is the path of a kept ledger, which this run reads and extends.
     """
-    ledger = scan_unseen(docs, text_col=text_col)
-    text = F.col(text_col)
+    held = scan_unseen(docs, text_col=text_col) if ledger is None else scan_into(docs, ledger, text_col=text_col)
+    text = F.col(f"`{text_col}`")
+    (spans,) = unused(docs.columns, "_spans")
     start = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at"))
 
     def step(acc, span):
@@ -187,9 +228,9 @@ def redact(docs: DataFrame, mark: str = "[secret]", text_col: str = "text", by:
     def finish(acc):
         return F.concat(acc["out"], text.substr((acc["at"] + 1).cast("int"), F.length(text)))
 
-    cleaned = F.when(F.col("_spans").isNull(), text).otherwise(F.aggregate("_spans", start, step, finish))
-    found = findings_of(docs, ledger, text_col=text_col, by=by).withColumn(text_col, cleaned)
+    cleaned = F.when(F.col(spans).isNull(), text).otherwise(F.aggregate(spans, start, step, finish))
+    found = findings_of(docs, held, text_col=text_col, by=by, spans_col=spans).withColumn(text_col, cleaned)
     if "n_chars" in docs.columns:
-        count = F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.length(text_col))
+        count = F.when(F.col(spans).isNull(), F.col("n_chars")).otherwise(F.length(text))
         found = found.withColumn("n_chars", count.cast(docs.schema["n_chars"].dataType))
     return found.select(*[F.col(f"`{name}`") for name in docs.columns])

@@ -8,7 +8,10 @@ import pytest
 from pyspark.sql import DataFrame, SparkSession
 
 # Names that operators use themselves, as further columns of the table.
-CLASHING = ["kept", "size", "score", "bucket", "key", "spans", "n_shingles", "row", "cls", "digest", "text_hash", "shard"]
+CLASHING = [
+    "kept", "size", "score", "bucket", "key", "spans", "n_shingles", "row", "cls", "digest", "text_hash", "shard",
+    "_blob", "_salt", "_spans", "_gone", "_hash", "_key", "_row", "_text", "_doc", "_bytes",
+]
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in CLASHING)
 
 

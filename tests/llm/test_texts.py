@@ -8,7 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
-from fixtures import empty, odd, odd_rows, plain  # noqa: F401
+from fixtures import CLASHING, empty, odd, odd_rows, plain  # noqa: F401
 from pyspark.sql import functions as F
 
 from plumbline.llm import bpe, language_id, packing, queries, secret_scan, sharding
@@ -163,13 +163,17 @@ def test_secrets_match_the_rules(spark, sf_dir):
 
 
 def test_secrets_of_odd_texts(odd):
-    found = secret_scan.findings_of(odd, secret_scan.scan_unseen(odd)).collect()
+    ledger = secret_scan.scan_unseen(odd)
+    with pytest.raises(ValueError, match="_spans"):
+        secret_scan.findings_of(odd, ledger)
+    found = secret_scan.findings_of(odd, ledger, spans_col="found").collect()
     assert len(found) == len(odd_rows())
     for r in found:
-        got = [f"{s['kind']}:{s['begin']}:{s['stop']}" for s in r["_spans"] or []]
+        got = [f"{s['kind']}:{s['begin']}:{s['stop']}" for s in r["found"] or []]
         assert [x for x in got if not x.startswith(("pem", "jwt", "forge"))] == base_spans(r["text"] or "")
     cleaned = secret_scan.redact(odd)
     assert cleaned.columns == odd.columns and cleaned.count() == len(odd_rows())
+    assert all(r[name] == "?" for r in cleaned.collect() for name in CLASHING)
     texts = {r["doc_id"]: r["text"] for r in cleaned.collect()}
     assert "hunter2" not in texts[14] and "AKIA" not in texts[14] and texts[14].count("[secret]") == 2
     assert texts[3] is None and texts[11] == odd_rows()[11][1]
@@ -219,6 +223,33 @@ def test_private_keys_go_whole(spark):
         assert secret_scan.find(many, [(rule, re.compile(rule.pattern, re.A))])
 
 
+def test_kept_ledger_grows_by_what_is_new(spark, tmp_path):
+    path, rules = str(tmp_path / "ledger"), secret_scan.RULES
+    key = "token: abcdef1 AKIA" + "A1B2" * 5
+    first = plain(spark, [(1, key), (2, key), (3, "none"), (4, None)])
+    assert secret_scan.open_ledger(spark, path).count() == 0
+    assert secret_scan.scan_into(first, path, rules[:1]).count() == 3
+    kept = spark.read.parquet(path)
+    # The same again appends nothing; another rule only its pairs; another text only its blob.
+    secret_scan.scan_into(first, path, rules[:1])
+    assert spark.read.parquet(path).count() == kept.count() == 3
+    secret_scan.scan_into(first, path, rules[:2])
+    entries = [r["scanned"] for r in spark.read.parquet(path).collect()]
+    assert sorted(entries) == [["access@1"]] * 3 + [["assign@1"]] * 3
+    more = first.unionByName(plain(spark, [(5, "secret=hunter2hunter2")]))
+    ledger = secret_scan.scan_into(more, path, rules[:2])
+    assert spark.read.parquet(path).count() == 7 and ledger.count() == 4
+    found = {r["doc_id"]: r["_spans"] for r in secret_scan.findings_of(more, ledger, rules[:2]).collect()}
+    assert [s["kind"] for s in found[1]] == ["assign", "access"] == [s["kind"] for s in found[2]]
+    assert found[3] is None and found[4] is None and [s["kind"] for s in found[5]] == ["assign"]
+    # Two runs at a time that both scanned a blob count once.
+    spark.read.parquet(path).write.parquet(path + " twice")
+    spark.read.parquet(path).write.mode("append").parquet(path + " twice")
+    assert [len(r["findings"]) for r in secret_scan.open_ledger(spark, path + " twice").collect()].count(2) == 1
+    cleaned = secret_scan.redact(more, ledger=path)
+    assert {r["doc_id"]: r["text"] for r in cleaned.collect()}[5] == "[secret]"
+
+
 def test_ledger_scans_only_unseen_pairs(spark):
     old, new = secret_scan.RULES[:1], (*secret_scan.RULES[:1], secret_scan.Rule("hex", 2, r"[0-9a-f]{30,}", 30))
     first = plain(spark, [(1, "token=abcdef1"), (2, "clean"), (3, "clean")])
