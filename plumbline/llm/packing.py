@@ -5,8 +5,8 @@ longer than a sequence is cut into full pieces; what remains of it waits in a po
 filled one at a time: of the pieces that fit in all three dimensions the one with the
 largest dot product of its sizes and the room left (each as a share of its limit) goes in,
 so that the dimension with most room is used most. If nothing fits and a gap of `CUT_FROM`
-tokens or more is left, a waiting piece is cut to fill it. The last sequence of a task is cut
-at powers of two, lengths that need no padding.
+tokens or more is left, a waiting piece is cut to fill it. What the other limits close before it is
+full, and the last sequence of a task, is cut at powers of two, lengths that need no padding.
 
 Each task packs its own rows in one pass, without a shuffle and with a bounded pool; its waste
 is a part of one sequence. Sequence ids carry the task's number, so they are unique, and a
@@ -95,6 +95,28 @@ class Packer:
             at += len(piece)
         self.next_id += 1
 
+    def emit_cut(self, bin_: list[Piece]) -> None:
+        """The bin as sequences whose lengths are powers of two, the longest first."""
+        left = sum(map(len, bin_))
+        while left:
+            want, now = 1 << (left.bit_length() - 1), []
+            left -= want
+            while want:
+                piece = bin_.pop(0)
+                if len(piece) > want:
+                    piece, rest = piece.cut(want)
+                    bin_.insert(0, rest)
+                want -= len(piece)
+                now.append(piece)
+            self.emit(now)
+
+    def close(self, bin_: list[Piece]) -> None:
+        """A bin that is nearly full is padded, any other cut."""
+        if sum(map(len, bin_)) + CUT_FROM > self.limits.tokens:
+            self.emit(bin_)
+        else:
+            self.emit_cut(bin_)
+
     def put(self, slot: int, piece: Piece) -> None:
         self.pieces[slot] = piece
         self.sizes[slot] = len(piece), 1, piece.weight()
@@ -106,14 +128,14 @@ class Packer:
             if head < 1 or head == len(piece) < self.limits.tokens:
                 break
             full, piece = piece.cut(head) if head < len(piece) else (piece, None)
-            self.emit([full])
+            self.close([full])
             if piece is None:
                 return
         if not len(piece):
             return
         if not self.free:
             while len(self.free) < POOL // 2:
-                self.emit(self.filled())
+                self.close(self.filled())
         self.put(self.free.pop(), piece)
 
     def filled(self) -> list[Piece]:
@@ -147,20 +169,9 @@ class Packer:
         while len(self.free) < POOL:
             bin_ = self.filled()
             if len(self.free) < POOL:
-                self.emit(bin_)
-                continue
-            left = sum(map(len, bin_))
-            while left:
-                want, now = 1 << (left.bit_length() - 1), []
-                left -= want
-                while want:
-                    piece = bin_.pop(0)
-                    if len(piece) > want:
-                        piece, rest = piece.cut(want)
-                        bin_.insert(0, rest)
-                    want -= len(piece)
-                    now.append(piece)
-                self.emit(now)
+                self.close(bin_)
+            else:
+                self.emit_cut(bin_)
 
     def taken(self) -> list[tuple]:
         rows, self.rows = self.rows, []

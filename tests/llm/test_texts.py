@@ -121,6 +121,16 @@ def test_three_limits_hold_together(spark):
     assert max(loss.values()) <= limits.loss
 
 
+@pytest.mark.parametrize(("size", "loss"), [(6, 2048), (1, 2048), (700, 90)])
+def test_sequences_that_other_limits_close_need_little_padding(spark, size, loss):
+    # Short examples meet the limit of segments, the long ones that of loss-bearing tokens.
+    limits = packing.Limits(loss=loss)
+    want = {key: [key] * size for key in range(4000 if size < 10 else 400)}
+    rows = spark.createDataFrame(list(want.items()), "doc_id long, ids array<int>").repartition(2)
+    found = packing.pack_examples(rows, limits).collect()
+    assert check_pieces(found, want, limits) < 0.01
+
+
 def test_packing_odd_cases(spark, odd, empty):
     rows = packing.pack_documents(odd, PATH).collect()
     totals = Counter()
