@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from catalog import bindings as b
 from plumbline.functions.durable import kept, shared_folder
 from plumbline.operators import (
-    curvature, eda, features, figures, findings, governance, models, nearest, outliers, prep, profile, sparse, split, validate,
+    curvature, eda, features, figures, findings, governance, grown, models, nearest, outliers, prep, profile, sparse, split, validate,
 )
 from plumbline.plans import rules, workflow
 from plumbline.schema import ColumnRule, SemanticSchema
@@ -913,6 +913,50 @@ def residual_histogram(spark, sf):
     return b.shown(models.residual_histogram(table))
 
 
+GROWN = ["line_count", "total_qty"]
+
+
+def _grown_tree(spark, sf, settings: grown.GrownSettings) -> DataFrame:
+    """The orders as one fully grown tree without bootstrap fits them: means of orders alike in the features."""
+    rows = _block(spark, sf).where(F.col(b.TARGET).isNotNull()).select(b.KEY, *GROWN, b.TARGET)
+    forest = grown.fit_grown(rows, b.KEY, GROWN, b.TARGET, settings)
+    return b.shown(grown.predict_grown(forest, rows, b.KEY, settings))
+
+
+@query
+def grown_tree(spark, sf):
+    return _grown_tree(spark, sf, grown.GrownSettings(trees=1, bootstrap=False))
+
+
+@query
+def grown_tree_handover(spark, sf):
+    return _grown_tree(spark, sf, grown.GrownSettings(trees=1, bootstrap=False, handover=FEW * 20))
+
+
+def grown_forest(spark: SparkSession, sf: str) -> tuple[grown.GrownForest, DataFrame]:
+    """The forest of the reference settings, its trees grown fully on the training rows, and the prepared rows."""
+    def made():
+        prepared, fitted = _prepared(spark, sf)
+        rows = prep.training_rows(prepared)
+        return grown.fit_grown(rows, b.KEY, fitted.layout, b.TARGET).table
+
+    prepared, fitted = _prepared(spark, sf)
+    return grown.GrownForest(b.landed(spark, sf, "grown_forest", made), tuple(fitted.layout)), prepared
+
+
+@query
+def grown_forest_metrics(spark, sf):
+    forest, prepared = grown_forest(spark, sf)
+    held_out = prepared.where(F.col("split") != split.TRAIN)
+    scored = grown.predict_grown(forest, held_out, b.KEY)
+    return models.regression_metrics(held_out.join(scored, b.KEY), b.TARGET, "prediction", ["split"])
+
+
+@query
+def grown_forest_importance(spark, sf):
+    return grown.grown_importance(grown_forest(spark, sf)[0])
+
+
 @query
 def registry_snapshot(spark, sf):
     t = trained(spark, sf)

@@ -13,7 +13,7 @@ from oracle_compare import compare, connect
 SQL = oracles()
 TRAINED = {
     "model_comparison", "best_model", "ridge_coefficients", "feature_importance", "test_metrics", "predictions",
-    "residual_diagnostics", "residual_histogram", "registry_snapshot",
+    "residual_diagnostics", "residual_histogram", "registry_snapshot", "grown_forest_metrics", "grown_forest_importance",
 }
 
 
