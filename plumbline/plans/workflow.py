@@ -68,10 +68,12 @@ class Exploration:
     splits: DataFrame
     prepared: DataFrame
     preparation: prep.Preparation
+    #: Tables that lie in their place already.
+    written: tuple[str, ...] = ()
 
     def forget(self) -> None:
-        """Delete the split table and the model matrix of a run without an output folder."""
-        forget(self.splits, self.prepared)
+        """Delete the tables that a run without an output folder has written."""
+        forget(self.splits, self.prepared, *[self.tables[n] for n in self.written])
 
 
 @dataclass
@@ -126,11 +128,17 @@ def explore(raw: DataFrame, plan: RunPlan, output: str | None = None) -> Explora
 
     numbers = numeric_columns(train)
     predictors = [n for n in numbers if n != target]
-    checks = validate.logical_checks(train, schema)
-    correlations = eda.target_correlations(train, target)
-    pairs = eda.correlation_screen(train, target)
-    flagged = outliers.outlier_summary(train)
-    screen = curvature.binned_screen(train, predictors, target)
+    # Statistics with several readers are written once, where the run keeps its results.
+    shared = {
+        "logical_checks": validate.logical_checks(train, schema),
+        "target_correlations": eda.target_correlations(train, target),
+        "correlation_screen": eda.correlation_screen(train, target),
+        "outlier_summary": outliers.outlier_summary(train),
+        "curvature_screen": curvature.binned_screen(train, predictors, target),
+    }
+    shared = {name: _written(made, name, output) for name, made in shared.items()}
+    checks, correlations, pairs = (shared[n] for n in ("logical_checks", "target_correlations", "correlation_screen"))
+    flagged, screen = shared["outlier_summary"], shared["curvature_screen"]
     known = findings.facts(
         train, target, eda.moment_table(train, [target]), profile.null_counts(train), correlations, pairs, screen,
         flagged, checks, profile.value_counts(train, plan.category) if plan.category else None,
@@ -139,6 +147,7 @@ def explore(raw: DataFrame, plan: RunPlan, output: str | None = None) -> Explora
     planned = governance.feature_plan(
         train, schema, plan.ratios, plan.interactions, plan.domain, screen, plan.spline_columns
     )
+    planned = shared["feature_plan"] = _written(planned, "feature_plan", output)
     preparation = prep.fit_preparation(train, plan.selected, target, plan.ratios)
     prepared = _written(prep.prepared_splits(splits, preparation, [key]), "prepared", output)
     tables = {
@@ -161,7 +170,7 @@ def explore(raw: DataFrame, plan: RunPlan, output: str | None = None) -> Explora
         "feature_repository": governance.feature_repository(planned),
         "feature_dependencies": governance.feature_dependencies(planned, train),
     }
-    return Exploration(status, tables, clean, splits, prepared, preparation)
+    return Exploration(status, tables, clean, splits, prepared, preparation, tuple(shared))
 
 
 def run(raw: DataFrame, plan: RunPlan, output: str | None = None) -> RunResult:
@@ -202,7 +211,8 @@ def _run(raw: DataFrame, plan: RunPlan, output: str | None) -> tuple[RunResult,
 def save_explored(explored: Exploration, output: str) -> list[str]:
     """Write the result tables of the stages before training; the names of all tables there."""
     for name, table in explored.tables.items():
-        write_table(table, f"{output}/{name}")
+        if name not in explored.written:
+            write_table(table, f"{output}/{name}")
     return [*explored.tables, "splits", "prepared"]
 
 
