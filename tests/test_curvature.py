@@ -142,3 +142,13 @@ def test_classes(spark):
     words = [r[0] for r in df.select(curvature.classify(F.col("s"))).collect()]
     assert words == ["Nearly linear", "Mild curvature", "Moderate curvature", "Strong nonlinear pattern",
                      "Insufficient data"]
+
+
+def test_rows_find_their_bin_among_many_edges(spark):
+    from plumbline.operators.curvature import _pair, _with_bins
+
+    df = spark.createDataFrame([(None, 1.0), (0.5, 1.0), (1.0, 1.0), (7.0, None), (7.0, 2.0)], "`it's` double, y double")
+    edges = {"it's": [float(e) for e in range(6)] + [None, 3.0], "y": [None]}
+    rows = _with_bins(df, {n: _pair(df, n, "y") for n in edges}, edges).collect()
+    assert sorted((r["x"], r["bin"]) for r in rows if r["feature"] == "it's") == [(0.5, 1), (1.0, 1), (7.0, 6)]
+    assert [r["bin"] for r in rows if r["feature"] == "y"] == [0, 0, 0, 0]

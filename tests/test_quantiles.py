@@ -82,3 +82,22 @@ def test_misleading_sample_is_noticed(uneven, monkeypatch):
     monkeypatch.setattr(quantiles, "SAMPLE_MARGIN", 1)
     found = fit_quantiles(df, ["v"], [0.25, 0.5, 0.9], bounded=5_000)["v"]
     assert found == pytest.approx(list(np.quantile(pdf["v"], [0.25, 0.5, 0.9])), rel=1e-12)
+
+
+def test_many_ranks_of_whole_columns_are_counted_at_once(spark, monkeypatch):
+    """No slot per rank is carried by each row: that cost grew with ranks times rows."""
+    from plumbline.functions import quantiles
+
+    def slots(*_):
+        raise AssertionError("rows were grouped by one code for each rank")
+
+    monkeypatch.setattr(quantiles, "_next_intervals", slots)
+    rng = np.random.default_rng(3)
+    pdf = pd.DataFrame({"wide": rng.normal(size=5_000), "steps": rng.integers(0, 4, 5_000).astype(float), "few": np.nan})
+    pdf.loc[:99, "wide"] = np.nan
+    pdf.loc[pdf.index % 3 == 0, "steps"] = -0.0
+    pdf.loc[:9, "few"] = np.arange(10.0)
+    probs = [j / 100 for j in range(101)]
+    found = fit_quantiles(spark.createDataFrame(pdf).repartition(3), list(pdf), probs, bounded=500)
+    for name in pdf:
+        assert found[name] == pytest.approx(list(np.quantile(pdf[name].dropna(), probs)), rel=1e-12, abs=1e-15)
