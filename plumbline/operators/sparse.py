@@ -10,12 +10,14 @@ and dealt beyond. Only the number of levels of each column reaches the driver.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,6 +31,8 @@ from plumbline.schema import Ratio, quoted, require_columns, require_rows, strin
 
 #: Places up to which normal equations are solved in the driver; more are fitted by descent.
 NORMAL_PLACES = 4096
+#: Places beside the widest category up to which its levels are eliminated exactly instead.
+REST_PLACES = 32
 #: Steps and tolerance of the descent.
 DESCENT_STEPS, DESCENT_TOLERANCE = 1000, 1e-13
 
@@ -160,14 +164,106 @@ def fit_sparse_preparation(
     return SparsePreparation(tuple(n for n in selected if n != target), target, tuple(ratios), layout, medians)
 
 
-def fit_ridge(rows: DataFrame, target: str, alpha: float = RIDGE_ALPHA) -> LinearRegressionModel:
+@dataclass(frozen=True)
+class LevelledRidge:
+    """Ridge of one wide category beside a few places: ``levels`` (place, coefficient) is a written table of ``count`` rows.
+
+    Places without a training row are not in the table; their coefficient is 0.
+    """
+
+    intercept: float
+    rest: tuple[tuple[int, float], ...]
+    span: tuple[int, int]
+    levels: DataFrame
+    count: int
+
+    def forget(self) -> None:
+        """Delete the table of a model that is not needed any more."""
+        forget(self.levels)
+
+
+def _widest(layout: SparseLayout) -> tuple[int, int]:
+    """First place of the category with most levels, and the place after its last."""
+    return max(((s, s + max(0, n - 1)) for s, n in zip(layout.starts(), layout.counts)), key=lambda s: s[1] - s[0], default=(0, 0))
+
+
+def _opened(span: tuple[int, int], rest: Sequence[int]) -> tuple[Column, list[Column]]:
+    """Of a sparse row the place within the span, or NULL, and the values at the other places."""
+    cells = F.unwrap_udt("features")
+    level = F.get(F.filter(cells["indices"], lambda i: (i >= span[0]) & (i < span[1])), F.lit(0))
+    held = F.map_from_arrays(cells["indices"], cells["values"])
+    return level, [F.coalesce(F.get(F.map_values(F.map_filter(held, lambda k, _: k == p)), F.lit(0)), F.lit(0.0)) for p in rest]
+
+
+def _gram(df: DataFrame, weight: Column, columns: Sequence[Column]) -> np.ndarray:
+    """Weighted products of all pairs of a few columns, added up by tasks."""
+    width = len(columns)
+
+    def products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((width, width))
+        for batch in batches:
+            w, *x = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            x = np.array(x)
+            total += (x * w) @ x.T
+        i, j = np.indices((width, width), dtype=np.int32)
+        yield pa.RecordBatch.from_arrays([i.ravel(), j.ravel(), total.ravel()], names=["i", "j", "v"])
+
+    named = [weight.cast("double").alias("_w"), *[c.cast("double").alias(f"_{i}") for i, c in enumerate(columns)]]
+    found = np.zeros((width, width))
+    for r in df.select(*named).mapInArrow(products, "i int, j int, v double").groupBy("i", "j").agg(F.sum("v").alias("v")).collect():
+        found[r["i"], r["j"]] = r["v"]
+    return found
+
+
+def _fit_levelled(rows: DataFrame, target: str, alpha: float, size: int, span: tuple[int, int]) -> LevelledRidge:
+    """Normal equations without the levels of the span, which follow from what is left.
+
+    A level of n rows has the coefficient (sum of y - sums of the other columns times their
+    coefficients) / (n + alpha). Put into the equations of the intercept and the other places, a
+    system of their number remains, which one pass over the rows and one over the levels build.
+    """
+    rest = [p for p in range(size) if not span[0] <= p < span[1]]
+    level, values = _opened(span, rest)
+    y = quoted(target).cast("double")
+    plain = rows.where(y.isNotNull()).select(level.alias("_level"), y.alias("_y"), *[v.alias(f"_z{i}") for i, v in enumerate(values)])
+    # Values are counted from their means: products of far-off values would lose their last digits.
+    names = ["_y", *[f"_z{i}" for i in range(len(rest))]]
+    means = [float(m) for m in plain.agg(*[F.avg(n) for n in names]).first()]
+    moved = plain.select("_level", *[(F.col(n) - F.lit(m)).alias(n) for n, m in zip(names, means)])
+    sums = moved.where("_level IS NOT NULL").groupBy("_level")
+    levels = durable(sums.agg(F.count(F.lit(1)).cast("double").alias("_one"), *[F.sum(n).alias(n) for n in names]))
+    order = ["_one", *names[1:], "_y"]
+    whole = _gram(moved.withColumn("_one", F.lit(1.0)), F.lit(1.0), [F.col(n) for n in order])
+    left = whole - _gram(levels, 1.0 / (F.col("_one") + F.lit(float(alpha))), [F.col(n) for n in order])
+    left[range(1, len(rest) + 1), range(1, len(rest) + 1)] += alpha
+    solved = np.linalg.lstsq(left[:-1, :-1], left[:-1, -1], rcond=None)[0]
+    known = F.lit(0.0)
+    for n, weight in zip(order, solved):
+        known = known + F.col(n) * F.lit(float(weight))
+    weight = (F.col("_y") - known) / (F.col("_one") + F.lit(float(alpha)))
+    table = durable(levels.select(F.col("_level").cast("long").alias("place"), weight.alias("coefficient")))
+    count = table.count()
+    forget(levels)
+    intercept = float(solved[0]) + means[0] - float(np.dot(solved[1:], means[1:]))
+    return LevelledRidge(intercept, tuple(zip(rest, map(float, solved[1:]))), span, table, count)
+
+
+def fit_ridge(
+    rows: DataFrame, target: str, alpha: float = RIDGE_ALPHA, layout: SparseLayout | None = None
+) -> LinearRegressionModel | LevelledRidge:
     """Ridge on sparse rows, the penalty on the raw scale as in the dense fit.
 
-    Up to a few thousand places by normal equations; beyond, by descent, which moves one dense
-    vector of coefficients between tasks and driver and scales the label by its sample deviation.
+    Up to a few thousand places by normal equations. Beyond, where the ``layout`` is given and has
+    few places beside its widest category, the levels of that are eliminated, and their
+    coefficients are a table. All else goes by descent, which moves one dense vector of
+    coefficients between tasks and driver and scales the label by its sample deviation.
     """
     require_rows(rows, "training")
     size = len(rows.select("features").first()[0])
+    if layout is not None and size > NORMAL_PLACES:
+        span = _widest(layout)
+        if alpha > 0 and size - (span[1] - span[0]) <= REST_PLACES:
+            return _fit_levelled(rows, target, alpha, size, span)
     estimator: LinearRegression = ridge_estimator(rows, target, alpha)
     if size > NORMAL_PLACES:
         count, spread = rows.agg(F.count(quoted(target)), F.stddev_samp(quoted(target).cast("double"))).first()
@@ -176,22 +272,37 @@ def fit_ridge(rows: DataFrame, target: str, alpha: float = RIDGE_ALPHA) -> Linea
     return estimator.fit(rows)
 
 
-def predict_rows(model: LinearRegressionModel, rows: DataFrame, keep: Sequence[str]) -> DataFrame:
+def predict_rows(model: LinearRegressionModel | LevelledRidge, rows: DataFrame, keep: Sequence[str]) -> DataFrame:
     """``keep...`` and ``prediction`` of sparse rows."""
-    return model.transform(rows).select(*map(quoted, keep), "prediction")
-
-
-def ridge_coefficients(model: LinearRegressionModel, layout: SparseLayout) -> DataFrame:
-    """``place, feature, coefficient``; the coefficients are one vector of the model's size."""
+    if not isinstance(model, LevelledRidge):
+        return model.transform(rows).select(*map(quoted, keep), "prediction")
+    level, values = _opened(model.span, [p for p, _ in model.rest])
+    known = F.lit(model.intercept)
+    for value, (_, weight) in zip(values, model.rest):
+        known = known + value * F.lit(weight)
+    opened = rows.select(*map(quoted, keep), known.alias("_known"), level.cast("long").alias("_place"))
+    side = model.levels.select(F.col("place").alias("_place"), F.col("coefficient").alias("_weight"))
+    found = attach(opened, side, ["_place"], [*map(quoted, keep), F.col("_known")], model.count)
+    return found.select(*map(quoted, keep), (F.col("_known") + F.coalesce("_weight", F.lit(0.0))).alias("prediction"))
+
+
+def ridge_coefficients(model: LinearRegressionModel | LevelledRidge, layout: SparseLayout) -> DataFrame:
+    """``place, feature, coefficient``, the intercept at place -1."""
     spark = layout.levels.sparkSession
-    weights = [(i, float(w)) for i, w in enumerate(model.coefficients.toArray())]
-    held = spark.createDataFrame(weights, "place long, coefficient double")
-    return layout.features().join(held, "place").unionByName(
+    schema = "place long, coefficient double"
+    if isinstance(model, LevelledRidge):
+        held = model.levels.unionByName(spark.createDataFrame(list(model.rest), schema))
+        named = layout.features().join(held, "place", "left").withColumn("coefficient", F.coalesce("coefficient", F.lit(0.0)))
+    else:
+        # One vector of the model's size.
+        weights = [(i, float(w)) for i, w in enumerate(model.coefficients.toArray())]
+        named = layout.features().join(spark.createDataFrame(weights, schema), "place")
+    return named.unionByName(
         spark.createDataFrame([(-1, "(intercept)", float(model.intercept))], "place long, feature string, coefficient double")
     )
 
 
-def score_rows(model: LinearRegressionModel, rows: DataFrame, target: str, by: Sequence[str] = ()) -> DataFrame:
+def score_rows(model: LinearRegressionModel | LevelledRidge, rows: DataFrame, target: str, by: Sequence[str] = ()) -> DataFrame:
     """RMSE, MAE and R-squared of sparse rows, optionally per group."""
     scored = predict_rows(model, rows, [*by, target])
     return regression_metrics(scored, target, "prediction", by)

@@ -72,3 +72,31 @@ def test_no_categories_no_rows_and_no_levels(spark):
     assert empty.size == 1 and empty.counts == (0,)
     assert sparse.level_numbers(rows, empty, ["k"]).where("c_level_number is null").count() == 2
     assert sparse.sparse_rows(rows.limit(0), empty, ["k"]).count() == 0
+
+
+@pytest.mark.parametrize("broadcast", [500_000, 0])
+def test_levels_of_the_widest_category_are_eliminated_without_descent(spark, monkeypatch, broadcast):
+    rows = spark.range(4000).select(
+        "id", F.when(F.col("id") % 11 != 0, F.concat(F.lit("level "), (F.col("id") % 700).cast("string"))).alias("c"),
+        (F.col("id") * 7 % 13 + 1e6).cast("double").alias("x"), F.when(F.col("id") % 3 != 0, F.col("id") % 5).cast("string").alias("d"),
+        F.when(F.col("id") % 19 != 0, F.col("id") % 700 * 0.5 + F.col("id") * 7 % 13).alias("y"),
+    )
+    layout = sparse.fit_layout(rows, ["x"], ["d", "c"])
+    made = sparse.sparse_rows(rows, layout, ["id", "y"])
+    present = made.where("y is not null")
+    # The same ridge by dense normal equations around the means.
+    held = {r["id"]: (r["features"].toArray(), r["y"]) for r in made.collect()}
+    x, y = (np.array(side) for side in zip(*[v for v in held.values() if v[1] is not None]))
+    xc, yc = x - x.mean(axis=0), y - y.mean()
+    expected = np.linalg.solve(xc.T @ xc + np.eye(layout.size), xc.T @ yc)
+    intercept = y.mean() - x.mean(axis=0) @ expected
+    monkeypatch.setattr(sparse, "NORMAL_PLACES", 10)
+    monkeypatch.setattr(sparse, "DESCENT_STEPS", 0)
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", broadcast)
+    levelled = sparse.fit_ridge(present, "y", layout=layout)
+    weights = {r["place"]: r["coefficient"] for r in sparse.ridge_coefficients(levelled, layout).collect()}
+    assert [weights.pop(i) for i in range(layout.size)] == pytest.approx(list(expected), abs=1e-9)
+    assert weights == pytest.approx({-1: intercept}, rel=1e-9)
+    found = {r["id"]: r["prediction"] for r in sparse.predict_rows(levelled, made, ["id"]).collect()}
+    assert found == pytest.approx({k: intercept + v[0] @ expected for k, v in held.items()}, abs=1e-6)
+    levelled.forget()
