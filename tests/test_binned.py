@@ -2,6 +2,7 @@
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
@@ -81,3 +82,31 @@ def test_odd_rows(spark):
     )
     with pytest.raises(Exception):
         binned.fit_forest(forest(numTrees=2), broken)
+
+
+def test_counts_of_blocks_are_added_up_in_the_task():
+    """Before, a task sent the counts of each of its blocks."""
+    rng = np.random.default_rng(0)
+    none = np.full(1, -1, np.int32)
+    trees = [binned._Tree(none, none, none, 0)] * 4
+    now = binned._Round(0, trees, (4, 2), np.uint8, 42, False)
+    blocks, d = [rng.integers(0, 2, (2, 30), dtype=np.uint8) for _ in range(5)], rng.normal(size=30)
+
+    def batches():
+        for group in (0, 1):
+            for part, x in enumerate(blocks):
+                yield pa.record_batch({
+                    "part": pa.array([part]), "group": pa.array([group], pa.int32()), "x": pa.array([x.tobytes()], pa.binary()),
+                    "d": pa.array([d.tobytes()], pa.binary()),
+                })
+
+    class Shared:
+        value = now
+
+    sent = pa.Table.from_batches(binned._counter(Shared, 2)(batches()))
+    assert sorted(sent.column("tree").to_pylist()) == [0, 1, 2, 3]
+    for n in sent.column("n"):
+        assert np.frombuffer(n.as_buffer(), np.int64).tolist() == [150]
+    whole = np.concatenate(blocks, axis=1)
+    for w in sent.column("w"):
+        assert np.frombuffer(w.as_buffer(), np.float64).tolist() == [*np.bincount(whole[0], minlength=4), *np.bincount(whole[1], minlength=2)]
