@@ -152,3 +152,21 @@ def test_rows_find_their_bin_among_many_edges(spark):
     rows = _with_bins(df, {n: _pair(df, n, "y") for n in edges}, edges).collect()
     assert sorted((r["x"], r["bin"]) for r in rows if r["feature"] == "it's") == [(0.5, 1), (1.0, 1), (7.0, 6)]
     assert [r["bin"] for r in rows if r["feature"] == "y"] == [0, 0, 0, 0]
+
+
+def test_robust_rounds_write_each_row_once_and_keep_gaps(spark, monkeypatch):
+    """A row per feature and row was written, and read seven times by each round."""
+    written = []
+    monkeypatch.setattr(curvature, "durable", lambda df: written.append((df.columns, df.count())) or df)
+    monkeypatch.setattr(curvature, "forget", lambda *_: None)
+    rng = np.random.default_rng(8)
+    x, z = rng.normal(size=900), rng.integers(0, 3, 900).astype(float)
+    y = x * x + rng.normal(scale=0.1, size=900)
+    rows = [(a if i % 7 else None, c, b if i % 11 else None) for i, (a, c, b) in enumerate(zip(x.tolist(), z.tolist(), y.tolist()))]
+    df = spark.createDataFrame([*rows, (None, None, None)], "x double, `z z` double, y double").repartition(3)
+    found = [as_dict(curvature.lowess_scores(df, ["x", "z z"], "y", rounds=2, bounded=b), "score") for b in (1_000_000, 60)]
+    assert found[0] == pytest.approx(found[1], rel=1e-12)
+    whole = [r for r in rows if None not in r]
+    alone = spark.createDataFrame(whole, "x double, `z z` double, y double")
+    assert as_dict(curvature.lowess_scores(alone, ["x"], "y", rounds=2), "score")["x"] == pytest.approx(found[0]["x"], rel=1e-9)
+    assert written[0] == (["x", "z z", "y"], 901) and {n for _, n in written} == {901, len(whole)}

@@ -101,3 +101,21 @@ def test_many_ranks_of_whole_columns_are_counted_at_once(spark, monkeypatch):
     found = fit_quantiles(spark.createDataFrame(pdf).repartition(3), list(pdf), probs, bounded=500)
     for name in pdf:
         assert found[name] == pytest.approx(list(np.quantile(pdf[name].dropna(), probs)), rel=1e-12, abs=1e-15)
+
+
+def test_counted_quantiles_of_values_made_by_a_task(spark):
+    """Values that only a task can make are ranked without being written as rows."""
+    from plumbline.functions.quantiles import counted_quantiles
+
+    a = np.random.default_rng(4).normal(size=4_000)
+    df = spark.createDataFrame(pd.DataFrame({"a": a, "b": np.arange(4_000.0)})).repartition(3)
+    inputs = [{"a": F.col("a"), "b": F.col("b")}, {"b": F.col("b")}]
+
+    def read(batch, i):
+        b = batch.column("b").to_numpy()
+        return np.abs(batch.column("a").to_numpy() - b) if i == 0 else b[b < 0]
+
+    for bounded in (1_000_000, 50):
+        found = counted_quantiles(df, inputs, [4_000, 4_000], [0.0, 0.5, 1.0], bounded, read)
+        assert found[1] is None
+        assert found[0] == pytest.approx(list(np.quantile(np.abs(a - np.arange(4_000.0)), [0, 0.5, 1])), rel=1e-12)
