@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from itertools import combinations, combinations_with_replacement
 
 from pyspark.sql import Column, DataFrame
@@ -24,8 +25,10 @@ STRENGTHS = (
 )
 WEAKEST = "Very weak marginal linear association"
 
-#: Pairs that one aggregation holds; rows whose means are the shifts; rounding left by a constant column.
+#: Pairs that are summed by aggregations; rows whose means are the shifts; rounding left by a constant column.
 PAIRS_PER_PASS, SHIFT_ROWS, CONSTANT_SHARE = 120, 1000, 1e-12
+#: Pairs of one aggregation: each has 14 partial sums, and Spark compiles a step of at most 100 fields.
+PAIRS_AT_ONCE = 5
 #: Columns of a tile of a Gram matrix and of what it is multiplied with in one read; rows multiplied at once.
 TILE, STRIP, GRAM_ROWS = 512, 1024, 1024
 
@@ -161,7 +164,7 @@ def correlation_pairs(df: DataFrame, columns: Sequence[str] | None = None) -> Da
 def _cells(df: DataFrame, names: list[str], pairs: list[tuple[int, int]], tile: int | None = None) -> DataFrame:
     """Correlation of the given index pairs; a column with itself gives 1, or NULL if constant.
 
-    Few pairs are sums of one aggregation in one scan; many are tiles of Gram matrices.
+    Few pairs are sums of small aggregations, each with its scan; many are tiles of Gram matrices.
     """
     if len(pairs) > PAIRS_PER_PASS:
         return _gram_cells(df, names, pairs, tile)
@@ -178,7 +181,8 @@ def _cells(df: DataFrame, names: list[str], pairs: list[tuple[int, int]], tile:
                 value.alias("correlation"),
             )
         )
-    return df.agg(F.array(*cells).alias("all")).select(F.inline("all"))
+    parts = [df.agg(F.array(*cells[at:at + PAIRS_AT_ONCE]).alias("all")) for at in range(0, len(cells), PAIRS_AT_ONCE)]
+    return reduce(DataFrame.unionByName, parts).select(F.inline("all"))
 
 
 def _gram_cells(df: DataFrame, names: list[str], pairs: list[tuple[int, int]], tile: int | None = None) -> DataFrame:

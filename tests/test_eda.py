@@ -1,3 +1,5 @@
+from itertools import combinations
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -193,3 +195,23 @@ def test_grid_map(spark):
     rows = {(r["cell_x"], r["cell_y"]): (r["observations"], r["mean_value"]) for r in
             figures.grid_map(df, "x", "y", "v", 1.0, 1.0).collect()}
     assert rows == {(-1, 0): (2, 2.0), (0, 0): (1, 5.0)}
+
+
+def test_sums_of_pairs_are_compiled(spark, capsys):
+    """Ten pairs in one aggregation have more fields than Spark compiles: each row was interpreted."""
+    rng = np.random.default_rng(9)
+    pdf = pd.DataFrame(rng.normal(size=(200, 5)), columns=list("abcde"))
+    pdf.loc[::9, "b"] = np.nan
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = spark.createDataFrame(pdf).replace(float("nan"), None)
+        pairs = eda.correlation_pairs(df, list(pdf))
+        pairs.explain()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    steps = [line for line in capsys.readouterr().out.splitlines() if "HashAggregate(" in line]
+    assert steps and all("*(" in line.split("HashAggregate(")[0] for line in steps)
+    found = {(r["feature_1"], r["feature_2"]): r["correlation"] for r in pairs.collect()}
+    exact = pdf.corr()
+    assert list(found) == list(combinations(pdf, 2))
+    assert found == pytest.approx({(a, b): exact.loc[a, b] for a, b in found}, rel=1e-9)
