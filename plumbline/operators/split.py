@@ -94,9 +94,10 @@ class SplitRule:
     seed: int
     cuts: tuple[tuple[object, tuple | None, tuple | None], ...]
 
-    def column(self) -> Column:
-        """``train``, ``validation`` or ``test`` from the row's own hash and key."""
-        h, k = seeded_hash(quoted(self.row_key), self.seed), quoted(self.row_key)
+    def column(self, hashed: Column | None = None) -> Column:
+        """``train``, ``validation`` or ``test`` from the row's own hash, which a caller may have at hand, and key."""
+        k = quoted(self.row_key)
+        h = seeded_hash(k, self.seed) if hashed is None else hashed
         chain = None
         for value, last_train, last_validation in self.cuts:
             inner = F.lit(TEST)
@@ -111,7 +112,9 @@ class SplitRule:
     def apply(self, df: DataFrame) -> DataFrame:
         """Add ``split``: an expression for a few strata, a broadcast of the cuts for many."""
         if len(self.cuts) <= EXPRESSION_STRATA:
-            return df.withColumn("split", self.column())
+            # A column of its own: each comparison would make the hash again.
+            hashed = df.withColumn("_split_hash", seeded_hash(quoted(self.row_key), self.seed))
+            return hashed.withColumn("split", self.column(F.col("_split_hash"))).drop("_split_hash")
         kind, key = df.select(self.stratum.alias("s")).dtypes[0][1], dict(df.dtypes)[self.row_key]
         rows = [(s, *(t or (None, None)), *(v or (None, None))) for s, t, v in self.cuts]
         cuts = df.sparkSession.createDataFrame(

@@ -134,3 +134,13 @@ def test_cover_compares_sizes_with_quotas(table):
 def test_short_prefixes_give_the_same_split(table, digits):
     rows = split.stratified_split(table, "k", "v", EDGES, boundary_rows=3, prefix_digits=digits)
     assert {r["k"]: r["split"] for r in rows.collect()} == ranked([(r["k"], r["v"]) for r in table.collect()])
+
+
+def test_a_row_is_hashed_once(spark, capsys):
+    """Each comparison of each stratum made the hash of the row again."""
+    df = spark.range(400).select("id", (F.col("id") % 4).cast("double").alias("v"), F.lit(1).alias("_h"))
+    made = split.stratified_split(df, "id", "v", [-1.0, 0.5, 1.5, 2.5, 9.0])
+    capsys.readouterr()
+    made.explain()
+    assert capsys.readouterr().out.count("md5(") == 1
+    assert made.columns == ["id", "v", "_h", "stratum", "split"]
