@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline.functions.durable import durable, forget
-from plumbline.functions.joins import attach, running_totals
+from plumbline.functions.joins import attach, numbered
 from plumbline.functions.quantiles import BOUNDED_GROUP
 from plumbline.operators.features import ratio_features
 from plumbline.operators.models import RIDGE_ALPHA, regression_metrics, ridge_estimator
@@ -78,13 +78,12 @@ def fit_layout(train: DataFrame, numbers: Sequence[str], categories: Sequence[st
         none = train.sparkSession.createDataFrame([], "category int, level string, level_number long, place long")
         return SparseLayout(tuple(numbers), (), (), none)
     pairs = train.select(F.inline(F.array(*cells))).where(F.col("level").isNotNull()).distinct()
-    pairs = pairs.withColumn("_one", F.lit(1).cast("long"))
-    numbered = durable(running_totals(pairs, ["category"], ["level"], {"level_number": "_one"}).drop("_one"))
-    sizes = {r["category"]: r["count"] for r in numbered.groupBy("category").count().collect()}
+    levels = numbered(pairs, ["category"], ["level"], "level_number")
+    sizes = {r["category"]: r["count"] for r in levels.groupBy("category").count().collect()}
     counts = tuple(sizes.get(i, 0) for i in range(len(categories)))
-    layout = SparseLayout(tuple(numbers), tuple(categories), counts, numbered)
+    layout = SparseLayout(tuple(numbers), tuple(categories), counts, levels)
     start = F.element_at(F.array(*[F.lit(s).cast("long") for s in layout.starts()]), F.col("category") + 1)
-    placed = numbered.withColumn("place", F.when(F.col("level_number") > 0, start + F.col("level_number") - 1))
+    placed = levels.withColumn("place", F.when(F.col("level_number") > 0, start + F.col("level_number") - 1))
     return SparseLayout(layout.numbers, layout.categories, counts, placed)
 
 
