@@ -170,3 +170,19 @@ def test_robust_rounds_write_each_row_once_and_keep_gaps(spark, monkeypatch):
     alone = spark.createDataFrame(whole, "x double, `z z` double, y double")
     assert as_dict(curvature.lowess_scores(alone, ["x"], "y", rounds=2), "score")["x"] == pytest.approx(found[0]["x"], rel=1e-9)
     assert written[0] == (["x", "z z", "y"], 901) and {n for _, n in written} == {901, len(whole)}
+
+
+def test_the_screen_query_runs_the_reweighting_rounds(spark, monkeypatch):
+    """It left them out: outlying rows bent its curve."""
+    from catalog import queries
+
+    rng = np.random.default_rng(9)
+    n = 600
+    x = rng.uniform(-2, 2, size=n)
+    y = 2 * x + rng.normal(size=n) + np.where((np.abs(x) < 0.5) & (rng.random(n) < 0.1), 30.0, 0.0)
+    rows = {c: rng.permutation(x) for c in queries.b.NUMBERS[1:]} | {queries.b.NUMBERS[0]: x, queries.b.TARGET: y}
+    df = spark.createDataFrame(pd.DataFrame(rows))
+    monkeypatch.setattr(queries, "_block", lambda *_: df)
+    found = as_dict(queries.lowess_screen(spark, "none"), "deviation_score")
+    robust, plain = (as_dict(curvature.lowess_scores(df, queries.b.NUMBERS, queries.b.TARGET, rounds=r), "score") for r in (3, 0))
+    assert found == pytest.approx(robust, abs=1e-5) and abs(found[queries.b.NUMBERS[0]] - plain[queries.b.NUMBERS[0]]) > 0.01
