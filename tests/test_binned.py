@@ -3,6 +3,7 @@
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
@@ -110,3 +111,18 @@ def test_counts_of_blocks_are_added_up_in_the_task():
     whole = np.concatenate(blocks, axis=1)
     for w in sent.column("w"):
         assert np.frombuffer(w.as_buffer(), np.float64).tolist() == [*np.bincount(whole[0], minlength=4), *np.bincount(whole[1], minlength=2)]
+
+
+def test_blocks_are_written_and_read_a_few_at_a_time(spark, monkeypatch):
+    """Up to a hundred blocks were one page of a file, held whole by writer and reader."""
+    monkeypatch.setattr(binned, "BLOCK_ROWS", 50)
+    monkeypatch.setattr(binned, "BLOCK_FILES", {**binned.BLOCK_FILES, "parquet.block.size": 1000})
+    rows = spark.range(2000).select(F.array((F.col("id") % 7).cast("double"), F.col("id").cast("double")).alias("x"), F.col("id").cast("double").alias("y"))
+    cuts = binned._fitted_thresholds(rows, 2, 16)
+    blocks, _ = binned._dealt(rows, cuts, 0.0, 2000, 1)
+    files = [pq.ParquetFile(f.removeprefix("file:").replace("///", "/")) for f in blocks.inputFiles()]
+    groups = [f.metadata.row_group(i).num_rows for f in files for i in range(f.num_row_groups)]
+    assert sum(groups) == blocks.count() >= 40 and max(groups) <= 5
+    with binned._small_batches(spark):
+        assert spark.conf.get(binned.BATCH_SETTING) == binned.BATCH
+    assert spark.conf.get(binned.BATCH_SETTING, binned.BATCH_DEFAULT) == binned.BATCH_DEFAULT
